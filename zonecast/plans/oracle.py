@@ -61,16 +61,65 @@ VIEWS = {
          CAST(floor(z.locationid / 5) AS DOUBLE) * 2 + v.dy AS y
   FROM zone_attrs z CROSS JOIN (VALUES (0, 1e-1, 3e-1), (1, 1.7e0, 1e-1), (2, 1.1e0, 9e-1),
                                        (3, 1.9e0, 1.8e0), (4, 4e-1, 1.6e0)) v(seq, dx, dy)""",
+    # --- oracle-side derived tables (independent of the Spark operators) ---
+    "edges_v": """
+  SELECT a.locationid, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM zones_v a
+  JOIN (SELECT locationid, ring, count(*) AS n FROM zones_v GROUP BY locationid, ring) c
+    ON a.locationid = c.locationid AND a.ring = c.ring
+  JOIN zones_v b
+    ON b.locationid = a.locationid AND b.ring = a.ring AND b.seq = (a.seq + 1) % c.n""",
+    "station_zone_o": """
+  SELECT s.station_id, s.latitude, s.longitude, h.locationid
+  FROM stations_v s LEFT JOIN (
+    SELECT station_id, min(locationid) AS locationid FROM (
+      SELECT s.station_id, e.locationid
+      FROM stations_v s JOIN edges_v e
+        ON ((e.y1 > s.latitude) <> (e.y2 > s.latitude))
+       AND s.longitude < (e.x2 - e.x1) * (s.latitude - e.y1) / (e.y2 - e.y1) + e.x1
+      WHERE e.locationid IN (SELECT locationid FROM zones_kept)
+      GROUP BY s.station_id, e.locationid
+      HAVING count(*) % 2 = 1)
+    GROUP BY station_id) h ON s.station_id = h.station_id""",
+    "station_hours_o": """
+  SELECT station_id, date_trunc('hour', "timestamp") AS "timestamp",
+         CAST(sum(ridership) AS BIGINT) AS hourly_ridership
+  FROM ridership_v
+  WHERE "timestamp" >= TIMESTAMP '2024-01-01 00:00:00'
+    AND "timestamp" < TIMESTAMP '2024-02-01 00:00:00'
+  GROUP BY station_id, date_trunc('hour', "timestamp")""",
+    "ridership_zh_o": """
+  SELECT z.locationid, h."timestamp" AS hour_ts,
+         CAST(sum(h.hourly_ridership) AS BIGINT) AS hourly_ridership
+  FROM station_hours_o h JOIN station_zone_o z ON h.station_id = z.station_id
+  WHERE z.locationid IS NOT NULL
+  GROUP BY z.locationid, h."timestamp"
+""",
+    "pickups_zh_o": """
+  SELECT pulocationid AS locationid, date_trunc('hour', pu_time) AS hour_ts,
+         CAST(count(pu_time) AS BIGINT) AS pu_hourly,
+         CAST(sum(passenger_count) AS BIGINT) AS hourly_passengers
+  FROM pickups_v GROUP BY pulocationid, date_trunc('hour', pu_time)""",
 }
 
 # Dependencies between the views (inlined in this order).
 VIEW_ORDER = ["trips_v", "zone_attrs", "zones_kept", "pickups_v", "ridership_v",
-              "stations_v", "zones_v"]
+              "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
+              "ridership_zh_o", "pickups_zh_o"]
+VIEW_DEPS = {
+    "zones_kept": ["zone_attrs"],
+    "zones_v": ["zone_attrs"],
+    "edges_v": ["zones_v"],
+    "station_zone_o": ["stations_v", "edges_v", "zones_kept"],
+    "station_hours_o": ["ridership_v"],
+    "ridership_zh_o": ["station_hours_o", "station_zone_o"],
+    "pickups_zh_o": ["pickups_v"],
+}
 
 
 def with_views(body: str, *names: str) -> str:
     """Prefix `body` with the CTEs it needs (plus their dependencies)."""
-    deps = {"zones_kept": ["zone_attrs"], "zones_v": ["zone_attrs"]}
+    deps = VIEW_DEPS
     need: set[str] = set()
 
     def add(n: str) -> None:
@@ -81,6 +130,8 @@ def with_views(body: str, *names: str) -> str:
     for n in names:
         add(n)
     ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in VIEW_ORDER if n in need]
+    if not ctes:
+        return body
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
@@ -154,5 +205,79 @@ ORACLE["rule_rejections"] = with_views(
     "trips_v", "zones_kept")
 
 
+# --- spatial ----------------------------------------------------------------
+
+ORACLE["polygon_edges"] = with_views(
+    "SELECT locationid, x1, y1, x2, y2 FROM edges_v", "edges_v")
+
+ORACLE["station_points"] = with_views("""
+SELECT station_id, longitude AS lon, latitude AS lat,
+       CAST(floor(longitude / 1.0) AS BIGINT) AS tx, CAST(floor(latitude / 1.0) AS BIGINT) AS ty
+FROM stations_v""", "stations_v")
+
+ORACLE["point_in_zone"] = with_views("""
+, pts AS (
+  SELECT c_custkey AS point_id, CAST(c_custkey * 37 % 1000 AS DOUBLE) / 100 AS lon,
+         CAST(c_custkey * 91 % 1000 AS DOUBLE) / 100 AS lat
+  FROM customer),
+hits AS (
+  SELECT p.point_id, e.locationid
+  FROM pts p JOIN edges_v e
+    ON ((e.y1 > p.lat) <> (e.y2 > p.lat))
+   AND p.lon < (e.x2 - e.x1) * (p.lat - e.y1) / (e.y2 - e.y1) + e.x1
+  GROUP BY p.point_id, e.locationid
+  HAVING count(*) % 2 = 1)
+SELECT p.point_id, p.lon, p.lat, h.locationid
+FROM pts p LEFT JOIN (SELECT point_id, min(locationid) AS locationid FROM hits GROUP BY point_id) h
+  ON p.point_id = h.point_id""", "edges_v")
+
+ORACLE["station_zone"] = with_views(
+    "SELECT station_id, latitude, longitude, locationid FROM station_zone_o", "station_zone_o")
+
+# --- hourly ridership, joins --------------------------------------------------
+
+ORACLE["hourly_station_ridership"] = with_views(f"""
+SELECT station_id, "timestamp", hourly_ridership, {calendar_sql('"timestamp"')}
+FROM station_hours_o""", "station_hours_o")
+
+ORACLE["hourly_zone_ridership"] = with_views(f"""
+SELECT locationid, hourly_ridership, {calendar_sql('hour_ts')}
+FROM ridership_zh_o""", "ridership_zh_o")
+
+ORACLE["distinct_stations"] = with_views("""
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS station_id,
+       CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS latitude,
+       CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS longitude
+FROM events WHERE event_type IN ('purchase', 'signup')""")
+
+ORACLE["station_zone_attrs"] = with_views("""
+SELECT s.locationid, s.station_id, s.latitude, s.longitude, z.borough, z.zone
+FROM station_zone_o s LEFT JOIN zone_attrs z ON s.locationid = z.locationid""",
+    "station_zone_o", "zone_attrs")
+
+ORACLE["ridership_with_zone"] = with_views(f"""
+SELECT h.station_id, h."timestamp", h.hourly_ridership, z.locationid,
+       {calendar_sql('h."timestamp"')}
+FROM station_hours_o h LEFT JOIN station_zone_o z ON h.station_id = z.station_id""",
+    "station_hours_o", "station_zone_o")
+
+COMBINED_SQL = f"""
+SELECT coalesce(p.locationid, r.locationid) AS locationid,
+       {calendar_sql('coalesce(p.hour_ts, r.hour_ts)')},
+       CAST(coalesce(p.pu_hourly, 0) AS BIGINT) AS pu_hourly,
+       CAST(coalesce(p.hourly_passengers, 0) AS BIGINT) AS hourly_passengers,
+       CAST(coalesce(r.hourly_ridership, 0) AS BIGINT) AS hourly_ridership
+FROM pickups_zh_o p FULL OUTER JOIN ridership_zh_o r
+  ON p.locationid = r.locationid AND p.hour_ts = r.hour_ts"""
+
+ORACLE["combined_demand"] = with_views(COMBINED_SQL, "pickups_zh_o", "ridership_zh_o")
+
+ORACLE["zones_without_ridership"] = with_views("""
+SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS pickups
+FROM pickups_zh_o
+WHERE locationid NOT IN (SELECT locationid FROM ridership_zh_o)
+GROUP BY locationid""", "pickups_zh_o", "ridership_zh_o")
+
+
 def all_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

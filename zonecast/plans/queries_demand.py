@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from zonecast.operators import hourly, rules
-from zonecast.plans.fixture_args import EXCLUDED_BOROUGHS, FIXTURE_RULES
+from zonecast.functions.timecols import calendar_columns
+from zonecast.operators import combine, hourly, rules, spatial
+from zonecast.plans import demand
+from zonecast.plans.demand import curated_zones
+from zonecast.plans.fixture_args import FIXTURE_RULES, RIDER_PERIOD, TILE_SIZE
 from zonecast.plans.registry import query
 from zonecast.sources import fixtures as fx
 
 
-def curated_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The kept zone set: zones outside the excluded boroughs."""
-    return rules.filter_exclude(fx.zone_attrs_view(spark, sf_dir), "borough",
-                                EXCLUDED_BOROUGHS)
-
-
 # --- G1: the minimum slice -------------------------------------------------
 
 @query("hourly_pickups")
@@ -53,3 +51,76 @@ def q_attrition_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_rule_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_rejections(fx.trips_view(spark, sf_dir),
                                  curated_zones(spark, sf_dir), FIXTURE_RULES)
+
+
+# --- spatial (A8, P11, J4) --------------------------------------------------
+
+@query("polygon_edges")
+def q_polygon_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.polygon_edges(fx.zone_vertices_view(spark, sf_dir))
+
+
+@query("station_points")
+def q_station_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = spatial.point_tiles(fx.stations_view(spark, sf_dir), "longitude", "latitude",
+                              TILE_SIZE)
+    return pts.select("station_id", F.col("point.lon").alias("lon"),
+                      F.col("point.lat").alias("lat"), "tx", "ty")
+
+
+@query("point_in_zone")
+def q_point_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer point with the zone (of all 25) containing it, or NULL."""
+    shapes = spatial.zone_shapes(fx.zone_vertices_view(spark, sf_dir))
+    return spatial.assign_zone(fx.customer_points_view(spark, sf_dir), shapes,
+                               x="lon", y="lat", tile_size=TILE_SIZE)
+
+
+@query("station_zone")
+def q_station_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations with the kept zone they lie in (NULL when in none)."""
+    return demand.station_zone(spark, sf_dir)
+
+
+# --- G2-G4, J1-J3, J6 -------------------------------------------------------
+
+@query("hourly_station_ridership")
+def q_hourly_station_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rid = rules.filter_time_range(fx.ridership_view(spark, sf_dir), *RIDER_PERIOD)
+    return hourly.hourly_station_ridership(rid)
+
+
+@query("hourly_zone_ridership")
+def q_hourly_zone_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zh = demand.ridership_zone_hours(spark, sf_dir)
+    return zh.withColumns(calendar_columns("hour_ts")).drop("hour_ts")
+
+
+@query("distinct_stations")
+def q_distinct_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G4 on the typed raw ridership rows (one row per reading)."""
+    raw = demand.ridership_typed(spark, sf_dir)
+    return hourly.distinct_stations(raw)
+
+
+@query("station_zone_attrs")
+def q_station_zone_attrs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine.station_zone_attrs(demand.station_zone(spark, sf_dir),
+                                      fx.zone_attrs_view(spark, sf_dir))
+
+
+@query("ridership_with_zone")
+def q_ridership_with_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine.ridership_with_zone(demand.station_hours(spark, sf_dir),
+                                       demand.station_zone(spark, sf_dir))
+
+
+@query("combined_demand")
+def q_combined_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demand.combined(spark, sf_dir)
+
+
+@query("zones_without_ridership")
+def q_zones_without_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combine.zones_without_ridership(demand.pickup_zone_hours(spark, sf_dir),
+                                           demand.ridership_zone_hours(spark, sf_dir))
