@@ -11,6 +11,19 @@ from __future__ import annotations
 
 # --- fixture views ----------------------------------------------------------
 
+COMBINED_BODY = """
+  SELECT coalesce(p.locationid, r.locationid) AS locationid,
+         CAST(year(coalesce(p.hour_ts, r.hour_ts)) AS INTEGER) AS year,
+         CAST(month(coalesce(p.hour_ts, r.hour_ts)) AS INTEGER) AS month,
+         CAST(day(coalesce(p.hour_ts, r.hour_ts)) AS INTEGER) AS dayofmonth,
+         CAST(dayofweek(coalesce(p.hour_ts, r.hour_ts)) + 1 AS INTEGER) AS dayofweek,
+         CAST(hour(coalesce(p.hour_ts, r.hour_ts)) AS INTEGER) AS hour,
+         CAST(coalesce(p.pu_hourly, 0) AS BIGINT) AS pu_hourly,
+         CAST(coalesce(p.hourly_passengers, 0) AS BIGINT) AS hourly_passengers,
+         CAST(coalesce(r.hourly_ridership, 0) AS BIGINT) AS hourly_ridership
+  FROM pickups_zh_o p FULL OUTER JOIN ridership_zh_o r
+    ON p.locationid = r.locationid AND p.hour_ts = r.hour_ts"""
+
 VIEWS = {
     "trips_v": """
   SELECT CAST(1 + l.l_linenumber % 2 AS BIGINT) AS vendorid,
@@ -95,6 +108,22 @@ VIEWS = {
   WHERE z.locationid IS NOT NULL
   GROUP BY z.locationid, h."timestamp"
 """,
+    "ridership_text_o": """
+  SELECT strftime(ts, '%m/%d/%Y %I:%M:%S %p') AS transit_timestamp,
+         CAST(user_id AS VARCHAR) AS station_complex_id,
+         'Station ' || CAST(user_id AS VARCHAR) AS station_complex,
+         ['Q', 'BX', 'M', 'BK', 'SI'][CAST(user_id % 5 AS INTEGER) + 1] AS borough,
+         'A C E' AS routes,
+         CASE WHEN event_type = 'purchase' THEN 'omny' ELSE 'metrocard' END AS payment_method,
+         CASE WHEN event_id % 101 = 0 THEN 'n/a'
+              ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS ridership,
+         CAST(CAST(floor(value / 10) AS BIGINT) AS VARCHAR) AS transfers,
+         CAST(CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS VARCHAR) AS latitude,
+         CAST(CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS VARCHAR) AS longitude,
+         'POINT (' || CAST(CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS VARCHAR) || ' '
+           || CAST(CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS VARCHAR) || ')' AS georeference
+  FROM events WHERE event_type IN ('purchase', 'signup')""",
+    "combined_o": COMBINED_BODY,
     "pickups_zh_o": """
   SELECT pulocationid AS locationid, date_trunc('hour', pu_time) AS hour_ts,
          CAST(count(pu_time) AS BIGINT) AS pu_hourly,
@@ -105,7 +134,7 @@ VIEWS = {
 # Dependencies between the views (inlined in this order).
 VIEW_ORDER = ["trips_v", "zone_attrs", "zones_kept", "pickups_v", "ridership_v",
               "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
-              "ridership_zh_o", "pickups_zh_o"]
+              "ridership_text_o", "pickups_zh_o", "ridership_zh_o", "combined_o"]
 VIEW_DEPS = {
     "zones_kept": ["zone_attrs"],
     "zones_v": ["zone_attrs"],
@@ -114,6 +143,7 @@ VIEW_DEPS = {
     "station_hours_o": ["ridership_v"],
     "ridership_zh_o": ["station_hours_o", "station_zone_o"],
     "pickups_zh_o": ["pickups_v"],
+    "combined_o": ["pickups_zh_o", "ridership_zh_o"],
 }
 
 
@@ -261,16 +291,7 @@ SELECT h.station_id, h."timestamp", h.hourly_ridership, z.locationid,
 FROM station_hours_o h LEFT JOIN station_zone_o z ON h.station_id = z.station_id""",
     "station_hours_o", "station_zone_o")
 
-COMBINED_SQL = f"""
-SELECT coalesce(p.locationid, r.locationid) AS locationid,
-       {calendar_sql('coalesce(p.hour_ts, r.hour_ts)')},
-       CAST(coalesce(p.pu_hourly, 0) AS BIGINT) AS pu_hourly,
-       CAST(coalesce(p.hourly_passengers, 0) AS BIGINT) AS hourly_passengers,
-       CAST(coalesce(r.hourly_ridership, 0) AS BIGINT) AS hourly_ridership
-FROM pickups_zh_o p FULL OUTER JOIN ridership_zh_o r
-  ON p.locationid = r.locationid AND p.hour_ts = r.hour_ts"""
-
-ORACLE["combined_demand"] = with_views(COMBINED_SQL, "pickups_zh_o", "ridership_zh_o")
+ORACLE["combined_demand"] = with_views("SELECT * FROM combined_o", "combined_o")
 
 ORACLE["zones_without_ridership"] = with_views("""
 SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS pickups
@@ -279,5 +300,85 @@ WHERE locationid NOT IN (SELECT locationid FROM ridership_zh_o)
 GROUP BY locationid""", "pickups_zh_o", "ridership_zh_o")
 
 
+# --- exploration -------------------------------------------------------------
+
+ORACLE["log_pickups_by_zone"] = with_views("""
+SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS total_pickups,
+       CASE WHEN sum(pu_hourly) > 0 THEN ln(sum(pu_hourly)) END AS log_pickups
+FROM combined_o GROUP BY locationid""", "combined_o")
+
+ORACLE["log_ridership_by_zone"] = with_views("""
+SELECT locationid, CAST(sum(hourly_ridership) AS BIGINT) AS total_ridership,
+       CASE WHEN sum(hourly_ridership) > 0 THEN ln(sum(hourly_ridership)) END AS log_ridership
+FROM combined_o GROUP BY locationid""", "combined_o")
+
+ORACLE["borough_totals"] = with_views("""
+SELECT z.borough, CAST(sum(c.pu_hourly) AS BIGINT) AS pickups,
+       CAST(sum(c.hourly_ridership) AS BIGINT) AS ridership,
+       sum(c.pu_hourly) / (SELECT sum(pu_hourly) FROM combined_o) AS pickup_share
+FROM combined_o c LEFT JOIN zone_attrs z ON c.locationid = z.locationid
+GROUP BY z.borough""", "combined_o", "zone_attrs")
+
+ORACLE["weekday_hour_profile"] = with_views("""
+SELECT dayofweek, hour, CAST(sum(pu_hourly) AS BIGINT) AS pickups,
+       CAST(sum(hourly_ridership) AS BIGINT) AS ridership,
+       CAST(count(*) AS BIGINT) AS zone_hours, avg(pu_hourly) AS mean_pickups
+FROM combined_o GROUP BY dayofweek, hour""", "combined_o")
+
+ORACLE["peak_hour_by_weekday"] = with_views("""
+, prof AS (SELECT dayofweek, hour, sum(pu_hourly) AS n FROM combined_o GROUP BY dayofweek, hour),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY dayofweek ORDER BY n DESC, hour) AS rp,
+            row_number() OVER (PARTITION BY dayofweek ORDER BY n, hour) AS rt
+  FROM prof)
+SELECT a.dayofweek, a.hour AS peak_hour, CAST(a.n AS BIGINT) AS peak_pickups,
+       b.hour AS trough_hour, CAST(b.n AS BIGINT) AS trough_pickups
+FROM ranked a JOIN ranked b ON a.dayofweek = b.dayofweek AND a.rp = 1 AND b.rt = 1""",
+    "combined_o")
+
+ORACLE["dataset_shape"] = with_views("""
+SELECT 'trips' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, 19 AS n_columns FROM trips_v
+UNION ALL SELECT 'ridership', CAST(count(*) AS BIGINT), 11 FROM events
+  WHERE event_type IN ('purchase', 'signup')
+UNION ALL SELECT 'zones', CAST(count(*) AS BIGINT), 5 FROM zones_v""", "trips_v", "zones_v")
+
+TRIP_COLUMNS = ["vendorid", "pu_time", "do_time", "passenger_count", "trip_distance",
+                "ratecodeid", "store_and_fwd_flag", "pulocationid", "dolocationid",
+                "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount",
+                "tolls_amount", "improvement_surcharge", "total_amount",
+                "congestion_surcharge", "airport_fee"]
+_NON_NUMERIC = {"pu_time", "do_time", "store_and_fwd_flag"}
+
+ORACLE["null_profile"] = with_views("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
+    + ("CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value"
+       if c in _NON_NUMERIC else
+       f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value")
+    + " FROM trips_v" for c in TRIP_COLUMNS), "trips_v")
+
+RIDERSHIP_TEXT_COLUMNS = ["transit_timestamp", "station_complex_id", "station_complex",
+                          "borough", "routes", "payment_method", "ridership", "transfers",
+                          "latitude", "longitude", "georeference"]
+
+ORACLE["constant_columns"] = with_views("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, "
+    f"(count({c}) = count(*) AND count(DISTINCT {c}) = 1) AS is_constant FROM ridership_text_o"
+    for c in RIDERSHIP_TEXT_COLUMNS), "ridership_text_o")
+
+ORACLE["transfer_subset_check"] = with_views("""
+, t AS (SELECT TRY_CAST(transfers AS INTEGER) AS a, TRY_CAST(ridership AS INTEGER) AS b
+        FROM ridership_text_o)
+SELECT CAST(count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS BIGINT) AS n_checked,
+       CAST(count(*) FILTER (WHERE a > b) AS BIGINT) AS n_violations,
+       count(*) FILTER (WHERE a > b) = 0 AS holds
+FROM t""", "ridership_text_o")
+
+ORACLE["hourly_pickups_sorted"] = ORACLE["hourly_pickups"]
+
+ORACLE["top_zones"] = with_views("""
+SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS total
+FROM combined_o GROUP BY locationid ORDER BY total DESC, locationid LIMIT 10""", "combined_o")
+
+
 def all_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
