@@ -11,6 +11,60 @@ from __future__ import annotations
 
 # --- fixture views ----------------------------------------------------------
 
+# Ridge on (hour, hourly_ridership) -> pu_hourly, fully in SQL: 5-fold grid
+# over alpha (validation MSE computed row by row), best alpha, refit on all
+# training rows, closed-form 2x2 solve. One row per (alpha): mean_mse, plus
+# the refit's coefficients on every row.
+RIDGE_BODY = """
+  WITH tr AS (
+    SELECT CAST(hour AS DOUBLE) AS x1, CAST(hourly_ridership AS DOUBLE) AS x2,
+           CAST(pu_hourly AS DOUBLE) AS y, fold
+    FROM split_o WHERE split = 'train'),
+  m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM tr),
+  c AS (SELECT fold, x1 - (SELECT m1 FROM m) AS x1, x2 - (SELECT m2 FROM m) AS x2,
+               y - (SELECT my FROM m) AS y FROM tr),
+  fs AS (SELECT fold, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy,
+                sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22,
+                sum(x1 * y) AS s1y, sum(x2 * y) AS s2y
+         FROM c GROUP BY fold),
+  tot AS (SELECT -1 AS fold, sum(n) AS n, sum(s1) AS s1, sum(s2) AS s2, sum(sy) AS sy,
+                 sum(s11) AS s11, sum(s12) AS s12, sum(s22) AS s22, sum(s1y) AS s1y,
+                 sum(s2y) AS s2y FROM fs),
+  trs AS (
+    SELECT f.fold, unnest([1, 3, 5, 7, 9, 11, 13, 15]) AS alpha,
+           t.n - f.n AS n, t.s1 - f.s1 AS s1, t.s2 - f.s2 AS s2, t.sy - f.sy AS sy,
+           t.s11 - f.s11 AS s11, t.s12 - f.s12 AS s12, t.s22 - f.s22 AS s22,
+           t.s1y - f.s1y AS s1y, t.s2y - f.s2y AS s2y
+    FROM fs f JOIN tot t ON t.fold <> f.fold),
+  cc AS (SELECT fold, alpha, n, s1, s2, sy,
+                s11 - s1 * s1 / n + alpha AS a11, s12 - s1 * s2 / n AS a12,
+                s22 - s2 * s2 / n + alpha AS a22,
+                s1y - s1 * sy / n AS b1, s2y - s2 * sy / n AS b2 FROM trs),
+  sol AS (SELECT fold, alpha, n, s1, s2, sy,
+                 (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS w1,
+                 (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS w2 FROM cc),
+  sol2 AS (SELECT fold, alpha, w1, w2, (sy - w1 * s1 - w2 * s2) / n AS b FROM sol),
+  val AS (SELECT s.alpha, s.fold,
+                 avg((c.y - s.b - s.w1 * c.x1 - s.w2 * c.x2)
+                     * (c.y - s.b - s.w1 * c.x1 - s.w2 * c.x2)) AS mse
+          FROM c JOIN sol2 s ON c.fold = s.fold GROUP BY s.alpha, s.fold),
+  g AS (SELECT alpha, avg(mse) AS mean_mse FROM val GROUP BY alpha),
+  best AS (SELECT alpha FROM g ORDER BY round(mean_mse, 6), alpha LIMIT 1),
+  fit AS (SELECT (SELECT alpha FROM best) AS alpha, n, s1, s2, sy,
+                 s11 - s1 * s1 / n + (SELECT alpha FROM best) AS a11, s12 - s1 * s2 / n AS a12,
+                 s22 - s2 * s2 / n + (SELECT alpha FROM best) AS a22,
+                 s1y - s1 * sy / n AS b1, s2y - s2 * sy / n AS b2 FROM tot),
+  w AS (SELECT alpha, n, s1, s2, sy,
+               (a22 * b1 - a12 * b2) / (a11 * a22 - a12 * a12) AS w1,
+               (a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS w2 FROM fit),
+  coef AS (SELECT alpha, w1, w2,
+                  (SELECT my FROM m) + (sy - w1 * s1 - w2 * s2) / n
+                    - w1 * (SELECT m1 FROM m) - w2 * (SELECT m2 FROM m) AS intercept
+           FROM w)
+  SELECT g.alpha, g.mean_mse, g.alpha = coef.alpha AS is_best,
+         coef.alpha AS best_alpha, coef.w1, coef.w2, coef.intercept
+  FROM g JOIN coef ON true"""
+
 COMBINED_BODY = """
   SELECT coalesce(p.locationid, r.locationid) AS locationid,
          CAST(year(coalesce(p.hour_ts, r.hour_ts)) AS INTEGER) AS year,
@@ -69,11 +123,14 @@ VIEWS = {
          CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS longitude
   FROM (SELECT DISTINCT user_id FROM events)""",
     "zones_v": """
-  SELECT z.locationid, 0 AS ring, v.seq,
-         CAST(z.locationid % 5 AS DOUBLE) * 2 + v.dx AS x,
-         CAST(floor(z.locationid / 5) AS DOUBLE) * 2 + v.dy AS y
-  FROM zone_attrs z CROSS JOIN (VALUES (0, 1e-1, 3e-1), (1, 1.7e0, 1e-1), (2, 1.1e0, 9e-1),
-                                       (3, 1.9e0, 1.8e0), (4, 4e-1, 1.6e0)) v(seq, dx, dy)""",
+  SELECT locationid, 0 AS ring, v.seq,
+         CAST(locationid % 5 AS DOUBLE) * 2 + v.dx AS x,
+         CAST(floor(locationid / 5) AS DOUBLE) * 2 + v.dy AS y
+  FROM (SELECT locationid,
+               unnest([{'seq': 0, 'dx': 1e-1, 'dy': 3e-1}, {'seq': 1, 'dx': 1.7e0, 'dy': 1e-1},
+                       {'seq': 2, 'dx': 1.1e0, 'dy': 9e-1}, {'seq': 3, 'dx': 1.9e0, 'dy': 1.8e0},
+                       {'seq': 4, 'dx': 4e-1, 'dy': 1.6e0}]) AS v
+        FROM zone_attrs)""",
     # --- oracle-side derived tables (independent of the Spark operators) ---
     "edges_v": """
   SELECT a.locationid, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
@@ -124,6 +181,14 @@ VIEWS = {
            || CAST(CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS VARCHAR) || ')' AS georeference
   FROM events WHERE event_type IN ('purchase', 'signup')""",
     "combined_o": COMBINED_BODY,
+    "split_o": """
+  SELECT *, CASE WHEN NOT (dayofmonth < 22) THEN 'test'
+                 WHEN bucket < 70 THEN 'train' ELSE 'validation' END AS split,
+         CAST(bucket % 5 AS INTEGER) AS fold
+  FROM (SELECT *, CAST(CAST(('0x' || substr(md5(concat_ws(':', locationid, year, month,
+                    dayofmonth, hour)), 1, 8)) AS BIGINT) % 100 AS INTEGER) AS bucket
+        FROM combined_o)""",
+    "ridge_o": RIDGE_BODY,
     "pickups_zh_o": """
   SELECT pulocationid AS locationid, date_trunc('hour', pu_time) AS hour_ts,
          CAST(count(pu_time) AS BIGINT) AS pu_hourly,
@@ -134,7 +199,8 @@ VIEWS = {
 # Dependencies between the views (inlined in this order).
 VIEW_ORDER = ["trips_v", "zone_attrs", "zones_kept", "pickups_v", "ridership_v",
               "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
-              "ridership_text_o", "pickups_zh_o", "ridership_zh_o", "combined_o"]
+              "ridership_text_o", "pickups_zh_o", "ridership_zh_o", "combined_o",
+              "split_o", "ridge_o"]
 VIEW_DEPS = {
     "zones_kept": ["zone_attrs"],
     "zones_v": ["zone_attrs"],
@@ -144,6 +210,8 @@ VIEW_DEPS = {
     "ridership_zh_o": ["station_hours_o", "station_zone_o"],
     "pickups_zh_o": ["pickups_v"],
     "combined_o": ["pickups_zh_o", "ridership_zh_o"],
+    "split_o": ["combined_o"],
+    "ridge_o": ["split_o"],
 }
 
 
@@ -380,5 +448,42 @@ SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS total
 FROM combined_o GROUP BY locationid ORDER BY total DESC, locationid LIMIT 10""", "combined_o")
 
 
+# --- models -----------------------------------------------------------------
+
+ORACLE["train_val_split"] = with_views("""
+SELECT locationid, year, month, dayofmonth, hour, bucket, split, fold FROM split_o""",
+    "split_o")
+
+ORACLE["ridge_grid_search"] = with_views("""
+SELECT CAST(alpha AS INTEGER) AS alpha, round(mean_mse, 6) AS mean_mse, is_best
+FROM ridge_o""", "ridge_o")
+
+ORACLE["ridge_coefficients"] = with_views("""
+, c AS (SELECT * FROM ridge_o LIMIT 1)
+SELECT 'alpha' AS term, CAST(best_alpha AS DOUBLE) AS value FROM c
+UNION ALL SELECT 'intercept', round(intercept, 6) FROM c
+UNION ALL SELECT 'hour', round(w1, 6) FROM c
+UNION ALL SELECT 'hourly_ridership', round(w2, 6) FROM c""", "ridge_o")
+
+ORACLE["ridge_predictions"] = with_views("""
+, c AS (SELECT * FROM ridge_o LIMIT 1)
+SELECT s.locationid, s.year, s.month, s.dayofmonth, s.hour, s.pu_hourly,
+       round(c.intercept + c.w1 * s.hour + c.w2 * s.hourly_ridership, 6) AS prediction
+FROM split_o s JOIN c ON true WHERE s.split = 'validation'""", "ridge_o")
+
+ORACLE["regression_metrics"] = with_views("""
+, c AS (SELECT * FROM ridge_o LIMIT 1),
+p AS (SELECT s.split, CAST(s.pu_hourly AS DOUBLE) AS y,
+             c.intercept + c.w1 * s.hour + c.w2 * s.hourly_ridership AS yhat
+      FROM split_o s JOIN c ON true),
+mu AS (SELECT split, avg(y) AS ybar FROM p GROUP BY split)
+SELECT p.split, CAST(count(*) AS BIGINT) AS n,
+       round(avg((p.y - p.yhat) * (p.y - p.yhat)), 6) AS mse,
+       round(CASE WHEN sum((p.y - mu.ybar) * (p.y - mu.ybar)) > 0 THEN
+         1 - sum((p.y - p.yhat) * (p.y - p.yhat)) / sum((p.y - mu.ybar) * (p.y - mu.ybar))
+       END, 6) AS r2
+FROM p JOIN mu ON p.split = mu.split GROUP BY p.split""", "ridge_o")
+
+
 def all_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -25,5 +25,5 @@ def query(name: str):
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules registers their queries
-    from zonecast.plans import queries_demand, queries_explore  # noqa: F401
+    from zonecast.plans import queries_demand, queries_explore, queries_models  # noqa: F401
     return dict(QUERIES)
