@@ -16,6 +16,13 @@ from zonecast.functions.timecols import RIDERSHIP_TS_FORMAT, convert_time
 RIDERSHIP_DROP = ("station_complex", "payment_method", "transfers", "routes",
                   "georeference")
 
+# Trip columns dropped once the calendar parts exist (only the
+# zone ids and passenger count are aggregated further).
+TRIP_DROP = ("pu_time", "do_time", "fare_amount", "tip_amount", "total_amount",
+             "trip_distance", "vendorid", "ratecodeid", "store_and_fwd_flag",
+             "payment_type", "extra", "mta_tax", "congestion_surcharge",
+             "improvement_surcharge", "tolls_amount", "airport_fee")
+
 # Landing names of the trip timestamps (after lower-casing).
 TRIP_RENAMES = {"tpep_pickup_datetime": "pu_time", "tpep_dropoff_datetime": "do_time"}
 

@@ -485,5 +485,144 @@ SELECT p.split, CAST(count(*) AS BIGINT) AS n,
 FROM p JOIN mu ON p.split = mu.split GROUP BY p.split""", "ridge_o")
 
 
+# --- sources, sinks, column work ------------------------------------------------
+
+_PERIOD = RULE_SQL["period"]
+_LANDING_NAMES = {"vendorid": "vendorid", "pu_time": "tpep_pickup_datetime",
+                  "do_time": "tpep_dropoff_datetime"}
+_LANDING_SELECT = ", ".join(f"{c} AS {_LANDING_NAMES.get(c, c)}" for c in TRIP_COLUMNS)
+
+ORACLE["scan_parquet"] = "SELECT event_id, ts, event_type FROM events"
+
+ORACLE["month_manifest"] = with_views(f"""
+, b AS (SELECT min(pu_time) AS lo, max(pu_time) AS hi FROM trips_v WHERE {_PERIOD}),
+m AS (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi),
+                                    INTERVAL 1 MONTH)) AS m FROM b)
+SELECT CAST(m AS DATE) AS month_start, strftime(m, '%Y-%m') AS month,
+       'landing/month=' || strftime(m, '%Y-%m') AS path FROM m""", "trips_v")
+
+ORACLE["scan_multi_month"] = with_views(
+    "SELECT " + ", ".join(c for c in TRIP_COLUMNS if c != "airport_fee")
+    + ", CASE WHEN strftime(pu_time, '%Y-%m') = '1998-06' THEN NULL ELSE airport_fee END"
+      " AS airport_fee, strftime(pu_time, '%Y-%m') AS source_month"
+    + f" FROM trips_v WHERE {_PERIOD}", "trips_v")
+
+ORACLE["parquet_partition_roundtrip"] = with_views(
+    "SELECT *, strftime(pu_time, '%Y-%m') AS source_month"
+    f" FROM trips_v WHERE {_PERIOD}", "trips_v")
+
+ORACLE["year_split"] = with_views(f"""
+SELECT * FROM (
+  SELECT pulocationid, {calendar_sql('pu_time')},
+         CAST(count(pu_time) AS BIGINT) AS pu_hourly,
+         CAST(sum(passenger_count) AS BIGINT) AS hourly_passengers
+  FROM trips_v WHERE """ + " AND ".join(f"({RULE_SQL[r]})" for r in RULES) + """
+  GROUP BY pulocationid, year, month, dayofmonth, dayofweek, hour)
+WHERE year = 1997""", "trips_v", "zones_kept")
+
+_BOROUGH_NAME = ("CASE user_id % 5 WHEN 0 THEN 'Queens' WHEN 1 THEN 'Bronx' "
+                 "WHEN 2 THEN 'Manhattan' WHEN 3 THEN 'Brooklyn' ELSE 'SI' END")
+_RIDER_EVENTS = "FROM events WHERE event_type IN ('purchase', 'signup')"
+
+ORACLE["csv_strings_cast"] = f"""
+SELECT date_trunc('second', ts) AS "timestamp", CAST(user_id AS VARCHAR) AS station_id,
+       {_BOROUGH_NAME} AS borough,
+       CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS ridership,
+       CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS latitude,
+       CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS longitude
+{_RIDER_EVENTS}"""
+
+ORACLE["csv_typed_roundtrip"] = with_views(f"""
+SELECT h.station_id, h."timestamp", CAST(h.hourly_ridership AS INTEGER) AS hourly_ridership,
+       {calendar_sql('h."timestamp"')}, CAST(z.locationid AS INTEGER) AS locationid
+FROM station_hours_o h LEFT JOIN station_zone_o z ON h.station_id = z.station_id""",
+    "station_hours_o", "station_zone_o")
+
+ORACLE["zone_geojson"] = with_views("""
+SELECT z.locationid, a.borough, a.zone, 'Feature' AS feature_type, 'Polygon' AS geometry_type,
+       1 AS n_rings, CAST(count(*) + 1 AS INTEGER) AS n_points,
+       round(sum(z.x) + min(z.x) FILTER (WHERE z.seq = 0), 9) AS x_sum,
+       round(sum(z.y) + min(z.y) FILTER (WHERE z.seq = 0), 9) AS y_sum
+FROM zones_v z JOIN zone_attrs a ON z.locationid = a.locationid
+WHERE z.locationid IN (SELECT locationid FROM zones_kept)
+GROUP BY z.locationid, a.borough, a.zone""", "zones_v", "zones_kept")
+
+ORACLE["lowercase_columns"] = with_views(f"SELECT {_LANDING_SELECT} FROM trips_v", "trips_v")
+
+ORACLE["drop_columns"] = with_views(
+    "SELECT passenger_count, pulocationid, dolocationid FROM trips_v", "trips_v")
+
+ORACLE["keep_columns"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS station_id,
+       CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS latitude,
+       CAST(user_id * 37 % 1000 AS DOUBLE) / 100 AS longitude
+{_RIDER_EVENTS}"""
+
+ORACLE["rename_columns"] = with_views("SELECT * FROM trips_v", "trips_v")
+
+ORACLE["cast_to_schema"] = with_views(
+    "SELECT " + ", ".join(f"{c} AS {_LANDING_NAMES.get(c, c)}" for c in TRIP_COLUMNS
+                          if c != "airport_fee")
+    + ", CAST(NULL AS DOUBLE) AS airport_fee FROM trips_v", "trips_v")
+
+ORACLE["time_features"] = with_views(
+    f"SELECT pulocationid, pu_time, passenger_count, {calendar_sql('pu_time')} FROM pickups_v",
+    "pickups_v")
+
+ORACLE["parse_timestamp"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS station_complex_id,
+       date_trunc('second', ts) AS transit_timestamp
+{_RIDER_EVENTS}"""
+
+ORACLE["recode_borough"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS station_complex_id, {_BOROUGH_NAME} AS borough
+{_RIDER_EVENTS}"""
+
+
+def _lcc_inverse_sql() -> str:
+    from zonecast.functions.geometry import NY_LONG_ISLAND_FTUS as P
+
+    def d(v: float) -> str:
+        t = repr(float(v))
+        return t if "e" in t else t + "e0"
+
+    n, big_f, rho0 = P.constants()
+    e = P.e
+    steps = [f"""
+i0 AS (SELECT locationid, ring, seq, t, lon, pi() / 2 - 2 * atan(t) AS phi FROM q)"""]
+    for k in range(1, P.iterations + 1):
+        steps.append(f"""
+i{k} AS (SELECT locationid, ring, seq, t, lon,
+        pi() / 2 - 2 * atan(t * pow((1 - {d(e)} * sin(phi)) / (1 + {d(e)} * sin(phi)),
+                                    {d(e / 2)})) AS phi
+      FROM i{k - 1})""")
+    return f"""
+, v AS (SELECT locationid, ring, seq, 913000e0 + x * 15000e0 AS xf,
+               120000e0 + y * 15000e0 AS yf FROM zones_v),
+p AS (SELECT locationid, ring, seq, (xf - {d(P.false_easting)}) * {d(P.unit)} AS dx,
+             {d(rho0)} - (yf - {d(P.false_northing)}) * {d(P.unit)} AS dy FROM v),
+q AS (SELECT locationid, ring, seq,
+             pow(sqrt(dx * dx + dy * dy) / {d(P.a * big_f)}, {d(1 / n)}) AS t,
+             degrees(atan2(dx, dy) / {d(n)}) + {d(P.lon0)} AS lon FROM p),""" + ",".join(
+        steps) + f"""
+SELECT locationid, ring, seq, round(lon, 9) AS lon, round(degrees(phi), 9) AS lat
+FROM i{P.iterations}"""
+
+
+ORACLE["reproject_vertices"] = with_views(_lcc_inverse_sql(), "zones_v")
+
+ORACLE["filter_time_range"] = with_views("""
+SELECT * FROM ridership_v
+WHERE "timestamp" >= TIMESTAMP '2024-01-08 00:00:00'
+  AND "timestamp" < TIMESTAMP '2024-01-15 00:00:00'""", "ridership_v")
+
+ORACLE["filter_regex"] = with_views(
+    "SELECT * FROM zone_attrs WHERE regexp_matches(borough, 'AFRICA|AMERICA|ASIA|EUROPE')",
+    "zone_attrs")
+
+ORACLE["filter_exclude"] = with_views(
+    "SELECT * FROM zone_attrs WHERE borough NOT IN ('MIDDLE EAST')", "zone_attrs")
+
+
 def all_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

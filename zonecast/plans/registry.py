@@ -25,5 +25,6 @@ def query(name: str):
 
 def all_queries() -> dict[str, QueryFn]:
     # importing the modules registers their queries
-    from zonecast.plans import queries_demand, queries_explore, queries_models  # noqa: F401
+    from zonecast.plans import (queries_columns, queries_demand,  # noqa: F401
+                                queries_explore, queries_io, queries_models)
     return dict(QUERIES)
