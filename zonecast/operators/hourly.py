@@ -66,6 +66,26 @@ def hourly_zone_ridership(station_hours: DataFrame, station_zone: DataFrame) ->
             .agg(F.sum("hourly_ridership").cast("bigint").alias("hourly_ridership")))
 
 
+def zone_hour_ridership(ridership: DataFrame, station_zone: DataFrame,
+                        max_stations: int = 5_000_000) -> DataFrame:
+    """(locationid, hour) -> hourly_ridership straight from ridership rows.
+
+    When the station -> zone map passes the size check, raw rows are joined
+    to it map-side (broadcast) and aggregated ONCE by (zone, hour): a single
+    shuffle, with partial aggregation before it. Otherwise rows are first
+    pre-aggregated to (station, hour) so the shuffle join to the map moves
+    far fewer rows, then rolled up to zones (sum is associative)."""
+    from zonecast.plans.strategy import has_at_most
+
+    sz = (station_zone.select("station_id", "locationid")
+          .where(F.col("locationid").isNotNull()))
+    if has_at_most(sz, max_stations):
+        j = ridership.join(F.broadcast(sz), "station_id")
+        return (j.groupBy("locationid", hour_start("timestamp").alias("timestamp"))
+                .agg(F.sum("ridership").cast("bigint").alias("hourly_ridership")))
+    return hourly_zone_ridership(ridership_by_station_hour(ridership), sz)
+
+
 def distinct_stations(ridership: DataFrame) -> DataFrame:
     """Distinct (station_id, latitude, longitude)."""
     return ridership.select("station_id", "latitude", "longitude").dropDuplicates()

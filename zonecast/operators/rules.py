@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.plans.strategy import join_small
+from zonecast.plans.strategy import has_at_most
 
 # The rule order of the cleaning funnel.
 RULE_ORDER = ("period", "area", "duration", "distance", "tip", "fare",
@@ -82,28 +82,36 @@ def rule_columns(r: TripRules, pu_ok: Column | None = None,
     }
 
 
-def _zone_ids(zone_set: DataFrame) -> DataFrame:
-    return zone_set.select(F.col("locationid").cast("bigint").alias("locationid")).distinct()
+def _zone_ids(zone_set: DataFrame) -> tuple[DataFrame, bool]:
+    """Distinct zone ids and whether they passed the broadcast size check
+    (checked once, used for both ends of the trip)."""
+    ids = zone_set.select(F.col("locationid").cast("bigint").alias("locationid")).distinct()
+    return ids, has_at_most(ids, ZONE_SET_MAX_ROWS)
+
+
+def _dim(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
 def semi_join_areas(trips: DataFrame, zone_set: DataFrame) -> DataFrame:
     """F2 / J5 membership: keep trips whose pickup AND dropoff zone are in the
-    zone set. Two map-side broadcast semi joins (zone set size-checked)."""
-    ids = _zone_ids(zone_set)
-    pu = ids.withColumnRenamed("locationid", "pulocationid")
-    do = ids.withColumnRenamed("locationid", "dolocationid")
-    out = join_small(trips, pu, "pulocationid", "left_semi", ZONE_SET_MAX_ROWS)
-    return join_small(out, do, "dolocationid", "left_semi", ZONE_SET_MAX_ROWS)
+    zone set. Two map-side broadcast semi joins when the zone set passes the
+    size check; shuffle semi joins otherwise."""
+    ids, small = _zone_ids(zone_set)
+    pu = _dim(ids.withColumnRenamed("locationid", "pulocationid"), small)
+    do = _dim(ids.withColumnRenamed("locationid", "dolocationid"), small)
+    return trips.join(pu, "pulocationid", "left_semi").join(do, "dolocationid", "left_semi")
 
 
 def with_area_flags(trips: DataFrame, zone_set: DataFrame) -> DataFrame:
     """Membership as boolean columns `_pu_ok`, `_do_ok` (left joins on the
     size-checked, de-duplicated zone set, so no row is duplicated)."""
-    ids = _zone_ids(zone_set)
-    pu = ids.select(F.col("locationid").alias("pulocationid"), F.lit(True).alias("_pu_ok"))
-    do = ids.select(F.col("locationid").alias("dolocationid"), F.lit(True).alias("_do_ok"))
-    out = join_small(trips, pu, "pulocationid", "left", ZONE_SET_MAX_ROWS)
-    out = join_small(out, do, "dolocationid", "left", ZONE_SET_MAX_ROWS)
+    ids, small = _zone_ids(zone_set)
+    pu = _dim(ids.select(F.col("locationid").alias("pulocationid"),
+                         F.lit(True).alias("_pu_ok")), small)
+    do = _dim(ids.select(F.col("locationid").alias("dolocationid"),
+                         F.lit(True).alias("_do_ok")), small)
+    out = trips.join(pu, "pulocationid", "left").join(do, "dolocationid", "left")
     return out.withColumns({"_pu_ok": F.coalesce("_pu_ok", F.lit(False)),
                             "_do_ok": F.coalesce("_do_ok", F.lit(False))})
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonecast.operators import combine, hourly, rules, spatial, standardize
-from zonecast.plans.strategy import join_small, materialize
+from zonecast.plans.strategy import materialize
 from zonecast.plans.fixture_args import EXCLUDED_BOROUGHS, RIDER_PERIOD, TILE_SIZE
 from zonecast.sources import fixtures as fx
 
@@ -25,8 +25,8 @@ def curated_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curated_zone_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vertices of the kept zones only (stations are assigned to these)."""
     keep = curated_zones(spark, sf_dir).select("locationid")
-    return join_small(fx.zone_vertices_view(spark, sf_dir), keep, "locationid",
-                      "left_semi", combine.ZONE_MAX_ROWS)
+    # dimension-to-dimension: no hint, the planner sizes both sides
+    return fx.zone_vertices_view(spark, sf_dir).join(keep, "locationid", "left_semi")
 
 
 def station_zone(spark: SparkSession, sf_dir: str, broadcast: bool | None = None,
@@ -57,9 +57,10 @@ def station_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ridership_zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(locationid, hour_ts, hourly_ridership) for stations in a zone."""
-    zh = hourly.hourly_zone_ridership(station_hours(spark, sf_dir),
-                                      station_zone(spark, sf_dir))
+    """(locationid, hour_ts, hourly_ridership) for stations in a zone,
+    over the ridership period (F11)."""
+    rid = rules.filter_time_range(fx.ridership_view(spark, sf_dir), *RIDER_PERIOD)
+    zh = hourly.zone_hour_ridership(rid, station_zone(spark, sf_dir))
     return zh.withColumnRenamed("timestamp", "hour_ts")
 
 

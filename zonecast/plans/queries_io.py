@@ -6,6 +6,8 @@ in a fresh sub-folder per call, then read back with the library's readers.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, StringType, StructField, StructType,
@@ -15,6 +17,7 @@ from zonecast.operators import combine, hourly, rules, spatial, standardize
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import FIXTURE_RULES
 from zonecast.plans.registry import query
+from zonecast.plans.strategy import materialize
 from zonecast.session import scratch_path
 from zonecast.sinks import writers
 from zonecast.sources import files
@@ -56,8 +59,9 @@ def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
     """Land the period's trips as one folder per pickup month (landing names),
     two months with drifted layouts. Returns the landing root."""
     root = scratch_path(spark, "landing")
-    lt = _period_trips(spark, sf_dir, landing=True).withColumn(
-        "month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    # one file per landed month, as monthly files arrive
+    lt = materialize(_period_trips(spark, sf_dir, landing=True).withColumn(
+        "month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).repartition("month"))
     writers.write_months(lt, root, "month")
     cols = [c for c in lt.columns if c != "month"]
     writers.write_months(lt.where(F.col("month") == REORDERED_MONTH)
@@ -78,18 +82,19 @@ def q_month_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_multi_month")
 def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read each landed month alone, conform it by name to the
-    template (one normal month's footer), tag source_month, union."""
+    """The months spanned by the period's pickups (A4 manifest) are
+    read from the landing folder, each conformed by name to the template
+    (one normal month's footer), tagged with source_month, and unioned."""
     root = stage_landing_months(spark, sf_dir)
-    landed = spark.read.parquet(root).select("month").distinct()
-    bounds = landed.agg(F.min(F.to_date(F.concat("month", F.lit("-01")))).alias("lo"),
-                        F.max(F.to_date(F.concat("month", F.lit("-01")))).alias("hi"))
+    bounds = _period_trips(spark, sf_dir, landing=False).agg(
+        F.min("pu_time").alias("lo"), F.max("pu_time").alias("hi"))
     manifest = files.month_manifest(bounds, "lo", "hi", root, prefix="month=")
-    # the manifest is metadata (one row per month): reads need paths at
-    # planning time; present months only
-    present = {r["month"] for r in landed.collect()}
-    paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in present]
-    template = files.template_from(spark, f"{root}/month=1996-03")
+    # paths are metadata (one row per month) needed at planning time; keep
+    # the months that landed (file listing only, no job over rows)
+    landed = {m.group(1) for f in spark.read.parquet(root).inputFiles()
+              if (m := re.search(r"month=([0-9]{4}-[0-9]{2})/", f))}
+    paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in landed]
+    template = files.template_from(spark, paths[0][1])
     return files.read_months(spark, paths, template)
 
 

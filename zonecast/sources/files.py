@@ -18,6 +18,9 @@ from pyspark.sql.types import StructType
 
 from zonecast.operators.standardize import standardize_trips
 
+# The month label (yyyy-MM) in the name of the directory holding a file.
+MONTH_IN_PATH = r"([0-9]{4}-[0-9]{2})[^/]*/[^/]+$"
+
 
 def month_manifest(bounds: DataFrame, start: Column | str, end: Column | str,
                    root: str, prefix: str = "", suffix: str = "") -> DataFrame:
@@ -35,14 +38,39 @@ def month_manifest(bounds: DataFrame, start: Column | str, end: Column | str,
                                   F.lit(suffix)).alias("path"))
 
 
+def month_of_file(pattern: str = MONTH_IN_PATH) -> Column:
+    """The month label in the directory holding each row's file."""
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+
+
+def footer_schemas(spark: SparkSession, paths: Sequence[str],
+                   threads: int = 8) -> dict[str, StructType]:
+    """Each path's footer schema (metadata only, no job over rows), discovered
+    concurrently from the driver."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as ex:
+        return dict(zip(paths, ex.map(lambda p: spark.read.parquet(p).schema, paths)))
+
+
 def read_months(spark: SparkSession, paths: Sequence[tuple[str, str]],
-                template: StructType) -> DataFrame:
-    """Read each (month, path) separately, standardise it to the
-    template by name, add `source_month`, union all months by name."""
+                template: StructType, pattern: str = MONTH_IN_PATH) -> DataFrame:
+    """Months whose files share a footer schema are read by ONE scan
+    (with that schema, so nothing is inferred again) and conformed **by name**
+    to the template once; `source_month` comes from each row's file path.
+    The few schema groups are unioned by name. Months with drifted types or
+    layouts land in their own group, so no file is read with a wrong type."""
     if not paths:
         raise ValueError("no months to read")
-    parts = [standardize_trips(spark.read.parquet(p), template)
-             .withColumn("source_month", F.lit(m)) for m, p in paths]
+    schemas = footer_schemas(spark, [p for _, p in paths])
+    groups: dict[str, list[str]] = {}
+    for _, p in paths:
+        groups.setdefault(schemas[p].json(), []).append(p)
+    parts = []
+    for plist in groups.values():
+        raw = spark.read.schema(schemas[plist[0]]).parquet(*plist)
+        parts.append(standardize_trips(raw, template)
+                     .withColumn("source_month", month_of_file(pattern)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
