@@ -1,4 +1,4 @@
-"""Hourly aggregation (G1-G4) and write layout (O2).
+"""Hourly aggregation (G1-G4) and sorted output (O2).
 
 Design: every hourly aggregate groups on (key, hour-start timestamp) -- two
 shuffle keys instead of six -- and derives the five calendar parts *after* the
@@ -91,15 +91,9 @@ def distinct_stations(ridership: DataFrame) -> DataFrame:
     return ridership.select("station_id", "latitude", "longitude").dropDuplicates()
 
 
-def layout_for_write(hourly: DataFrame, zone_col: str = "pulocationid") -> DataFrame:
-    """O2 (layout): cluster rows by month and sort inside each task before a
-    write. Hash partitioning on (year, month) avoids the sampling job and the
-    single-range bottleneck of a global sort."""
-    return (hourly.repartition("year", "month")
-            .sortWithinPartitions("year", "month", "dayofweek", zone_col))
-
-
 def hourly_sorted(hourly: DataFrame, zone_col: str = "pulocationid") -> DataFrame:
-    """O2 (presentation): the reference's order, as a global sort."""
+    """O2: the reference's write order as a global sort. Spark range-partitions
+    on sampled key bounds (balanced tasks at any size, no single-task sort)
+    and sorts inside each range; written out, files are globally ordered."""
     return hourly.orderBy("year", "month", "dayofweek", zone_col,
                           "dayofmonth", "hour")

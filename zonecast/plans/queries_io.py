@@ -59,9 +59,11 @@ def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
     """Land the period's trips as one folder per pickup month (landing names),
     two months with drifted layouts. Returns the landing root."""
     root = scratch_path(spark, "landing")
-    # one file per landed month, as monthly files arrive
-    lt = materialize(_period_trips(spark, sf_dir, landing=True).withColumn(
-        "month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).repartition("month"))
+    # few files per landed month: range partitions on pickup time are balanced
+    # at any size and each spans only a few consecutive months
+    lt = materialize(_period_trips(spark, sf_dir, landing=True)
+                     .withColumn("month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+                     .repartitionByRange("tpep_pickup_datetime"))
     writers.write_months(lt, root, "month")
     cols = [c for c in lt.columns if c != "month"]
     writers.write_months(lt.where(F.col("month") == REORDERED_MONTH)
