@@ -20,10 +20,11 @@ from zonecast.plans.strategy import join_small
 def log_total_by_zone(df: DataFrame, measure: str, total_name: str, log_name: str,
                       zone_col: str = "locationid") -> DataFrame:
     """Total of `measure` per zone and its natural log (NULL for a
-    zero total, where engines disagree on log 0)."""
+    zero total, where engines disagree on log 0), rounded to 9 decimals
+    (math libraries may differ in the last bit)."""
     agg = df.groupBy(zone_col).agg(F.sum(measure).cast("bigint").alias(total_name))
     t = F.col(total_name)
-    return agg.withColumn(log_name, F.when(t > 0, F.log(t.cast("double"))))
+    return agg.withColumn(log_name, F.when(t > 0, F.round(F.log(t.cast("double")), 9)))
 
 
 def borough_totals(df: DataFrame, zone_attrs: DataFrame,
@@ -107,7 +108,8 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     row = df.agg(*aggs)
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
-                 ((F.col(f"c{i}") == F.col("_n")) & (F.col(f"lo{i}") == F.col(f"hi{i}")))
+                 F.coalesce((F.col(f"c{i}") == F.col("_n"))
+                            & (F.col(f"lo{i}") == F.col(f"hi{i}")), F.lit(False))
                  .alias("is_constant"))
         for i, c in enumerate(cols)])))
 

@@ -68,13 +68,19 @@ def zone_tiles(shapes: DataFrame, tile_size: float) -> DataFrame:
             .agg(F.collect_list(F.struct("locationid", "edges")).alias("cands")))
 
 
-def tiles_fit_broadcast(tiles: DataFrame, max_edges: int = TILE_BROADCAST_MAX_EDGES) -> bool:
-    """Size check for broadcasting the tile table (total edge copies)."""
-    per_row = F.aggregate("cands", F.lit(0).cast("bigint"),
-                          lambda acc, c: acc + F.size(c["edges"]))
-    # the tile table is derived from the zone layer (a dimension), so one
-    # aggregate over it is cheap; it counts every edge copy
-    total = tiles.agg(F.sum(per_row).alias("n")).first()["n"]
+def _tile_span(lo: str, hi: str, tile_size: float):
+    ts = F.lit(float(tile_size))
+    return F.floor(F.col(hi) / ts) - F.floor(F.col(lo) / ts) + 1
+
+
+def tiles_fit_broadcast(shapes: DataFrame, tile_size: float,
+                        max_edges: int = TILE_BROADCAST_MAX_EDGES) -> bool:
+    """Size check for broadcasting the tile table: its total edge copies are
+    sum over zones of (edges x tiles covering the bbox), computed from the
+    zone rows (a dimension) without building the tiles."""
+    copies = (F.size("edges").cast("bigint") * _tile_span("xmin", "xmax", tile_size)
+              * _tile_span("ymin", "ymax", tile_size))
+    total = shapes.agg(F.sum(copies).alias("n")).first()["n"]
     return (total or 0) <= max_edges
 
 
@@ -85,9 +91,9 @@ def assign_zone(points: DataFrame, shapes: DataFrame, x: str = "lon", y: str = "
 
     `broadcast=None` decides by the size check; True/False force a strategy
     (both give the same rows)."""
-    tiles = zone_tiles(shapes, tile_size)
     if broadcast is None:
-        broadcast = tiles_fit_broadcast(tiles)
+        broadcast = tiles_fit_broadcast(shapes, tile_size)
+    tiles = zone_tiles(shapes, tile_size)
     if broadcast:
         tiles = F.broadcast(tiles)
     ts = F.lit(float(tile_size))

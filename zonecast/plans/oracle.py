@@ -372,12 +372,12 @@ GROUP BY locationid""", "pickups_zh_o", "ridership_zh_o")
 
 ORACLE["log_pickups_by_zone"] = with_views("""
 SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS total_pickups,
-       CASE WHEN sum(pu_hourly) > 0 THEN ln(sum(pu_hourly)) END AS log_pickups
+       CASE WHEN sum(pu_hourly) > 0 THEN round(ln(sum(pu_hourly)), 9) END AS log_pickups
 FROM combined_o GROUP BY locationid""", "combined_o")
 
 ORACLE["log_ridership_by_zone"] = with_views("""
 SELECT locationid, CAST(sum(hourly_ridership) AS BIGINT) AS total_ridership,
-       CASE WHEN sum(hourly_ridership) > 0 THEN ln(sum(hourly_ridership)) END AS log_ridership
+       CASE WHEN sum(hourly_ridership) > 0 THEN round(ln(sum(hourly_ridership)), 9) END AS log_ridership
 FROM combined_o GROUP BY locationid""", "combined_o")
 
 ORACLE["borough_totals"] = with_views("""
