@@ -64,3 +64,16 @@ def test_calendar_parts_sunday_is_one(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 7, 17, 30),)], "t timestamp_ntz")
     r = df.select(*[v.alias(k) for k, v in calendar_columns("t").items()]).first()
     assert (r.year, r.month, r.dayofmonth, r.dayofweek, r.hour) == (2024, 1, 7, 1, 17)
+
+
+def test_hour_start_ignores_session_time_zone(spark):
+    from zonecast.functions.timecols import hour_start
+
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 15),)], "t timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 is in a DST gap
+        got = df.select(hour_start("t").alias("h")).first().h
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(2024, 3, 10, 2, 0)

@@ -43,6 +43,9 @@ def with_calendar(df: DataFrame, ts: str) -> DataFrame:
 
 
 def hour_start(ts: Column | str) -> Column:
-    """The hour a timestamp falls in, kept as timestamp_ntz."""
+    """The hour a timestamp_ntz falls in, built from its wall-clock fields.
+    (`date_trunc` on timestamp_ntz goes through the session time zone, which
+    shifts hours inside a daylight-saving gap; this does not.)"""
     t = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_trunc("hour", t).cast("timestamp_ntz")
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
+                                F.lit(0), F.lit(0))

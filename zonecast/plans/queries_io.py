@@ -17,7 +17,6 @@ from zonecast.operators import combine, hourly, rules, spatial, standardize
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import FIXTURE_RULES
 from zonecast.plans.registry import query
-from zonecast.plans.strategy import materialize
 from zonecast.session import scratch_path
 from zonecast.sinks import writers
 from zonecast.sources import files
@@ -55,20 +54,35 @@ def _period_trips(spark: SparkSession, sf_dir: str, landing: bool) -> DataFrame:
                                    ts_col=ts)
 
 
+def _month_bounds(month: str) -> tuple[str, str]:
+    y, m = (int(v) for v in month.split("-"))
+    ny, nm = (y + 1, 1) if m == 12 else (y, m + 1)
+    return f"{y:04d}-{m:02d}-01 00:00:00", f"{ny:04d}-{nm:02d}-01 00:00:00"
+
+
 def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
     """Land the period's trips as one folder per pickup month (landing names),
-    two months with drifted layouts. Returns the landing root."""
+    two months with drifted layouts. Returns the landing root.
+
+    One pass writes every normal month; each drifted month is written on its
+    own from a pickup-time range (pushed into the scan), so nothing is
+    computed twice and no copy of the data is kept."""
     root = scratch_path(spark, "landing")
-    # few files per landed month: range partitions on pickup time are balanced
-    # at any size and each spans only a few consecutive months
-    lt = materialize(_period_trips(spark, sf_dir, landing=True)
-                     .withColumn("month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-                     .repartitionByRange("tpep_pickup_datetime"))
-    writers.write_months(lt, root, "month")
-    cols = [c for c in lt.columns if c != "month"]
-    writers.write_months(lt.where(F.col("month") == REORDERED_MONTH)
-                         .select(*reversed(cols), "month"), root, "month")
-    writers.write_months(lt.where(F.col("month") == RETYPED_MONTH)
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    normal = (_period_trips(spark, sf_dir, landing=True).withColumn("month", month)
+              .where(~F.col("month").isin(REORDERED_MONTH, RETYPED_MONTH)))
+    writers.write_months(normal, root, "month")
+
+    def one_month(m: str) -> DataFrame:
+        lo, hi = _month_bounds(m)
+        t = rules.filter_time_range(fx.landing_trips_view(spark, sf_dir), lo, hi,
+                                    ts_col="tpep_pickup_datetime")
+        return t.withColumn("month", month)
+
+    reordered = one_month(REORDERED_MONTH)
+    cols = [c for c in reordered.columns if c != "month"]
+    writers.write_months(reordered.select(*reversed(cols), "month"), root, "month")
+    writers.write_months(one_month(RETYPED_MONTH)
                          .withColumn("passenger_count", F.col("passenger_count").cast("double"))
                          .drop("Airport_fee"), root, "month")
     return root
@@ -84,19 +98,22 @@ def q_month_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_multi_month")
 def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The months spanned by the period's pickups (A4 manifest) are
-    read from the landing folder, each conformed by name to the template
-    (one normal month's footer), tagged with source_month, and unioned."""
+    """Land the period's trips by month (two months drifted), then
+    list the landed months (file listing only), build the A4 manifest from
+    the first to the last of them, and read every landed month: conformed by
+    name to the template (one normal month's footer), tagged with
+    source_month, unioned."""
     root = stage_landing_months(spark, sf_dir)
-    bounds = _period_trips(spark, sf_dir, landing=False).agg(
-        F.min("pu_time").alias("lo"), F.max("pu_time").alias("hi"))
-    manifest = files.month_manifest(bounds, "lo", "hi", root, prefix="month=")
-    # paths are metadata (one row per month) needed at planning time; keep
-    # the months that landed (file listing only, no job over rows)
-    landed = {m.group(1) for f in spark.read.parquet(root).inputFiles()
-              if (m := re.search(r"month=([0-9]{4}-[0-9]{2})/", f))}
-    paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in landed]
-    template = files.template_from(spark, paths[0][1])
+    landed = sorted({m.group(1) for f in spark.read.parquet(root).inputFiles()
+                     if (m := re.search(r"month=([0-9]{4}-[0-9]{2})/", f))})
+    bounds = spark.createDataFrame([(landed[0] + "-01", landed[-1] + "-01")],
+                                   "lo string, hi string")
+    manifest = files.month_manifest(bounds, F.to_date("lo"), F.to_date("hi"), root,
+                                    prefix="month=")
+    # the manifest is metadata (one row per month) needed at planning time
+    paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in set(landed)]
+    normal = next(p for m, p in paths if m not in (REORDERED_MONTH, RETYPED_MONTH))
+    template = files.template_from(spark, normal)
     return files.read_months(spark, paths, template)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonecast.functions.timecols import hour_start
 from zonecast.sources.tables import read_table
 
 # Fixed values (FIXTURES.md section 2): zones_v ring vertex offsets, in ring
@@ -108,7 +109,7 @@ def ridership_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     return ev.where(F.col("event_type").isin(RIDER_EVENT_TYPES)).select(
         F.col("user_id").cast("string").alias("station_id"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp"),
+        hour_start("ts").alias("timestamp"),
         F.floor(F.col("value")).cast("bigint").alias("ridership"),
     )
 
