@@ -3,8 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from zonecast.functions import columns as cols
 from zonecast.functions.timecols import calendar_columns, convert_time

@@ -3,7 +3,6 @@ does the same at sf0.01), plus contract checks on the registry."""
 
 import hashlib
 import math
-import os
 
 import pytest
 

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from zonecast.operators import rules
 from zonecast.plans.demand import curated_zones

@@ -65,7 +65,12 @@ def combined_demand(pickups_zh: DataFrame, ridership_zh: DataFrame) -> DataFrame
 
 def zones_without_ridership(pickups_zh: DataFrame, ridership_zh: DataFrame) -> DataFrame:
     """Zones with pickups but no ridership in any hour (anti join on
-    the distinct zone ids of each side)."""
+    the distinct zone ids of each side).
+
+    Both sides are aggregates of large inputs, so no eager size check (it
+    would compute them twice): no hint is given and AQE picks a broadcast
+    from the measured size of the finished aggregate stage, or keeps the
+    sort-merge join beyond its threshold."""
     pz = pickups_zh.groupBy("locationid").agg(F.sum("pu_hourly").alias("pickups"))
     rz = ridership_zh.select("locationid").distinct()
-    return join_small(pz, rz, "locationid", "left_anti", ZONE_MAX_ROWS)
+    return pz.join(rz, "locationid", "left_anti")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from zonecast.functions.columns import lowercase_columns, tolerant_cast
 from zonecast.operators import explore, hourly

@@ -1,12 +1,17 @@
 """Join strategy helpers: broadcast only behind a size check.
 
 A side is broadcast only after a bounded count proves it small
-(`limit(n + 1).count()` stops reading once it has seen n + 1 rows). Beyond the
-bound the join is left to the planner: sort-merge or shuffle-hash on the join
-keys, which AQE may still re-plan from runtime statistics (and split skewed
-partitions of). Expensive derived sides are first materialised in the shared
-checkpoint folder so the count and the join read the same, already computed
-rows.
+(`limit(n + 1).count()`: each task stops after n + 1 rows). Beyond the bound
+the join is left to the planner: sort-merge or shuffle-hash on the join keys,
+which AQE may still re-plan from runtime statistics (and split skewed
+partitions of).
+
+Where the explicit check is used: dimension sides (zone sets, zone
+attributes, the tile table built from the zone layer) and derived sides that
+are materialised first in the shared checkpoint folder (the station -> zone
+map), so the count and the join read the same, already computed rows. A side
+that is an aggregate of a large input gets no hint and no eager check (it
+would be computed twice); AQE decides from its measured size at runtime.
 """
 
 from __future__ import annotations

@@ -4,7 +4,10 @@ The surveyed workload reads taxi trips, station ridership and zone polygons;
 the test tables are TPC-H-like. These views only *map columns* so that every
 operator has rows of the schema it expects (see FIXTURES.md section 2). They
 do none of the operators' work: no filtering by rule, no aggregation, no zone
-assignment. All mapping formulas below are fixed by FIXTURES.md.
+assignment. Where FIXTURES.md gives a formula it is followed; columns it leaves
+open (vendor id, store-and-forward flag, surcharges and fees, the raw
+ridership text columns) get simple deterministic stand-ins, and tip and tolls
+are rounded to cents the same way in Spark and in the SQL oracle.
 """
 
 from __future__ import annotations
