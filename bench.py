@@ -3,7 +3,8 @@
 Each query runs to completion through the `noop` sink (every row computed,
 nothing collected to the driver). A small warm-up query runs first so JVM
 start-up and code generation are not charged to the first query. Prints ONE
-JSON line: {"metric", "value", "unit", "queries", "sf"}.
+JSON line: {"metric", "value", "unit", "queries", "sf"}. Set
+ZONECAST_EVENT_LOG to a scratch folder to keep Spark's event log.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, app="zonecast-bench")
+    # optional: Spark's event log in a scratch folder (stage / task times)
+    spark = local_session(cpus, app="zonecast-bench",
+                          event_log_dir=os.environ.get("ZONECAST_EVENT_LOG"))
     qs = all_queries()
 
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")

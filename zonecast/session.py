@@ -13,8 +13,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", app: str = "zonecast") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
+def local_session(cpus: int | str = "*", app: str = "zonecast",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, UTC, AQE on).
+    `event_log_dir` turns on Spark's event log (stage and task times) in a
+    scratch folder, in place of the UI."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -26,6 +29,9 @@ def local_session(cpus: int | str = "*", app: str = "zonecast") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log_dir))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
