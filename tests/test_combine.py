@@ -55,3 +55,13 @@ def test_ridership_with_zone_keeps_unmatched(spark, sf_small):
                                      demand.station_zone(spark, sf_small))
     assert rz.count() == demand.station_hours(spark, sf_small).count()
     assert rz.where(F.col("locationid").isNull()).count() > 0
+
+
+def test_hourly_pickups_of_clean_trips_sum_to_clean_rows(spark, sf_small):
+    from zonecast.operators import rules
+    from zonecast.plans.fixture_args import FIXTURE_RULES
+
+    clean = rules.clean_trips(fx.trips_view(spark, sf_small), demand.curated_zones(spark, sf_small),
+                              FIXTURE_RULES)
+    hp = hourly.hourly_pickups(clean)
+    assert hp.agg(F.sum("pu_hourly")).first()[0] == clean.count() == 428   # FIXTURES sf0.001

@@ -96,3 +96,41 @@ def test_zone_rules_agree(spark, sf_small):
     a = {r.locationid for r in rules.filter_regex(z, "borough", "AFRICA|AMERICA|ASIA|EUROPE").collect()}
     b = {r.locationid for r in rules.filter_exclude(z, "borough", ["MIDDLE EAST"]).collect()}
     assert a == b and len(a) + 5 == 25
+
+
+def test_clean_trips_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(11)
+    r = rules.TripRules()
+    zones = {1, 2, 3, 300}
+    rows = []
+    for i in range(600):
+        pu = dt.datetime(2022, 7, 25) + dt.timedelta(hours=rnd.randint(0, 6000))
+        do = pu + dt.timedelta(minutes=rnd.randint(-5, 60))
+        rows.append((pu, do, rnd.choice([1, 2, 3, 4, 300, None]), rnd.choice([1, 2, 5, 300]),
+                     rnd.choice([0.0, 0.5, 10.0, 50.0, 50.5, None]),
+                     rnd.choice([-1.0, 0.0, 2.0, 30.0]), rnd.choice([2.0, 2.5, 30.0]),
+                     rnd.choice([2.4, 2.5, 20.0, 499.99, 500.0]), rnd.choice([-0.1, 0.0, 0.5, 0.6]),
+                     rnd.choice([0.0, 6.55, 256.95, 300.0]), rnd.choice([-1.0, 0.0, 2.5]),
+                     rnd.choice([None, 0, 1, 6, 7]), rnd.choice([1, 6, 7, 99]),
+                     rnd.choice([1, 2, 6, 7]), str(i)))
+
+    def keep(t):
+        (pu, do, pul, dol, dist, tip, tot, fare, tax, tolls, extra, n, rc, pay, _) = t
+        vals = (pul, dol, dist, tip, tot, fare, tax, tolls, extra, n, rc, pay)
+        if any(v is None for v in vals):
+            return False
+        return (dt.datetime(2022, 8, 1) <= pu < dt.datetime(2023, 4, 1)
+                and pul in zones and dol in zones and pul <= 263 and dol <= 263
+                and pu < do and 0 < dist <= 50 and 0 <= tip < tot
+                and fare >= 2.5 and tot >= 2.5 and fare < 500
+                and 0 <= tax <= 0.5 and 0 <= tolls <= 256.95 and extra >= 0
+                and 0 < n <= 6 and rc <= 6 and pay <= 6)
+
+    trips = spark.createDataFrame(rows, SCHEMA)
+    zset = spark.createDataFrame([(z,) for z in zones], "locationid bigint")
+    got = {x.tag for x in rules.clean_trips(trips, zset, r).collect()}
+    assert got == {t[-1] for t in rows if keep(t)}
+    funnel = [x.rows_left for x in rules.attrition_funnel(trips, zset, r).orderBy("step").collect()]
+    assert funnel[-1] == len(got)

@@ -105,3 +105,41 @@ def test_geojson_lines_parse_back(spark, sf_small):
         assert ring[0] == ring[-1] and len(ring) == 6
     # encoded once: the line is a JSON object, not a JSON string
     assert feats.first().feature.startswith("{")
+
+
+def _even_odd(px, py, rings):
+    inside = False
+    for ring in rings:
+        n = len(ring)
+        for i in range(n):
+            (x1, y1), (x2, y2) = ring[i], ring[(i + 1) % n]
+            if (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1:
+                inside = not inside
+    return inside
+
+
+def test_point_in_zone_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    zones, verts = {}, []
+    for z in range(1, 9):                       # random star-shaped polygons, some overlapping
+        cx, cy, r = rnd.uniform(0, 10), rnd.uniform(0, 10), rnd.uniform(0.5, 3)
+        k = rnd.randint(3, 9)
+        ring = []
+        for i in range(k):
+            a = 2 * math.pi * i / k
+            rr = r * rnd.uniform(0.4, 1.0)
+            ring.append((cx + rr * math.cos(a), cy + rr * math.sin(a)))
+        zones[z] = [ring]
+        verts += [(z, 0, i, vx, vy) for i, (vx, vy) in enumerate(ring)]
+    pts = [(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(400)]
+    expect = {}
+    for pid, px, py in pts:
+        hits = [z for z, rings in zones.items() if _even_odd(px, py, rings)]
+        expect[pid] = min(hits) if hits else None
+    shapes = spatial.zone_shapes(spark.createDataFrame(verts, VSCHEMA))
+    df = spark.createDataFrame(pts, "pid long, lon double, lat double")
+    for ts in (None, 0.5, 3.0):
+        got = {r.pid: r.locationid for r in spatial.assign_zone(df, shapes, tile_size=ts).collect()}
+        assert got == expect

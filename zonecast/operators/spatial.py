@@ -84,13 +84,26 @@ def tiles_fit_broadcast(shapes: DataFrame, tile_size: float,
     return (total or 0) <= max_edges
 
 
+def default_tile_size(shapes: DataFrame) -> float:
+    """A tile side matched to the zones: the median of the zones' larger bbox
+    side (one small aggregate over the zone layer). Tiles about one zone wide
+    keep the candidates per tile few, whatever the coordinate units."""
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    v = shapes.agg(F.percentile_approx(side, 0.5).alias("s")).first()["s"]
+    return float(v) if v and v > 0 else 1.0
+
+
 def assign_zone(points: DataFrame, shapes: DataFrame, x: str = "lon", y: str = "lat",
-                tile_size: float = 1.0, out: str = "locationid",
+                tile_size: float | None = None, out: str = "locationid",
                 broadcast: bool | None = None) -> DataFrame:
     """Add `out` = the zone containing (x, y), NULL when none.
 
+    `tile_size=None` derives it from the zones (`default_tile_size`); the
+    result does not depend on it, only the work per point does.
     `broadcast=None` decides by the size check; True/False force a strategy
     (both give the same rows)."""
+    if tile_size is None:
+        tile_size = default_tile_size(shapes)
     if broadcast is None:
         broadcast = tiles_fit_broadcast(shapes, tile_size)
     tiles = zone_tiles(shapes, tile_size)
