@@ -75,7 +75,7 @@ def test_splits_partition_rows(spark, sf_small):
     s = models.with_splits(comb, F.col("dayofmonth") < 22)
     counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     assert sum(counts.values()) == comb.count()
-    assert set(counts) <= {"train", "validation", "test"}
+    assert set(counts) <= {"train", "validation", "test", "unused"}
     # deterministic: the same rows on a repartitioned input
     again = models.with_splits(comb.repartition(3), F.col("dayofmonth") < 22)
     assert s.select(*models.ROW_KEY, "split").exceptAll(

@@ -196,8 +196,10 @@ def filter_regex(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 
 def filter_exclude(df: DataFrame, column: str, excluded: list[str]) -> DataFrame:
-    """drop rows whose column equals one of the excluded values."""
-    return df.where(~F.col(column).isin(excluded))
+    """drop rows whose column equals one of the excluded values; a NULL
+    is not equal to them, so it is kept (as a `!=` filter on a frame keeps
+    missing values)."""
+    return df.where(F.col(column).isNull() | ~F.col(column).isin(excluded))
 
 
 def year_slice(df: DataFrame, year: int, year_col: str = "year") -> DataFrame:

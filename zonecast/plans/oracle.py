@@ -108,7 +108,7 @@ VIEWS = {
   SELECT CAST(n_nationkey AS BIGINT) AS locationid, r_name AS borough, n_name AS zone
   FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "zones_kept": """
-  SELECT locationid FROM zone_attrs WHERE borough <> 'MIDDLE EAST'""",
+  SELECT locationid FROM zone_attrs WHERE borough IS NULL OR borough <> 'MIDDLE EAST'""",
     "pickups_v": """
   SELECT CAST(user_id % 25 AS BIGINT) AS pulocationid, ts AS pu_time,
          CAST(1 + event_id % 6 AS INTEGER) AS passenger_count
@@ -182,7 +182,8 @@ VIEWS = {
   FROM events WHERE event_type IN ('purchase', 'signup')""",
     "combined_o": COMBINED_BODY,
     "split_o": """
-  SELECT *, CASE WHEN NOT (dayofmonth < 22) THEN 'test'
+  SELECT *, CASE WHEN NOT (dayofmonth < 22) THEN
+                   CASE WHEN bucket < 70 THEN 'test' ELSE 'unused' END
                  WHEN bucket < 70 THEN 'train' ELSE 'validation' END AS split,
          CAST(bucket % 5 AS INTEGER) AS fold
   FROM (SELECT *, CAST(CAST(('0x' || substr(md5(concat_ws(':', locationid, year, month,
@@ -475,7 +476,7 @@ ORACLE["regression_metrics"] = with_views("""
 , c AS (SELECT * FROM ridge_o LIMIT 1),
 p AS (SELECT s.split, CAST(s.pu_hourly AS DOUBLE) AS y,
              c.intercept + c.w1 * s.hour + c.w2 * s.hourly_ridership AS yhat
-      FROM split_o s JOIN c ON true),
+      FROM split_o s JOIN c ON true WHERE s.split <> 'unused'),
 mu AS (SELECT split, avg(y) AS ybar FROM p GROUP BY split)
 SELECT p.split, CAST(count(*) AS BIGINT) AS n,
        round(avg((p.y - p.yhat) * (p.y - p.yhat)), 6) AS mse,
@@ -621,7 +622,8 @@ ORACLE["filter_regex"] = with_views(
     "zone_attrs")
 
 ORACLE["filter_exclude"] = with_views(
-    "SELECT * FROM zone_attrs WHERE borough NOT IN ('MIDDLE EAST')", "zone_attrs")
+    "SELECT * FROM zone_attrs WHERE borough IS NULL OR borough NOT IN ('MIDDLE EAST')",
+    "zone_attrs")
 
 
 def all_oracle_sql() -> dict[str, str]:
