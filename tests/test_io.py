@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from zonecast.session import scratch_path
@@ -82,3 +83,16 @@ def test_geometry_layer_round_trip(spark, sf_small):
     back = spark.read.parquet(out)
     assert back.schema.simpleString() == shapes.schema.simpleString()
     assert back.exceptAll(shapes).count() == 0 and back.count() == 25
+
+
+def test_curate_writes_every_output(spark, sf_small):
+    from zonecast.plans.curate import curate
+    from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
+
+    paths = curate(spark, sf_small)
+    assert spark.read.text(paths["zones_geojson"]).count() == 20
+    assert spark.read.parquet(paths["taxi_trips"]).agg(F.sum("pu_hourly")).first()[0] == 428
+    csv = spark.read.option("header", True).schema(STATION_HOUR_SCHEMA).csv(paths["subway_ridership"])
+    assert csv.count() > 0
+    comb = spark.read.parquet(paths["combined"])
+    assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() == 600
