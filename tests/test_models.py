@@ -103,3 +103,15 @@ def test_tree_metrics_deterministic_and_beat_mean(spark):
 
 def test_min_instances_mapping():
     assert [models.min_instances_for_split(s) for s in range(2, 10)] == [1, 2, 2, 3, 3, 4, 4, 5]
+
+
+def test_fit_all_runs_and_agrees_with_queries(spark, sf_small):
+    import __spark_entry__ as E
+    from zonecast.plans.fit import fit_all
+
+    out = fit_all(spark, sf_small)
+    coef = {r.term: r.value for r in out["ridge_coefficients"].collect()}
+    q = {r.term: r.value for r in E.queries()["ridge_coefficients"](spark, sf_small).collect()}
+    assert coef == q
+    splits = {r.split for r in out["tree_metrics"].collect()}
+    assert splits <= {"train", "validation", "test"} and "train" in splits
