@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.plans.strategy import has_at_most
+from zonecast.plans import strategy
 
 # The rule order of the cleaning funnel.
 RULE_ORDER = ("period", "area", "duration", "distance", "tip", "fare",
@@ -87,7 +87,7 @@ def _zone_ids(zone_set: DataFrame) -> tuple[DataFrame, bool]:
     (checked once, used for both ends of the trip). The bound is checked on
     the zone rows before `distinct`: sufficient, and no shuffle."""
     ids = zone_set.select(F.col("locationid").cast("bigint").alias("locationid"))
-    return ids.distinct(), has_at_most(ids, ZONE_SET_MAX_ROWS)
+    return ids.distinct(), strategy.has_at_most(ids, ZONE_SET_MAX_ROWS)
 
 
 def _dim(df: DataFrame, small: bool) -> DataFrame:
