@@ -143,3 +143,26 @@ def test_point_in_zone_matches_brute_force(spark):
     for ts in (None, 0.5, 3.0):
         got = {r.pid: r.locationid for r in spatial.assign_zone(df, shapes, tile_size=ts).collect()}
         assert got == expect
+
+
+def test_salted_shuffle_join_spreads_a_hot_tile(spark):
+    # a third of all points sit in one tile: the shuffle join keys on
+    # (tile, salt), so that tile's points land in many reduce partitions
+    from pyspark.sql import functions as F
+
+    pts = spark.range(3000).select(
+        F.col("id").alias("pid"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.5) + (F.col("id") % 97) / 1000.0)
+         .otherwise((F.col("id") % 40).cast("double")).alias("lon"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.5)).otherwise((F.col("id") % 13).cast("double"))
+         .alias("lat"))
+    shapes = spatial.zone_shapes(_zones(spark))
+    b = spatial.assign_zone(pts, shapes, tile_size=1.0, broadcast=True)
+    s = spatial.assign_zone(pts, shapes, tile_size=1.0, broadcast=False)
+    assert b.exceptAll(s).count() == 0 and s.count() == 3000
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    # both sides are hash partitioned on (tile x, tile y, salt)
+    assert plan.count("hashpartitioning(_tx") >= 2
+    assert all("_salt" in line for line in plan.split("\n") if "hashpartitioning(_tx" in line)
+    salts = s.select(F.pmod(F.xxhash64(F.col("lon"), F.col("lat"), F.spark_partition_id()), F.lit(32)))
+    assert salts.distinct().count() > 1

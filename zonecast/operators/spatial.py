@@ -9,7 +9,8 @@ equi join on a tile grid followed by an exact even-odd test:
    how many zones overlap a tile, not by data volume);
 3. each point computes its tile and LEFT joins the tile table -- broadcast
    when its total edge count passes a size check, otherwise a shuffle join on
-   (tx, ty) where AQE can split a hot tile's point partitions;
+   (tx, ty, salt): tile rows are copied per salt value and points draw a salt,
+   so a hot tile's points spread over many tasks;
 4. `filter` + `aggregate` (higher-order functions, codegen) keep the
    candidates containing the point; the lowest zone id wins (documented
    choice for overlapping zones); a point in no zone keeps NULL.
@@ -29,6 +30,10 @@ from zonecast.functions.geometry import inside, ring_edges
 # 2M edges * 32 bytes ~ 64 MB on each executor.
 TILE_BROADCAST_MAX_EDGES = 2_000_000
 
+# Salt buckets for the shuffle tile join: a hot tile's points are spread
+# over this many tasks (the tile table, a dimension, is copied per bucket).
+TILE_SALT_BUCKETS = 32
+
 
 def zone_shapes(vertices: DataFrame) -> DataFrame:
     """One row per zone: `edges` array<struct<x1,y1,x2,y2>> over all rings
@@ -107,13 +112,22 @@ def assign_zone(points: DataFrame, shapes: DataFrame, x: str = "lon", y: str = "
     if broadcast is None:
         broadcast = tiles_fit_broadcast(shapes, tile_size)
     tiles = zone_tiles(shapes, tile_size)
-    if broadcast:
-        tiles = F.broadcast(tiles)
     ts = F.lit(float(tile_size))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     pts = points.withColumns({"_tx": F.floor(px / ts), "_ty": F.floor(py / ts)})
     tiles = tiles.withColumnsRenamed({"tx": "_tx", "ty": "_ty"})
-    joined = pts.join(tiles, ["_tx", "_ty"], "left")
+    if broadcast:
+        joined = pts.join(F.broadcast(tiles), ["_tx", "_ty"], "left")
+    else:
+        # shuffle join on (tile, salt): each tile row is copied once per salt
+        # value and each point draws its salt from a hash of its coordinates
+        # and input partition (deterministic on retry), so a tile holding a
+        # third of all points is still spread over TILE_SALT_BUCKETS tasks
+        k = TILE_SALT_BUCKETS
+        salted = tiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+        pts = pts.withColumn("_salt", F.pmod(
+            F.xxhash64(px, py, F.spark_partition_id()), F.lit(k)).cast("int"))
+        joined = pts.join(salted, ["_tx", "_ty", "_salt"], "left").drop("_salt")
     hits = F.filter("cands", lambda c: inside(c["edges"], px, py))
     return (joined.withColumn(out, F.array_min(F.transform(hits, lambda c: c["locationid"])))
             .drop("_tx", "_ty", "cands"))
