@@ -96,3 +96,20 @@ def test_curate_writes_every_output(spark, sf_small):
     assert csv.count() > 0
     comb = spark.read.parquet(paths["combined"])
     assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() == 600
+
+
+def test_raw_typed_month_converges_to_common_types(spark):
+    # landed months carry doubles for counts/codes and 'Y'/'N' text flags
+    from zonecast.operators.standardize import standardize_trips, trip_template
+
+    root = scratch_path(spark, "t_rawtypes")
+    raw = spark.createDataFrame([(1.0, 2.0, "Y", 3), (None, 99.0, "N", 1)],
+                                "passenger_count double, RatecodeID double, "
+                                "store_and_fwd_flag string, payment_type long")
+    raw.write.parquet(root)
+    template = trip_template(files.template_from(spark, root))
+    out = standardize_trips(spark.read.parquet(root), template)
+    assert dict(out.dtypes) == {"passenger_count": "int", "ratecodeid": "int",
+                                "store_and_fwd_flag": "boolean", "payment_type": "int"}
+    assert sorted(out.collect(), key=lambda r: r.ratecodeid) == \
+        [(1, 2, True, 3), (None, 99, False, 1)]

@@ -6,7 +6,7 @@ Both functions are pure projections: one narrow stage, no shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from zonecast.functions.columns import (cast_to_schema, drop_columns, lowercase_columns,
                                         recode_borough, rename_columns, tolerant_cast)
@@ -23,6 +23,11 @@ TRIP_DROP = ("pu_time", "do_time", "fare_amount", "tip_amount", "total_amount",
              "payment_type", "extra", "mta_tax", "congestion_surcharge",
              "improvement_surcharge", "tolls_amount", "airport_fee")
 
+# Trip columns whose type the common schema sets, whatever the
+# landed month's footer says (counts and codes as int, the flag as boolean).
+TRIP_TYPE_OVERRIDES = {"passenger_count": IntegerType(), "ratecodeid": IntegerType(),
+                       "payment_type": IntegerType(), "store_and_fwd_flag": BooleanType()}
+
 # Landing names of the trip timestamps (after lower-casing).
 TRIP_RENAMES = {"tpep_pickup_datetime": "pu_time", "tpep_dropoff_datetime": "do_time"}
 
@@ -42,6 +47,14 @@ def standardize_ridership(raw: DataFrame, ts_format: str = RIDERSHIP_TS_FORMAT)
     return recode_borough(convert_time(df, "timestamp", ts_format))
 
 
+def trip_template(footer: StructType) -> StructType:
+    """The common trip schema from one landed month's footer: lower-cased
+    names, with the override types applied by name."""
+    return StructType([
+        StructField(f.name.lower(), TRIP_TYPE_OVERRIDES.get(f.name.lower(), f.dataType), True)
+        for f in footer.fields])
+
+
 def standardize_trips(month: DataFrame, template: StructType) -> DataFrame:
     """One landed month -> the common trip schema: lower-case names, cast
     **by name** to the template (drifted types converge, missing columns

@@ -113,7 +113,7 @@ def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the manifest is metadata (one row per month) needed at planning time
     paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in set(landed)]
     normal = next(p for m, p in paths if m not in (REORDERED_MONTH, RETYPED_MONTH))
-    template = files.template_from(spark, normal)
+    template = standardize.trip_template(files.template_from(spark, normal))
     return files.read_months(spark, paths, template)
 
 
