@@ -49,8 +49,7 @@ def curate(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     writers.write_csv(rz.select(*[f.name for f in STATION_HOUR_SCHEMA.fields]),
                       paths["subway_ridership"])
 
-    comb = combine.combined_demand(demand.pickup_zone_hours(spark, sf_dir),
-                                   demand.ridership_zone_hours(spark, sf_dir))
+    comb = demand.combined(spark, sf_dir, stations=station_zone)
     writers.write_csv(comb, paths["combined_csv"])
     writers.write_by_year(comb, paths["combined"])
     return paths

@@ -56,11 +56,14 @@ def station_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hourly.ridership_by_station_hour(rid)
 
 
-def ridership_zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ridership_zone_hours(spark: SparkSession, sf_dir: str,
+                         stations: DataFrame | None = None) -> DataFrame:
     """(locationid, hour_ts, hourly_ridership) for stations in a zone,
-    over the ridership period (F11)."""
+    over the ridership period (F11). `stations` reuses an already built
+    station -> zone map."""
     rid = rules.filter_time_range(fx.ridership_view(spark, sf_dir), *RIDER_PERIOD)
-    zh = hourly.zone_hour_ridership(rid, station_zone(spark, sf_dir))
+    sz = stations if stations is not None else station_zone(spark, sf_dir)
+    zh = hourly.zone_hour_ridership(rid, sz)
     return zh.withColumnRenamed("timestamp", "hour_ts")
 
 
@@ -70,7 +73,7 @@ def pickup_zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnsRenamed({"pulocationid": "locationid", "pu_hour": "hour_ts"}))
 
 
-def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def combined(spark: SparkSession, sf_dir: str, stations: DataFrame | None = None) -> DataFrame:
     """The flagship zone-hour demand table."""
     return combine.combined_demand(pickup_zone_hours(spark, sf_dir),
-                                   ridership_zone_hours(spark, sf_dir))
+                                   ridership_zone_hours(spark, sf_dir, stations))
