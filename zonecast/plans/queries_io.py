@@ -101,8 +101,8 @@ def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the period's trips by month (two months drifted), then
     list the landed months (file listing only), build the A4 manifest from
     the first to the last of them, and read every landed month: conformed by
-    name to the template (one normal month's footer), tagged with
-    source_month, unioned."""
+    name to the common schema (one normal month's footer with the count, code
+    and flag types set), tagged with source_month, unioned."""
     root = stage_landing_months(spark, sf_dir)
     landed = sorted({m.group(1) for f in spark.read.parquet(root).inputFiles()
                      if (m := re.search(r"month=([0-9]{4}-[0-9]{2})/", f))})
