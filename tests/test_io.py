@@ -113,3 +113,17 @@ def test_raw_typed_month_converges_to_common_types(spark):
                                 "store_and_fwd_flag": "boolean", "payment_type": "int"}
     assert sorted(out.collect(), key=lambda r: r.ratecodeid) == \
         [(1, 2, True, 3), (None, 99, False, 1)]
+
+
+def test_months_that_never_landed_are_skipped(spark):
+    root = scratch_path(spark, "t_gaps")
+    spark.createDataFrame([(1, dt.datetime(2022, 8, 3))],
+                          "VendorID long, tpep_pickup_datetime timestamp_ntz").write.parquet(f"{root}/2022-08")
+    spark.createDataFrame([(3, dt.datetime(2022, 10, 9))],
+                          "VendorID long, tpep_pickup_datetime timestamp_ntz").write.parquet(f"{root}/2022-10")
+    bounds = spark.createDataFrame([(dt.datetime(2022, 8, 1), dt.datetime(2022, 10, 31))],
+                                   "lo timestamp_ntz, hi timestamp_ntz")
+    man = [(r.month, r.path) for r in files.month_manifest(bounds, "lo", "hi", root).collect()]
+    assert [m for m, _ in man] == ["2022-08", "2022-09", "2022-10"]
+    out = files.read_months(spark, man, files.template_from(spark, f"{root}/2022-08"))
+    assert sorted((r.vendorid, r.source_month) for r in out.collect()) == [(1, "2022-08"), (3, "2022-10")]

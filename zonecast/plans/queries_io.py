@@ -6,8 +6,6 @@ in a fresh sub-folder per call, then read back with the library's readers.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, StringType, StructField, StructType,
@@ -98,20 +96,18 @@ def q_month_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_multi_month")
 def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the period's trips by month (two months drifted), then
-    list the landed months (file listing only), build the A4 manifest from
-    the first to the last of them, and read every landed month: conformed by
-    name to the common schema (one normal month's footer with the count, code
-    and flag types set), tagged with source_month, unioned."""
+    """Land the period's trips by month (two months drifted); build
+    the A4 manifest of the period's months (one candidate folder per month,
+    no listing of the landing root); read every month that landed: conformed
+    by name to the common schema (one normal month's footer with the count,
+    code and flag types set), tagged with source_month, unioned."""
     root = stage_landing_months(spark, sf_dir)
-    landed = sorted({m.group(1) for f in spark.read.parquet(root).inputFiles()
-                     if (m := re.search(r"month=([0-9]{4}-[0-9]{2})/", f))})
-    bounds = spark.createDataFrame([(landed[0] + "-01", landed[-1] + "-01")],
-                                   "lo string, hi string")
-    manifest = files.month_manifest(bounds, F.to_date("lo"), F.to_date("hi"), root,
-                                    prefix="month=")
+    bounds = spark.createDataFrame(
+        [(FIXTURE_RULES.period_start, FIXTURE_RULES.period_end)], "lo string, hi string")
+    manifest = files.month_manifest(
+        bounds, F.to_date("lo"), F.date_sub(F.to_date("hi"), 1), root, prefix="month=")
     # the manifest is metadata (one row per month) needed at planning time
-    paths = [(r["month"], r["path"]) for r in manifest.collect() if r["month"] in set(landed)]
+    paths = [(r["month"], r["path"]) for r in manifest.collect()]
     normal = next(p for m, p in paths if m not in (REORDERED_MONTH, RETYPED_MONTH))
     template = standardize.trip_template(files.template_from(spark, normal))
     return files.read_months(spark, paths, template)

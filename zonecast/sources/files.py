@@ -45,12 +45,24 @@ def month_of_file(pattern: str = MONTH_IN_PATH) -> Column:
 
 def footer_schemas(spark: SparkSession, paths: Sequence[str],
                    threads: int = 8) -> dict[str, StructType]:
-    """Each path's footer schema (metadata only, no job over rows), discovered
-    concurrently from the driver."""
+    """Each existing path's footer schema (metadata only, no job over rows),
+    discovered concurrently from the driver; paths that do not exist (a
+    month that never landed) are left out."""
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark.errors import AnalysisException
+
+    def schema(p: str) -> StructType | None:
+        try:
+            return spark.read.parquet(p).schema
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+                return None
+            raise
+
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as ex:
-        return dict(zip(paths, ex.map(lambda p: spark.read.parquet(p).schema, paths)))
+        found = dict(zip(paths, ex.map(schema, paths)))
+    return {p: s for p, s in found.items() if s is not None}
 
 
 def read_months(spark: SparkSession, paths: Sequence[tuple[str, str]],
@@ -59,13 +71,15 @@ def read_months(spark: SparkSession, paths: Sequence[tuple[str, str]],
     (with that schema, so nothing is inferred again) and conformed **by name**
     to the template once; `source_month` comes from each row's file path.
     The few schema groups are unioned by name. Months with drifted types or
-    layouts land in their own group, so no file is read with a wrong type."""
-    if not paths:
-        raise ValueError("no months to read")
+    layouts land in their own group, so no file is read with a wrong type.
+    Manifest months that never landed are skipped."""
     schemas = footer_schemas(spark, [p for _, p in paths])
+    if not schemas:
+        raise ValueError("none of the months has landed")
     groups: dict[str, list[str]] = {}
     for _, p in paths:
-        groups.setdefault(schemas[p].json(), []).append(p)
+        if p in schemas:
+            groups.setdefault(schemas[p].json(), []).append(p)
     parts = []
     for plist in groups.values():
         raw = spark.read.schema(schemas[plist[0]]).parquet(*plist)
