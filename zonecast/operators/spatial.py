@@ -120,13 +120,14 @@ def assign_zone(points: DataFrame, shapes: DataFrame, x: str = "lon", y: str = "
         joined = pts.join(F.broadcast(tiles), ["_tx", "_ty"], "left")
     else:
         # shuffle join on (tile, salt): each tile row is copied once per salt
-        # value and each point draws its salt from a hash of its coordinates
-        # and input partition (deterministic on retry), so a tile holding a
-        # third of all points is still spread over TILE_SALT_BUCKETS tasks
+        # value and each point draws its salt from a hash of all its columns
+        # (deterministic, so a retried task routes rows identically), so a
+        # tile holding a third of all points is spread over TILE_SALT_BUCKETS
+        # tasks
         k = TILE_SALT_BUCKETS
         salted = tiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
         pts = pts.withColumn("_salt", F.pmod(
-            F.xxhash64(px, py, F.spark_partition_id()), F.lit(k)).cast("int"))
+            F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(k)).cast("int"))
         joined = pts.join(salted, ["_tx", "_ty", "_salt"], "left").drop("_salt")
     hits = F.filter("cands", lambda c: inside(c["edges"], px, py))
     return (joined.withColumn(out, F.array_min(F.transform(hits, lambda c: c["locationid"])))
