@@ -50,3 +50,14 @@ def test_funnel_is_one_aggregate(spark, sf_small):
     # one final aggregate over the (single) trips plan, then the unpivot
     assert plan.count("HashAggregate(keys=[], functions=[count(1), count(") == 1
     assert "Generate inline" in plan
+
+
+def test_year_split_prunes_partitions(spark, sf_small):
+    plan = _formatted(E.queries()["year_split"](spark, sf_small))
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year#" in plan and "= 1997)" in plan
+
+
+def test_multi_month_reads_one_scan_per_schema_group(spark, sf_small):
+    plan = _plan(E.queries()["scan_multi_month"](spark, sf_small))
+    # normal months share one schema; the two drifted months are two more
+    assert plan.count("FileScan parquet") == 3
