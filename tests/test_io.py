@@ -127,3 +127,30 @@ def test_months_that_never_landed_are_skipped(spark):
     assert [m for m, _ in man] == ["2022-08", "2022-09", "2022-10"]
     out = files.read_months(spark, man, files.template_from(spark, f"{root}/2022-08"))
     assert sorted((r.vendorid, r.source_month) for r in out.collect()) == [(1, "2022-08"), (3, "2022-10")]
+
+
+def test_shared_dir_when_unset_uses_one_own_folder():
+    from zonecast import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Sess:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    s = Sess()
+    a = session.shared_dir(s)
+    assert s.sparkContext.dir == a          # registered as the checkpoint dir
+    assert session.shared_dir(s) == a       # later calls agree

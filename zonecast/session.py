@@ -37,21 +37,34 @@ def local_session(cpus: int | str = "*", app: str = "zonecast",
     return spark
 
 
+_OWN_DIRS: dict[int, str] = {}
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and round-trip writes.
 
     Reads `spark.checkpoint.dir` (or the context's checkpoint dir) from the
     session. Only when neither is set -- local tests -- a folder of our own
-    is created and registered, so later calls agree on it.
+    is created once per session and registered as the context's checkpoint
+    dir, so later calls agree on it. (`spark.checkpoint.dir` itself is a core
+    setting and cannot be changed on a running session.)
     """
+    sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="zonecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(path)
+        path = _OWN_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="zonecast-ckpt-"))
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
