@@ -58,7 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
     setting and cannot be changed on a running session.)
     """
     sc = _context(spark)
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or _OWN_DIRS.get(id(spark))
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
