@@ -134,13 +134,15 @@ def test_point_in_zone_matches_brute_force(spark):
         zones[z] = [ring]
         verts += [(z, 0, i, vx, vy) for i, (vx, vy) in enumerate(ring)]
     pts = [(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(400)]
+    # points exactly on tile boundaries (multiples of 0.5 and 0.2)
+    pts += [(1000 + i, rnd.randint(0, 20) * 0.5, rnd.randint(0, 50) * 0.2) for i in range(200)]
     expect = {}
     for pid, px, py in pts:
         hits = [z for z, rings in zones.items() if _even_odd(px, py, rings)]
         expect[pid] = min(hits) if hits else None
     shapes = spatial.zone_shapes(spark.createDataFrame(verts, VSCHEMA))
     df = spark.createDataFrame(pts, "pid long, lon double, lat double")
-    for ts in (None, 0.5, 3.0):
+    for ts in (None, 0.2, 0.5, 3.0):
         got = {r.pid: r.locationid for r in spatial.assign_zone(df, shapes, tile_size=ts).collect()}
         assert got == expect
 
