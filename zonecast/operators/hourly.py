@@ -14,15 +14,12 @@ from pyspark.sql import functions as F
 
 from zonecast.functions.timecols import CALENDAR_PARTS, calendar_columns, hour_start
 
-HOURLY_KEYS = ("year", "month", "dayofmonth", "dayofweek", "hour")
-
-
 def pickups_by_zone_hour(trips: DataFrame, zone_col: str = "pulocationid",
                          ts_col: str = "pu_time") -> DataFrame:
     """(zone, pu_hour) -> pu_hourly, hourly_passengers.
 
-    `pu_hourly` counts trips with a pickup time (the reference counts the
-    derived hour column, NULL exactly when the time is NULL)."""
+    `pu_hourly` counts trips with a pickup time (the surveyed code counts
+    the derived hour column, NULL exactly when the time is NULL)."""
     return (trips.groupBy(F.col(zone_col), hour_start(ts_col).alias("pu_hour"))
             .agg(F.count(ts_col).alias("pu_hourly"),
                  F.sum("passenger_count").cast("bigint").alias("hourly_passengers")))
@@ -92,7 +89,7 @@ def distinct_stations(ridership: DataFrame) -> DataFrame:
 
 
 def hourly_sorted(hourly: DataFrame, zone_col: str = "pulocationid") -> DataFrame:
-    """O2: the reference's write order as a global sort. Spark range-partitions
+    """O2: the surveyed write order as a global sort. Spark range-partitions
     on sampled key bounds (balanced tasks at any size, no single-task sort)
     and sorts inside each range; written out, files are globally ordered."""
     return hourly.orderBy("year", "month", "dayofweek", zone_col,
