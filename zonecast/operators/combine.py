@@ -52,7 +52,7 @@ def combined_demand(pickups_zh: DataFrame, ridership_zh: DataFrame) -> DataFrame
     """Full outer join of (locationid, hour) pickups and ridership; the
     join keys coalesce (USING form), the calendar parts are derived from the
     hour, and missing measures become 0 (a zone-hour with no trips or no
-    riders reads as zero, as in the reference).
+    riders reads as zero, as in the surveyed code).
 
     pickups_zh: (locationid, hour_ts, pu_hourly, hourly_passengers)
     ridership_zh: (locationid, hour_ts, hourly_ridership)

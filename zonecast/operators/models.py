@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LABEL = "pu_hourly"
-# The reference's ridge grid (alpha = 1, 3, ..., 15), 5 folds.
+# The surveyed ridge grid (alpha = 1, 3, ..., 15), 5 folds.
 RIDGE_ALPHAS = (1, 3, 5, 7, 9, 11, 13, 15)
 N_FOLDS = 5
 ROW_KEY = ("locationid", "year", "month", "dayofmonth", "hour")
