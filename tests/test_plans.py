@@ -61,3 +61,26 @@ def test_multi_month_reads_one_scan_per_schema_group(spark, sf_small):
     plan = _plan(E.queries()["scan_multi_month"](spark, sf_small))
     # normal months share one schema; the two drifted months are two more
     assert plan.count("FileScan parquet") == 3
+
+
+def test_hot_zone_is_pre_aggregated_before_the_shuffle(spark):
+    # a third of all pickups in one zone: the shuffle carries partial rows
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from zonecast.operators import hourly
+
+    base = dt.datetime(2024, 1, 1)
+    trips = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).cast("bigint")
+         .alias("pulocationid"),
+        (F.lit(base) + F.make_dt_interval(F.lit(0), (F.col("id") % 48).cast("int")))
+         .cast("timestamp_ntz").alias("pu_time"),
+        F.lit(1).alias("passenger_count"))
+    out = hourly.hourly_pickups(trips)
+    lines = _plan(out).split("\n")
+    ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert "partial_count" in lines[ex + 1]          # map-side combine under the shuffle
+    hot = out.where("pulocationid = 7").agg(F.sum("pu_hourly")).first()[0]
+    assert hot == 10000 + sum(1 for i in range(30000) if i % 3 and i % 50 == 7)
