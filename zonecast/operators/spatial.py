@@ -42,7 +42,7 @@ def zone_shapes(vertices: DataFrame) -> DataFrame:
              .select("locationid", "ring", "seq", F.col("x").cast("double").alias("x"),
                      F.col("y").cast("double").alias("y"))
              .groupBy("locationid", "ring")
-             .agg(F.array_sort(F.collect_list(F.struct("seq", "x", "y"))).alias("v"),
+             .agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("v"),
                   F.min("x").alias("xmin"), F.max("x").alias("xmax"),
                   F.min("y").alias("ymin"), F.max("y").alias("ymax")))
     return (rings.select("locationid", ring_edges(F.col("v")).alias("edges"),
@@ -168,7 +168,7 @@ def zone_features(vertices: DataFrame, attrs: DataFrame) -> DataFrame:
     """One GeoJSON Feature (a JSON string, encoded once) per zone:
     (locationid, feature). Rings are closed (first vertex repeated)."""
     rings = (vertices.groupBy("locationid", "ring")
-             .agg(F.array_sort(F.collect_list(F.struct(
+             .agg(F.sort_array(F.collect_list(F.struct(
                  "seq", F.col("x").cast("double").alias("x"),
                  F.col("y").cast("double").alias("y")))).alias("v")))
     rings = rings.select(
@@ -179,7 +179,7 @@ def zone_features(vertices: DataFrame, attrs: DataFrame) -> DataFrame:
         F.when(F.col("coords")[0] == F.element_at("coords", -1), F.col("coords"))
          .otherwise(F.concat("coords", F.array(F.col("coords")[0]))))
     polys = (rings.groupBy("locationid")
-             .agg(F.array_sort(F.collect_list(F.struct("ring", "coords"))).alias("r"))
+             .agg(F.sort_array(F.collect_list(F.struct("ring", "coords"))).alias("r"))
              .select("locationid",
                      F.transform("r", lambda s: s["coords"]).alias("coordinates")))
     feat = polys.join(attrs, "locationid").select(
