@@ -115,3 +115,11 @@ def test_fit_all_runs_and_agrees_with_queries(spark, sf_small):
     assert coef == q
     splits = {r.split for r in out["tree_metrics"].collect()}
     assert splits <= {"train", "validation", "test"} and "train" in splits
+
+
+def test_fit_all_with_passenger_feature(spark, sf_small):
+    from zonecast.plans.fit import fit_all
+
+    out = fit_all(spark, sf_small, with_passengers=True)
+    terms = {r.term for r in out["ridge_coefficients"].collect()}
+    assert "hourly_passengers" in terms and "pu_hourly" not in terms
