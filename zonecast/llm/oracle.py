@@ -72,3 +72,36 @@ mixed AS (
 
 ORACLE_SQL["op10_weighted_fair_mix"] = (
     "WITH " + MIX.replace("{documents}", "documents") + "SELECT * FROM mixed")
+
+ORACLE_SQL["op3_suffix_array_decontamination"] = r"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM items WHERE len(w) > 0),
+starts AS (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram FROM starts),
+doc_starts AS (
+  SELECT rid, w, s.n, unnest(range(1, len(w) - s.n + 2)) AS i
+  FROM docs, (SELECT DISTINCT n FROM sized) s),
+grams AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram FROM doc_starts),
+hits AS MATERIALIZED (SELECT rid, i, n, item_id FROM grams JOIN windows USING (n, gram)),
+places AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid),
+named AS (
+  SELECT rid, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hits GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN places USING (rid) LEFT JOIN named USING (rid)
+"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import mixing, tree_dedup
+from zonecast.llm import mixing, simhash, suffix_arrays, tree_dedup
 from zonecast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,21 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of the benchmark in all documents."""
+    return suffix_arrays.contamination(read(spark, sf_dir, "documents"),
+                                       read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_simhash_pivot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                       "component_id")
+
+
 @query
 def op7_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates; the row with the largest doc_id stays."""
