@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -45,20 +45,25 @@ def with_free_columns(df: DataFrame, **columns) -> tuple[DataFrame, dict[str, st
     return df, names
 
 
-def keep_rows(docs: DataFrame, keys: dict[str, object], keep: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, keys: dict[str, object], keep: DataFrame,
+              carry: Sequence[str] = ()) -> DataFrame:
     """The rows of `docs` whose key occurs in `keep`, one row per key.
 
     `keys` maps a key name to its expression over `docs`; `keep` has those
-    names and `n`, the number of rows of `docs` with that key. Keys compare
+    names and `n`, the number of rows of `docs` with that key, and may have
+    columns to `carry` over (renamed if `docs` has such names). Keys compare
     null-safely. Rows that repeat a key (n > 1) take the only second shuffle;
     which of them stays is settled by their column values.
     """
     work, names = with_free_columns(docs, **keys)
     n = free_name(work.columns, "_zc_n")
-    k = keep.select(*[F.col(c).alias(f"_zk_{c}") for c in keys], F.col("n").alias(n))
+    added = {c: free_name(work.columns, c) for c in carry}
+    k = keep.select(*[F.col(c).alias(f"_zk_{c}") for c in keys], F.col("n").alias(n),
+                    *[F.col(c).alias(a) for c, a in added.items()])
     on = [work[names[c]].eqNullSafe(k[f"_zk_{c}"]) for c in keys]
-    hit = work.join(k, on, "inner").select(work["*"], k[n])
-    once = hit.where(F.col(n) == 1).select(*docs.columns)
+    hit = work.join(k, on, "inner").select(work["*"], k[n], *[k[a] for a in added.values()])
+    out = [*[f"`{c}`" for c in docs.columns], *added.values()]
+    once = hit.where(F.col(n) == 1).select(*out)
     if keep.where("n > 1").limit(1).count() == 0:
         return once
     rn = free_name(hit.columns, "_zc_rn")
@@ -66,7 +71,7 @@ def keep_rows(docs: DataFrame, keys: dict[str, object], keep: DataFrame) -> Data
                  if f.dataType.typeName() not in ("map", "variant")]
     w = W.partitionBy(*names.values()).orderBy(*orderable)
     more = (hit.where(F.col(n) > 1).withColumn(rn, F.row_number().over(w))
-            .where(F.col(rn) == 1).select(*docs.columns))
+            .where(F.col(rn) == 1).select(*out))
     return once.unionByName(more)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import WORD, staged
+from zonecast.llm.common import WORD, keep_rows, staged
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -102,11 +102,11 @@ def _queued(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         F.lit(0)).alias("bucket_start"))
     starts = sums.join(blocks, ["rank", "block"]).select(
         "rank", "bucket", (F.col("block_start") + F.col("bucket_start")).alias("start"))
-    w = W.partitionBy("rank", "bucket").orderBy("turn", "doc_id", "size").rowsBetween(
+    w = W.partitionBy("rank", "bucket").orderBy("turn", "doc_id", "size", "text_hash").rowsBetween(
         W.unboundedPreceding, 0)
     rows = rows.withColumn("inside", F.sum("size").over(w))
     return rows.join(starts, ["rank", "bucket"]).select(
-        "doc_id", "turn", "size", "source_size", "target", "rank",
+        "doc_id", "source", "text_hash", "size", "source_size", "target", "rank",
         (F.col("start") + F.col("inside")).alias("upto"))
 
 
@@ -139,13 +139,11 @@ def _last_served(entries: DataFrame, budget: int) -> tuple[float, int] | None:
     return finer[0] / (RANGES * RANGES), 0      # nothing of this range is served
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
+def _mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
         max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words
-    the mix takes of it, repeats counted) and copies. Budget: the sum of all
-    sizes."""
     sizes = staged(docs.select(
-        F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
+        "doc_id", "source", word_count(F.col("text")).alias("size"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn")),
         "mix-sizes")
     targets = staged(source_targets(sizes, weights, max_repeats), "mix-targets")
@@ -166,7 +164,29 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
         in_time = F.lit(True) if last is None else (
             (v < last[0]) | ((v == last[0]) & (F.col("rank") <= last[1])))
         served = served + F.when(v.isNotNull() & in_time, 1).otherwise(0)
-    return queue.withColumn("copies", F.when(F.col("size") > 0, served).otherwise(0)).select(
+    return queue.withColumn("copies", F.when(F.col("size") > 0, served).otherwise(0).cast("int"))
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
+        max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target, taken (words
+    the mix takes of it, repeats counted) and copies. Budget: the sum of all
+    sizes."""
+    return _mixed(docs, weights, max_repeats).select(
         "doc_id", "size", "source_size", "target",
-        (F.col("size") * F.col("copies")).cast("long").alias("taken"),
-        F.col("copies").cast("int").alias("copies"))
+        (F.col("size") * F.col("copies")).cast("long").alias("taken"), "copies")
+
+
+def take_mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
+             max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The rows of `docs` that the mix takes, with all their columns, taken
+    and copies. Rows that repeat each other in id, source and text become one
+    row with their copies added."""
+    rows = _mixed(docs, weights, max_repeats)
+    key = ["doc_id", "source", "text_hash"]
+    keep = rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("copies").cast("int").alias("copies"),
+        F.sum(F.col("size") * F.col("copies")).cast("long").alias("taken")).where("copies > 0")
+    keys = {"doc_id": F.col("doc_id"), "source": F.col("source"),
+            "text_hash": F.xxhash64(F.coalesce("text", F.lit("")))}
+    return keep_rows(docs, keys, keep, ["taken", "copies"])

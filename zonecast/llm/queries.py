@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import mixing, simhash, suffix_arrays, tree_dedup
+from zonecast.llm import (mixing, pu_quality, simhash, suffix_arrays,
+                          toxicity, tree_dedup)
 from zonecast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +43,29 @@ def op7_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _judged(scored: DataFrame, folds: int, fold: int) -> DataFrame:
+    return scored.select("doc_id", pu_quality.held_out(F.col("doc_id"), folds, fold).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt without the held-out third."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ~pu_quality.held_out(F.col("doc_id"), 3, 1)
+    model = pu_quality.train(docs.where(learn), read(spark, sf_dir, "labels").where(learn))
+    return _judged(pu_quality.scores(docs, model, ["doc_id"]), 3, 1)
+
+
+@query
+def op9_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt without the held-out fifth."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ~pu_quality.held_out(F.col("doc_id"), 5, 0)
+    trained = toxicity.train(docs.where(learn), read(spark, sf_dir, "labels").where(learn))
+    return _judged(toxicity.scores(docs, trained, ["doc_id"]), 5, 0)
+
+
 @query
 def op10_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights."""
