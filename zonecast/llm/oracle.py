@@ -105,3 +105,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN places USING (rid) LEFT JOIN named USING (rid)
 """
+
+ORACLE_SQL["op6_bloom_cascade_filter"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://')
+                       THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+parts AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM cut),
+hosts AS (
+  SELECT row_number() OVER () AS rid, page_id, path,
+         translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+  FROM parts),
+rules(verdict, h, p) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT rid, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+  FROM hosts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY rid)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM hosts LEFT JOIN fits USING (rid)
+"""

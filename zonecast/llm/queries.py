@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import (mixing, pu_quality, simhash, suffix_arrays,
-                          toxicity, tree_dedup)
+from zonecast.llm import (bloom_cascade, mixing, page_diff, pu_quality, simhash,
+                          suffix_arrays, toxicity, tree_dedup)
 from zonecast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,14 @@ def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                                        read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op4_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    texts = page_diff.extract(pages, ["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op5_simhash_pivot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
@@ -35,6 +43,18 @@ def op5_simhash_pivot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+# Verdict, host, start of the path
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"),
+             ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+             ("block", "com", "/de/")]
+
+
+@query
+def op6_bloom_cascade_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules' verdict on the url of all pages."""
+    return bloom_cascade.judge(read(spark, sf_dir, "pages"), URL_RULES, ["page_id"])
+
+
 @query
 def op7_tree_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates; the row with the largest doc_id stays."""
