@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+import re
+
+from zonecast.llm.chat_format import CONTROLS, END, ESC, START
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op7_tree_merge_dedup"] = """
@@ -129,3 +133,50 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM hosts LEFT JOIN fits USING (rid)
 """
+
+# The control strings of the chat template, as a pattern; each gets ESC 1
+# after its first character.
+_CONTROL = "|".join(re.escape(c[1:]) for c in CONTROLS)
+ORACLE_SQL["op1_schema_fingerprint_chat"] = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+                   (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+escaped AS (
+  SELECT *, regexp_replace(replace(text, '{ESC}', '{ESC}0'), '([<\[])({_CONTROL})', '\1{ESC}1\2', 'g')
+              AS body
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text))
+         AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+                         FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({len(START)} + length(role) + 1 + length(body) + {len(END)} + 1) AS BIGINT)
+         AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
+ORACLE_SQL["op2_merkle_fixity"] = """
+WITH records AS (
+  SELECT page_id, printf('crawl-%08d.warc', page_id // 500) AS file,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10)
+         || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: '
+         || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS content,
+         CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 4) AS INTEGER) % 100 AS mark
+  FROM pages),
+placed AS (
+  SELECT file, mark, content, CAST(coalesce(sum(strlen(content)) OVER (
+           PARTITION BY file ORDER BY page_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM records),
+copies AS (
+  SELECT *, CASE mark WHEN 1 THEN content[1:4] || '#' || content[6:]
+                      WHEN 2 THEN content[1:40] END AS damaged
+  FROM placed WHERE mark IN (1, 2, 3))
+SELECT file, "offset", CASE mark WHEN 3 THEN 'missing' ELSE 'corrupt' END AS status,
+       sha256("offset" || ',' || sha256('1' || content)) AS left_hash,
+       CASE WHEN mark < 3 THEN sha256("offset" || ',' || sha256('1' || damaged)) END AS right_hash
+FROM copies
+"""

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import (bloom_cascade, mixing, page_diff, pu_quality, simhash,
+from zonecast.llm import (bloom_cascade, chat_format, fixity, mixing, page_diff, pu_quality, simhash,
                           suffix_arrays, toxicity, tree_dedup)
-from zonecast.llm.common import read
+from zonecast.llm.common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,6 +20,32 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_schema_fingerprint_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted and read back, and conversation -7, whose
+    texts look like control strings."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    turns = chat_format.canonical_turns(rows.unionByName(more))
+    return chat_format.digests(chat_format.format_turns(turns, ["conv_id"]), ["conv_id"])
+
+
+@query
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of two replicas of all pages as WARC records. The second one is a
+    stand-in for a damaged copy: by id, some records have a changed byte, some
+    are cut short and some are lost."""
+    records = staged(fixity.warc_records(read(spark, sf_dir, "pages")), "records")
+    mark = F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 4),
+                  16, 10).cast("int") % 100
+    content = F.col("content")
+    damaged = (F.when(mark == 1, F.overlay(content, F.lit("#").cast("binary"), F.lit(5)))
+               .when(mark == 2, F.substring(content, 1, 40)).otherwise(content))
+    copy = records.where(mark != 3).withColumn("content", damaged)
+    return fixity.audit(records, copy)
+
+
 @query
 def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark in all documents."""
