@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_LISTED = 4_000_000
+MAX_LEVELS = 200         # a level halves what is left
 SEEDS = (42, 43)
 PART = "\x1f"            # between host and path of a key; occurs in no host
 
@@ -67,17 +68,20 @@ class Bloom:
         n = max(1, len(keys))
         self.hashes = max(1, round(-math.log2(rate)))
         self.bits = max(64, math.ceil(n * self.hashes / math.log(2)))
-        self.salt = np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        self.salt = np.uint64((salt + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         self.table = np.zeros((self.bits + 7) // 8, np.uint8)
         for at in self._places(keys):
             np.bitwise_or.at(self.table, at >> 3, (1 << (at & 7)).astype(np.uint8))
 
     def _places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
-        a, b = keys[:, 0].view(np.uint64) ^ self.salt, keys[:, 1].view(np.uint64) | np.uint64(1)
+        # both hashes are mixed with the level's salt, so that keys which
+        # collide on one level do not do so on the next
+        a = np.ascontiguousarray(keys[:, 0]).view(np.uint64) + self.salt
+        b = np.ascontiguousarray(keys[:, 1]).view(np.uint64)
         for i in range(self.hashes):
-            mixed = a + np.uint64(i) * b
-            mixed ^= mixed >> np.uint64(29)
-            yield (mixed % np.uint64(self.bits)).astype(np.int64)
+            mixed = (a ^ (b + np.uint64(i) * self.salt)) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+            yield ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(self.bits)).astype(np.int64)
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys), bool)
@@ -94,6 +98,8 @@ class Cascade:
         self.levels = [first]
         inside, outside = wrong, listed     # the next level encodes `inside`
         while len(inside):
+            if len(self.levels) > MAX_LEVELS:
+                raise ValueError("a listed key and another one have the same hashes")
             level = Bloom(inside, 0.5, len(self.levels))
             self.levels.append(level)
             inside, outside = outside[level.holds(outside)], inside

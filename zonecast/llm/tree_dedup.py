@@ -52,6 +52,8 @@ def _collapse(batches: Iterator[pa.RecordBatch], largest: bool) -> Iterator[pa.R
     for batch in batches:
         if batch.num_rows == 0:
             continue
+        # field by field: Spark's batches differ in what they declare nullable
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         rows = batch.num_rows
