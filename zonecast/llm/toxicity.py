@@ -2,8 +2,9 @@
 of the context around each match.
 
 The lexicon is learnt from labelled documents: words, and stems of words,
-that occur in toxic documents much more often than in others. It is stored as
-a trie. A word of a document is matched by walking the trie together with the
+that occur in toxic texts much more often than in others (copies of a text
+count once, and a term needs a share of all toxic texts, so that rare words of
+a few documents stay out). It is stored as a trie. A word of a document is matched by walking the trie together with the
 word's Levenshtein automaton (bit-parallel: one mask of positions per number
 of errors); branches in which no state is left are cut, so a word costs a few
 nodes, not the lexicon. Words that clean labelled documents use themselves are
@@ -38,7 +39,9 @@ from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 SAMPLE = 20_000
 MAX_TERMS, MAX_EXCEPTIONS = 3000, 5000
 STEMS = (4, 5, 6)
-LEAST_DOCS = 3           # toxic documents that must hold a term
+LEAST_DOCS = 3           # toxic texts that must hold a term, and
+LEAST_SHARE = 0.01       # their share of all toxic texts
+LEAST_CLEAN = 2          # clean texts that make a word one of their own
 LEAST_ODDS = 3.0         # smoothed log odds of a term
 REACH = 8                # words of context on either side
 CACHE = 1 << 20          # words whose match a worker remembers
@@ -191,7 +194,8 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     odds = (F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0))
             - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
     counts = staged(counts.withColumn("odds", odds), "term-counts")
-    strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
+    strong = counts.where((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic))
+                          & (F.col("odds") >= LEAST_ODDS))
     rows = strong.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()
     terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
@@ -205,7 +209,8 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
             near = [(got := rough.find(w)) is not None and got[1] > 0 for w in words]
             yield b.filter(pa.array(near, pa.bool_()))
 
-    used = (counts.where(~F.col("stem") & (F.col("clean") > F.col("toxic")))
+    used = (counts.where(~F.col("stem") & (F.col("clean") > F.col("toxic"))
+                         & (F.col("clean") >= LEAST_CLEAN))
             .select("term", "clean").mapInArrow(unlike, "term string, clean long")
             .orderBy(F.desc("clean"), "term").limit(MAX_EXCEPTIONS).collect())
     return Lexicon(terms, stems, [r["term"] for r in used])
@@ -228,10 +233,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     ids = (sample(per.where("y = 1"), most).withColumn("y", F.lit(1)).unionByName(
         sample(per.where("y = 0"), most).withColumn("y", F.lit(0))))
     rows = staged(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "labelled")
-    found = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    texts = rows.groupBy(F.xxhash64("text"), "y").agg(F.min("text").alias("text"))
+    found = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     if len(found) < 2:
         return None
-    lexicon = learn_lexicon(rows, found[1], found[0])
+    lexicon = learn_lexicon(texts, found[1], found[0])
     shared = spark.sparkContext.broadcast(lexicon)
     fitted = (rows.select("y", "text").mapInArrow(lambda b: _context_rows(b, shared.value),
                                                   "y int, x array<double>")
