@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -95,7 +96,7 @@ def test_curate_writes_every_output(spark, sf_small):
     csv = spark.read.option("header", True).schema(STATION_HOUR_SCHEMA).csv(paths["subway_ridership"])
     assert csv.count() > 0
     comb = spark.read.parquet(paths["combined"])
-    assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() == 600
+    assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() == 650
 
 
 def test_raw_typed_month_converges_to_common_types(spark):
@@ -125,10 +126,41 @@ def test_months_that_never_landed_are_skipped(spark):
                                    "lo timestamp_ntz, hi timestamp_ntz")
     man = [(r.month, r.path) for r in files.month_manifest(bounds, "lo", "hi", root).collect()]
     assert [m for m, _ in man] == ["2022-08", "2022-09", "2022-10"]
-    out = files.read_months(spark, man, files.template_from(spark, f"{root}/2022-08"))
+    template = files.template_from(spark, f"{root}/2022-08")
+    with pytest.raises(FileNotFoundError, match="2022-09"):
+        files.read_months(spark, man, template)
+    assert files.missing_months(spark, man) == ["2022-09"]
+    out = files.read_months(spark, man, template, missing="skip")
     assert sorted((r.vendorid, r.source_month) for r in out.collect()) == [(1, "2022-08"), (3, "2022-10")]
 
 
+def test_a_path_without_a_month_raises(spark):
+    root = scratch_path(spark, "t_odd")
+    spark.createDataFrame([(1,)], "VendorID long").write.parquet(f"{root}/odd")
+    out = files.read_months(spark, [("2022-08", f"{root}/odd")], files.template_from(spark, f"{root}/odd"))
+    with pytest.raises(Exception, match="no month in the path"):
+        out.collect()
+
+
+def test_large_ridership_survives_the_csv(spark):
+    from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
+
+    out = scratch_path(spark, "t_large")
+    df = spark.createDataFrame([("s", None, 3_000_000_000, 2024, 1, 2, 1, 3, 4)], STATION_HOUR_SCHEMA)
+    writers.write_csv(df, out)
+    assert files.read_csv_typed(spark, out, STATION_HOUR_SCHEMA).first().hourly_ridership == 3_000_000_000
+
+
+def test_a_month_is_written_to_few_files(spark):
+    import glob
+
+    out = scratch_path(spark, "t_files")
+    df = spark.range(4000).selectExpr("id", "concat('2022-0', id % 5 + 1) AS source_month").repartition(16)
+    writers.write_months(df, out)
+    assert len(glob.glob(out.removeprefix("file:") + "/*/part-*")) == 5
+    assert spark.read.parquet(out).count() == 4000
+
+
 def test_shared_dir_when_unset_uses_one_own_folder():
     from zonecast import session
 
@@ -137,6 +169,8 @@ def test_shared_dir_when_unset_uses_one_own_folder():
             return default
 
     class Ctx:
+        master = "local[2]"
+
         def __init__(self):
             self.dir = None
 
@@ -154,3 +188,8 @@ def test_shared_dir_when_unset_uses_one_own_folder():
     a = session.shared_dir(s)
     assert s.sparkContext.dir == a          # registered as the checkpoint dir
     assert session.shared_dir(s) == a       # later calls agree
+    cluster = Sess()
+    cluster.sparkContext = Ctx()
+    cluster.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(cluster)

@@ -101,6 +101,43 @@ def test_tree_metrics_deterministic_and_beat_mean(spark):
     assert a["validation"][1] > 0.0          # better than predicting the mean
 
 
+def test_missing_values_are_left_out_alike(spark):
+    rows = [(float(x), 2.0 * x, x % 5) for x in range(20)] + [(None, 7.0, 0), (float("nan"), 1.0, 1)]
+    df = spark.createDataFrame(rows, "hour double, pu_hourly double, fold int")
+    fit = models.fit_ridge(df, ["hour"], alpha=0.0)
+    assert math.isclose(fit.coef[0], 2.0) and abs(fit.intercept) < 1e-9 and fit.dropped == 2
+    model = models.fit_tree(df.where("pu_hourly <> 7 and pu_hourly <> 1"), ["hour"], max_depth=2)
+    with pytest.raises(Exception, match="(?i)null|nan"):
+        models.tree_predict(model, df, ["hour"]).collect()
+
+
+def test_small_differences_and_fractions_of_alpha_count(spark):
+    assert models.best_alpha([(0.1, 4e-8), (0.5, 1e-8), (1.0, 2e-8)]) == 0.5
+    assert models.best_alpha([(3, 1.0), (1, 1.0)]) == 1
+    frame = models.grid_frame(spark, [(0.1, 2.0), (0.5, 1.0)]).collect()
+    assert [(r.alpha, r.is_best) for r in frame] == [(0.1, False), (0.5, True)]
+
+
+def test_search_equals_grid_and_refit(spark):
+    df = _data(spark)
+    feats = ["hour", "hourly_ridership"]
+    grid, fit = models.ridge_search(df, feats)
+    again = models.fit_ridge(df, feats, alpha=models.best_alpha(grid))
+    assert np.allclose(fit.coef, again.coef) and math.isclose(fit.intercept, again.intercept)
+
+
+def test_r2_of_large_labels(spark):
+    df = spark.createDataFrame([(1e9 + y, 1e9 + y, "t") for y in (0.0, 5.0, 10.0)],
+                               "pu_hourly double, p double, split string")
+    assert models.regression_metrics(df, "pu_hourly", "p").first().r2 == 1.0
+
+
+def test_all_rows_of_the_test_period_are_scored(spark, sf_small):
+    splits = models.with_splits(demand.combined(spark, sf_small), F.col("dayofmonth") < 22)
+    assert {r.split for r in splits.select("split").distinct().collect()} == {
+        "train", "validation", "test"}
+
+
 def test_min_instances_mapping():
     assert [models.min_instances_for_split(s) for s in range(2, 10)] == [1, 2, 2, 3, 3, 4, 4, 5]
 
@@ -110,7 +147,7 @@ def test_fit_all_runs_and_agrees_with_queries(spark, sf_small):
     from zonecast.plans.fit import fit_all
 
     out = fit_all(spark, sf_small)
-    coef = {r.term: r.value for r in out["ridge_coefficients"].collect()}
+    coef = {r.term: round(r.value, 6) for r in out["ridge_coefficients"].collect()}
     q = {r.term: r.value for r in E.queries()["ridge_coefficients"](spark, sf_small).collect()}
     assert coef == q
     splits = {r.split for r in out["tree_metrics"].collect()}

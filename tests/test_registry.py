@@ -7,6 +7,8 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from zonecast.plans.oracle import all_oracle_sql
+from zonecast.plans.registry import all_queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 ROWS_ONLY = {"tree_metrics", "tree_grid_search"}
@@ -30,8 +32,13 @@ def _digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+# the library's own queries; the text queries are tested in tests/llm
+QUERIES, ORACLE = all_queries(), all_oracle_sql()
+
+
 def test_every_query_has_an_oracle_or_is_rows_only():
-    qs, sql = E.queries(), E.oracle_sql()
+    qs, sql = QUERIES, ORACLE
+    assert set(qs) <= set(E.queries()) and set(sql) <= set(E.oracle_sql())
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == ROWS_ONLY
 
@@ -46,11 +53,11 @@ def duck(sf_small):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, sf_small, name):
-    df = E.queries()[name](spark, sf_small)
+    df = QUERIES[name](spark, sf_small)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert len(srows) == len(orows)

@@ -38,8 +38,20 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def tolerant_cast(c: Column | str, dtype: str) -> Column:
-    """P5: cast that yields NULL on malformed input (ANSI-safe)."""
-    return (F.col(c) if isinstance(c, str) else c).try_cast(dtype)
+    """P5: cast that yields NULL on malformed input (ANSI-safe). Whole numbers
+    go through a decimal, so text such as "12.0" keeps its value (and "12.7"
+    is cut to 12), as a lenient cast does."""
+    col = F.col(c) if isinstance(c, str) else c
+    if dtype in ("int", "bigint", "long"):
+        return col.try_cast("decimal(38,6)").try_cast(dtype)
+    return col.try_cast(dtype)
+
+
+def cast_losses(df: DataFrame, column: str, dtype: str) -> DataFrame:
+    """How many non-empty values `tolerant_cast` turns into NULL."""
+    text = F.trim(F.col(column).cast("string"))
+    lost = (text != "") & tolerant_cast(column, dtype).isNull()
+    return df.agg(F.count_if(lost).alias("lost"))
 
 
 def cast_to_schema(df: DataFrame, schema: StructType,

@@ -25,8 +25,7 @@ COMBINED_COLUMNS = ("locationid",) + CALENDAR_PARTS + (
 def unique_stations(stations: DataFrame) -> DataFrame:
     """One row per station id (its lowest latitude, then longitude), so a
     station reported with two coordinates cannot double its ridership."""
-    distinct = stations.select("station_id", "latitude", "longitude").dropDuplicates()
-    return (distinct.groupBy("station_id")
+    return (stations.groupBy("station_id")
             .agg(F.min(F.struct("latitude", "longitude")).alias("p"))
             .select("station_id", F.col("p.latitude").alias("latitude"),
                     F.col("p.longitude").alias("longitude")))

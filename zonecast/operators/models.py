@@ -29,6 +29,7 @@ LABEL = "pu_hourly"
 # The surveyed ridge grid (alpha = 1, 3, ..., 15), 5 folds.
 RIDGE_ALPHAS = (1, 3, 5, 7, 9, 11, 13, 15)
 N_FOLDS = 5
+MAX_BINS = 512      # cut points per tree feature; above the largest zone id
 ROW_KEY = ("locationid", "year", "month", "dayofmonth", "hour")
 
 
@@ -50,13 +51,13 @@ def row_bucket(key_cols: Sequence[str] = ROW_KEY, modulo: int = 100) -> Column:
 
 
 def with_splits(df: DataFrame, train_period: Column, train_fraction: float = 0.7,
-                test_fraction: float = 0.7, key_cols: Sequence[str] = ROW_KEY) -> DataFrame:
+                test_fraction: float = 1.0, key_cols: Sequence[str] = ROW_KEY) -> DataFrame:
     """M1 + M2: inside the training period `split` is 'train' (hash bucket
-    < train_fraction * 100) or 'validation'; outside it 'test' (bucket <
-    test_fraction * 100) or 'unused' -- the surveyed workload scores its test
-    year on the first part of a second split of that year and leaves the
-    rest unused. `fold` in [0, 5) for the grid search. One projection, no
-    shuffle."""
+    < train_fraction * 100) or 'validation'; outside it 'test'. With a
+    `test_fraction` below 1 only buckets below it are 'test' and the others
+    'unused' (the surveyed workload scores the first part of a second split
+    of its test year, 0.7). `fold` in [0, 5) for the grid search. One
+    projection, no shuffle."""
     b = row_bucket(key_cols)
     cut = int(round(train_fraction * 100))
     test_cut = int(round(test_fraction * 100))
@@ -76,6 +77,7 @@ class RidgeFit:
     alpha: float
     coef: tuple[float, ...]
     intercept: float
+    dropped: int = 0        # training rows left out: a feature or the label is missing
 
     def predict(self) -> Column:
         """M5: the prediction as a column expression (JVM-side)."""
@@ -103,19 +105,34 @@ class _Sums:
                      self.sxy + o.sxy, self.syy + o.syy)
 
 
-def _means(df: DataFrame, features: Sequence[str], label: str) -> tuple[np.ndarray, float]:
-    row = df.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}")
+def complete_rows(features: Sequence[str], label: str) -> Column:
+    """Rows with every feature and the label: neither NULL nor NaN."""
+    ok = F.lit(True)
+    for c in (*features, label):
+        x = F.col(c).cast("double")
+        ok = ok & x.isNotNull() & ~F.isnan(x)
+    return ok
+
+
+def _means(df: DataFrame, features: Sequence[str], label: str) -> tuple[np.ndarray, float, int]:
+    """Means over the complete rows, and the number of other rows."""
+    ok = complete_rows(features, label)
+    row = df.agg(*[F.avg(F.when(ok, F.col(f).cast("double"))).alias(f"m{i}")
                    for i, f in enumerate(features)],
-                 F.avg(F.col(label).cast("double")).alias("my")).first()
+                 F.avg(F.when(ok, F.col(label).cast("double"))).alias("my"),
+                 F.count_if(~ok).alias("dropped")).first()
     if row["my"] is None:
-        raise ValueError("no training rows")
-    return np.array([row[f"m{i}"] for i in range(len(features))], dtype=float), row["my"]
+        raise ValueError("no complete training rows")
+    return (np.array([row[f"m{i}"] for i in range(len(features))], dtype=float), row["my"],
+            int(row["dropped"]))
 
 
 def _gram(df: DataFrame, features: Sequence[str], label: str, mx: np.ndarray, my: float,
           by: str | None = None) -> dict:
-    """One aggregate: n, sums, cross-products of the shifted values."""
+    """One aggregate over the complete rows: n, sums, cross-products of the
+    shifted values."""
     p = len(features)
+    df = df.where(complete_rows(features, label))
     x = [F.col(f).cast("double") - F.lit(float(m)) for f, m in zip(features, mx)]
     y = F.col(label).cast("double") - F.lit(float(my))
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
@@ -151,17 +168,31 @@ def _sse(s: _Sums, w: np.ndarray, b: float) -> float:
                  + 2 * b * (w @ s.sx) + w @ s.sxx @ w)
 
 
-def ridge_grid(train: DataFrame, features: Sequence[str], label: str = LABEL,
-               alphas: Sequence[float] = RIDGE_ALPHAS, fold_col: str = "fold"
-               ) -> list[tuple[float, float]]:
-    """M4: mean validation MSE per alpha over the folds (equal fold weight,
-    as a k-fold grid search scores). One pass over `train`."""
+def ridge_search(train: DataFrame, features: Sequence[str], label: str = LABEL,
+                 alphas: Sequence[float] = RIDGE_ALPHAS, fold_col: str = "fold"
+                 ) -> tuple[list[tuple[float, float]], RidgeFit]:
+    """M4 + M3: the grid (mean validation MSE per alpha over the folds, equal
+    fold weight, as a k-fold grid search scores) and the refit at the best
+    alpha on all of `train`. Two aggregates over the data: the means, and the
+    Gram sums per fold, whose total is the refit's."""
     check_features(features, label)
-    mx, my = _means(train, features, label)
+    mx, my, dropped = _means(train, features, label)
     folds = _gram(train, features, label, mx, my, by=fold_col)
     total = None
     for s in folds.values():
         total = s if total is None else total + s
+    grid = _grid(folds, total, alphas)
+    return grid, _refit(features, best_alpha(grid), total, mx, my, dropped)
+
+
+def ridge_grid(train: DataFrame, features: Sequence[str], label: str = LABEL,
+               alphas: Sequence[float] = RIDGE_ALPHAS, fold_col: str = "fold"
+               ) -> list[tuple[float, float]]:
+    """M4 alone."""
+    return ridge_search(train, features, label, alphas, fold_col)[0]
+
+
+def _grid(folds: dict, total: _Sums, alphas: Sequence[float]) -> list[tuple[float, float]]:
     out = []
     for a in alphas:
         mses = []
@@ -173,33 +204,39 @@ def ridge_grid(train: DataFrame, features: Sequence[str], label: str = LABEL,
 
 
 def best_alpha(grid: Sequence[tuple[float, float]]) -> float:
-    """Smallest mean MSE after rounding to 6 decimals; ties -> smallest alpha."""
-    return min(grid, key=lambda t: (round(t[1], 6), t[0]))[0]
+    """Smallest mean MSE; of values equal to within rounding errors (a
+    relative 1e-12) the smallest alpha."""
+    low = min(m for _, m in grid)
+    return min(a for a, m in grid if m <= low * (1 + 1e-12))
+
+
+def _refit(features: Sequence[str], alpha: float, total: _Sums, mx: np.ndarray, my: float,
+           dropped: int) -> RidgeFit:
+    w, b = _solve(total, float(alpha))
+    intercept = my + b - float(w @ mx)
+    return RidgeFit(tuple(features), float(alpha), tuple(float(v) for v in w), float(intercept),
+                    dropped)
 
 
 def fit_ridge(train: DataFrame, features: Sequence[str], label: str = LABEL,
               alpha: float = 1.0) -> RidgeFit:
     """M3: ridge on all of `train` (two tiny aggregates)."""
     check_features(features, label)
-    mx, my = _means(train, features, label)
-    s = _gram(train, features, label, mx, my)[0]
-    w, b = _solve(s, float(alpha))
-    intercept = my + b - float(w @ mx)
-    return RidgeFit(tuple(features), float(alpha), tuple(float(v) for v in w), float(intercept))
+    mx, my, dropped = _means(train, features, label)
+    return _refit(features, alpha, _gram(train, features, label, mx, my)[0], mx, my, dropped)
 
 
-def coefficients_frame(spark, fit: RidgeFit, digits: int = 6) -> DataFrame:
+def coefficients_frame(spark, fit: RidgeFit) -> DataFrame:
     """M7: (term, value) rows -- alpha, intercept, one per feature."""
-    rows = [("alpha", float(fit.alpha)), ("intercept", round(fit.intercept, digits))]
-    rows += [(f, round(w, digits)) for f, w in zip(fit.features, fit.coef)]
+    rows = [("alpha", float(fit.alpha)), ("intercept", fit.intercept)]
+    rows += list(zip(fit.features, fit.coef))
     return spark.createDataFrame(rows, "term string, value double")
 
 
-def grid_frame(spark, grid: Sequence[tuple[float, float]], digits: int = 6) -> DataFrame:
+def grid_frame(spark, grid: Sequence[tuple[float, float]]) -> DataFrame:
     best = best_alpha(grid)
-    return spark.createDataFrame(
-        [(int(a), round(m, digits), a == best) for a, m in grid],
-        "alpha int, mean_mse double, is_best boolean")
+    return spark.createDataFrame([(float(a), m, a == best) for a, m in grid],
+                                 "alpha double, mean_mse double, is_best boolean")
 
 
 # --- M6: metrics --------------------------------------------------------------
@@ -207,14 +244,15 @@ def grid_frame(spark, grid: Sequence[tuple[float, float]], digits: int = 6) -> D
 def regression_metrics(df: DataFrame, label: str, prediction: Column | str,
                        by: str = "split") -> DataFrame:
     """M6: per group n, MSE and R^2 (1 - SSE/SST, SST around the group's own
-    mean) in one aggregate."""
+    mean) in one aggregate. SST is n times the population variance, which
+    Spark computes around a running mean, so large labels lose nothing."""
     pred = F.col(prediction) if isinstance(prediction, str) else prediction
     y = F.col(label).cast("double")
     err = y - pred
     agg = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
                              F.sum(err * err).alias("sse"),
-                             F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+                             F.var_pop(y).alias("var"))
+    sst = F.col("var") * F.col("n")
     return agg.select(by, "n", (F.col("sse") / F.col("n")).alias("mse"),
                       F.when(sst > 0, 1 - F.col("sse") / sst).alias("r2"))
 
@@ -226,19 +264,22 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
     cast = df.withColumns({f: F.col(f).cast("double") for f in features})
     return VectorAssembler(inputCols=list(features), outputCol="features",
-                           handleInvalid="skip").transform(cast)
+                           handleInvalid="error").transform(cast)
 
 
 def fit_tree(train: DataFrame, features: Sequence[str], label: str = LABEL,
-             max_depth: int = 30, min_instances: int = 1, seed: int = 42):
-    """M8: a regression tree (variance impurity, quantile-binned splits).
+             max_depth: int = 30, min_instances: int = 1, seed: int = 42,
+             max_bins: int = MAX_BINS):
+    """M8: a regression tree (variance impurity, quantile-binned splits;
+    `max_bins` at least the number of zones, so that each id can be a cut).
+    A row with a missing feature raises, in training and in scoring.
     Depth defaults to Spark's maximum, 30, standing in for an unlimited tree;
     each level is one pass over the (zone-hour sized) training table."""
     from pyspark.ml.regression import DecisionTreeRegressor
 
     check_features(features, label)
     dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth,
-                               minInstancesPerNode=min_instances, seed=seed)
+                               minInstancesPerNode=min_instances, seed=seed, maxBins=max_bins)
     return dt.fit(_assemble(train.withColumn(label, F.col(label).cast("double")), features))
 
 
@@ -254,7 +295,8 @@ def min_instances_for_split(min_samples_split: int) -> int:
 def tree_grid_search(train: DataFrame, features: Sequence[str], label: str = LABEL,
                      depths: Sequence[int] = (1, 2, 3, 4),
                      min_splits: Sequence[int] = tuple(range(2, 10)),
-                     fold_col: str = "fold", parallelism: int = 4, seed: int = 42):
+                     fold_col: str = "fold", parallelism: int = 4, seed: int = 42,
+                     max_bins: int = MAX_BINS):
     """M9: k-fold grid over depth x min split (variance impurity only),
     using the deterministic fold column; returns (cv model, param rows)."""
     from pyspark.ml.evaluation import RegressionEvaluator
@@ -262,7 +304,8 @@ def tree_grid_search(train: DataFrame, features: Sequence[str], label: str = LAB
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     check_features(features, label)
-    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, seed=seed)
+    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, seed=seed,
+                               maxBins=max_bins)
     mins = sorted({min_instances_for_split(s) for s in min_splits})
     grid = (ParamGridBuilder().addGrid(dt.maxDepth, list(depths))
             .addGrid(dt.minInstancesPerNode, mins).build())

@@ -9,6 +9,7 @@ stations -> unique -> point-in-zone -----+-> (zone, hour) ridership
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.operators import combine, hourly, rules, spatial, standardize
 from zonecast.plans.strategy import materialize
@@ -68,8 +69,12 @@ def ridership_zone_hours(spark: SparkSession, sf_dir: str,
 
 
 def pickup_zone_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G1 core: (locationid, hour_ts, pu_hourly, hourly_passengers)."""
-    return (hourly.pickups_by_zone_hour(fx.pickups_view(spark, sf_dir))
+    """G1 core in the kept zones: (locationid, hour_ts, pu_hourly,
+    hourly_passengers). Ridership lies in kept zones only, so pickups are
+    restricted to the same zone set before both meet."""
+    keep = curated_zones(spark, sf_dir).select(F.col("locationid").alias("pulocationid"))
+    pickups = fx.pickups_view(spark, sf_dir).join(keep, "pulocationid", "left_semi")
+    return (hourly.pickups_by_zone_hour(pickups)
             .withColumnsRenamed({"pulocationid": "locationid", "pu_hour": "hour_ts"}))
 
 

@@ -30,16 +30,14 @@ def fit_all(spark: SparkSession, sf_dir: str,
     ridge_features, tree_features = RIDGE_FEATURES + extra, TREE_FEATURES + extra
     data = model_input(spark, sf_dir)
     train = data.where(F.col("split") == "train")
-    scored_rows = data.where(F.col("split") != "unused")
-    grid = models.ridge_grid(train, ridge_features)
-    ridge = models.fit_ridge(train, ridge_features, alpha=models.best_alpha(grid))
+    grid, ridge = models.ridge_search(train, ridge_features)
     tree = models.fit_tree(train, tree_features)
     return {
         "ridge_grid": models.grid_frame(spark, grid),
         "ridge_coefficients": models.coefficients_frame(spark, ridge),
-        "ridge_metrics": models.regression_metrics(scored_rows, models.LABEL, ridge.predict()),
+        "ridge_metrics": models.regression_metrics(data, models.LABEL, ridge.predict()),
         "tree_metrics": models.regression_metrics(
-            models.tree_predict(tree, scored_rows, tree_features), models.LABEL, "prediction"),
+            models.tree_predict(tree, data, tree_features), models.LABEL, "prediction"),
     }
 
 

@@ -16,14 +16,14 @@ from __future__ import annotations
 # training rows, closed-form 2x2 solve. One row per (alpha): mean_mse, plus
 # the refit's coefficients on every row.
 RIDGE_BODY = """
-  WITH tr AS (
+  WITH tr AS MATERIALIZED (
     SELECT CAST(hour AS DOUBLE) AS x1, CAST(hourly_ridership AS DOUBLE) AS x2,
            CAST(pu_hourly AS DOUBLE) AS y, fold
     FROM split_o WHERE split = 'train'),
-  m AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM tr),
-  c AS (SELECT fold, x1 - (SELECT m1 FROM m) AS x1, x2 - (SELECT m2 FROM m) AS x2,
+  m AS MATERIALIZED (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM tr),
+  c AS MATERIALIZED (SELECT fold, x1 - (SELECT m1 FROM m) AS x1, x2 - (SELECT m2 FROM m) AS x2,
                y - (SELECT my FROM m) AS y FROM tr),
-  fs AS (SELECT fold, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy,
+  fs AS MATERIALIZED (SELECT fold, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(y) AS sy,
                 sum(x1 * x1) AS s11, sum(x1 * x2) AS s12, sum(x2 * x2) AS s22,
                 sum(x1 * y) AS s1y, sum(x2 * y) AS s2y
          FROM c GROUP BY fold),
@@ -48,8 +48,8 @@ RIDGE_BODY = """
                  avg((c.y - s.b - s.w1 * c.x1 - s.w2 * c.x2)
                      * (c.y - s.b - s.w1 * c.x1 - s.w2 * c.x2)) AS mse
           FROM c JOIN sol2 s ON c.fold = s.fold GROUP BY s.alpha, s.fold),
-  g AS (SELECT alpha, avg(mse) AS mean_mse FROM val GROUP BY alpha),
-  best AS (SELECT alpha FROM g ORDER BY round(mean_mse, 6), alpha LIMIT 1),
+  g AS MATERIALIZED (SELECT alpha, avg(mse) AS mean_mse FROM val GROUP BY alpha),
+  best AS MATERIALIZED (SELECT alpha FROM g ORDER BY mean_mse, alpha LIMIT 1),
   fit AS (SELECT (SELECT alpha FROM best) AS alpha, n, s1, s2, sy,
                  s11 - s1 * s1 / n + (SELECT alpha FROM best) AS a11, s12 - s1 * s2 / n AS a12,
                  s22 - s2 * s2 / n + (SELECT alpha FROM best) AS a22,
@@ -112,7 +112,7 @@ VIEWS = {
     "pickups_v": """
   SELECT CAST(user_id % 25 AS BIGINT) AS pulocationid, ts AS pu_time,
          CAST(1 + event_id % 6 AS INTEGER) AS passenger_count
-  FROM events WHERE event_type IN ('view', 'click')""",
+  FROM events WHERE event_type IN ('view', 'click', 'error')""",
     "ridership_v": """
   SELECT CAST(user_id AS VARCHAR) AS station_id, date_trunc('hour', ts) AS "timestamp",
          CAST(floor(value) AS BIGINT) AS ridership
@@ -182,8 +182,7 @@ VIEWS = {
   FROM events WHERE event_type IN ('purchase', 'signup')""",
     "combined_o": COMBINED_BODY,
     "split_o": """
-  SELECT *, CASE WHEN NOT (dayofmonth < 22) THEN
-                   CASE WHEN bucket < 70 THEN 'test' ELSE 'unused' END
+  SELECT *, CASE WHEN NOT (dayofmonth < 22) THEN 'test'
                  WHEN bucket < 70 THEN 'train' ELSE 'validation' END AS split,
          CAST(bucket % 5 AS INTEGER) AS fold
   FROM (SELECT *, CAST(CAST(('0x' || substr(md5(concat_ws(':', locationid, year, month,
@@ -194,7 +193,8 @@ VIEWS = {
   SELECT pulocationid AS locationid, date_trunc('hour', pu_time) AS hour_ts,
          CAST(count(pu_time) AS BIGINT) AS pu_hourly,
          CAST(sum(passenger_count) AS BIGINT) AS hourly_passengers
-  FROM pickups_v GROUP BY pulocationid, date_trunc('hour', pu_time)""",
+  FROM pickups_v WHERE pulocationid IN (SELECT locationid FROM zones_kept)
+  GROUP BY pulocationid, date_trunc('hour', pu_time)""",
 }
 
 # Dependencies between the views (inlined in this order).
@@ -209,7 +209,7 @@ VIEW_DEPS = {
     "station_zone_o": ["stations_v", "edges_v", "zones_kept"],
     "station_hours_o": ["ridership_v"],
     "ridership_zh_o": ["station_hours_o", "station_zone_o"],
-    "pickups_zh_o": ["pickups_v"],
+    "pickups_zh_o": ["pickups_v", "zones_kept"],
     "combined_o": ["pickups_zh_o", "ridership_zh_o"],
     "split_o": ["combined_o"],
     "ridge_o": ["split_o"],
@@ -228,7 +228,10 @@ def with_views(body: str, *names: str) -> str:
 
     for n in names:
         add(n)
-    ctes = [f"{n} AS ({VIEWS[n]}\n)" for n in VIEW_ORDER if n in need]
+    # what several later steps read is computed once
+    once = {"combined_o", "split_o", "ridge_o"}
+    ctes = [f"{n} AS {'MATERIALIZED ' if n in once else ''}({VIEWS[n]}\n)"
+            for n in VIEW_ORDER if n in need]
     if not ctes:
         return body
     return "WITH " + ",\n".join(ctes) + "\n" + body
@@ -409,7 +412,7 @@ ORACLE["dataset_shape"] = with_views("""
 SELECT 'trips' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, 19 AS n_columns FROM trips_v
 UNION ALL SELECT 'ridership', CAST(count(*) AS BIGINT), 11 FROM events
   WHERE event_type IN ('purchase', 'signup')
-UNION ALL SELECT 'zones', CAST(count(*) AS BIGINT), 5 FROM zones_v""", "trips_v", "zones_v")
+UNION ALL SELECT 'zones', CAST(count(*) AS BIGINT), 3 FROM zone_attrs""", "trips_v", "zone_attrs")
 
 TRIP_COLUMNS = ["vendorid", "pu_time", "do_time", "passenger_count", "trip_distance",
                 "ratecodeid", "store_and_fwd_flag", "pulocationid", "dolocationid",
@@ -456,7 +459,7 @@ SELECT locationid, year, month, dayofmonth, hour, bucket, split, fold FROM split
     "split_o")
 
 ORACLE["ridge_grid_search"] = with_views("""
-SELECT CAST(alpha AS INTEGER) AS alpha, round(mean_mse, 6) AS mean_mse, is_best
+SELECT CAST(alpha AS DOUBLE) AS alpha, round(mean_mse, 6) AS mean_mse, is_best
 FROM ridge_o""", "ridge_o")
 
 ORACLE["ridge_coefficients"] = with_views("""
@@ -476,7 +479,7 @@ ORACLE["regression_metrics"] = with_views("""
 , c AS (SELECT * FROM ridge_o LIMIT 1),
 p AS (SELECT s.split, CAST(s.pu_hourly AS DOUBLE) AS y,
              c.intercept + c.w1 * s.hour + c.w2 * s.hourly_ridership AS yhat
-      FROM split_o s JOIN c ON true WHERE s.split <> 'unused'),
+      FROM split_o s JOIN c ON true),
 mu AS (SELECT split, avg(y) AS ybar FROM p GROUP BY split)
 SELECT p.split, CAST(count(*) AS BIGINT) AS n,
        round(avg((p.y - p.yhat) * (p.y - p.yhat)), 6) AS mse,
@@ -493,7 +496,7 @@ _LANDING_NAMES = {"vendorid": "vendorid", "pu_time": "tpep_pickup_datetime",
                   "do_time": "tpep_dropoff_datetime"}
 _LANDING_SELECT = ", ".join(f"{c} AS {_LANDING_NAMES.get(c, c)}" for c in TRIP_COLUMNS)
 
-ORACLE["scan_parquet"] = "SELECT event_id, ts, event_type FROM events"
+ORACLE["scan_parquet"] = "SELECT * FROM events"
 
 ORACLE["month_manifest"] = with_views(f"""
 , b AS (SELECT min(pu_time) AS lo, max(pu_time) AS hi FROM trips_v WHERE {_PERIOD}),
@@ -509,8 +512,7 @@ ORACLE["scan_multi_month"] = with_views(
     + f" FROM trips_v WHERE {_PERIOD}", "trips_v")
 
 ORACLE["parquet_partition_roundtrip"] = with_views(
-    "SELECT *, strftime(pu_time, '%Y-%m') AS source_month"
-    f" FROM trips_v WHERE {_PERIOD}", "trips_v")
+    "SELECT *, strftime(pu_time, '%Y-%m') AS source_month FROM trips_v", "trips_v")
 
 ORACLE["year_split"] = with_views(f"""
 SELECT * FROM (
@@ -534,8 +536,8 @@ SELECT date_trunc('second', ts) AS "timestamp", CAST(user_id AS VARCHAR) AS stat
 {_RIDER_EVENTS}"""
 
 ORACLE["csv_typed_roundtrip"] = with_views(f"""
-SELECT h.station_id, h."timestamp", CAST(h.hourly_ridership AS INTEGER) AS hourly_ridership,
-       {calendar_sql('h."timestamp"')}, CAST(z.locationid AS INTEGER) AS locationid
+SELECT h.station_id, h."timestamp", h.hourly_ridership,
+       {calendar_sql('h."timestamp"')}, z.locationid
 FROM station_hours_o h LEFT JOIN station_zone_o z ON h.station_id = z.station_id""",
     "station_hours_o", "station_zone_o")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.functions.columns import lowercase_columns, tolerant_cast
 from zonecast.operators import explore, hourly
@@ -13,14 +14,17 @@ from zonecast.sources import fixtures as fx
 
 @query("log_pickups_by_zone")
 def q_log_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.log_total_by_zone(demand.combined(spark, sf_dir), "pu_hourly",
-                                     "total_pickups", "log_pickups")
+    out = explore.log_total_by_zone(demand.combined(spark, sf_dir), "pu_hourly",
+                                    "total_pickups", "log_pickups")
+    # math libraries may differ in the last bit
+    return out.withColumn("log_pickups", F.round("log_pickups", 9))
 
 
 @query("log_ridership_by_zone")
 def q_log_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.log_total_by_zone(demand.combined(spark, sf_dir), "hourly_ridership",
-                                     "total_ridership", "log_ridership")
+    out = explore.log_total_by_zone(demand.combined(spark, sf_dir), "hourly_ridership",
+                                    "total_ridership", "log_ridership")
+    return out.withColumn("log_ridership", F.round("log_ridership", 9))
 
 
 @query("borough_totals")
@@ -44,7 +48,7 @@ def q_dataset_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.dataset_shape({
         "trips": fx.trips_view(spark, sf_dir),
         "ridership": fx.ridership_text_view(spark, sf_dir),
-        "zones": fx.zone_vertices_view(spark, sf_dir),
+        "zones": fx.zone_attrs_view(spark, sf_dir),
     })
 
 

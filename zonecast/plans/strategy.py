@@ -1,7 +1,7 @@
 """Join strategy helpers: broadcast only behind a size check.
 
-A side is broadcast only after a bounded count proves it small
-(`limit(n + 1).count()`: each task stops after n + 1 rows). Beyond the bound
+A side is broadcast only after one plain aggregate (rows and bytes, computed
+in parallel, no limit) proves it small. Beyond the bounds
 the join is left to the planner: sort-merge or shuffle-hash on the join keys,
 which AQE may still re-plan from runtime statistics (and split skewed
 partitions of).
@@ -24,11 +24,19 @@ from pyspark.sql import functions as F
 # Default row bound for a broadcast dimension (narrow rows: ids + a few
 # numbers). 2M narrow rows stay well under 100 MB on every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+# And in bytes: what every executor holds of one broadcast side, at most.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when `df` has at most `max_rows` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when `df` has at most `max_rows` rows and `MAX_BROADCAST_BYTES`
+    bytes (text by its length, other values as 8 bytes, 16 bytes a row)."""
+    width = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        text = f.dataType.typeName() == "string"
+        width = width + (F.coalesce(F.octet_length(f.name), F.lit(0)) if text else F.lit(8))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= MAX_BROADCAST_BYTES
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -7,6 +7,7 @@ Library code never configures the cluster: it takes the caller's session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,16 +53,21 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and round-trip writes.
 
     Reads `spark.checkpoint.dir` (or the context's checkpoint dir) from the
-    session. Only when neither is set -- local tests -- a folder of our own
-    is created once per session and registered as the context's checkpoint
-    dir, so later calls agree on it. (`spark.checkpoint.dir` itself is a core
-    setting and cannot be changed on a running session.)
+    session. Only when neither is set and the master is local -- tests -- a
+    folder of our own is created once per session and registered as the
+    context's checkpoint dir, so later calls agree on it. On a cluster an
+    unset folder raises: a machine-local one would not be shared.
+    (`spark.checkpoint.dir` itself is a core setting and cannot be changed on
+    a running session.)
     """
     sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None) or _OWN_DIRS.get(id(spark))
     if not path and sc is not None:
         path = sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = _OWN_DIRS.setdefault(id(spark), tempfile.mkdtemp(prefix="zonecast-ckpt-"))
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

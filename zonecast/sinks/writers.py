@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame
 
 def write_months(df: DataFrame, path: str, month_col: str = "source_month") -> None:
     """K1: partition by source month with *dynamic* overwrite: a rerun of a
-    month replaces exactly that month's partition and leaves the others."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    month replaces exactly that month's partition and leaves the others. The
+    rebalance hint brings a month's rows together, so each month gets few
+    files, and lets AQE split a large month over several tasks."""
+    (df.hint("rebalance", month_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
 
 
@@ -29,10 +31,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_by_year(df: DataFrame, path: str, year_col: str = "year") -> None:
     """K4: one directory per year, so `where(year = Y)` prunes partitions.
-    Rows are sorted by year inside each task (no shuffle), so a task writes
-    its years one after the other; there is deliberately no
-    `repartition(year)`, which would put a whole year into one task."""
-    (df.sortWithinPartitions(year_col).write.mode("overwrite")
+    Rows are rebalanced by year (AQE splits a large year; a `repartition`
+    would put it into one task) and sorted by year inside each task, so a
+    task writes its years one after the other."""
+    (df.hint("rebalance", year_col).sortWithinPartitions(year_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(year_col).parquet(path))
 
 

@@ -39,8 +39,12 @@ def month_manifest(bounds: DataFrame, start: Column | str, end: Column | str,
 
 
 def month_of_file(pattern: str = MONTH_IN_PATH) -> Column:
-    """The month label in the directory holding each row's file."""
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    """The month label in the directory holding each row's file; a path
+    without one raises."""
+    path = F.col("_metadata.file_path")
+    label = F.regexp_extract(path, pattern, 1)
+    error = F.raise_error(F.concat(F.lit("no month in the path of "), path)).cast("string")
+    return F.when(label == "", error).otherwise(label)
 
 
 def footer_schemas(spark: SparkSession, paths: Sequence[str],
@@ -66,16 +70,21 @@ def footer_schemas(spark: SparkSession, paths: Sequence[str],
 
 
 def read_months(spark: SparkSession, paths: Sequence[tuple[str, str]],
-                template: StructType, pattern: str = MONTH_IN_PATH) -> DataFrame:
+                template: StructType, pattern: str = MONTH_IN_PATH,
+                missing: str = "raise") -> DataFrame:
     """Months whose files share a footer schema are read by ONE scan
     (with that schema, so nothing is inferred again) and conformed **by name**
     to the template once; `source_month` comes from each row's file path.
     The few schema groups are unioned by name. Months with drifted types or
     layouts land in their own group, so no file is read with a wrong type.
-    Manifest months that never landed are skipped."""
+    A manifest month that never landed raises, unless `missing` is "skip"
+    (`missing_months` lists what that leaves out)."""
+    if missing not in ("raise", "skip"):
+        raise ValueError(f"missing: {missing!r}")
     schemas = footer_schemas(spark, [p for _, p in paths])
-    if not schemas:
-        raise ValueError("none of the months has landed")
+    absent = [m for m, p in paths if p not in schemas]
+    if absent and missing == "raise" or not schemas:
+        raise FileNotFoundError(f"months that have not landed: {', '.join(absent)}")
     groups: dict[str, list[str]] = {}
     for _, p in paths:
         if p in schemas:
@@ -91,6 +100,12 @@ def read_months(spark: SparkSession, paths: Sequence[tuple[str, str]],
     return out
 
 
+def missing_months(spark: SparkSession, paths: Sequence[tuple[str, str]]) -> list[str]:
+    """The manifest months that have not landed."""
+    schemas = footer_schemas(spark, [p for _, p in paths])
+    return [m for m, p in paths if p not in schemas]
+
+
 def template_from(spark: SparkSession, path: str) -> StructType:
     """A2 + P1: one month's footer schema with lower-cased names."""
     schema = spark.read.parquet(path).schema

@@ -27,7 +27,7 @@ ZONE_RING_OFFSETS = [(0.1, 0.3), (1.7, 0.1), (1.1, 0.9), (1.9, 1.8), (0.4, 1.6)]
 RAW_BOROUGH_CODES = ["Q", "BX", "M", "BK", "SI"]
 
 RIDER_EVENT_TYPES = ["purchase", "signup"]
-PICKUP_EVENT_TYPES = ["view", "click"]
+PICKUP_EVENT_TYPES = ["view", "click", "error"]
 
 
 def _cents(x: Column) -> Column:
