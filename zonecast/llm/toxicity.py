@@ -37,7 +37,7 @@ from zonecast.llm.common import staged
 from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 
 SAMPLE = 20_000
-MAX_TERMS, MAX_EXCEPTIONS = 3000, 5000
+MAX_TERMS, MAX_EXCEPTIONS = 400, 5000
 STEMS = (4, 5, 6)
 LEAST_DOCS = 3           # toxic texts that must hold a term, and
 LEAST_SHARE = 0.01       # their share of all toxic texts
@@ -57,7 +57,7 @@ REPORT = frozenset("said says wrote called quote quoted quotes sagte schrieb nan
 
 
 def allowed_errors(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1
 
 
 class Trie:
@@ -72,16 +72,29 @@ class Trie:
                 for c in entry:
                     node = node[0].setdefault(c, [{}, -1, -1])
                 node[slot] = i
+        self.heads = {t[:n] for t in terms for n in range(len(t) + 1)}
+        self.tails = {t[n:] for t in terms for n in range(len(t) + 1)}
+        self.stem_heads = set(stems)
+        self.stem_sizes = sorted({len(x) for x in stems})
+
+    def may_match(self, word: str) -> bool:
+        """False only if nothing can match: one error leaves the first or the
+        second half of a word as it stands in the term."""
+        half = len(word) // 2
+        return (word[:half] in self.heads or word[half:] in self.tails
+                or any(word[:n] in self.stem_heads for n in self.stem_sizes))
 
     def match(self, word: str) -> tuple[int, bool, int] | None:
         """The best (entry number, is a stem, errors): fewest errors first,
         terms before stems."""
+        if not self.may_match(word):
+            return None
         m = len(word)
         full, goal = (1 << (m + 1)) - 1, 1 << m
         at: dict[str, int] = {}
         for i, c in enumerate(word):
             at[c] = at.get(c, 0) | (1 << i)
-        k = min(2, allowed_errors(word + "x"))
+        k = allowed_errors(word + "x")
         best = None
         stack = [(self.root, tuple(((1 << (e + 1)) - 1) & full for e in range(k + 1)))]
         while stack:
@@ -131,8 +144,9 @@ class Lexicon:
         cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
-        for w in words - cache.keys():
-            cache[w] = self.find(w)
+        for w in words:
+            if w not in cache:
+                cache[w] = self.find(w)
         return {w: got for w in words if (got := cache[w]) is not None}
 
 
@@ -199,8 +213,10 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     rows = strong.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()
     terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
-    # a stem below another stem adds nothing
-    stems = {s: o for s, o in stems.items() if not any(s[:n] in stems for n in range(1, len(s)))}
+    # a stem or term below another stem adds nothing
+    below = lambda x: any(x[:n] in stems for n in STEMS if n < len(x))
+    terms = {t: o for t, o in terms.items() if not below(t)}
+    stems = {t: o for t, o in stems.items() if not below(t)}
     rough = Lexicon(terms, stems)
 
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
