@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonecast.llm.bloom_cascade import split_url
 from zonecast.llm.common import staged
@@ -213,17 +214,20 @@ def deleted_lines(path: str, lines: list[int], roles: list[int], sides: list[tup
     return [i for i in text if i in shared and roles[i] == OTHER]
 
 
-def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash, role and text of each line; no text for those that markup drops."""
+    same = ["row", "k1", "k2", "host", "path"]
     for b in batches:
-        lines, roles = [], []
+        lines, roles, texts = [], [], []
         for html in b.column("html"):
             found = page_lines(html.as_py())
             lines.append(np.array([xxhash.xxh64_intdigest(t) for t, _ in found], np.uint64).view(np.int64))
             roles.append([r for _, r in found])
+            texts.append([None if r == DROP else t for t, r in found])
         yield pa.RecordBatch.from_arrays(
-            [*[b.column(c) for c in ("k1", "k2", "host", "path")],
-             pa.array(lines, pa.list_(pa.int64())), pa.array(roles, pa.list_(pa.int8()))],
-            ["k1", "k2", "host", "path", "lines", "roles"])
+            [*[b.column(c) for c in same], pa.array(lines, pa.list_(pa.int64())),
+             pa.array(roles, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string()))],
+            [*same, "lines", "roles", "texts"])
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
@@ -259,36 +263,37 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([gone[i] for i in some], pa.list_(pa.int32()))], ["k1", "k2", "gone"])
 
 
-def _texts(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = []
-        for html, gone in zip(b.column("html"), b.column("gone").to_pylist()):
+        out = []
+        for texts, gone in zip(b.column("texts").to_pylist(), b.column("gone").to_pylist()):
             gone = set(gone or ())
-            texts.append(" ".join(t for i, (t, role) in enumerate(page_lines(html.as_py()))
-                                  if role != DROP and i not in gone))
-        yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keep], pa.array(texts, pa.string())],
-                                         [*keep, "text"])
+            out.append(" ".join(t for i, t in enumerate(texts) if t is not None and i not in gone))
+        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string())],
+                                         ["row", "text"])
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     """`keep` and text of every row of `pages` (page_id, url, html).
 
-    Only hashes of lines are shuffled to find what to delete. The deletions
-    are then joined to the pages by a 128-bit key of the whole row: they are
-    written first, so Spark knows their size, and broadcasts them only if
-    that is below its threshold.
+    Each page is parsed once; its lines are written, and the html is not read
+    again. Only hashes of lines are shuffled to find what to delete. The
+    deletions are then joined to the lines by a 128-bit key of the whole row:
+    they are written first, so Spark knows their size, and broadcasts them
+    only if that is below its threshold.
     """
     host, path = split_url(F.col("url"))
     whole = [F.col(c) for c in ("page_id", "url", "html")]
-    key = {"k1": F.xxhash64(F.lit(1), *whole), "k2": F.xxhash64(F.lit(2), *whole)}
-    keyed = pages.select(*keep, *[c for c in ("html",) if c not in keep],
-                         *[e.alias(n) for n, e in key.items()])
-    lines = pages.select("html", host.alias("host"), path.alias("path"),
-                         *[e.alias(n) for n, e in key.items()]).mapInArrow(
-        _hash_lines, "k1 long, k2 long, host string, path string, "
-                     "lines array<long>, roles array<tinyint>")
-    gone = staged(neighbours(lines).mapInArrow(_differences, "k1 long, k2 long, gone array<int>")
+    rows = pages.select(F.struct(*keep).alias("row"), F.xxhash64(F.lit(1), *whole).alias("k1"),
+                        F.xxhash64(F.lit(2), *whole).alias("k2"), host.alias("host"),
+                        path.alias("path"), "html")
+    read = T.StructType([rows.schema[c] for c in ("row", "k1", "k2", "host", "path")])
+    read = (read.add("lines", T.ArrayType(T.LongType())).add("roles", T.ArrayType(T.ByteType()))
+            .add("texts", T.ArrayType(T.StringType())))
+    lines = staged(rows.mapInArrow(_read_lines, read), "page-lines")
+    gone = staged(neighbours(lines.drop("row", "texts"))
+                  .mapInArrow(_differences, "k1 long, k2 long, gone array<int>")
                   .groupBy("k1", "k2").agg(F.min("gone").alias("gone")), "page-deletions")
-    fields = ", ".join(f"`{k}` {pages.schema[k].dataType.simpleString()}" for k in keep)
-    return keyed.join(gone, ["k1", "k2"], "left").select(*keep, "html", "gone").mapInArrow(
-        lambda b: _texts(b, keep), f"{fields}, text string")
+    out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
+    return (lines.join(gone, ["k1", "k2"], "left").select("row", "texts", "gone")
+            .mapInArrow(_texts, out).select("row.*", "text"))
