@@ -18,11 +18,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """`df` written as Parquet into the shared folder and read back: cuts the
     lineage, and a lost executor costs no more than its running tasks."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -290,7 +290,7 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
     read = T.StructType([rows.schema[c] for c in ("row", "k1", "k2", "host", "path")])
     read = (read.add("lines", T.ArrayType(T.LongType())).add("roles", T.ArrayType(T.ByteType()))
             .add("texts", T.ArrayType(T.StringType())))
-    lines = staged(rows.mapInArrow(_read_lines, read), "page-lines")
+    lines = staged(rows.mapInArrow(_read_lines, read), "page-lines", "zstd")
     gone = staged(neighbours(lines.drop("row", "texts"))
                   .mapInArrow(_differences, "k1 long, k2 long, gone array<int>")
                   .groupBy("k1", "k2").agg(F.min("gone").alias("gone")), "page-deletions")
