@@ -98,6 +98,15 @@ def test_clashing_columns_and_ranges(spark):
 
 # ---- URL cascade ---------------------------------------------------------
 
+def test_kept_columns_may_have_the_names_used_inside(spark):
+    names = ["host", "path", "k1", "k2", "lines", "roles", "texts", "gone", "row"]
+    kinds = ", ".join(f"{n} string" for n in names)
+    df = spark.createDataFrame([(1, "http://a.b/c", "<article>One &amp; two</article>", *names),
+                                (2, None, None, *[None] * len(names))], f"{PAGES}, {kinds}")
+    got = page_diff.extract(df, ["page_id", *names]).orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(1, *names, "One & two"), (2, *[None] * len(names), "")]
+
+
 def test_cascade_is_exact_over_its_universe():
     rng = np.random.default_rng(0)
     universe = rng.integers(-2 ** 63, 2 ** 63 - 1, (20_000, 2))
