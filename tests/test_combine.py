@@ -24,7 +24,8 @@ def test_duplicate_station_does_not_double(spark):
 
 
 def test_sum_invariants(spark, sf_small):
-    pick = fx.pickups_view(spark, sf_small)
+    pick = demand.clean_pickups(spark, sf_small)
+    assert 0 < pick.count() < fx.event_trips_view(spark, sf_small).count()
     g1 = hourly.hourly_pickups(pick)
     assert g1.agg(F.sum("pu_hourly")).first()[0] == pick.count()
     comb = demand.combined(spark, sf_small)

@@ -87,16 +87,25 @@ def test_geometry_layer_round_trip(spark, sf_small):
 
 
 def test_curate_writes_every_output(spark, sf_small):
+    from zonecast.plans import demand
     from zonecast.plans.curate import curate
     from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
+    from zonecast.sources import fixtures as fx
 
     paths = curate(spark, sf_small)
     assert spark.read.text(paths["zones_geojson"]).count() == 20
-    assert spark.read.parquet(paths["taxi_trips"]).agg(F.sum("pu_hourly")).first()[0] == 428
+    assert spark.read.parquet(paths["taxi_trips"]).agg(F.sum("pu_hourly")).first()[0] \
+        == demand.clean_pickups(spark, sf_small).count()
+    assert spark.read.parquet(paths["raw_trips"]).count() == fx.event_trips_view(
+        spark, sf_small).count()
+    assert spark.read.parquet(paths["zones"]).count() == 100      # 20 zones of 5 vertices
     csv = spark.read.option("header", True).schema(STATION_HOUR_SCHEMA).csv(paths["subway_ridership"])
     assert csv.count() > 0
     comb = spark.read.parquet(paths["combined"])
-    assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() == 650
+    direct = demand.combined(spark, sf_small)
+    assert comb.select(*direct.columns).exceptAll(direct).count() == 0
+    assert comb.count() == spark.read.option("header", True).csv(paths["combined_csv"]).count() \
+        == direct.count()
 
 
 def test_raw_typed_month_converges_to_common_types(spark):

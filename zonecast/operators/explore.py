@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegralType, NumericType, TimestampNTZType, TimestampType
 
 from zonecast.plans.strategy import join_small
 
@@ -76,23 +76,32 @@ def dataset_shape(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column the NULL count and, for numeric columns, min and max
-    (as double) -- one aggregate, then unpivoted."""
+    """Per column the NULL count and the range -- one aggregate, then
+    unpivoted. Numbers: min_value and max_value (double); integers also
+    min_int and max_int, exact; timestamps: min_time and max_time."""
     cols = list(columns or df.columns)
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
+
+    def of(*types) -> set[str]:
+        return {f.name for f in df.schema.fields if isinstance(f.dataType, types)}
+
+    kinds = [("value", "double", of(NumericType)), ("int", "bigint", of(IntegralType)),
+             ("time", "timestamp_ntz", of(TimestampNTZType, TimestampType))]
+    ranged = set().union(*(names for _, _, names in kinds))
     aggs = []
     for i, c in enumerate(cols):
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"n{i}"))
-        if c in numeric:
-            aggs.append(F.min(F.col(c).cast("double")).alias(f"lo{i}"))
-            aggs.append(F.max(F.col(c).cast("double")).alias(f"hi{i}"))
+        if c in ranged:
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
     row = df.agg(*aggs)
-    none = F.lit(None).cast("double")
+
+    def bound(end: str, i: int, kind: str, cast: str, names: set[str]):
+        x = F.col(f"{end}{i}") if cols[i] in names else F.lit(None)
+        return x.cast(cast).alias(f"{'min' if end == 'lo' else 'max'}_{kind}")
+
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
                  F.col(f"n{i}").cast("bigint").alias("n_null"),
-                 (F.col(f"lo{i}") if c in numeric else none).alias("min_value"),
-                 (F.col(f"hi{i}") if c in numeric else none).alias("max_value"))
+                 *[bound(end, i, *kind) for kind in kinds for end in ("lo", "hi")])
         for i, c in enumerate(cols)])))
 
 

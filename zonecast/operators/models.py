@@ -262,9 +262,8 @@ def regression_metrics(df: DataFrame, label: str, prediction: Column | str,
 def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
 
-    cast = df.withColumns({f: F.col(f).cast("double") for f in features})
     return VectorAssembler(inputCols=list(features), outputCol="features",
-                           handleInvalid="error").transform(cast)
+                           handleInvalid="error").transform(df)
 
 
 def fit_tree(train: DataFrame, features: Sequence[str], label: str = LABEL,

@@ -4,14 +4,18 @@ run, written under one folder (the counterpart of a preprocessing script).
     python -m zonecast.plans.curate <sf_dir> [out_dir]
 
 Outputs (out_dir defaults to a fresh folder under `spark.checkpoint.dir`):
+  zones/, stations/  the zone layer and the stations with their zones (K5)
   zones_geojson/     kept zones, one GeoJSON feature per line        (K6)
+  raw_trips/         the trips as landed, by source month            (K1)
   taxi_trips/        hourly pickups of the clean trips, by year      (F10, G1, K4)
   subway_ridership/  station-hour ridership with zone, CSV           (G2, J2, K3)
   combined_csv/      the zone-hour demand table, CSV                 (J3, K3)
   combined/          the same table, Parquet partitioned by year     (K4, M2)
 
-Each output is one Spark job reading the inputs; nothing passes through the
-driver. Writes overwrite (reruns replace their output).
+Each step reads what the step before it wrote: the trips are cleaned from the
+landed months, and the demand table joins the written hourly pickups with the
+written station hours rolled up to zones. Nothing passes through the driver.
+Writes overwrite (reruns replace their output).
 """
 
 from __future__ import annotations
@@ -20,36 +24,53 @@ import os
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from zonecast.operators import combine, hourly, rules, spatial
 from zonecast.plans import demand
-from zonecast.plans.fixture_args import FIXTURE_RULES
+from zonecast.plans.fixture_args import EVENT_RULES
 from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
 from zonecast.session import scratch_path
 from zonecast.sinks import writers
+from zonecast.sources import files
 from zonecast.sources import fixtures as fx
 
 
 def curate(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-           trip_rules: rules.TripRules = FIXTURE_RULES) -> dict[str, str]:
+           trip_rules: rules.TripRules = EVENT_RULES) -> dict[str, str]:
     """Write every curated output; returns {name: path}."""
     out = out_dir or scratch_path(spark, "curated")
     paths = {k: os.path.join(out, k) for k in
-             ("zones_geojson", "taxi_trips", "subway_ridership", "combined_csv", "combined")}
+             ("zones", "stations", "zones_geojson", "raw_trips", "taxi_trips",
+              "subway_ridership", "combined_csv", "combined")}
     zones = demand.curated_zones(spark, sf_dir)
 
+    writers.write_parquet(demand.zone_layer(spark, sf_dir), paths["zones"], mode="overwrite")
     feats = spatial.zone_features(demand.curated_zone_vertices(spark, sf_dir), zones)
     writers.write_lines(feats, "feature", paths["zones_geojson"])
 
-    clean = rules.clean_trips(fx.trips_view(spark, sf_dir), zones, trip_rules)
-    writers.write_by_year(hourly.hourly_pickups(clean), paths["taxi_trips"])
+    landed = fx.event_trips_view(spark, sf_dir).withColumn(
+        "source_month", F.date_format("pu_time", "yyyy-MM"))
+    writers.write_months(landed, paths["raw_trips"])
+    raw = spark.read.schema(landed.schema).parquet(paths["raw_trips"])
+    pickups = hourly.hourly_pickups(rules.clean_trips(raw, zones, trip_rules))
+    writers.write_by_year(pickups, paths["taxi_trips"])
 
     station_zone = demand.station_zone(spark, sf_dir)
+    writers.write_parquet(station_zone, paths["stations"], mode="overwrite")
     rz = combine.ridership_with_zone(demand.station_hours(spark, sf_dir), station_zone)
     writers.write_csv(rz.select(*[f.name for f in STATION_HOUR_SCHEMA.fields]),
                       paths["subway_ridership"])
 
-    comb = demand.combined(spark, sf_dir, stations=station_zone)
+    hour = F.make_timestamp_ntz("year", "month", "dayofmonth", "hour", F.lit(0), F.lit(0))
+    picked = (spark.read.schema(pickups.schema).parquet(paths["taxi_trips"])
+              .select(F.col("pulocationid").alias("locationid"), hour.alias("hour_ts"),
+                      "pu_hourly", "hourly_passengers"))
+    ridden = (files.read_csv_typed(spark, paths["subway_ridership"], STATION_HOUR_SCHEMA)
+              .where("locationid IS NOT NULL")
+              .groupBy("locationid", F.col("timestamp").alias("hour_ts"))
+              .agg(F.sum("hourly_ridership").cast("bigint").alias("hourly_ridership")))
+    comb = combine.combined_demand(picked, ridden)
     writers.write_by_year(comb, paths["combined"])
     # the CSV copy reads the written table instead of recomputing the plan
     written = spark.read.schema(comb.schema).parquet(paths["combined"])

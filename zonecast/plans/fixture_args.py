@@ -17,6 +17,14 @@ FIXTURE_RULES = TripRules(
     max_tolls=5000.0,
 )
 
+# Fixed values (FIXTURES.md): rule arguments for event_trips_v, in the month of
+# the ridership; the others are the surveyed workload's.
+EVENT_RULES = TripRules(
+    period_start="2024-01-01 00:00:00",
+    period_end="2024-02-01 00:00:00",
+    max_distance=45.0,
+)
+
 # Zone-set rules on zones_v: exclusion (F13) and the equivalent regex.
 EXCLUDED_BOROUGHS = ["MIDDLE EAST"]
 KEPT_BOROUGH_PATTERN = "AFRICA|AMERICA|ASIA|EUROPE"

@@ -116,6 +116,34 @@ VIEWS = {
     "ridership_v": """
   SELECT CAST(user_id AS VARCHAR) AS station_id, date_trunc('hour', ts) AS "timestamp",
          CAST(floor(value) AS BIGINT) AS ridership
+  FROM events WHERE event_type IN ('purchase', 'signup')""",
+    "event_trips_v": """
+  SELECT ts AS pu_time,
+         ts + to_minutes(CAST(event_id % 60 - 3 AS INTEGER)) AS do_time,
+         CAST(CASE WHEN event_id % 50 = 0 THEN NULL ELSE 1 + event_id % 7 END AS INTEGER)
+           AS passenger_count,
+         value / 1e1 AS trip_distance, CAST(1 + CAST(floor(value) AS BIGINT) % 7 AS INTEGER) AS ratecodeid,
+         CAST(user_id % 25 AS BIGINT) AS pulocationid, CAST(event_id % 25 AS BIGINT) AS dolocationid,
+         CAST(1 + event_id % 4 AS INTEGER) AS payment_type, value + 3e0 AS fare_amount,
+         5e-1 AS extra, 5e-1 AS mta_tax, value / 8e0 - 2.5e-1 AS tip_amount,
+         value / 2e0 AS tolls_amount, value * 2e0 + 4e0 AS total_amount
+  FROM events WHERE event_type IN ('view', 'click', 'error')""",
+    "clean_pickups_o": """
+  SELECT * FROM event_trips_v
+  WHERE pu_time >= TIMESTAMP '2024-01-01 00:00:00' AND pu_time < TIMESTAMP '2024-02-01 00:00:00'
+    AND pulocationid IN (SELECT locationid FROM zones_kept)
+    AND dolocationid IN (SELECT locationid FROM zones_kept)
+    AND pulocationid <= 263 AND dolocationid <= 263
+    AND pu_time <> do_time AND pu_time < do_time
+    AND trip_distance > 0 AND trip_distance <= 4.5e1
+    AND tip_amount >= 0 AND tip_amount < total_amount
+    AND fare_amount >= 2.5e0 AND total_amount >= 2.5e0 AND fare_amount < 5e2
+    AND mta_tax >= 0 AND mta_tax <= 5e-1 AND tolls_amount >= 0 AND tolls_amount <= 2.5695e2
+    AND extra >= 0 AND passenger_count > 0 AND passenger_count <= 6
+    AND ratecodeid <= 6 AND payment_type <= 6""",
+    "ridership_typed_o": """
+  SELECT CAST(user_id AS VARCHAR) AS station_id, date_trunc('second', ts) AS "timestamp",
+         CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS ridership
   FROM events WHERE event_type IN ('purchase', 'signup')""",
     "stations_v": """
   SELECT CAST(user_id AS VARCHAR) AS station_id,
@@ -154,7 +182,7 @@ VIEWS = {
     "station_hours_o": """
   SELECT station_id, date_trunc('hour', "timestamp") AS "timestamp",
          CAST(sum(ridership) AS BIGINT) AS hourly_ridership
-  FROM ridership_v
+  FROM ridership_typed_o
   WHERE "timestamp" >= TIMESTAMP '2024-01-01 00:00:00'
     AND "timestamp" < TIMESTAMP '2024-02-01 00:00:00'
   GROUP BY station_id, date_trunc('hour', "timestamp")""",
@@ -193,13 +221,13 @@ VIEWS = {
   SELECT pulocationid AS locationid, date_trunc('hour', pu_time) AS hour_ts,
          CAST(count(pu_time) AS BIGINT) AS pu_hourly,
          CAST(sum(passenger_count) AS BIGINT) AS hourly_passengers
-  FROM pickups_v WHERE pulocationid IN (SELECT locationid FROM zones_kept)
+  FROM clean_pickups_o
   GROUP BY pulocationid, date_trunc('hour', pu_time)""",
 }
 
 # Dependencies between the views (inlined in this order).
 VIEW_ORDER = ["trips_v", "zone_attrs", "zones_kept", "pickups_v", "ridership_v",
-              "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
+              "event_trips_v", "clean_pickups_o", "ridership_typed_o", "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
               "ridership_text_o", "pickups_zh_o", "ridership_zh_o", "combined_o",
               "split_o", "ridge_o"]
 VIEW_DEPS = {
@@ -207,9 +235,10 @@ VIEW_DEPS = {
     "zones_v": ["zone_attrs"],
     "edges_v": ["zones_v"],
     "station_zone_o": ["stations_v", "edges_v", "zones_kept"],
-    "station_hours_o": ["ridership_v"],
+    "station_hours_o": ["ridership_typed_o"],
+    "clean_pickups_o": ["event_trips_v", "zones_kept"],
     "ridership_zh_o": ["station_hours_o", "station_zone_o"],
-    "pickups_zh_o": ["pickups_v", "zones_kept"],
+    "pickups_zh_o": ["clean_pickups_o"],
     "combined_o": ["pickups_zh_o", "ridership_zh_o"],
     "split_o": ["combined_o"],
     "ridge_o": ["split_o"],
@@ -419,14 +448,22 @@ TRIP_COLUMNS = ["vendorid", "pu_time", "do_time", "passenger_count", "trip_dista
                 "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount",
                 "tolls_amount", "improvement_surcharge", "total_amount",
                 "congestion_surcharge", "airport_fee"]
-_NON_NUMERIC = {"pu_time", "do_time", "store_and_fwd_flag"}
+_TIMES = {"pu_time", "do_time"}
+_NON_NUMERIC = {*_TIMES, "store_and_fwd_flag"}
+_INTEGERS = {"vendorid", "passenger_count", "ratecodeid", "pulocationid", "dolocationid",
+             "payment_type"}
+
+
+def _range_sql(c: str) -> str:
+    kinds = [("value", "DOUBLE", c not in _NON_NUMERIC), ("int", "BIGINT", c in _INTEGERS),
+             ("time", "TIMESTAMP", c in _TIMES)]
+    return ", ".join(f"CAST({f'{end}({c})' if has else 'NULL'} AS {t}) AS {end}_{kind}"
+                     for kind, t, has in kinds for end in ("min", "max"))
+
 
 ORACLE["null_profile"] = with_views("\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS n_null, "
-    + ("CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value"
-       if c in _NON_NUMERIC else
-       f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value")
-    + " FROM trips_v" for c in TRIP_COLUMNS), "trips_v")
+    + _range_sql(c) + " FROM trips_v" for c in TRIP_COLUMNS), "trips_v")
 
 RIDERSHIP_TEXT_COLUMNS = ["transit_timestamp", "station_complex_id", "station_complex",
                           "borough", "routes", "payment_method", "ridership", "transfers",
@@ -489,6 +526,95 @@ SELECT p.split, CAST(count(*) AS BIGINT) AS n,
 FROM p JOIN mu ON p.split = mu.split GROUP BY p.split""", "ridge_o")
 
 
+def _ridge_full_sql() -> str:
+    """Normal equations of the centred features (alpha 1) by Gauss-Jordan
+    steps; column 5 is the label."""
+    names = ["locationid", "dayofmonth", "dayofweek", "hour", "hourly_ridership"]
+    p = len(names)
+    values = " UNION ALL ".join(
+        f"SELECT id, {i} AS i, CAST({c} AS DOUBLE) AS v FROM tr"
+        for i, c in enumerate([*names, "pu_hourly"]))
+    steps = "".join(f"""
+, m{k + 1} AS MATERIALIZED (
+  SELECT a.i, a.j, CASE WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+  FROM m{k} a JOIN m{k} c ON c.i = a.i AND c.j = {k} JOIN m{k} r ON r.i = {k} AND r.j = a.j
+  JOIN m{k} p ON p.i = {k} AND p.j = {k})""" for k in range(p))
+    terms = "".join(f" UNION ALL SELECT '{c}', round(v, 6) FROM w WHERE i = {i}"
+                    for i, c in enumerate(names))
+    return f"""
+, tr AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM split_o WHERE split = 'train')
+, vals AS MATERIALIZED ({values})
+, mu AS MATERIALIZED (SELECT i, avg(v) AS m FROM vals GROUP BY i)
+, c AS MATERIALIZED (SELECT id, vals.i, v - m AS v FROM vals JOIN mu ON vals.i = mu.i)
+, m0 AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(a.v * b.v) + CASE WHEN a.i = b.i THEN 1 ELSE 0 END AS v
+  FROM c a JOIN c b ON a.id = b.id WHERE a.i < {p} GROUP BY a.i, b.i){steps}
+, w AS (SELECT i, v FROM m{p} WHERE j = {p})
+SELECT 'alpha' AS term, CAST(1 AS DOUBLE) AS value
+UNION ALL SELECT 'intercept', round((SELECT m FROM mu WHERE i = {p})
+  - (SELECT sum(w.v * mu.m) FROM w JOIN mu ON w.i = mu.i), 6){terms}"""
+
+
+ORACLE["ridge_full"] = with_views(_ridge_full_sql(), "split_o")
+
+
+def _split_sql(rows: str) -> str:
+    """Per group g and node the threshold, halfway between two values, that
+    leaves the smallest squared error."""
+    return f"""(
+  SELECT g, node, f, th FROM (
+    SELECT *, row_number() OVER (PARTITION BY g, node ORDER BY score DESC, f DESC, th) AS rn FROM (
+      SELECT g, node, f, (x + nx) / 2 AS th,
+             ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) AS score FROM (
+        SELECT g, node, f, x, lead(x) OVER w AS nx, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+               sum(n) OVER p AS tn, sum(s) OVER p AS ts FROM (
+          SELECT g, node, f, x, count(*) AS n, sum(y) AS s FROM (
+            SELECT g, node, 'hour' AS f, h AS x, y FROM {rows} WHERE fits
+            UNION ALL SELECT g, node, 'dayofweek', d, y FROM {rows} WHERE fits)
+          GROUP BY g, node, f, x)
+        WINDOW p AS (PARTITION BY g, node, f), w AS (PARTITION BY g, node, f ORDER BY x))
+      WHERE nx IS NOT NULL))
+  WHERE rn = 1)"""
+
+
+# A tree of depth 2 per group: g = -1 learns from all training rows, g = 0..4
+# from those outside fold g. p1, p2: the prediction at depth 1 and 2.
+_SIDE = "CASE WHEN b.f IS NULL THEN 0 WHEN CASE b.f WHEN 'hour' THEN h ELSE d END <= b.th THEN 1 ELSE 2 END"
+_KEEP = "locationid, year, month, dayofmonth, hour, split, fold, fits, h, d, y"
+TREE_BODY = f"""
+, t0 AS MATERIALIZED (
+  SELECT gs.g, 0 AS node, locationid, year, month, dayofmonth, hour, split, fold,
+         split = 'train' AND fold <> gs.g AS fits, CAST(hour AS DOUBLE) AS h,
+         CAST(dayofweek AS DOUBLE) AS d, CAST(pu_hourly AS DOUBLE) AS y
+  FROM split_o JOIN (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS g) gs ON gs.g = -1 OR split = 'train')
+, b0 AS MATERIALIZED {_split_sql("t0")}
+, t1 AS MATERIALIZED (SELECT t.g, {_SIDE} AS node, {_KEEP}
+  FROM t0 t LEFT JOIN b0 b ON t.g = b.g AND t.node = b.node)
+, b1 AS MATERIALIZED {_split_sql("t1")}
+, t2 AS MATERIALIZED (SELECT t.g, t.node AS n1, 3 * t.node + {_SIDE} AS node, {_KEEP}
+  FROM t1 t LEFT JOIN b1 b ON t.g = b.g AND t.node = b.node)
+, l1 AS MATERIALIZED (SELECT g, node, avg(y) AS p1 FROM t1 WHERE fits GROUP BY g, node)
+, l2 AS MATERIALIZED (SELECT g, node, avg(y) AS p2 FROM t2 WHERE fits GROUP BY g, node)
+, scored AS (SELECT t2.*, p1, p2 FROM t2 JOIN l1 ON t2.g = l1.g AND t2.n1 = l1.node
+             JOIN l2 ON t2.g = l2.g AND t2.node = l2.node)"""
+
+ORACLE["tree_predictions"] = with_views(TREE_BODY + """
+SELECT locationid, year, month, dayofmonth, hour, split, round(p1, 6) AS prediction
+FROM scored WHERE g = -1""", "split_o")
+
+ORACLE["tree_training_error"] = with_views(TREE_BODY + """
+, e AS (SELECT (y - p1) * (y - p1) AS e1, (y - p2) * (y - p2) AS e2 FROM scored
+        WHERE g = -1 AND split = 'train')
+SELECT 1 AS max_depth, CAST(count(*) AS BIGINT) AS n, round(avg(e1), 6) AS mse FROM e
+UNION ALL SELECT 2, CAST(count(*) AS BIGINT), round(avg(e2), 6) FROM e""", "split_o")
+
+ORACLE["tree_depth_search"] = with_views(TREE_BODY + """
+, e AS (SELECT g, avg((y - p1) * (y - p1)) AS e1, avg((y - p2) * (y - p2)) AS e2
+        FROM scored WHERE g = fold AND split = 'train' GROUP BY g)
+SELECT 1 AS max_depth, 1 AS min_instances, round(avg(e1), 6) AS mean_mse FROM e
+UNION ALL SELECT 2, 1, round(avg(e2), 6) FROM e""", "split_o")
+
+
 # --- sources, sinks, column work ------------------------------------------------
 
 _PERIOD = RULE_SQL["period"]
@@ -498,6 +624,24 @@ _LANDING_SELECT = ", ".join(f"{c} AS {_LANDING_NAMES.get(c, c)}" for c in TRIP_C
 
 ORACLE["scan_parquet"] = "SELECT * FROM events"
 
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                  "o_orderpriority"]
+
+ORACLE["schema_template"] = "\nUNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS column_name, CASE typeof(min({c})) WHEN 'VARCHAR' "
+    f"THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' "
+    f"ELSE lower(typeof(min({c}))) END AS type_name, CAST(count({c}) AS BIGINT) AS n_values "
+    "FROM orders" for i, c in enumerate(_ORDER_COLUMNS))
+
+ORACLE["parquet_create"] = with_views("SELECT * FROM trips_v", "trips_v")
+
+ORACLE["zone_layer"] = with_views("""
+SELECT v.locationid, v.ring, v.seq, v.x, v.y, a.borough, a.zone
+FROM zones_v v JOIN zone_attrs a ON v.locationid = a.locationid
+WHERE v.locationid IN (SELECT locationid FROM zones_kept)""", "zones_v", "zones_kept")
+
+ORACLE["station_layer"] = ORACLE["station_zone"]
+
 ORACLE["month_manifest"] = with_views(f"""
 , b AS (SELECT min(pu_time) AS lo, max(pu_time) AS hi FROM trips_v WHERE {_PERIOD}),
 m AS (SELECT unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi),
@@ -585,28 +729,32 @@ SELECT CAST(user_id AS VARCHAR) AS station_complex_id, {_BOROUGH_NAME} AS boroug
 def _lcc_inverse_sql() -> str:
     from zonecast.functions.geometry import NY_LONG_ISLAND_FTUS as P
 
-    def d(v: float) -> str:
-        t = repr(float(v))
-        return t if "e" in t else t + "e0"
-
-    n, big_f, rho0 = P.constants()
-    e = P.e
+    # published parameters: GRS 1980, parallels 41 deg 02' and 40 deg 40', origin
+    # 40 deg 10' N 74 deg W, false easting 300000 m, US survey feet
+    e = "sqrt(2 / 298.257222101e0 - 1 / (298.257222101e0 * 298.257222101e0))"
+    m = "cos({0}) / sqrt(1 - ee * ee * sin({0}) * sin({0}))"
+    t = "tan(pi() / 4 - {0} / 2) / pow((1 - ee * sin({0})) / (1 + ee * sin({0})), ee / 2)"
     steps = [f"""
 i0 AS (SELECT locationid, ring, seq, t, lon, pi() / 2 - 2 * atan(t) AS phi FROM q)"""]
     for k in range(1, P.iterations + 1):
         steps.append(f"""
 i{k} AS (SELECT locationid, ring, seq, t, lon,
-        pi() / 2 - 2 * atan(t * pow((1 - {d(e)} * sin(phi)) / (1 + {d(e)} * sin(phi)),
-                                    {d(e / 2)})) AS phi
-      FROM i{k - 1})""")
+        pi() / 2 - 2 * atan(t * pow((1 - ee * sin(phi)) / (1 + ee * sin(phi)),
+                                    ee / 2)) AS phi
+      FROM i{k - 1}, k1)""")
     return f"""
-, v AS (SELECT locationid, ring, seq, 913000e0 + x * 15000e0 AS xf,
+, k0 AS (SELECT {e} AS ee, radians(41e0 + 2e0 / 60) AS f1, radians(40e0 + 40e0 / 60) AS f2,
+                radians(40e0 + 10e0 / 60) AS f0, 1200e0 / 3937e0 AS ft),
+km AS (SELECT *, {m.format("f1")} AS m1, {m.format("f2")} AS m2, {t.format("f1")} AS t1,
+              {t.format("f2")} AS t2, {t.format("f0")} AS t0 FROM k0),
+kn AS (SELECT *, (ln(m1) - ln(m2)) / (ln(t1) - ln(t2)) AS n FROM km),
+k1 AS (SELECT *, 6378137e0 * m1 / (n * pow(t1, n)) AS af,
+              6378137e0 * m1 / (n * pow(t1, n)) * pow(t0, n) AS rho0 FROM kn),
+v AS (SELECT locationid, ring, seq, 913000e0 + x * 15000e0 AS xf,
                120000e0 + y * 15000e0 AS yf FROM zones_v),
-p AS (SELECT locationid, ring, seq, (xf - {d(P.false_easting)}) * {d(P.unit)} AS dx,
-             {d(rho0)} - (yf - {d(P.false_northing)}) * {d(P.unit)} AS dy FROM v),
-q AS (SELECT locationid, ring, seq,
-             pow(sqrt(dx * dx + dy * dy) / {d(P.a * big_f)}, {d(1 / n)}) AS t,
-             degrees(atan2(dx, dy) / {d(n)}) + {d(P.lon0)} AS lon FROM p),""" + ",".join(
+p AS (SELECT locationid, ring, seq, xf * ft - 300000e0 AS dx, rho0 - yf * ft AS dy, n, af FROM v, k1),
+q AS (SELECT locationid, ring, seq, pow(sqrt(dx * dx + dy * dy) / af, 1 / n) AS t,
+             degrees(atan2(dx, dy) / n) - 74e0 AS lon FROM p),""" + ",".join(
         steps) + f"""
 SELECT locationid, ring, seq, round(lon, 9) AS lon, round(degrees(phi), 9) AS lat
 FROM i{P.iterations}"""

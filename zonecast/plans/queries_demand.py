@@ -9,7 +9,7 @@ from zonecast.functions.timecols import calendar_columns
 from zonecast.operators import combine, hourly, rules, spatial
 from zonecast.plans import demand
 from zonecast.plans.demand import curated_zones
-from zonecast.plans.fixture_args import FIXTURE_RULES, RIDER_PERIOD, TILE_SIZE
+from zonecast.plans.fixture_args import FIXTURE_RULES, TILE_SIZE
 from zonecast.plans.registry import query
 from zonecast.sources import fixtures as fx
 
@@ -86,8 +86,7 @@ def q_station_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("hourly_station_ridership")
 def q_hourly_station_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rid = rules.filter_time_range(fx.ridership_view(spark, sf_dir), *RIDER_PERIOD)
-    return hourly.hourly_station_ridership(rid)
+    return hourly.hourly_station_ridership(demand.ridership_in_period(spark, sf_dir))
 
 
 @query("hourly_zone_ridership")

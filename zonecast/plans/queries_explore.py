@@ -1,4 +1,5 @@
-"""Registered exploration queries (G5-G12, O2, O3) over the combined table."""
+"""Registered exploration queries (G5-G12, O2, O3) over the demand table; what is
+asked per zone is summed per zone before both sides are joined."""
 
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from zonecast.sources import fixtures as fx
 
 @query("log_pickups_by_zone")
 def q_log_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = explore.log_total_by_zone(demand.combined(spark, sf_dir), "pu_hourly",
+    out = explore.log_total_by_zone(demand.zone_totals(spark, sf_dir), "pu_hourly",
                                     "total_pickups", "log_pickups")
     # math libraries may differ in the last bit
     return out.withColumn("log_pickups", F.round("log_pickups", 9))
@@ -22,14 +23,14 @@ def q_log_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("log_ridership_by_zone")
 def q_log_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = explore.log_total_by_zone(demand.combined(spark, sf_dir), "hourly_ridership",
+    out = explore.log_total_by_zone(demand.zone_totals(spark, sf_dir), "hourly_ridership",
                                     "total_ridership", "log_ridership")
     return out.withColumn("log_ridership", F.round("log_ridership", 9))
 
 
 @query("borough_totals")
 def q_borough_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.borough_totals(demand.combined(spark, sf_dir),
+    return explore.borough_totals(demand.zone_totals(spark, sf_dir),
                                   fx.zone_attrs_view(spark, sf_dir))
 
 
@@ -77,4 +78,4 @@ def q_hourly_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("top_zones")
 def q_top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.top_zones(demand.combined(spark, sf_dir), k=10)
+    return explore.top_zones(demand.zone_totals(spark, sf_dir), k=10)

@@ -1,4 +1,4 @@
-"""Registered source/sink round-trip queries.
+"""Registered source/sink round-trip queries.
 
 Round trips write under the session's shared folder (`spark.checkpoint.dir`)
 in a fresh sub-folder per call, then read back with the library's readers.
@@ -19,7 +19,7 @@ from zonecast.session import scratch_path
 from zonecast.sinks import writers
 from zonecast.sources import files
 from zonecast.sources import fixtures as fx
-from zonecast.sources.tables import read_table
+from zonecast.sources.tables import read_table, table_path, template_schema
 
 # Landed months given drifted layouts in the multi-month stage.
 REORDERED_MONTH = "1997-01"      # same columns, reversed order
@@ -46,6 +46,48 @@ def q_scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
+@query("schema_template")
+def q_schema_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: names and types from the footer alone; the table is then scanned
+    with that schema, and the values of each column are counted."""
+    path = table_path(sf_dir, "orders")
+    schema = template_schema(spark, path)
+    row = spark.read.schema(schema).parquet(path).agg(
+        *[F.count(f.name).alias(f"n{i}") for i, f in enumerate(schema.fields)])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                 F.lit(f.dataType.simpleString()).alias("type_name"),
+                 F.col(f"n{i}").alias("n_values"))
+        for i, f in enumerate(schema.fields)])))
+
+
+@query("parquet_create")
+def q_parquet_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: all trips written once (create-only) and read with the schema of
+    the written footer."""
+    out = scratch_path(spark, "created_trips")
+    writers.write_parquet(fx.trips_view(spark, sf_dir), out)
+    return spark.read.schema(template_schema(spark, out)).parquet(out)
+
+
+@query("zone_layer")
+def q_zone_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the layer of the kept zones written and read back."""
+    layer = demand.zone_layer(spark, sf_dir)
+    out = scratch_path(spark, "zone_layer")
+    writers.write_parquet(layer, out)
+    return spark.read.schema(layer.schema).parquet(out)
+
+
+@query("station_layer")
+def q_station_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the layer of the stations, with their zones, written and read back."""
+    layer = demand.station_zone(spark, sf_dir)
+    out = scratch_path(spark, "station_layer")
+    writers.write_parquet(layer, out)
+    return spark.read.schema(layer.schema).parquet(out)
+
+
 def _period_trips(spark: SparkSession, sf_dir: str, landing: bool) -> DataFrame:
     t = fx.landing_trips_view(spark, sf_dir) if landing else fx.trips_view(spark, sf_dir)
     ts = "tpep_pickup_datetime" if landing else "pu_time"

@@ -19,6 +19,8 @@ from zonecast.plans.registry import query
 from zonecast.session import scratch_path
 
 RIDGE_FEATURES = ("hour", "hourly_ridership")
+FULL_FEATURES = ("locationid", "dayofmonth", "dayofweek", "hour", "hourly_ridership")
+STEP_FEATURES = ("hour", "dayofweek")
 TREE_FEATURES = ("locationid", "dayofmonth", "dayofweek", "hour", "hourly_ridership")
 
 
@@ -76,6 +78,49 @@ def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("r2", 6).alias("r2"))
 
 
+@query("ridge_full")
+def q_ridge_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 over the full feature set, at the smallest alpha of the grid."""
+    train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    fit = models.fit_ridge(train, FULL_FEATURES, alpha=models.RIDGE_ALPHAS[0])
+    return models.coefficients_frame(spark, fit).withColumn("value", F.round("value", 6))
+
+
+@query("tree_predictions")
+def q_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: a tree of depth 1 over features of few values, where every split
+    can be checked; all rows scored."""
+    data = model_input(spark, sf_dir)
+    model = models.fit_tree(data.where(F.col("split") == "train"), STEP_FEATURES, max_depth=1)
+    scored = models.tree_predict(model, data, STEP_FEATURES)
+    return scored.select(*models.ROW_KEY, "split", F.round("prediction", 6).alias("prediction"))
+
+
+@query("tree_training_error")
+def q_tree_training_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 at depths 1 and 2 on the same features: the error on the training
+    rows. Splits of equal gain leave the same error, whichever is taken."""
+    train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    out = None
+    for depth in (1, 2):
+        scored = models.tree_predict(models.fit_tree(train, STEP_FEATURES, max_depth=depth),
+                                     train, STEP_FEATURES)
+        row = models.regression_metrics(scored, models.LABEL, "prediction").select(
+            F.lit(depth).alias("max_depth"), "n", F.round("mse", 6).alias("mse"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("tree_depth_search")
+def q_tree_depth_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: the grid search over depths 1 and 2 on the same features."""
+    data = model_input(spark, sf_dir)
+    _, rows = models.tree_grid_search(data.where(F.col("split") == "train"), STEP_FEATURES,
+                                      depths=(1, 2), min_splits=(2,))
+    return (spark.createDataFrame(rows, "max_depth int, min_instances int, mean_mse double")
+            .withColumn("mean_mse", F.round("mean_mse", 6)))
+
+
 @query("tree_metrics")
 def q_tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = model_input(spark, sf_dir)

@@ -107,6 +107,35 @@ def pickups_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_trips_v: one trip per pickup event, in the columns of trips_v. Its
+    month is the ridership's, so cleaned trips and ridership meet."""
+    eid, value = F.col("event_id"), F.col("value")
+    ev = read_table(spark, sf_dir, "events").where(F.col("event_type").isin(PICKUP_EVENT_TYPES))
+    return ev.select(
+        (1 + eid % 2).cast("bigint").alias("vendorid"),
+        F.col("ts").alias("pu_time"),
+        F.expr("ts + make_dt_interval(0, 0, cast(event_id % 60 - 3 AS int), 0)").alias("do_time"),
+        F.when(eid % 50 == 0, F.lit(None)).otherwise(1 + eid % 7).cast("int")
+         .alias("passenger_count"),
+        (value / 10).alias("trip_distance"),
+        (1 + F.floor(value) % 7).cast("int").alias("ratecodeid"),
+        (eid % 3 == 0).alias("store_and_fwd_flag"),
+        (F.col("user_id") % 25).cast("bigint").alias("pulocationid"),
+        (eid % 25).cast("bigint").alias("dolocationid"),
+        (1 + eid % 4).cast("int").alias("payment_type"),
+        (value + 3).alias("fare_amount"),
+        F.lit(0.5).alias("extra"),
+        F.lit(0.5).alias("mta_tax"),
+        (value / 8 - 0.25).alias("tip_amount"),
+        (value / 2).alias("tolls_amount"),
+        F.lit(0.3).alias("improvement_surcharge"),
+        (value * 2 + 4).alias("total_amount"),
+        F.lit(2.5).alias("congestion_surcharge"),
+        F.lit(None).cast("double").alias("airport_fee"),
+    )
+
+
 def ridership_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ridership_v: typed station ridership rows (station_id, timestamp, ridership)."""
     ev = read_table(spark, sf_dir, "events")
