@@ -213,10 +213,8 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     rows = strong.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()
     terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
-    # a stem or term below another stem adds nothing
-    below = lambda x: any(x[:n] in stems for n in STEMS if n < len(x))
-    terms = {t: o for t, o in terms.items() if not below(t)}
-    stems = {t: o for t, o in stems.items() if not below(t)}
+    # a stem below another stem adds nothing; a term does, as stems match without errors
+    stems = {t: o for t, o in stems.items() if not any(t[:n] in stems for n in STEMS if n < len(t))}
     rough = Lexicon(terms, stems)
 
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
