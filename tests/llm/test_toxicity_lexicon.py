@@ -24,3 +24,42 @@ def test_misspellings_of_learnt_words_that_have_a_stem(spark):
         got = lexicon.find(word)
         assert got is not None and got[1] == 1 and not got[2], word
     assert lexicon.find("stupidly")[2]      # a stem still stands for the words it begins
+
+
+def test_two_errors_in_long_words(spark):
+    assert toxicity.Trie(["disgusting"], []).match("disgutsing") == (0, False, 2)
+    lexicon = learnt(spark, ["disgusting", "worthless"])
+    for word in ("dsigusting", "w0rthl3ss", "owrthless"):
+        got = lexicon.find(word)
+        assert got is not None and got[1] == 2 and not got[2], word
+
+
+def brute(trie, word):
+    """Fewest errors of any term that `word` may stand for."""
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            prev, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                prev, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, prev + (x != y))
+        return row[-1]
+    k = toxicity.allowed_errors(word + "x")
+    return min((d for t in trie.terms
+                if (d := distance(word, t)) <= min(k, toxicity.allowed_errors(t))), default=None)
+
+
+def test_pieces_lose_no_match():
+    """Few letters, so that errors meet in every way; terms of all lengths."""
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choices("abc", k=rng.randrange(3, 15))) for _ in range(30)})
+    trie = toxicity.Trie(terms, [])
+    hits = [0, 0, 0]
+    for _ in range(6000):
+        w = list(rng.choice(terms))
+        for _ in range(rng.randrange(4)):
+            i = rng.randrange(len(w) + 1)
+            w[i:i + rng.randrange(2)] = rng.choice(["", "a", "b", "c"])
+        want, got = brute(trie, "".join(w)), trie.match("".join(w))
+        assert (got[2] if got else None) == want, w
+        hits[want or 0] += want is not None
+    assert min(hits) > 100

@@ -4,11 +4,16 @@ of the context around each match.
 The lexicon is learnt from labelled documents: words, and stems of words,
 that occur in toxic texts much more often than in others (copies of a text
 count once, and a term needs a share of all toxic texts, so that rare words of
-a few documents stay out). It is stored as a trie. A word of a document is matched by walking the trie together with the
-word's Levenshtein automaton (bit-parallel: one mask of positions per number
-of errors); branches in which no state is left are cut, so a word costs a few
-nodes, not the lexicon. Words that clean labelled documents use themselves are
-no misspellings.
+a few documents stay out). A term of 5 letters or more may have one error, of 9
+or more two. A word of a document is matched by walking the trie of terms
+together with the word's Levenshtein automaton (bit-parallel: one mask of
+positions per number of errors); branches in which no state is left are cut.
+Of the trie only the branches of terms that share a piece with the word are
+walked: a term cut into one piece more than it may have errors keeps one piece
+whole (pigeonhole), so none is lost, and a word costs a few lookups, not the
+lexicon. A word may have the errors of a term one letter longer than itself, so
+a word of 7 letters is one error from a term, not two. Words that clean
+labelled documents use themselves are no misspellings.
 
 Each match is judged by the words around it: how many other matches there
 are, whether the match stands between quotation marks or near a verb of
@@ -57,37 +62,76 @@ REPORT = frozenset("said says wrote called quote quoted quotes sagte schrieb nan
 
 
 def allowed_errors(term: str) -> int:
-    return 0 if len(term) < 5 else 1
+    return _errors(len(term))
+
+
+def _errors(size: int) -> int:
+    return 0 if size < 5 else 1 if size < 9 else 2
+
+
+def _cuts(size: int) -> list[int]:
+    """Ends of the pieces of a term, one more than it is allowed errors."""
+    n = _errors(size) + 1
+    return [size * i // n for i in range(n + 1)]
 
 
 class Trie:
-    """Terms and stems. A node is [children, term number, stem number]."""
+    """Terms and stems, and an index of the terms' pieces."""
 
     def __init__(self, terms: list[str], stems: list[str]):
         self.terms, self.stems = terms, stems
-        self.root: list = [{}, -1, -1]
-        for slot, entries in ((1, terms), (2, stems)):
-            for i, entry in enumerate(entries):
-                node = self.root
-                for c in entry:
-                    node = node[0].setdefault(c, [{}, -1, -1])
-                node[slot] = i
-        self.heads = {t[:n] for t in terms for n in range(len(t) + 1)}
-        self.tails = {t[n:] for t in terms for n in range(len(t) + 1)}
-        self.stem_heads = set(stems)
-        self.stem_sizes = sorted({len(x) for x in stems})
-
-    def may_match(self, word: str) -> bool:
-        """False only if nothing can match: one error leaves the first or the
-        second half of a word as it stands in the term."""
-        half = len(word) // 2
-        return (word[:half] in self.heads or word[half:] in self.tails
-                or any(word[:n] in self.stem_heads for n in self.stem_sizes))
+        self.term_at = {t: i for i, t in enumerate(terms)}
+        self.stem_at = {s: i for i, s in enumerate(stems)}
+        self.stem_sizes = sorted({len(s) for s in stems})
+        self.sizes = sorted({len(t) for t in terms if allowed_errors(t)})
+        self.pieces: dict[tuple[int, int, str], list[int]] = {}
+        for i, t in enumerate(terms):
+            if allowed_errors(t):
+                cuts = _cuts(len(t))
+                for p, (start, end) in enumerate(zip(cuts, cuts[1:])):
+                    self.pieces.setdefault((len(t), p, t[start:end]), []).append(i)
+        self.probes: dict[int, list[tuple[int, int, int, int]]] = {}
+
+    def _probes(self, m: int) -> list[tuple[int, int, int, int]]:
+        """(term size, piece, start, end): where a word of m letters can hold
+        a piece that its errors left as it was."""
+        out, k = [], _errors(m + 1)
+        for size in self.sizes:
+            e, more = min(k, _errors(size)), m - size
+            if abs(more) > e:
+                continue
+            cuts = _cuts(size)
+            last = len(cuts) - 2
+            for p, (start, end) in enumerate(zip(cuts, cuts[1:])):
+                # a piece moves by the errors before it; the first one has none there, the last none after it
+                for by in [0] if p == 0 else [more] if p == last else range(-e, e + 1):
+                    if abs(by) + abs(more - by) <= e and start + by >= 0 and end + by <= m:
+                        out.append((size, p, start + by, end + by))
+        return out
+
+    def candidates(self, word: str) -> set[int]:
+        """All terms that can match: of one piece more than there are errors,
+        one stands in the word as it stands in the term."""
+        m = len(word)
+        if not self.sizes or m > self.sizes[-1] + 2:
+            return set()
+        if m not in self.probes:
+            self.probes[m] = self._probes(m)
+        pieces, out = self.pieces, set()
+        for size, p, start, end in self.probes[m]:
+            out.update(pieces.get((size, p, word[start:end]), ()))
+        return out
 
     def match(self, word: str) -> tuple[int, bool, int] | None:
         """The best (entry number, is a stem, errors): fewest errors first,
         terms before stems."""
-        if not self.may_match(word):
+        if word in self.term_at:
+            return self.term_at[word], False, 0
+        for n in self.stem_sizes:
+            if word[:n] in self.stem_at:
+                return self.stem_at[word[:n]], True, 0
+        near = self.candidates(word)
+        if not near:
             return None
         m = len(word)
         full, goal = (1 << (m + 1)) - 1, 1 << m
@@ -96,28 +140,31 @@ class Trie:
             at[c] = at.get(c, 0) | (1 << i)
         k = allowed_errors(word + "x")
         best = None
-        stack = [(self.root, tuple(((1 << (e + 1)) - 1) & full for e in range(k + 1)))]
+        # a node of the candidates' trie: its depth, and the terms below it
+        stack = [(0, near, tuple(((1 << (e + 1)) - 1) & full for e in range(k + 1)))]
         while stack:
-            node, states = stack.pop()
-            if node[1] >= 0:
-                allowed = allowed_errors(self.terms[node[1]])
-                for e, s in enumerate(states[:allowed + 1]):
+            depth, below_it, states = stack.pop()
+            children: dict[str, list[int]] = {}
+            for i in below_it:
+                term = self.terms[i]
+                if len(term) > depth:
+                    children.setdefault(term[depth], []).append(i)
+                    continue
+                for e, s in enumerate(states[:allowed_errors(term) + 1]):
                     if s & goal:
-                        if best is None or (e, 0) < best[:2]:
-                            best = (e, 0, node[1])
+                        if best is None or (e, i) < best:
+                            best = (e, i)
                         break
-            if node[2] >= 0 and states[0] and (best is None or (0, 1) < best[:2]):
-                best = (0, 1, node[2])
-            for c, child in node[0].items():
+            for c, terms in children.items():
                 hit = at.get(c, 0)
                 new, below, below_new = [], 0, 0
                 for s in states:
                     t = ((s & hit) << 1 | below | below << 1 | below_new << 1) & full
                     new.append(t)
                     below, below_new = s, t
-                if new[-1] or any(new):
-                    stack.append((child, tuple(new)))
-        return None if best is None else (best[2], best[1] == 1, best[0])
+                if any(new):
+                    stack.append((depth + 1, terms, tuple(new)))
+        return None if best is None else (best[1], False, best[0])
 
 
 class Lexicon:
