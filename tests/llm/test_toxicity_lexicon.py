@@ -63,3 +63,14 @@ def test_pieces_lose_no_match():
         assert (got[2] if got else None) == want, w
         hits[want or 0] += want is not None
     assert min(hits) > 100
+
+
+def test_a_rare_term_stays_in_a_large_sample(spark):
+    """A term of 6 toxic texts among 1,200, in no clean one."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(PLAIN, k=6)) + f" n{i}", 0) for i in range(2400)]
+    rows += [(5000 + i, f"vermin m{i} " + ("knave" if i < 6 else ""), 1) for i in range(1200)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))[0]
+    assert lexicon.find("vermin")[1] == 0 and lexicon.find("knave")[1] == 0
+    assert lexicon.find("river") is None

@@ -3,8 +3,10 @@ of the context around each match.
 
 The lexicon is learnt from labelled documents: words, and stems of words,
 that occur in toxic texts much more often than in others (copies of a text
-count once, and a term needs a share of all toxic texts, so that rare words of
-a few documents stay out). A term of 5 letters or more may have one error, of 9
+count once). What a term needs does not grow with the input: `LEAST_DOCS` toxic
+texts, and log odds of `LEAST_ODDS`. As their standard error is at most
+sqrt(1/3.5 + 1/0.5) = 1.51, that puts the lower 95 % bound of the log odds of
+every term above 0.5. A term of 5 letters or more may have one error, of 9
 or more two. A word of a document is matched by walking the trie of terms
 together with the word's Levenshtein automaton (bit-parallel: one mask of
 positions per number of errors); branches in which no state is left are cut.
@@ -44,8 +46,7 @@ from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 SAMPLE = 20_000
 MAX_TERMS, MAX_EXCEPTIONS = 400, 5000
 STEMS = (4, 5, 6)
-LEAST_DOCS = 3           # toxic texts that must hold a term, and
-LEAST_SHARE = 0.01       # their share of all toxic texts
+LEAST_DOCS = 3           # toxic texts that must hold a term
 LEAST_CLEAN = 2          # clean texts that make a word one of their own
 LEAST_ODDS = 3.0         # smoothed log odds of a term
 REACH = 8                # words of context on either side
@@ -255,8 +256,7 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     odds = (F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0))
             - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
     counts = staged(counts.withColumn("odds", odds), "term-counts")
-    strong = counts.where((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic))
-                          & (F.col("odds") >= LEAST_ODDS))
+    strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
     rows = strong.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()
     terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
