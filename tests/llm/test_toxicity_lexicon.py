@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from zonecast.llm import toxicity
 
 PLAIN = ["river", "stone", "walks", "under", "light", "garden", "window", "seven"]
@@ -74,3 +76,19 @@ def test_a_rare_term_stays_in_a_large_sample(spark):
     lexicon = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))[0]
     assert lexicon.find("vermin")[1] == 0 and lexicon.find("knave")[1] == 0
     assert lexicon.find("river") is None
+
+
+def test_the_lexicon_has_no_cut(spark, monkeypatch):
+    """600 terms, each in three toxic texts, and their stems; a bound that is
+    passed is an error."""
+    rng = random.Random(5)
+    bad = ["".join(rng.choices("bdfgkmprtvz", k=9)) for _ in range(600)]
+    rows = [(i, " ".join(rng.choices(PLAIN, k=20)) + f" n{i}", 0) for i in range(80)]
+    rows += [(1000 + i, " ".join([f"m{i}", *bad[i // 3 * 150:i // 3 * 150 + 150]]), 1) for i in range(12)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = rows.select("doc_id", "text"), rows.select("doc_id", "toxic")
+    lexicon = toxicity.train(docs, labels)[0]
+    assert set(bad) <= set(lexicon.trie.terms) and lexicon.trie.stems
+    monkeypatch.setattr(toxicity, "MOST_ENTRIES", 599)
+    with pytest.raises(ValueError, match="600 terms"):
+        toxicity.train(docs, labels)

@@ -44,7 +44,8 @@ from zonecast.llm.common import staged
 from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 
 SAMPLE = 20_000
-MAX_TERMS, MAX_EXCEPTIONS = 400, 5000
+MAX_EXCEPTIONS = 5000
+MOST_ENTRIES = 200_000   # terms, and stems, that workers hold in memory; more is an error
 STEMS = (4, 5, 6)
 LEAST_DOCS = 3           # toxic texts that must hold a term
 LEAST_CLEAN = 2          # clean texts that make a word one of their own
@@ -257,11 +258,15 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
             - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
     counts = staged(counts.withColumn("odds", odds), "term-counts")
     strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
-    rows = strong.orderBy(F.desc("toxic"), "term", "stem").limit(MAX_TERMS).collect()
+    rows = strong.orderBy(F.desc("toxic"), "term", "stem").collect()
     terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
     # a stem below another stem adds nothing; a term does, as stems match without errors
     stems = {t: o for t, o in stems.items() if not any(t[:n] in stems for n in STEMS if n < len(t))}
+    for what, entries in (("terms", terms), ("stems", stems)):
+        if len(entries) > MOST_ENTRIES:
+            raise ValueError(f"{len(entries)} {what} tell toxic texts from others, more than "
+                             f"MOST_ENTRIES = {MOST_ENTRIES}: raise it, or LEAST_ODDS")
     rough = Lexicon(terms, stems)
 
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
