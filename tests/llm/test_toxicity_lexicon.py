@@ -92,3 +92,20 @@ def test_the_lexicon_has_no_cut(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MOST_ENTRIES", 599)
     with pytest.raises(ValueError, match="600 terms"):
         toxicity.train(docs, labels)
+
+
+def test_all_clean_words_near_a_term_are_exceptions(spark):
+    """5,200 clean words, each two letters from the one term."""
+    near, term = [], "disgusting"
+    for i in range(1, 10):
+        for j in range(i + 1, 10):
+            near += [term[:i] + a + term[i + 1:j] + b + term[j + 1:]
+                     for a in "bcfhjklmopqrv" for b in "bcfhjklmopqrv"]
+    near = near[:5200]
+    rows = [(i, f"{' '.join(near)} n{i}", 0) for i in range(10)]
+    rows += [(100 + i, " ".join(PLAIN) + f" n{i}", 0) for i in range(80)]
+    rows += [(1000 + i, f"{term} m{i}", 1) for i in range(20)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))[0]
+    assert len(set(near)) == 5200 and lexicon.find("dizgustinz")[1] == 2
+    assert not [w for w in near if lexicon.find(w)]

@@ -44,7 +44,6 @@ from zonecast.llm.common import staged
 from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 
 SAMPLE = 20_000
-MAX_EXCEPTIONS = 5000
 MOST_ENTRIES = 200_000   # terms, and stems, that workers hold in memory; more is an error
 STEMS = (4, 5, 6)
 LEAST_DOCS = 3           # toxic texts that must hold a term
@@ -277,8 +276,7 @@ def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
 
     used = (counts.where(~F.col("stem") & (F.col("clean") > F.col("toxic"))
                          & (F.col("clean") >= LEAST_CLEAN))
-            .select("term", "clean").mapInArrow(unlike, "term string, clean long")
-            .orderBy(F.desc("clean"), "term").limit(MAX_EXCEPTIONS).collect())
+            .select("term").mapInArrow(unlike, "term string").collect())
     return Lexicon(terms, stems, [r["term"] for r in used])
 
 
