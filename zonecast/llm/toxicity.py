@@ -76,6 +76,18 @@ def _cuts(size: int) -> list[int]:
     return [size * i // n for i in range(n + 1)]
 
 
+def _letters(word: str) -> int:
+    """A bit for each letter's first occurrence, its second, and so on; letters
+    may share theirs. An error sets one bit and clears one at most."""
+    out = 0
+    for c in word:
+        bit = 1 << (ord(c) & 63)
+        while out & bit:
+            bit <<= 64
+        out |= bit
+    return out
+
+
 class Trie:
     """Terms and stems, and an index of the terms' pieces."""
 
@@ -91,6 +103,7 @@ class Trie:
                 cuts = _cuts(len(t))
                 for p, (start, end) in enumerate(zip(cuts, cuts[1:])):
                     self.pieces.setdefault((len(t), p, t[start:end]), []).append(i)
+        self.letters = [(_letters(t), allowed_errors(t)) for t in terms]
         self.probes: dict[int, list[tuple[int, int, int, int]]] = {}
 
     def _probes(self, m: int) -> list[tuple[int, int, int, int]]:
@@ -112,7 +125,8 @@ class Trie:
 
     def candidates(self, word: str) -> set[int]:
         """All terms that can match: of one piece more than there are errors,
-        one stands in the word as it stands in the term."""
+        one stands in the word as it stands in the term, and an error brings or
+        takes one letter at most."""
         m = len(word)
         if not self.sizes or m > self.sizes[-1] + 2:
             return set()
@@ -120,8 +134,13 @@ class Trie:
             self.probes[m] = self._probes(m)
         pieces, out = self.pieces, set()
         for size, p, start, end in self.probes[m]:
-            out.update(pieces.get((size, p, word[start:end]), ()))
-        return out
+            if (found := pieces.get((size, p, word[start:end]))) is not None:
+                out.update(found)
+        if not out:
+            return out
+        own, letters = _letters(word), self.letters
+        return {i for i in out if (own & ~letters[i][0]).bit_count() <= letters[i][1]
+                and (letters[i][0] & ~own).bit_count() <= letters[i][1]}
 
     def match(self, word: str) -> tuple[int, bool, int] | None:
         """The best (entry number, is a stem, errors): fewest errors first,
@@ -146,7 +165,7 @@ class Trie:
         while stack:
             depth, below_it, states = stack.pop()
             children: dict[str, list[int]] = {}
-            for i in below_it:
+            for i in below_it:      # terms of the same letters up to here
                 term = self.terms[i]
                 if len(term) > depth:
                     children.setdefault(term[depth], []).append(i)
@@ -204,32 +223,36 @@ N_FEATURES = 11
 def context_features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """Scores of a document's matches and of the words around them."""
     out = np.zeros(N_FEATURES)
-    low = (text or "").lower()
-    words = WORDS.findall(low)
-    found = lexicon.matches(set(words))
+    tokens = TOKENS.findall((text or "").lower())
+    used = set(tokens)
+    found = lexicon.matches(used - QUOTES)
     if not found:
         return out
-    tokens = TOKENS.findall(low)
     places = [i for i, w in enumerate(tokens) if w in found]
     hits = [found[tokens[i]] for i in places]
     where = np.array(places)
-    around = (np.searchsorted(where, where + REACH, "right")
-              - np.searchsorted(where, where - REACH, "left") - 1)
-    quoted = addressed = reported = 0
-    inside = np.cumsum([t in QUOTES for t in tokens])
-    n_quotes = int(inside[-1])
-    for i in places:
-        near = tokens[max(0, i - REACH):i + REACH + 1]
-        opened = int(inside[i])
-        quoted += opened % 2 == 1 and n_quotes > opened
-        addressed += any(t in ADDRESS for t in near)
-        reported += any(t in REPORT for t in near)
+
+    def at(these: frozenset) -> np.ndarray:
+        these = these & used
+        return np.array([i for i, t in enumerate(tokens) if t in these] if these else [], int)
+
+    def within_reach(at: np.ndarray) -> np.ndarray:
+        return (np.searchsorted(at, where + REACH, "right")
+                - np.searchsorted(at, where - REACH, "left"))
+
+    around = within_reach(where) - 1
+    quotes = at(QUOTES)
+    opened = np.searchsorted(quotes, where)
+    quoted = int(((opened % 2 == 1) & (len(quotes) > opened)).sum())
+    addressed = int((within_reach(at(ADDRESS)) > 0).sum())
+    reported = int((within_reach(at(REPORT)) > 0).sum())
+    n_words = len(tokens) - len(quotes)
     n = len(hits)
     exact = sum(h[1] == 0 and not h[2] for h in hits)
     weights = [h[0] for h in hits]
     out[:] = [1, np.log1p(exact), np.log1p(sum(h[1] > 0 for h in hits)),
               np.log1p(sum(h[2] for h in hits)), np.log1p(len({h[2:] for h in hits})),
-              np.log1p(1000 * n / len(words)), max(weights) / 5, np.log1p(float(around.mean())),
+              np.log1p(1000 * n / n_words), max(weights) / 5, np.log1p(float(around.mean())),
               quoted / n, addressed / n, reported / n]
     return out
 
