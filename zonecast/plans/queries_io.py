@@ -88,11 +88,9 @@ def q_station_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(layer.schema).parquet(out)
 
 
-def _period_trips(spark: SparkSession, sf_dir: str, landing: bool) -> DataFrame:
-    t = fx.landing_trips_view(spark, sf_dir) if landing else fx.trips_view(spark, sf_dir)
-    ts = "tpep_pickup_datetime" if landing else "pu_time"
-    return rules.filter_time_range(t, FIXTURE_RULES.period_start, FIXTURE_RULES.period_end,
-                                   ts_col=ts)
+def _period_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.filter_time_range(fx.trips_view(spark, sf_dir), FIXTURE_RULES.period_start,
+                                   FIXTURE_RULES.period_end, ts_col="pu_time")
 
 
 def _month_bounds(month: str) -> tuple[str, str]:
@@ -102,15 +100,15 @@ def _month_bounds(month: str) -> tuple[str, str]:
 
 
 def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
-    """Land the period's trips as one folder per pickup month (landing names),
-    two months with drifted layouts. Returns the landing root.
+    """Land all trips as one folder per pickup month (landing names), two
+    months with drifted layouts. Returns the landing root.
 
     One pass writes every normal month; each drifted month is written on its
     own from a pickup-time range (pushed into the scan), so nothing is
     computed twice and no copy of the data is kept."""
     root = scratch_path(spark, "landing")
     month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
-    normal = (_period_trips(spark, sf_dir, landing=True).withColumn("month", month)
+    normal = (fx.landing_trips_view(spark, sf_dir).withColumn("month", month)
               .where(~F.col("month").isin(REORDERED_MONTH, RETYPED_MONTH)))
     writers.write_months(normal, root, "month")
 
@@ -132,14 +130,14 @@ def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
 @query("month_manifest")
 def q_month_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: months spanned by the period's pickups, with their landing paths."""
-    bounds = _period_trips(spark, sf_dir, landing=False).agg(
+    bounds = _period_trips(spark, sf_dir).agg(
         F.min("pu_time").alias("lo"), F.max("pu_time").alias("hi"))
     return files.month_manifest(bounds, "lo", "hi", "landing", prefix="month=")
 
 
 @query("scan_multi_month")
 def q_scan_multi_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the period's trips by month (two months drifted); build
+    """Land all trips by month (two months drifted); build
     the A4 manifest of the period's months (one candidate folder per month,
     no listing of the landing root); read every month that landed: conformed
     by name to the common schema (one normal month's footer with the count,
