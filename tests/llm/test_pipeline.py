@@ -10,7 +10,7 @@ from zonecast.llm import mixing, stages, suffix_arrays
 from zonecast.llm.oracle import ORACLE_SQL
 from zonecast.llm.queries import QUERIES
 
-TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations", "embeddings"]
 
 
 def canon(v):
@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, sf_small, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 # ---- mixing --------------------------------------------------------------

@@ -180,3 +180,64 @@ SELECT file, "offset", CASE mark WHEN 3 THEN 'missing' ELSE 'corrupt' END AS sta
        CASE WHEN mark < 3 THEN sha256("offset" || ',' || sha256('1' || damaged)) END AS right_hash
 FROM copies
 """
+
+
+def _license_sql() -> str:
+    """Windows of three words of texts and notices joined by their words;
+    diagonals at most three apart are one span (gaps and islands)."""
+    from zonecast.llm.license_scan import TEMPLATES
+
+    quoted = ", ".join(f"({i}, '{t.label}', '{t.text}', {str(t.base).lower()}, '{t.text if t.base else t.required}')"
+                       for i, t in enumerate(TEMPLATES))
+    return r"""
+WITH notice(t, label, said, is_base, needed) AS (VALUES """ + quoted + r"""),
+tw AS (SELECT t, label, is_base, string_split(said, ' ') AS w, string_split(needed, ' ') AS need FROM notice),
+tg AS (
+  SELECT t, len(w) - 2 AS windows, q, array_to_string(w[q + 1:q + 3], ' ') AS gram
+  FROM (SELECT t, w, unnest(range(0, len(w) - 2)) AS q FROM tw)),
+needed AS (
+  SELECT t, CAST(bit_or(CAST(1 AS BIGINT) << q) AS BIGINT) AS bits
+  FROM (
+    SELECT t, array_to_string(w, ' ') AS said, array_to_string(need, ' ') AS need,
+           unnest(range(0, len(w) - 2)) AS q, len(need) AS m,
+           len(string_split(split_part(' ' || array_to_string(w, ' ') || ' ',
+                                       ' ' || array_to_string(need, ' ') || ' ', 1), ' ')) - 1 AS fro
+    FROM tw)
+  WHERE q >= fro AND q <= fro + m - 3 GROUP BY t),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+grams AS (
+  SELECT rid, p, array_to_string(w[p + 1:p + 3], ' ') AS gram
+  FROM (SELECT rid, w, unnest(range(0, len(w) - 2)) AS p FROM docs)),
+votes AS (
+  SELECT rid, t, p - q AS diagonal, CAST(bit_or(CAST(1 AS BIGINT) << q) AS BIGINT) AS bits, max(windows) AS windows
+  FROM grams JOIN tg USING (gram) GROUP BY rid, t, p - q),
+parted AS (
+  SELECT *, sum(apart) OVER (PARTITION BY rid, t ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, t ORDER BY diagonal) <= 3
+                       THEN 0 ELSE 1 END AS apart FROM votes)),
+whole AS (SELECT p.*, p.bits & n.bits = n.bits AS is_whole FROM parted p JOIN needed n USING (t)),
+spans AS (
+  SELECT rid, t, bool_or(is_whole) AS is_whole, count(*) FILTER (WHERE is_whole) AS n,
+         min(diagonal) FILTER (WHERE is_whole) AS lo, max(diagonal) FILTER (WHERE is_whole) AS hi,
+         CAST(bit_count(CAST(bit_or(bits) AS BIGINT)) AS DOUBLE) / max(windows) AS covered
+  FROM whole GROUP BY rid, t, span),
+found AS (SELECT s.*, tw.label, tw.is_base FROM spans s JOIN tw USING (t)),
+per AS (
+  SELECT rid, sum(n) FILTER (WHERE is_base) AS n_base, min(lo) FILTER (WHERE is_base) AS lo,
+         max(hi) FILTER (WHERE is_base) AS hi, max(covered) AS score,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base AND n > 0) AS base,
+         string_agg(DISTINCT label, ',' ORDER BY label)
+           FILTER (WHERE is_base AND n > 0 OR is_whole AND covered >= CAST(0.8 AS DOUBLE)) AS labels
+  FROM found GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(lo AS BIGINT) AS first_word, CAST(hi AS BIGINT) AS last_word, coalesce(base, '') AS base_labels,
+       coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM docs LEFT JOIN per USING (rid)
+"""
+
+
+ORACLE_SQL["op13_diagonal_license_scan"] = _license_sql()

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.llm import (bloom_cascade, chat_format, fixity, mixing, page_diff, pu_quality, simhash,
-                          suffix_arrays, toxicity, tree_dedup)
+from zonecast.llm import (bloom_cascade, chat_format, fixity, license_scan, mixing, page_diff, pu_quality,
+                          simhash, suffix_arrays, token_alignment, toxicity, tree_dedup, whitening)
 from zonecast.llm.common import read, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,29 @@ def op9_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target weights."""
     return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_shifted_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened by their first eight components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), ["vec_id"], "embedding")
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """Paths of the two vocabularies that are aligned."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op12_pointer_jumping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups of two tokenizers in all documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.alignment(docs, ["doc_id"], "text", *tokenizer_files())
+
+
+@query
+def op13_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in all documents."""
+    return license_scan.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
