@@ -30,8 +30,10 @@ Null keys are carried as they are; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -43,13 +45,18 @@ from pyspark.sql import types as T
 from zonecast.llm.common import staged
 
 PIECE_CHARS = 1 << 16       # a longer text is encoded in pieces
-BATCH_BYTES = 4 << 20       # of text, aligned at once
+BATCH_CHARS = 1 << 20       # of text, aligned at once
+LONG_RUN = 1000             # characters of one run, from which encoding by ranks gets slow
 MAX_PAIRS = 1 << 23         # distinct pairs that a task may hold (12 bytes each)
 
 # The byte values that byte-level vocabularies write as
 # themselves; the others are written as characters from 256 on, in order.
 PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
+# Fixed value: the usual pattern that cuts text into words before the merges.
+WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+_RUN = re.compile(r"\S{%d}|\s{%d}" % (LONG_RUN, LONG_RUN))
 _CUT = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 
 
@@ -60,24 +67,28 @@ def byte_of_char() -> dict[str, int]:
 
 class Tokenizers:
     """The two tokenizers, from the contents of their files, and the bytes of
-    their tokens by id."""
+    their tokens by id.
+
+    A vocabulary whose merges are numbered in the order of their ids is encoded
+    from ranks, which takes a quarter of the time and gives the same ids; only
+    texts with a run of `LONG_RUN` characters without, or of, white space go to
+    the file's own tokenizer, whose time does not grow with a run's square."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
         import sentencepiece
-        import tokenizers
 
-        self.a = tokenizers.Tokenizer.from_str(a_file.decode("utf-8"))
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.b = sentencepiece.SentencePieceProcessor()
-        self.b.LoadFromSerializedProto(b_file)
+        self._a_file = a_file.decode("utf-8")
+        self._a = None
+        told = json.loads(self._a_file)
         chars = byte_of_char()
-        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        vocabulary = {**told["model"]["vocab"], **{t["content"]: t["id"] for t in told.get("added_tokens", [])}}
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             self.a_bytes[i] = (bytes(chars[c] for c in entry) if all(c in chars for c in entry)
                                else entry.encode("utf-8"))
+        self._ranks = self._by_rank(told)
+        self.b = sentencepiece.SentencePieceProcessor()
+        self.b.LoadFromSerializedProto(b_file)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i)
                         else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
@@ -85,6 +96,40 @@ class Tokenizers:
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        # ids as text, with what follows them within, and at the end of, a group
+        self.a_said = [np.array([b"%d%b" % (i, end) for i in range(len(self.a_bytes))], object) for end in (b",", b"|")]
+        self.b_said = [np.array([b"%d%b" % (i, end) for i in range(len(self.b_bytes))], object) for end in (b",", b";")]
+
+    def _by_rank(self, told: dict):
+        """An encoder by ranks; None unless the file is a plain byte-level
+        vocabulary with the usual pattern and merges in the order of ids."""
+        model, before = told["model"], told.get("pre_tokenizer") or {}
+        plain = (model.get("type", "BPE") == "BPE" and not told.get("normalizer")
+                 and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+                 and before.get("use_regex", True)
+                 and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix",
+                                                    "ignore_merges")))
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        made = [model["vocab"].get(x + y, -1) for x, y in pairs]
+        if not plain or made != sorted(made) or -1 in made:
+            return None
+        import tiktoken
+
+        ids = set(model["vocab"].values()) - {t["id"] for t in told.get("added_tokens", [])}
+        return tiktoken.Encoding("ranks", pat_str=WORD_PATTERN, special_tokens={},
+                                 mergeable_ranks={self.a_bytes[i]: i for i in ids})
+
+    @property
+    def a(self):
+        """The file's own tokenizer."""
+        if self._a is None:
+            import tokenizers
+
+            self._a = tokenizers.Tokenizer.from_str(self._a_file)
+            self._a.encode_special_tokens = True
+            self._a.no_truncation()
+            self._a.no_padding()
+        return self._a
 
     def pieces(self, text: str) -> list[str]:
         out, at = [], 0
@@ -104,16 +149,20 @@ class Tokenizers:
             want = b" " + text.encode("utf-8")
         except UnicodeEncodeError:
             return None
-        pieces = self.pieces(text)
-        a = [i for e in self.a.encode_batch([" " + pieces[0], *pieces[1:]], add_special_tokens=False)
-             for i in e.ids]
-        # the second tokenizer adds the space that each further piece starts with
-        b = [i for ids in self.b.encode([pieces[0], *[p[1:] for p in pieces[1:]]], num_threads=1)
-             for i in ids]
-        if b"".join(map(self.a_bytes.__getitem__, a)) != want:
-            return None
+        a: list[int] = []
+        b: list[int] = []
+        for i, piece in enumerate(self.pieces(text)):
+            first = " " + piece if i == 0 else piece
+            if self._ranks is None or _RUN.search(piece):
+                a += self.a.encode(first, add_special_tokens=False).ids
+            else:
+                a += self._ranks.encode_ordinary(first)
+            # the second tokenizer adds the space that each further piece starts with
+            b += self.b.encode(piece if i == 0 else piece[1:], num_threads=1)
         if b"".join(map(self.b_bytes.__getitem__, b)) != want:
             return None
+        if b"".join(map(self.a_bytes.__getitem__, a)) != want:
+            return None
         return a, b, len(want)
 
 
@@ -170,17 +219,40 @@ def group_sizes(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.nd
     return a_sizes, b_sizes
 
 
-ALIGNED = [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
-
-
-def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-
-
-def align_texts(tok: Tokenizers, texts: Sequence[str | None]) -> list[pa.Array]:
-    """The columns of `ALIGNED` for a list of texts."""
-    a_ids, b_ids, n_a, n_b, ends = [], [], [], [], [0]
+@dataclass(frozen=True)
+class Aligned:
+    """The tokens and groups of some texts, one text after the other."""
+    a_ids: np.ndarray
+    b_ids: np.ndarray
+    n_a: np.ndarray         # tokens of each text
+    n_b: np.ndarray
+    a_sizes: np.ndarray     # tokens of each group
+    b_sizes: np.ndarray
+    n_groups: np.ndarray    # groups of each text
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids linked: the last tokens of a group end together."""
+        return self.a_ids[np.cumsum(self.a_sizes) - 1], self.b_ids[np.cumsum(self.b_sizes) - 1]
+
+    def said(self, tok: Tokenizers) -> list[bytes]:
+        """Each text's groups as `a1,a2|b1;a3|b2,b3`."""
+        a_to, b_to = np.cumsum(self.a_sizes), np.cumsum(self.b_sizes)
+        out = np.empty(len(self.a_ids) + len(self.b_ids), object)
+        # a token stands behind its group's A tokens and all earlier groups
+        out[np.arange(len(self.a_ids)) + np.repeat(b_to - self.b_sizes, self.a_sizes)] = tok.a_said[0][self.a_ids]
+        out[np.arange(len(self.b_ids)) + np.repeat(a_to, self.b_sizes)] = tok.b_said[0][self.b_ids]
+        a_last, b_last = self.links()
+        out[a_to - 1 + b_to - self.b_sizes] = tok.a_said[1][a_last]
+        out[a_to + b_to - 1] = tok.b_said[1][b_last]
+        at = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
+        pieces = out.tolist()
+        return [b"".join(pieces[x:y])[:-1] for x, y in zip(at, at[1:])]
+
+
+def align_texts(tok: Tokenizers, texts: Sequence[str | None]) -> Aligned:
+    a_ids: list[int] = []
+    b_ids: list[int] = []
+    n_a, n_b, ends = [], [], [0]
     for text in texts:
         a, b, size = tok.encode(text) or ([], [], 0)
         a_ids += a
@@ -188,24 +260,30 @@ def align_texts(tok: Tokenizers, texts: Sequence[str | None]) -> list[pa.Array]:
         n_a.append(len(a))
         n_b.append(len(b))
         ends.append(ends[-1] + size)
-    a_ids, b_ids = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-    a_end, b_end = np.cumsum(tok.a_len[a_ids]), np.cumsum(tok.b_len[b_ids])
-    a_sizes, b_sizes = group_sizes(a_end, b_end) if len(a_ids) else (np.zeros(0, int), np.zeros(0, int))
+    a_all, b_all = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+    a_end, b_end = np.cumsum(tok.a_len[a_all]), np.cumsum(tok.b_len[b_all])
+    none = np.zeros(0, np.int64)
+    a_sizes, b_sizes = group_sizes(a_end, b_end) if len(a_all) else (none, none)
     # groups of each text: those whose last token ends within it
-    group_end = a_end[np.cumsum(a_sizes) - 1] if len(a_sizes) else np.zeros(0, int)
-    per_text = np.diff(np.searchsorted(group_end, np.array(ends), side="right"))
-    return [_lists(a_ids, n_a), _lists(b_ids, n_b), _lists(a_sizes, per_text), _lists(b_sizes, per_text)]
+    group_end = a_end[np.cumsum(a_sizes) - 1] if len(a_sizes) else none
+    n_groups = np.diff(np.searchsorted(group_end, np.array(ends), side="right"))
+    return Aligned(a_all, b_all, np.array(n_a, np.int64), np.array(n_b, np.int64), a_sizes, b_sizes, n_groups)
 
 
-def align(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path: str) -> DataFrame:
-    """One row per row of `docs`: its keys and `ALIGNED` -- the ids of both
-    tokenizers in order, and how many of each the groups hold in order. The
-    files are read here; their contents go to the tasks."""
-    spark = docs.sparkSession
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+
+def _each_text(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path: str,
+               fields: list[T.StructField],
+               columns: Callable[[Tokenizers, Aligned], list[pa.Array]]) -> DataFrame:
+    """The keys of `docs` and the columns made of their texts. The files are
+    read here; their contents go to the tasks."""
     with open(a_path, "rb") as f, open(b_path, "rb") as g:
-        files = spark.sparkContext.broadcast((f.read(), g.read()))
+        files = docs.sparkSession.sparkContext.broadcast((f.read(), g.read()))
     rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`").alias("_zc_text"))
-    out = T.StructType([*rows.schema.fields[:-1], *ALIGNED])
+    out = T.StructType([*rows.schema.fields[:-1], *fields])
 
     def task(batches):
         tok = _load(*files.value)
@@ -214,46 +292,75 @@ def align(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path:
             start = 0
             while start < batch.num_rows:       # a bounded amount of text at once
                 part, size = [], 0
-                while start + len(part) < batch.num_rows and (not part or size < BATCH_BYTES):
+                while start + len(part) < batch.num_rows and (not part or size < BATCH_CHARS):
                     part.append(texts[start + len(part)].as_py())
                     size += len(part[-1] or "")
-                columns = [c.slice(start, len(part)) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays([*columns, *align_texts(tok, part)], names=out.names)
+                own = [c.slice(start, len(part)) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*own, *columns(tok, align_texts(tok, part))], names=out.names)
                 start += len(part)
 
     return rows.mapInArrow(task, out)
 
 
-def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column, and where each row's start and the last ends."""
-    column = batch.column(name)
-    sizes = np.asarray(column.value_lengths()).astype(np.int64)
-    return np.asarray(column.flatten()).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
-
+def _ints(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType()))
 
-def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids linked, A's and B's, and each row's range: the last tokens of a
-    group end together."""
-    a_ids, _ = _flat(batch, "a_ids")
-    b_ids, _ = _flat(batch, "b_ids")
-    a_sizes, at = _flat(batch, "a_sizes")
-    b_sizes, _ = _flat(batch, "b_sizes")
-    return a_ids[np.cumsum(a_sizes) - 1], b_ids[np.cumsum(b_sizes) - 1], at
 
-
-def link_counts(aligned: DataFrame) -> DataFrame:
+def align(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path: str) -> DataFrame:
+    """One row per row of `docs`: its keys, a_ids and b_ids (the tokens of both
+    tokenizers in order), a_sizes and b_sizes (how many of each the groups
+    hold, in order)."""
+    def columns(tok: Tokenizers, got: Aligned) -> list[pa.Array]:
+        return [_lists(got.a_ids, got.n_a), _lists(got.b_ids, got.n_b),
+                _lists(got.a_sizes, got.n_groups), _lists(got.b_sizes, got.n_groups)]
+
+    return _each_text(docs, keys, text, a_path, b_path,
+                      [_ints(c) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes")], columns)
+
+
+def linked(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path: str) -> DataFrame:
+    """One row per row of `docs`: its keys, n_a, n_b, n_groups, groups_sha256
+    and its links, a_link and b_link (the ids that end together, in order)."""
+    def columns(tok: Tokenizers, got: Aligned) -> list[pa.Array]:
+        digests = [hashlib.sha256(x).hexdigest() if x else "" for x in got.said(tok)]
+        a, b = got.links()
+        return [pa.array(got.n_a), pa.array(got.n_b), pa.array(got.n_groups.astype(np.int64)),
+                pa.array(digests, pa.string()), _lists(a, got.n_groups), _lists(b, got.n_groups)]
+
+    return _each_text(docs, keys, text, a_path, b_path, [
+        *[T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups")],
+        T.StructField("groups_sha256", T.StringType()), _ints("a_link"), _ints("b_link")], columns)
+
+
+def _codes(batch: pa.RecordBatch) -> np.ndarray:
+    """a << 32 | b of all links of a batch, one row's after the other."""
+    a, b = (np.asarray(batch.column(c).flatten()).astype(np.int64) for c in ("a_link", "b_link"))
+    return a << 32 | b
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of about `most` links."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(batch.column("a_link").value_lengths()).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + most)))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def link_counts(links: DataFrame) -> DataFrame:
     """(a_id, b_id, n): how often two ids are linked in all rows."""
     def task(batches):
-        for batch in batches:
-            a, b, _ = _links(batch)
-            code, n = np.unique(a << 32 | b, return_counts=True)
+        for batch in _slices(batches):
+            code, n = np.unique(_codes(batch), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array((code >> 32).astype(np.int32)),
                                               pa.array((code & 0xFFFFFFFF).astype(np.int32)),
                                               pa.array(n.astype(np.int64))], ["a_id", "b_id", "n"])
 
-    links = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes")
-    return (links.mapInArrow(task, "a_id int, b_id int, n long").groupBy("a_id", "b_id")
-            .agg(F.sum("n").alias("n")))
+    return (links.select("a_link", "b_link").mapInArrow(task, "a_id int, b_id int, n long")
+            .groupBy("a_id", "b_id").agg(F.sum("n").alias("n")))
 
 
 def link_table(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -271,56 +378,33 @@ def link_table(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, n, n == most[b]
 
 
-def groups_text(a: Sequence[int], b: Sequence[int], a_sizes: Sequence[int],
-                b_sizes: Sequence[int]) -> str:
-    """The groups as `a1,a2|b1;a3|b2,b3`."""
-    a, b = list(map(str, a)), list(map(str, b))
-    out, i, j = [], 0, 0
-    for n, m in zip(a_sizes, b_sizes):
-        if n == 1 == m:
-            out.append(a[i] + "|" + b[j])
-        else:
-            out.append(",".join(a[i:i + n]) + "|" + ",".join(b[j:j + m]))
-        i += n
-        j += m
-    return ";".join(out)
-
-
-def measured(aligned: DataFrame, keys: Sequence[str], counts: DataFrame) -> DataFrame:
-    """Per row its keys, n_a, n_b, n_groups, n_links, n_best (links whose count
-    is their B id's highest), count_sum (of its links' counts) and
+def measured(links: DataFrame, keys: Sequence[str], counts: DataFrame) -> DataFrame:
+    """Per row of `linked` its keys, n_a, n_b, n_groups, n_links, n_best (links
+    whose count is their B id's highest), count_sum (of its links' counts) and
     groups_sha256."""
-    rows = aligned.select(*[F.col(f"`{k}`") for k in keys], "a_ids", "b_ids", "a_sizes", "b_sizes")
-    longs = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-    out = T.StructType([*rows.schema.fields[:-4], *[T.StructField(c, T.LongType()) for c in longs],
+    rows = links.select(*[F.col(f"`{k}`") for k in keys], "n_a", "n_b", "n_groups", "groups_sha256",
+                        "a_link", "b_link")
+    out = T.StructType([*rows.schema.fields[:-3],
+                        *[T.StructField(c, T.LongType()) for c in ("n_links", "n_best", "count_sum")],
                         T.StructField("groups_sha256", T.StringType())])
-    table = aligned.sparkSession.sparkContext.broadcast(link_table(counts))
+    table = links.sparkSession.sparkContext.broadcast(link_table(counts))
 
     def task(batches):
         code, count, best = table.value
-        for batch in batches:
-            a, b, at = _links(batch)
-            place = np.searchsorted(code, a << 32 | b)
+        for batch in _slices(batches):
+            place = np.searchsorted(code, _codes(batch))
+            n = np.asarray(batch.column("a_link").value_lengths()).astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(n)])
             sums = np.concatenate([[0], np.cumsum(count[place])])
             bests = np.concatenate([[0], np.cumsum(best[place].astype(np.int64))])
-            (a_ids, a_at), (b_ids, b_at) = _flat(batch, "a_ids"), _flat(batch, "b_ids")
-            (a_sizes, _), (b_sizes, _) = _flat(batch, "a_sizes"), _flat(batch, "b_sizes")
-            digests = []
-            for i in range(batch.num_rows):
-                g = slice(at[i], at[i + 1])
-                said = groups_text(a_ids[a_at[i]:a_at[i + 1]].tolist(), b_ids[b_at[i]:b_at[i + 1]].tolist(),
-                                   a_sizes[g].tolist(), b_sizes[g].tolist())
-                digests.append(hashlib.sha256(said.encode()).hexdigest() if said else "")
-            groups = np.diff(at)
-            columns = [np.diff(a_at), np.diff(b_at), groups, groups, np.diff(bests[at]), np.diff(sums[at])]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-4], *[pa.array(c.astype(np.int64)) for c in columns],
-                 pa.array(digests, pa.string())], names=out.names)
+                [*batch.columns[:-3], pa.array(n), pa.array(np.diff(bests[at])), pa.array(np.diff(sums[at])),
+                 batch.column(batch.num_columns - 3)], names=out.names)
 
     return rows.mapInArrow(task, out)
 
 
 def alignment(docs: DataFrame, keys: Sequence[str], text: str, a_path: str, b_path: str) -> DataFrame:
-    """`align` written once, counted, and measured."""
-    aligned = staged(align(docs, keys, text, a_path, b_path), "aligned", "zstd")
-    return measured(aligned, keys, staged(link_counts(aligned), "link-counts"))
+    """`linked` written once, its links counted, and measured."""
+    links = staged(linked(docs, keys, text, a_path, b_path), "linked", "zstd")
+    return measured(links, keys, staged(link_counts(links), "link-counts"))
