@@ -25,8 +25,6 @@ def _formatted(df) -> str:
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_plan_has_no_forbidden_operator(spark, sf_small, name):
-    if name in ("tree_metrics", "tree_grid_search"):
-        pytest.skip("pyspark.ml fits run their own jobs; the result is a small frame")
     plan = _plan(E.queries()[name](spark, sf_small))
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op} in plan"
@@ -40,9 +38,26 @@ def test_clean_trips_pushes_rules_into_scans(spark, sf_small):
     assert "LeftSemi" in plan
 
 
-def test_scan_prunes_columns(spark, sf_small):
+def test_scan_reads_all_columns_of_a_whole_table(spark, sf_small):
     plan = _formatted(E.queries()["scan_parquet"](spark, sf_small))
-    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
+    assert ("ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,"
+            "value:double,props:string>") in plan
+
+
+def test_scan_prunes_columns(spark, sf_small):
+    plan = _formatted(E.queries()["hourly_pickups"](spark, sf_small))
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+def test_join_of_clustered_sides_plans_no_exchange(spark, sf_small):
+    from zonecast.operators import combine
+    from zonecast.plans.queries_io import clustered_sides
+
+    picked, ridden = clustered_sides(spark, sf_small)
+    for df in (combine.combined_demand(picked, ridden),
+               picked.groupBy("locationid", "hour_ts").agg({"pu_hourly": "sum"})):
+        plan = _plan(df)
+        assert "Exchange" not in plan and "Bucketed: true" in plan
 
 
 def test_funnel_is_one_aggregate(spark, sf_small):

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonecast.functions.geometry import NY_LONG_ISLAND_FTUS, lcc_forward, lcc_inverse
-from zonecast.operators import spatial
+from zonecast.operators import polygons, quadtree, spatial
+from zonecast.plans.strategy import materialize
 from zonecast.sources import fixtures as fx
 
 VSCHEMA = "locationid bigint, ring int, seq int, x double, y double"
@@ -37,7 +38,7 @@ def test_point_in_zone_rules(spark, broadcast):
     pts = spark.createDataFrame(POINTS, "pid string, lon double, lat double")
     shapes = spatial.zone_shapes(_zones(spark))
     got = {r.pid: r.locationid for r in
-           spatial.assign_zone(pts, shapes, tile_size=1.0, broadcast=broadcast).collect()}
+           spatial.assign_zone(pts, shapes, max_edges=6, broadcast=broadcast).collect()}
     assert got["outside"] is None            # D2: NULL, not a row index
     assert got["in1"] == 1
     assert got["overlap"] == 1               # D3: lowest zone id wins
@@ -49,11 +50,11 @@ def test_point_in_zone_rules(spark, broadcast):
     assert len(got) == len(POINTS)           # a left join: every point kept once
 
 
-def test_tile_size_does_not_change_result(spark, sf_small):
+def test_leaf_size_does_not_change_result(spark, sf_small):
     shapes = spatial.zone_shapes(fx.zone_vertices_view(spark, sf_small))
     pts = fx.customer_points_view(spark, sf_small)
-    a = spatial.assign_zone(pts, shapes, tile_size=1.0).select("point_id", "locationid")
-    b = spatial.assign_zone(pts, shapes, tile_size=0.37).select("point_id", "locationid")
+    a = spatial.assign_zone(pts, shapes, max_edges=1000).select("point_id", "locationid")
+    b = spatial.assign_zone(pts, shapes, max_edges=4).select("point_id", "locationid")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -94,10 +95,10 @@ def test_lcc_round_trip(spark):
 
 
 def test_geojson_lines_parse_back(spark, sf_small):
-    feats = spatial.zone_features(fx.zone_vertices_view(spark, sf_small),
-                                  fx.zone_attrs_view(spark, sf_small))
+    feats = polygons.zone_features(fx.zone_vertices_view(spark, sf_small),
+                                   fx.zone_attrs_view(spark, sf_small))
     lines = feats.select(F.col("feature").alias("value"))
-    parsed = spatial.parse_features(lines).collect()
+    parsed = polygons.parse_features(lines).collect()
     assert len(parsed) == 25
     for p in parsed:
         ring = p.coordinates[0]
@@ -142,30 +143,166 @@ def test_point_in_zone_matches_brute_force(spark):
         expect[pid] = min(hits) if hits else None
     shapes = spatial.zone_shapes(spark.createDataFrame(verts, VSCHEMA))
     df = spark.createDataFrame(pts, "pid long, lon double, lat double")
-    for ts in (None, 0.2, 0.5, 3.0):
-        got = {r.pid: r.locationid for r in spatial.assign_zone(df, shapes, tile_size=ts).collect()}
+    for most, broadcast in ((64, None), (3, True), (10, False)):
+        got = {r.pid: r.locationid for r in spatial.assign_zone(
+            df, shapes, max_edges=most, broadcast=broadcast).collect()}
         assert got == expect
 
 
-def test_salted_shuffle_join_spreads_a_hot_tile(spark):
-    # a third of all points sit in one tile: the shuffle join keys on
-    # (tile, salt), so that tile's points land in many reduce partitions
-    from pyspark.sql import functions as F
-
+def test_a_crowded_place_and_cell_are_spread(spark):
+    # a third of all points stand on one spot, another third in one leaf
     pts = spark.range(3000).select(
         F.col("id").alias("pid"),
-        F.when(F.col("id") % 3 == 0, F.lit(1.5) + (F.col("id") % 97) / 1000.0)
+        F.when(F.col("id") % 3 == 0, F.lit(1.5)).when(F.col("id") % 3 == 1, F.lit(1.2) + F.col("id") / 1e5)
          .otherwise((F.col("id") % 40).cast("double")).alias("lon"),
-        F.when(F.col("id") % 3 == 0, F.lit(1.5)).otherwise((F.col("id") % 13).cast("double"))
-         .alias("lat"))
+        F.when(F.col("id") % 3 == 0, F.lit(1.5)).when(F.col("id") % 3 == 1, F.lit(1.2))
+         .otherwise((F.col("id") % 13).cast("double")).alias("lat"))
+    more = spark.createDataFrame([(5000, None, 1.0), (5001, float("nan"), 1.0), (5002, 0.0, 0.5), (5003, -0.0, 0.5),
+                                  (5004, 1e300, 0.0), (5005, None, None)], "pid long, lon double, lat double")
+    pts = materialize(pts.unionByName(more))
     shapes = spatial.zone_shapes(_zones(spark))
-    b = spatial.assign_zone(pts, shapes, tile_size=1.0, broadcast=True)
-    s = spatial.assign_zone(pts, shapes, tile_size=1.0, broadcast=False)
-    assert b.exceptAll(s).count() == 0 and s.count() == 3000
-    plan = s._jdf.queryExecution().executedPlan().toString()
-    # both sides are hash partitioned on (tile x, tile y, salt)
-    assert plan.count("hashpartitioning(_tx") >= 2
-    assert all("_salt" in line for line in plan.split("\n") if "hashpartitioning(_tx" in line)
-    hot = pts.where((F.col("lat") == 1.5) & (F.col("lon") < 2.0))
-    salts = hot.select(F.pmod(F.xxhash64("pid", "lon", "lat"), F.lit(32)).alias("s"))
-    assert salts.distinct().count() == 32          # the hot tile uses every bucket
+    b = spatial.assign_zone(pts, shapes, max_edges=6, broadcast=True)
+    s = spatial.assign_zone(pts, shapes, max_edges=6, broadcast=False)
+    assert b.exceptAll(s).count() == 0 and s.count() == 3006
+    got = {r.pid: r.locationid for r in s.where("pid >= 5000").collect()}
+    assert got[5002] == got[5003] == 1 and {got[i] for i in (5000, 5001, 5004, 5005)} == {None}
+    # identical points are joined back by a broadcast, never by their one key
+    tree = quadtree.build(shapes, max_edges=6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = quadtree._looked_up(pts.select("pid", "lon", "lat"), tree, F.col("lon"), F.col("lat"), "z",
+                               F.array_min, False)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keyed = [line for line in plan.split("\n") if "hashpartitioning(_cell" in line]
+    assert keyed and all("_salt" in line for line in keyed)
+    salts = pts.where("pid < 3000 and pid % 3 = 1").select(F.pmod(F.xxhash64("lon", "lat"), F.lit(32)).alias("s"))
+    assert salts.distinct().count() == 32          # a crowded leaf uses every task
+
+
+def _wave(zone, ring, cx, cy, r, corners, folds):
+    """A folded outline of many corners: dense, and seen from far away."""
+    out = []
+    for i in range(corners):
+        a = 2 * math.pi * i / corners
+        rr = r * (1 + 0.3 * math.sin(folds * a))
+        out.append((zone, ring, i, cx + rr * math.cos(a), cy + rr * math.sin(a)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_one_huge_zone_beside_small_ones(spark, broadcast):
+    import random
+
+    rnd = random.Random(11)
+    verts = _wave(1, 0, 0.0, 0.0, 50.0, 4000, 40) + _wave(1, 1, 5.0, 5.0, 10.0, 500, 9)
+    for z in range(2, 30):
+        verts += _wave(z, 0, rnd.uniform(-40, 40), rnd.uniform(-40, 40), rnd.uniform(0.05, 0.4), 12, 3)
+    rings = {}
+    for z, ring, _, vx, vy in verts:
+        rings.setdefault(z, {}).setdefault(ring, []).append((vx, vy))
+    pts = [(i, rnd.uniform(-70, 70), rnd.uniform(-70, 70)) for i in range(250)]
+    pts += [(1000 + i, vx + rnd.uniform(-.2, .2), vy + rnd.uniform(-.2, .2))
+            for i, (_, _, _, vx, vy) in enumerate(rnd.sample(verts, 250))]
+    pts += [(2000 + i, vx, vy) for i, (_, _, _, vx, vy) in enumerate(rnd.sample(verts, 100))]
+    expect = {}
+    for pid, px, py in pts:
+        expect[pid] = sorted(z for z, rs in rings.items() if _even_odd(px, py, list(rs.values())))
+    shapes = spatial.zone_shapes(spark.createDataFrame(verts, VSCHEMA))
+    df = spark.createDataFrame(pts, "pid long, lon double, lat double")
+    tree = quadtree.build(shapes, max_edges=16)
+    got = {r.pid: r.z for r in quadtree.containing(df, tree, "lon", "lat", "z", broadcast=broadcast).collect()}
+    assert got == expect and len({tuple(v) for v in expect.values()}) > 8 and len(tree.levels) > 1
+
+
+def test_edges_on_each_other_are_not_cut_for_ever(spark):
+    # fifty equal zones: no cell on their outline can hold few edges
+    verts = [v for z in range(1, 51) for v in _square(z, 0, 1.0, 1.0, 3.0, 3.0)]
+    tree = quadtree.build(spatial.zone_shapes(spark.createDataFrame(verts, VSCHEMA)), max_edges=8)
+    assert tree.n_leaves < 2000
+    pts = spark.createDataFrame([(1, 2.0, 2.0), (2, 0.0, 2.0), (3, 3.5, 2.0)], "pid long, lon double, lat double")
+    got = {r.pid: len(r.z) for r in quadtree.containing(pts, tree, "lon", "lat", "z").collect()}
+    assert got == {1: 50, 2: 0, 3: 0}
+
+
+def test_leaves_hold_few_edges_and_their_copies_are_bounded(spark):
+    shapes = spatial.zone_shapes(spark.createDataFrame(_wave(1, 0, 0.0, 0.0, 50.0, 6000, 40), VSCHEMA))
+    tree = quadtree.build(shapes, max_edges=64)
+    held = tree.leaves.where("cell >= 0").select(F.aggregate("candidates", F.lit(0), lambda n, c: (
+        n + F.size(c["edges"]) + F.size(c["turns"]))).alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 64 and held.count() == tree.n_leaves
+    # an edge is in the few leaves it reaches, not in every cell of the outline
+    assert tree.n_edges < 4 * 6000 and len(tree.levels) > 1
+
+
+def test_empty_layer_and_no_points(spark):
+    none = spatial.zone_shapes(spark.createDataFrame([], VSCHEMA))
+    pts = spark.createDataFrame([(1, 0.0, 0.0)], "pid long, lon double, lat double")
+    for broadcast in (True, False):
+        assert [r.locationid for r in spatial.assign_zone(pts, none, broadcast=broadcast).collect()] == [None]
+        assert spatial.assign_zone(pts.limit(0), spatial.zone_shapes(_zones(spark)), broadcast=broadcast).count() == 0
+
+
+# --- zones of several parts ---------------------------------------------------
+
+def _nested(spark):
+    v = _square(1, 0, 3.0, 3.0, 4.0, 4.0)          # an island in the hole of ring 2
+    v += _square(1, 1, 20.0, 0.0, 24.0, 4.0)[::-1]  # a second part, clockwise
+    v += _square(1, 2, 0.0, 0.0, 10.0, 10.0)
+    v += _square(1, 3, 2.0, 2.0, 8.0, 8.0)
+    v += _square(1, 4, 20.0, 0.0, 22.0, 2.0)        # a hole that touches its shell's corner
+    v += _square(2, 0, 1.0, 1.0, 9.0, 9.0)          # another zone, over the first
+    v = [(z, r, i % 4, x, y) for i, (z, r, _, x, y) in enumerate(v)]
+    return spark.createDataFrame(v, VSCHEMA)
+
+
+def test_ring_nesting(spark):
+    for broadcast in (True, False):
+        got = {(r.locationid, r.ring): (r.part, r.hole, r.depth) for r in
+               polygons.ring_parts(_nested(spark), broadcast).collect()}
+        assert got == {(1, 0): (0, False, 2), (1, 1): (1, False, 0), (1, 2): (2, False, 0), (1, 3): (2, True, 1),
+                       (1, 4): (1, True, 1), (2, 0): (0, False, 0)}
+    for r in polygons.ring_parts(_nested(spark)).collect():
+        pts = [(p.x, p.y) for p in r.v]
+        area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(pts, pts[1:] + pts[:1])) / 2
+        assert (area < 0) == r.hole
+
+
+def test_multipart_zone_round_trips_as_geojson_and_wkt(spark):
+    attrs = spark.createDataFrame([(1, "b", "z1"), (2, "b", "z2")], "locationid long, borough string, zone string")
+    feats = polygons.zone_features(_nested(spark), attrs)
+    got = {r.locationid: r for r in polygons.parse_features(feats.select(F.col("feature").alias("value"))).collect()}
+    assert got[1].geometry_type == "MultiPolygon" and got[1].coordinates is None
+    assert [[len(r) for r in p] for p in got[1].polygons] == [[5], [5, 5], [5, 5]]
+    assert got[2].geometry_type == "Polygon" and len(got[2].coordinates) == len(got[2].polygons) == 1
+    wkt = polygons.to_wkt(_nested(spark))
+    text = {r.locationid: r.wkt for r in wkt.collect()}
+    assert text[2].startswith("POLYGON ((1.0 1.0, ") and text[1].startswith("MULTIPOLYGON (((")
+    back = polygons.wkt_vertices(polygons.read_wkt(wkt))
+    assert {(r.locationid, r.part, r.ring) for r in back.collect()} == {
+        (1, 0, 0), (1, 1, 1), (1, 1, 2), (1, 2, 3), (1, 2, 4), (2, 0, 0)}
+    same = lambda v: {tuple(sorted([(r.x1, r.y1), (r.x2, r.y2)])) for r in spatial.polygon_edges(v).collect()}
+    assert same(back) == same(_nested(spark))
+
+
+@pytest.mark.parametrize("text, problem, parts", [
+    ("POLYGON((0 0,1 0,1 1,0 0))", None, 1), ("polygon z ((0 0 5, 1 0 5, 1 1 5, 0 0 5))", None, 1),
+    ("MULTIPOLYGON(((0 0,1 0,1 1,0 0)),((5 5,6 5,6 6,5 5),(5.1 5.1,5.2 5.1,5.2 5.2,5.1 5.1)))", None, 2),
+    ("POLYGON ((-1e2 .5, 1.25E-3 0, 1 1., -1e2 .5))", None, 1), ("POLYGON EMPTY", None, 0),
+    (None, "missing", None), ("", "not a polygon", None), ("LINESTRING (0 0, 1 1)", "not a polygon", None),
+    ("POLYGON (0 0, 1 0, 1 1, 0 0)", "unbalanced", None), ("POLYGON ((0 0, 1 0, 1 1, 0 0)))", "unbalanced", None),
+    ("POLYGON ((0 0, 1 0, 1 nan, 0 0))", "not a number", None), ("POLYGON ((0 0, 1, 1 1, 0 0))", "not a number", None),
+    ("POLYGON ((0 0, (1 0), 1 1, 0 0))", "not a number", None), ("POLYGON (())", "not a number", None),
+    ("POLYGON ((0 0, 1 0, 0 0))", "too few points", None), ("POLYGON ((0 0, 1 0, 1 1, 0 1))", "not closed", None),
+])
+def test_wkt_texts(spark, text, problem, parts):
+    df = spark.createDataFrame([(1, text)], "locationid long, wkt string")
+    r = polygons.read_wkt(df).first()
+    assert r.problem == problem and (None if r.polygons is None else len(r.polygons)) == parts
+    assert problem is None or problem in polygons.REASONS
+
+
+def test_a_long_wkt_text(spark):
+    n = 50_000
+    pts = [f"{math.cos(2 * math.pi * i / n)!r} {math.sin(2 * math.pi * i / n)!r}" for i in range(n)]
+    df = spark.createDataFrame([(1, f"POLYGON (({', '.join([*pts, pts[0]])}))")], "locationid long, wkt string")
+    assert polygons.wkt_vertices(polygons.read_wkt(df)).count() == n

@@ -1,4 +1,4 @@
-"""Demand models (M1-M9).
+"""Demand models: splits, ridge, metrics (M1-M7); `trees` has M8 and M9.
 
 * Splits are deterministic hash buckets of the row key (md5 -> first 8 hex
   digits -> integer -> mod 100), so every engine and every partitioning
@@ -11,13 +11,10 @@
   shifted by their training means (a first, one-row aggregate) to avoid
   cancellation in the sums.
 * Prediction and metrics are column expressions / one aggregate.
-* Trees use pyspark.ml's distributed DecisionTreeRegressor and
-  CrossValidator (with a deterministic fold column).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,7 +26,6 @@ LABEL = "pu_hourly"
 # The surveyed ridge grid (alpha = 1, 3, ..., 15), 5 folds.
 RIDGE_ALPHAS = (1, 3, 5, 7, 9, 11, 13, 15)
 N_FOLDS = 5
-MAX_BINS = 512      # cut points per tree feature; above the largest zone id
 ROW_KEY = ("locationid", "year", "month", "dayofmonth", "hour")
 
 
@@ -255,65 +251,3 @@ def regression_metrics(df: DataFrame, label: str, prediction: Column | str,
     sst = F.col("var") * F.col("n")
     return agg.select(by, "n", (F.col("sse") / F.col("n")).alias("mse"),
                       F.when(sst > 0, 1 - F.col("sse") / sst).alias("r2"))
-
-
-# --- M8 / M9: trees -------------------------------------------------------------
-
-def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(features), outputCol="features",
-                           handleInvalid="error").transform(df)
-
-
-def fit_tree(train: DataFrame, features: Sequence[str], label: str = LABEL,
-             max_depth: int = 30, min_instances: int = 1, seed: int = 42,
-             max_bins: int = MAX_BINS):
-    """M8: a regression tree (variance impurity, quantile-binned splits;
-    `max_bins` at least the number of zones, so that each id can be a cut).
-    A row with a missing feature raises, in training and in scoring.
-    Depth defaults to Spark's maximum, 30, standing in for an unlimited tree;
-    each level is one pass over the (zone-hour sized) training table."""
-    from pyspark.ml.regression import DecisionTreeRegressor
-
-    check_features(features, label)
-    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth,
-                               minInstancesPerNode=min_instances, seed=seed, maxBins=max_bins)
-    return dt.fit(_assemble(train.withColumn(label, F.col(label).cast("double")), features))
-
-
-def tree_predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return model.transform(_assemble(df, features))
-
-
-def min_instances_for_split(min_samples_split: int) -> int:
-    """`min_samples_split` s has no Spark twin; ceil(s / 2) children rows."""
-    return int(math.ceil(min_samples_split / 2))
-
-
-def tree_grid_search(train: DataFrame, features: Sequence[str], label: str = LABEL,
-                     depths: Sequence[int] = (1, 2, 3, 4),
-                     min_splits: Sequence[int] = tuple(range(2, 10)),
-                     fold_col: str = "fold", parallelism: int = 4, seed: int = 42,
-                     max_bins: int = MAX_BINS):
-    """M9: k-fold grid over depth x min split (variance impurity only),
-    using the deterministic fold column; returns (cv model, param rows)."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.regression import DecisionTreeRegressor
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-
-    check_features(features, label)
-    dt = DecisionTreeRegressor(featuresCol="features", labelCol=label, seed=seed,
-                               maxBins=max_bins)
-    mins = sorted({min_instances_for_split(s) for s in min_splits})
-    grid = (ParamGridBuilder().addGrid(dt.maxDepth, list(depths))
-            .addGrid(dt.minInstancesPerNode, mins).build())
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="mse")
-    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=N_FOLDS, foldCol=fold_col, parallelism=parallelism,
-                        seed=seed)
-    data = _assemble(train.withColumn(label, F.col(label).cast("double")), features)
-    model = cv.fit(data)
-    rows = [(int(pm[dt.maxDepth]), int(pm[dt.minInstancesPerNode]), float(m))
-            for pm, m in zip(grid, model.avgMetrics)]
-    return model, rows

@@ -1,22 +1,14 @@
 """Polygons and the point-in-zone join.
 
-Zones arrive as a vertex table (locationid, ring, seq, x, y). One row per
-zone carries its edge array and bounding box. The point-in-zone join is an
-equi join on a tile grid followed by an exact even-odd test:
-
-1. every zone's bbox is covered by square tiles of side `tile_size`;
-2. tiles are grouped: one row per tile with its candidate zones (bounded by
-   how many zones overlap a tile, not by data volume);
-3. each point computes its tile and LEFT joins the tile table -- broadcast
-   when its total edge count passes a size check, otherwise a shuffle join on
-   (tx, ty, salt): tile rows are copied per salt value and points draw a salt,
-   so a hot tile's points spread over many tasks;
-4. `filter` + `aggregate` (higher-order functions, codegen) keep the
-   candidates containing the point; the lowest zone id wins (documented
-   choice for overlapping zones); a point in no zone keeps NULL.
-
-Each point row meets exactly one tile row, so there is no per-point
-regrouping shuffle and no nested loop.
+Zones arrive as a vertex table (locationid, ring, seq, x, y), one or more
+rings a zone. One row per zone carries its edge array and bounding box; the
+even-odd rule makes holes and several parts of a zone come out right without
+telling them apart (`polygons` tells them apart where they are written).
+
+The point-in-zone join looks points up in a quadtree over all edges (see
+`quadtree`): each point meets exactly one leaf row, no pairs are regrouped and
+nothing is a nested loop. The lowest zone id wins (documented choice for
+overlapping zones); a point in no zone keeps NULL.
 """
 
 from __future__ import annotations
@@ -24,15 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.functions.geometry import inside, ring_edges
-
-# Broadcast bound for the tile table: total edge copies across tiles.
-# 2M edges * 32 bytes ~ 64 MB on each executor.
-TILE_BROADCAST_MAX_EDGES = 2_000_000
-
-# Salt buckets for the shuffle tile join: a hot tile's points are spread
-# over this many tasks (the tile table, a dimension, is copied per bucket).
-TILE_SALT_BUCKETS = 32
+from zonecast.functions.geometry import ring_edges
+from zonecast.operators import quadtree
 
 
 def zone_shapes(vertices: DataFrame) -> DataFrame:
@@ -59,95 +44,17 @@ def polygon_edges(vertices: DataFrame) -> DataFrame:
             .select("locationid", F.inline("edges")))
 
 
-def zone_tiles(shapes: DataFrame, tile_size: float) -> DataFrame:
-    """(tx, ty) -> cands array<struct<locationid, edges>>, one row per tile.
-
-    Each zone's edges are clipped per tile to those a point of the tile can
-    cross with its +x ray: edges reaching into the tile's y-band and extending
-    right of the tile's left side. Any other edge can never straddle the
-    point's y or lie right of it, so the test stays exact while large zones
-    cost a point only the edges near its row. The band is widened by a tiny
-    tolerance, so rounding in `floor(y / size)` cannot drop a needed edge."""
-    ts = F.lit(float(tile_size))
-    eps = F.lit(float(tile_size) * 1e-6)
-    cover = (shapes
-             .select("locationid", "edges", "ymin", "ymax",
-                     F.explode(F.sequence(F.floor(F.col("xmin") / ts),
-                                          F.floor(F.col("xmax") / ts))).alias("tx"))
-             .select("locationid", "edges", "tx",
-                     F.explode(F.sequence(F.floor(F.col("ymin") / ts),
-                                          F.floor(F.col("ymax") / ts))).alias("ty")))
-    y_lo = F.col("ty") * ts - eps
-    y_hi = (F.col("ty") + 1) * ts + eps
-    x_lo = F.col("tx") * ts - eps
-    near = F.filter("edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= y_lo)
-                    & (F.least(e["y1"], e["y2"]) <= y_hi)
-                    & (F.greatest(e["x1"], e["x2"]) >= x_lo))
-    return (cover.select("tx", "ty", "locationid", near.alias("edges"))
-            .groupBy("tx", "ty")
-            .agg(F.collect_list(F.struct("locationid", "edges")).alias("cands")))
-
-
-def _tile_span(lo: str, hi: str, tile_size: float):
-    ts = F.lit(float(tile_size))
-    return F.floor(F.col(hi) / ts) - F.floor(F.col(lo) / ts) + 1
-
-
-def tiles_fit_broadcast(shapes: DataFrame, tile_size: float,
-                        max_edges: int = TILE_BROADCAST_MAX_EDGES) -> bool:
-    """Size check for broadcasting the tile table. Its total edge copies are
-    at most the sum over zones of (edges x tiles covering the bbox; clipping
-    only removes edges), computed from the zone rows (a dimension) without
-    building the tiles."""
-    copies = (F.size("edges").cast("bigint") * _tile_span("xmin", "xmax", tile_size)
-              * _tile_span("ymin", "ymax", tile_size))
-    total = shapes.agg(F.sum(copies).alias("n")).first()["n"]
-    return (total or 0) <= max_edges
-
-
-def default_tile_size(shapes: DataFrame) -> float:
-    """A tile side matched to the zones: the median of the zones' larger bbox
-    side (one small aggregate over the zone layer). Tiles about one zone wide
-    keep the candidates per tile few, whatever the coordinate units."""
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    v = shapes.agg(F.percentile_approx(side, 0.5).alias("s")).first()["s"]
-    return float(v) if v and v > 0 else 1.0
-
-
 def assign_zone(points: DataFrame, shapes: DataFrame, x: str = "lon", y: str = "lat",
-                tile_size: float | None = None, out: str = "locationid",
-                broadcast: bool | None = None) -> DataFrame:
+                out: str = "locationid", broadcast: bool | None = None,
+                max_edges: int = quadtree.LEAF_EDGES) -> DataFrame:
     """Add `out` = the zone containing (x, y), NULL when none.
 
-    `tile_size=None` derives it from the zones (`default_tile_size`); the
-    result does not depend on it, only the work per point does.
-    `broadcast=None` decides by the size check; True/False force a strategy
-    (both give the same rows)."""
-    if tile_size is None:
-        tile_size = default_tile_size(shapes)
-    if broadcast is None:
-        broadcast = tiles_fit_broadcast(shapes, tile_size)
-    tiles = zone_tiles(shapes, tile_size)
-    ts = F.lit(float(tile_size))
-    px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    pts = points.withColumns({"_tx": F.floor(px / ts), "_ty": F.floor(py / ts)})
-    tiles = tiles.withColumnsRenamed({"tx": "_tx", "ty": "_ty"})
-    if broadcast:
-        joined = pts.join(F.broadcast(tiles), ["_tx", "_ty"], "left")
-    else:
-        # shuffle join on (tile, salt): each tile row is copied once per salt
-        # value and each point draws its salt from a hash of all its columns
-        # (deterministic, so a retried task routes rows identically), so a
-        # tile holding a third of all points is spread over TILE_SALT_BUCKETS
-        # tasks
-        k = TILE_SALT_BUCKETS
-        salted = tiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-        pts = pts.withColumn("_salt", F.pmod(
-            F.xxhash64(*[F.col(c) for c in points.columns]), F.lit(k)).cast("int"))
-        joined = pts.join(salted, ["_tx", "_ty", "_salt"], "left").drop("_salt")
-    hits = F.filter("cands", lambda c: inside(c["edges"], px, py))
-    return (joined.withColumn(out, F.array_min(F.transform(hits, lambda c: c["locationid"])))
-            .drop("_tx", "_ty", "cands"))
+    `max_edges` is what a leaf of the zones' quadtree holds; the result does
+    not depend on it, only the work per point does. `broadcast=None` decides
+    by the size of the leaves; True/False force a strategy (both give the same
+    rows)."""
+    tree = quadtree.build(shapes, "locationid", max_edges)
+    return quadtree.containing(points, tree, x, y, out, F.array_min, broadcast)
 
 
 def point_tiles(points: DataFrame, x: str, y: str, tile_size: float) -> DataFrame:
@@ -160,49 +67,3 @@ def point_tiles(points: DataFrame, x: str, y: str, tile_size: float) -> DataFram
         "tx": F.floor(F.col(x).cast("double") / ts),
         "ty": F.floor(F.col(y).cast("double") / ts),
     })
-
-
-# --- K6: GeoJSON lines ------------------------------------------------------
-
-def zone_features(vertices: DataFrame, attrs: DataFrame) -> DataFrame:
-    """One GeoJSON Feature (a JSON string, encoded once) per zone:
-    (locationid, feature). Rings are closed (first vertex repeated)."""
-    rings = (vertices.groupBy("locationid", "ring")
-             .agg(F.sort_array(F.collect_list(F.struct(
-                 "seq", F.col("x").cast("double").alias("x"),
-                 F.col("y").cast("double").alias("y")))).alias("v")))
-    rings = rings.select(
-        "locationid", "ring",
-        F.transform("v", lambda p: F.array(p["x"], p["y"])).alias("coords"))
-    rings = rings.withColumn(
-        "coords",
-        F.when(F.col("coords")[0] == F.element_at("coords", -1), F.col("coords"))
-         .otherwise(F.concat("coords", F.array(F.col("coords")[0]))))
-    polys = (rings.groupBy("locationid")
-             .agg(F.sort_array(F.collect_list(F.struct("ring", "coords"))).alias("r"))
-             .select("locationid",
-                     F.transform("r", lambda s: s["coords"]).alias("coordinates")))
-    feat = polys.join(attrs, "locationid").select(
-        "locationid",
-        F.to_json(F.struct(
-            F.lit("Feature").alias("type"),
-            F.struct("locationid", "borough", "zone").alias("properties"),
-            F.struct(F.lit("Polygon").alias("type"), F.col("coordinates")).alias("geometry"),
-        )).alias("feature"))
-    return feat
-
-
-FEATURE_SCHEMA = ("struct<type:string, properties:struct<locationid:bigint, borough:string,"
-                  " zone:string>, geometry:struct<type:string,"
-                  " coordinates:array<array<array<double>>>>>")
-
-
-def parse_features(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Read GeoJSON feature lines back into typed columns."""
-    return lines.select(F.from_json(col, FEATURE_SCHEMA).alias("f")).select(
-        F.col("f.properties.locationid").alias("locationid"),
-        F.col("f.properties.borough").alias("borough"),
-        F.col("f.properties.zone").alias("zone"),
-        F.col("f.type").alias("feature_type"),
-        F.col("f.geometry.type").alias("geometry_type"),
-        F.col("f.geometry.coordinates").alias("coordinates"))

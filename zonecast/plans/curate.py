@@ -26,7 +26,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.operators import combine, hourly, rules, spatial
+from zonecast.operators import combine, hourly, polygons, rules
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import EVENT_RULES
 from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
@@ -46,7 +46,7 @@ def curate(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     zones = demand.curated_zones(spark, sf_dir)
 
     writers.write_parquet(demand.zone_layer(spark, sf_dir), paths["zones"], mode="overwrite")
-    feats = spatial.zone_features(demand.curated_zone_vertices(spark, sf_dir), zones)
+    feats = polygons.zone_features(demand.curated_zone_vertices(spark, sf_dir), zones)
     writers.write_lines(feats, "feature", paths["zones_geojson"])
 
     landed = fx.event_trips_view(spark, sf_dir).withColumn(

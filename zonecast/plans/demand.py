@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from zonecast.operators import combine, hourly, rules, spatial, standardize
 from zonecast.plans.strategy import materialize
-from zonecast.plans.fixture_args import EVENT_RULES, EXCLUDED_BOROUGHS, RIDER_PERIOD, TILE_SIZE
+from zonecast.plans.fixture_args import EVENT_RULES, EXCLUDED_BOROUGHS, RIDER_PERIOD
 from zonecast.sources import fixtures as fx
 
 
@@ -41,7 +41,7 @@ def station_zone(spark: SparkSession, sf_dir: str, broadcast: bool | None = None
     stations = combine.unique_stations(fx.stations_view(spark, sf_dir))
     shapes = spatial.zone_shapes(curated_zone_vertices(spark, sf_dir))
     out = spatial.assign_zone(stations, shapes, x="longitude", y="latitude",
-                              tile_size=TILE_SIZE, broadcast=broadcast)
+                              broadcast=broadcast)
     return materialize(out) if keep else out
 
 

@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.operators import models
+from zonecast.operators import models, trees
 from zonecast.plans.queries_models import RIDGE_FEATURES, TREE_FEATURES, model_input
 
 
@@ -31,13 +31,13 @@ def fit_all(spark: SparkSession, sf_dir: str,
     data = model_input(spark, sf_dir)
     train = data.where(F.col("split") == "train")
     grid, ridge = models.ridge_search(train, ridge_features)
-    tree = models.fit_tree(train, tree_features)
+    tree = trees.fit(train, tree_features)
     return {
         "ridge_grid": models.grid_frame(spark, grid),
         "ridge_coefficients": models.coefficients_frame(spark, ridge),
         "ridge_metrics": models.regression_metrics(data, models.LABEL, ridge.predict()),
         "tree_metrics": models.regression_metrics(
-            models.tree_predict(tree, data, tree_features), models.LABEL, "prediction"),
+            trees.predict(data, tree), models.LABEL, "prediction"),
     }
 
 

@@ -159,7 +159,46 @@ VIEWS = {
                        {'seq': 2, 'dx': 1.1e0, 'dy': 9e-1}, {'seq': 3, 'dx': 1.9e0, 'dy': 1.8e0},
                        {'seq': 4, 'dx': 4e-1, 'dy': 1.6e0}]) AS v
         FROM zone_attrs)""",
+    "zones_m": """
+  SELECT z.locationid, r.ring, r.seq, CAST(z.locationid % 5 AS DOUBLE) * 2 + r.dx AS x,
+         CAST(floor(z.locationid / 5) AS DOUBLE) * 2 + r.dy AS y
+  FROM zone_attrs z JOIN (VALUES
+    (0, 1, 0, 6e-1, 8e-1), (0, 1, 1, 1e0, 8e-1), (0, 1, 2, 1e0, 1.2e0), (0, 1, 3, 6e-1, 1.2e0),
+    (1, 2, 0, 12.2e0, 2e-1), (1, 2, 1, 13e0, 7e-1), (1, 2, 2, 13e0, 1.1e0), (1, 2, 3, 12.6e0, 1.1e0),
+    (2, 0, 0, 1e-1, 3e-1), (2, 0, 1, 1.7e0, 1e-1), (2, 0, 2, 1.1e0, 9e-1), (2, 0, 3, 1.9e0, 1.8e0),
+    (2, 0, 4, 4e-1, 1.6e0),
+    (3, 2, 0, 7e-1, 9e-1), (3, 2, 1, 7e-1, 1.1e0), (3, 2, 2, 9e-1, 1.1e0), (3, 2, 3, 9e-1, 9e-1),
+    (4, 2, 0, 12.2e0, 2e-1), (4, 2, 1, 13.8e0, 2e-1), (4, 2, 2, 13.8e0, 1.8e0), (4, 2, 3, 12.2e0, 1.8e0)
+  ) r(ring, least, seq, dx, dy) ON z.locationid % 3 >= r.least""",
     # --- oracle-side derived tables (independent of the Spark operators) ---
+    "edges_m": """
+  SELECT a.locationid, a.ring, a.seq, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM (SELECT *, count(*) OVER (PARTITION BY locationid, ring) AS n FROM zones_m) a
+  JOIN zones_m b ON b.locationid = a.locationid AND b.ring = a.ring AND b.seq = (a.seq + 1) % a.n""",
+    "rings_m": """
+  SELECT locationid, ring, count(*) AS n, sum(x1 * y2 - x2 * y1) / 2 AS area,
+         min(x1) FILTER (WHERE seq = 1) AS cx, min(y1) FILTER (WHERE seq = 1) AS cy
+  FROM edges_m GROUP BY locationid, ring""",
+    # no ring's second corner lies on another ring
+    "nesting_m": """
+  SELECT r.locationid, r.ring, r.n, r.area, o.ring AS outer_ring, abs(o.area) AS outer_area
+  FROM rings_m r LEFT JOIN (
+    SELECT r.locationid, r.ring, e.ring AS outer_ring
+    FROM rings_m r JOIN edges_m e ON e.locationid = r.locationid AND e.ring <> r.ring
+     AND ((e.y1 > r.cy) <> (e.y2 > r.cy))
+     AND r.cx < (e.x2 - e.x1) * (r.cy - e.y1) / (e.y2 - e.y1) + e.x1
+    GROUP BY r.locationid, r.ring, e.ring HAVING count(*) % 2 = 1) h
+    ON h.locationid = r.locationid AND h.ring = r.ring
+  LEFT JOIN rings_m o ON o.locationid = h.locationid AND o.ring = h.outer_ring""",
+    "parts_m": """
+  SELECT d.*, s.part FROM (
+    SELECT locationid, ring, any_value(n) AS n, any_value(area) AS area, count(outer_ring) AS depth,
+           CASE WHEN count(outer_ring) % 2 = 1 THEN arg_min(outer_ring, outer_area) ELSE ring END AS shell
+    FROM nesting_m GROUP BY locationid, ring) d
+  JOIN (
+    SELECT locationid, ring, row_number() OVER (PARTITION BY locationid ORDER BY ring) - 1 AS part
+    FROM (SELECT locationid, ring FROM nesting_m GROUP BY locationid, ring HAVING count(outer_ring) % 2 = 0)) s
+    ON s.locationid = d.locationid AND s.ring = d.shell""",
     "edges_v": """
   SELECT a.locationid, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
   FROM zones_v a
@@ -227,13 +266,19 @@ VIEWS = {
 
 # Dependencies between the views (inlined in this order).
 VIEW_ORDER = ["trips_v", "zone_attrs", "zones_kept", "pickups_v", "ridership_v",
-              "event_trips_v", "clean_pickups_o", "ridership_typed_o", "stations_v", "zones_v", "edges_v", "station_zone_o", "station_hours_o",
+              "event_trips_v", "clean_pickups_o", "ridership_typed_o", "stations_v", "zones_v", "edges_v",
+              "zones_m", "edges_m", "rings_m", "nesting_m", "parts_m", "station_zone_o", "station_hours_o",
               "ridership_text_o", "pickups_zh_o", "ridership_zh_o", "combined_o",
               "split_o", "ridge_o"]
 VIEW_DEPS = {
     "zones_kept": ["zone_attrs"],
     "zones_v": ["zone_attrs"],
     "edges_v": ["zones_v"],
+    "zones_m": ["zone_attrs"],
+    "edges_m": ["zones_m"],
+    "rings_m": ["edges_m"],
+    "nesting_m": ["rings_m", "edges_m"],
+    "parts_m": ["nesting_m"],
     "station_zone_o": ["stations_v", "edges_v", "zones_kept"],
     "station_hours_o": ["ridership_typed_o"],
     "clean_pickups_o": ["event_trips_v", "zones_kept"],
@@ -346,21 +391,59 @@ SELECT station_id, longitude AS lon, latitude AS lat,
        CAST(floor(longitude / 1.0) AS BIGINT) AS tx, CAST(floor(latitude / 1.0) AS BIGINT) AS ty
 FROM stations_v""", "stations_v")
 
-ORACLE["point_in_zone"] = with_views("""
+POINT_IN_ZONE = """
 , pts AS (
   SELECT c_custkey AS point_id, CAST(c_custkey * 37 % 1000 AS DOUBLE) / 100 AS lon,
          CAST(c_custkey * 91 % 1000 AS DOUBLE) / 100 AS lat
   FROM customer),
 hits AS (
   SELECT p.point_id, e.locationid
-  FROM pts p JOIN edges_v e
+  FROM pts p JOIN {edges} e
     ON ((e.y1 > p.lat) <> (e.y2 > p.lat))
    AND p.lon < (e.x2 - e.x1) * (p.lat - e.y1) / (e.y2 - e.y1) + e.x1
   GROUP BY p.point_id, e.locationid
   HAVING count(*) % 2 = 1)
 SELECT p.point_id, p.lon, p.lat, h.locationid
 FROM pts p LEFT JOIN (SELECT point_id, min(locationid) AS locationid FROM hits GROUP BY point_id) h
-  ON p.point_id = h.point_id""", "edges_v")
+  ON p.point_id = h.point_id"""
+
+ORACLE["point_in_zone"] = with_views(POINT_IN_ZONE.format(edges="edges_v"), "edges_v")
+
+ORACLE["point_in_multipart_zone"] = with_views(POINT_IN_ZONE.format(edges="edges_m"), "edges_m")
+
+ORACLE["polygon_parts"] = with_views("""
+SELECT locationid, ring, CAST(part AS INTEGER) AS part, depth % 2 = 1 AS hole,
+       CAST(depth AS INTEGER) AS depth, round(area, 9) AS area
+FROM parts_m""", "parts_m")
+
+# written outlines run counter-clockwise, holes clockwise
+ORACLE["polygon_wkt_edges"] = with_views("""
+SELECT e.locationid,
+       round(CASE WHEN (p.area < 0) = (p.depth % 2 = 1) THEN e.x1 ELSE e.x2 END, 9) AS x1,
+       round(CASE WHEN (p.area < 0) = (p.depth % 2 = 1) THEN e.y1 ELSE e.y2 END, 9) AS y1,
+       round(CASE WHEN (p.area < 0) = (p.depth % 2 = 1) THEN e.x2 ELSE e.x1 END, 9) AS x2,
+       round(CASE WHEN (p.area < 0) = (p.depth % 2 = 1) THEN e.y2 ELSE e.y1 END, 9) AS y2
+FROM edges_m e JOIN parts_m p ON e.locationid = p.locationid AND e.ring = p.ring""", "edges_m", "parts_m")
+
+ORACLE["multipart_geojson"] = with_views("""
+SELECT p.locationid, a.borough, a.zone,
+       CASE WHEN max(p.part) OVER (PARTITION BY p.locationid) = 0 THEN 'Polygon'
+            ELSE 'MultiPolygon' END AS geometry_type,
+       CAST(p.part AS INTEGER) AS part,
+       CAST(row_number() OVER (PARTITION BY p.locationid, p.part ORDER BY p.depth % 2, p.ring) - 1
+            AS INTEGER) AS place,
+       CAST(p.n + 1 AS INTEGER) AS n_points, true AS closed,
+       round(CASE WHEN p.depth % 2 = 1 THEN -abs(p.area) ELSE abs(p.area) END, 9) AS area
+FROM parts_m p JOIN zone_attrs a ON p.locationid = a.locationid""", "parts_m")
+
+ORACLE["wkt_problems"] = with_views("""
+SELECT locationid,
+       ['unbalanced', 'not a number', 'not a polygon', 'not closed', 'too few points',
+        NULL, NULL, NULL, NULL, 'missing', NULL][CASE WHEN locationid % 11 = 0 THEN 11
+                                                  ELSE locationid % 11 END] AS problem,
+       CASE locationid % 11 WHEN 0 THEN 1 WHEN 6 THEN 0 WHEN 7 THEN 2 WHEN 8 THEN 0 WHEN 9 THEN 1
+            ELSE NULL END AS n_parts
+FROM zone_attrs""", "zone_attrs")
 
 ORACLE["station_zone"] = with_views(
     "SELECT station_id, latitude, longitude, locationid FROM station_zone_o", "station_zone_o")
@@ -615,6 +698,136 @@ SELECT 1 AS max_depth, 1 AS min_instances, round(avg(e1), 6) AS mean_mse FROM e
 UNION ALL SELECT 2, 1, round(avg(e2), 6) FROM e""", "split_o")
 
 
+# --- trees grown in SQL: any depth, three criteria -----------------------------
+
+def _grown(rows: str, features: list[str], depth: int) -> str:
+    """CTEs that grow a tree per group g over `rows` (g, criterion, fits, y and
+    the features), level by level, to `depth`. The last one, grown, has each
+    row's path: a list of (n, p) of the nodes on its way."""
+    p = len(features)
+    x = ", ".join(f"CAST({c} AS DOUBLE)" for c in features)
+    out = [f"""
+, t0 AS MATERIALIZED (SELECT *, [{x}] AS x, CAST(1 AS BIGINT) AS node,
+    CAST([] AS STRUCT(n BIGINT, p DOUBLE)[]) AS path FROM {rows})"""]
+    for k in range(depth + 1):
+        out.append(f"""
+, s{k} AS MATERIALIZED (
+  SELECT g, node, count(*) AS n, min(y) < max(y) AS impure,
+         CASE WHEN any_value(criterion) = 'absolute_error' THEN median(y)
+              ELSE sum(y) / CAST(count(*) AS DOUBLE) END AS p
+  FROM t{k} WHERE fits AND node IS NOT NULL GROUP BY g, node)""")
+        if k == depth:
+            out.append(f"""
+, grown AS (SELECT t.* EXCLUDE (path), CASE WHEN s.n IS NULL THEN path
+      ELSE list_append(path, {{'n': s.n, 'p': s.p}}) END AS path
+  FROM t{k} t LEFT JOIN s{k} s ON t.g = s.g AND t.node = s.node)""")
+            break
+        out.append(f"""
+, c{k} AS MATERIALIZED (
+  SELECT g, criterion, node, f, x[f + 1] AS v, y, count(*) AS n
+  FROM (SELECT t.g, criterion, t.node, x, y, unnest(range({p})) AS f
+        FROM t{k} t JOIN s{k} s ON t.g = s.g AND t.node = s.node WHERE fits AND impure)
+  GROUP BY g, criterion, node, f, x[f + 1], y)
+, m{k} AS (
+  SELECT g, node, f, v, nv, CASE criterion
+      WHEN 'friedman_mse' THEN -(ln * (tn - ln) / tn * (ls / ln - (ts - ls) / (tn - ln)) * (ls / ln - (ts - ls) / (tn - ln)))
+      ELSE -(ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln)) END AS loss
+  FROM (
+    SELECT g, criterion, node, f, v, lead(v) OVER w AS nv, CAST(sum(n) OVER w AS DOUBLE) AS ln,
+           sum(s) OVER w AS ls, CAST(sum(n) OVER q AS DOUBLE) AS tn, sum(s) OVER q AS ts
+    FROM (SELECT g, criterion, node, f, v, sum(n) AS n, sum(n * y) AS s FROM c{k}
+          WHERE criterion <> 'absolute_error' GROUP BY g, criterion, node, f, v)
+    WINDOW q AS (PARTITION BY g, node, f), w AS (PARTITION BY g, node, f ORDER BY v))
+  WHERE nv IS NOT NULL)
+, d{k} AS (
+  SELECT g, node, f, v, sum(n) OVER (PARTITION BY g, node, f, y ORDER BY v) AS c, y, total
+  FROM (
+    SELECT a.g, a.node, a.f, a.v, b.y, b.total, coalesce(c.n, 0) AS n
+    FROM (SELECT DISTINCT g, node, f, v FROM c{k} WHERE criterion = 'absolute_error') a
+    JOIN (SELECT g, node, y, sum(n) AS total FROM c{k} WHERE criterion = 'absolute_error' AND f = 0
+          GROUP BY g, node, y) b ON a.g = b.g AND a.node = b.node
+    LEFT JOIN c{k} c ON c.g = a.g AND c.node = a.node AND c.f = a.f AND c.v = a.v AND c.y = b.y))
+, a{k} AS (
+  SELECT g, node, f, v, lead(v) OVER (PARTITION BY g, node, f ORDER BY v) AS nv, loss
+  FROM (
+    SELECT g, node, f, v, sum(width * (least(lo, ln - lo) + least(hi - lo, (tn - ln) - (hi - lo)))) AS loss
+    FROM (
+      SELECT g, node, f, v, lead(y) OVER w - y AS width, sum(c) OVER w AS lo, sum(total) OVER w AS hi,
+             sum(c) OVER q AS ln, sum(total) OVER q AS tn
+      FROM d{k} WINDOW q AS (PARTITION BY g, node, f, v), w AS (PARTITION BY g, node, f, v ORDER BY y))
+    GROUP BY g, node, f, v))
+, b{k} AS MATERIALIZED (
+  SELECT g, node, f, th FROM (
+    SELECT *, row_number() OVER (PARTITION BY g, node ORDER BY loss, f, th) AS rn
+    FROM (SELECT g, node, f, CASE WHEN (v + nv) / 2 >= nv THEN v ELSE (v + nv) / 2 END AS th, loss
+          FROM (SELECT * FROM m{k} UNION ALL SELECT * FROM a{k} WHERE nv IS NOT NULL)))
+  WHERE rn = 1)
+, t{k + 1} AS MATERIALIZED (
+  SELECT t.* EXCLUDE (node, path),
+         CASE WHEN b.f IS NOT NULL THEN 2 * t.node + CASE WHEN t.x[b.f + 1] > b.th THEN 1 ELSE 0 END END AS node,
+         CASE WHEN s.n IS NULL THEN path ELSE list_append(path, {{'n': s.n, 'p': s.p}}) END AS path
+  FROM t{k} t LEFT JOIN s{k} s ON t.g = s.g AND t.node = s.node
+  LEFT JOIN b{k} b ON t.g = b.g AND t.node = b.node)""")
+    return "".join(out)
+
+
+_TREE_FEATURES = ["locationid", "dayofmonth", "dayofweek", "hour", "hourly_ridership"]
+# More levels than the tree over all features has on the test tables; the tree
+# tests assert that it is finished before.
+TREE_LEVELS = 40
+
+ORACLE["tree_metrics"] = with_views("""
+, fitted AS MATERIALIZED (
+  SELECT 0 AS g, 'squared_error' AS criterion, split, split = 'train' AS fits, CAST(pu_hourly AS DOUBLE) AS y,
+         locationid, dayofmonth, dayofweek, hour, hourly_ridership FROM split_o)"""
+    + _grown("fitted", _TREE_FEATURES, TREE_LEVELS) + """
+, scored AS (SELECT split, y, path[len(path)].p AS yhat FROM grown),
+mu AS (SELECT split, avg(y) AS ybar FROM scored GROUP BY split)
+SELECT s.split, CAST(count(*) AS BIGINT) AS n, round(avg((y - yhat) * (y - yhat)), 6) AS mse,
+       round(CASE WHEN sum((y - ybar) * (y - ybar)) > 0 THEN
+         1 - sum((y - yhat) * (y - yhat)) / sum((y - ybar) * (y - ybar)) END, 6) AS r2
+FROM scored s JOIN mu ON s.split = mu.split GROUP BY s.split""", "split_o")
+
+ORACLE["tree_grid_search"] = with_views("""
+, fitted AS MATERIALIZED (
+  SELECT criterion || fold_no AS g, criterion, fold <> fold_no AS fits, fold, CAST(pu_hourly AS DOUBLE) AS y,
+         locationid, dayofmonth, dayofweek, hour, hourly_ridership
+  FROM split_o, (SELECT unnest(['squared_error', 'absolute_error', 'friedman_mse']) AS criterion) cs,
+       (SELECT unnest(range(5)) AS fold_no) fs
+  WHERE split = 'train')"""
+    + _grown("fitted", _TREE_FEATURES, 4) + """
+, settings AS (SELECT d, m FROM (SELECT unnest(range(1, 5)) AS d), (SELECT unnest(range(2, 10)) AS m)),
+own AS (SELECT g, criterion, y, path FROM grown WHERE NOT fits),
+scored AS (
+  SELECT g, criterion, d, m, y, path[coalesce(
+      list_min([i + 1 for i in range(len(path)) if i = d or path[i + 1].n < m]), len(path))].p AS yhat
+  FROM own, settings),
+per AS (SELECT g, criterion, d, m, avg((y - yhat) * (y - yhat)) AS mse FROM scored GROUP BY g, criterion, d, m)
+SELECT criterion, CAST(d AS INTEGER) AS max_depth, CAST(m AS INTEGER) AS min_samples_split,
+       round(avg(mse), 6) AS mean_mse
+FROM per GROUP BY criterion, d, m""", "split_o")
+
+# the repeated feature shares the coefficient of the one it repeats: together
+# they bear half the penalty
+ORACLE["ridge_qr"] = with_views("""
+, tr AS (SELECT CAST(hour AS DOUBLE) AS h, CAST(hourly_ridership AS DOUBLE) AS r, CAST(pu_hourly AS DOUBLE) AS y
+         FROM split_o WHERE split = 'train'),
+mu AS (SELECT avg(h) AS mh, avg(r) AS mr, avg(y) AS my FROM tr),
+g AS (SELECT sum((h - mh) * (h - mh)) AS hh, sum((h - mh) * (r - mr)) AS hr, sum((r - mr) * (r - mr)) AS rr,
+             sum((h - mh) * (y - my)) AS hy, sum((r - mr) * (y - my)) AS ry FROM tr, mu),
+w AS (
+  SELECT alpha, (hy * (rr + alpha) - ry * hr) / ((hh + alpha / 2) * (rr + alpha) - hr * hr) AS wh,
+         (ry * (hh + alpha / 2) - hy * hr) / ((hh + alpha / 2) * (rr + alpha) - hr * hr) AS wr
+  FROM g, (SELECT unnest([CAST(0 AS DOUBLE), 1, 15]) AS alpha) a)
+SELECT alpha, 'intercept' AS term, round(my - wh * mh - wr * mr, 6) AS value FROM w, mu
+UNION ALL SELECT alpha, 'hour', round(wh / 2, 6) FROM w
+UNION ALL SELECT alpha, 'hour_again', round(wh / 2, 6) FROM w
+UNION ALL SELECT alpha, 'hourly_ridership', round(wr, 6) FROM w
+UNION ALL SELECT alpha, 'always', CAST(0 AS DOUBLE) FROM w""", "split_o")
+
+ORACLE["ridge_search_qr"] = ORACLE["ridge_grid_search"]
+
+
 # --- sources, sinks, column work ------------------------------------------------
 
 _PERIOD = RULE_SQL["period"]
@@ -776,5 +989,65 @@ ORACLE["filter_exclude"] = with_views(
     "zone_attrs")
 
 
+_DAMAGED = """
+WITH feed AS (
+  SELECT CAST(event_id AS VARCHAR) AS event_id,
+         CASE WHEN event_id % 109 = 0 THEN '13/45/2024 01:00:00 AM'
+              ELSE strftime(ts, '%m/%d/%Y %I:%M:%S %p') END AS transit_timestamp,
+         CASE WHEN event_id % 101 = 0 THEN 'n/a' WHEN event_id % 103 = 0 THEN '3000000000'
+              WHEN event_id % 107 = 0 THEN '12.7' WHEN event_id % 127 = 0 THEN ' '
+              ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS ridership,
+         CASE WHEN event_id % 113 = 0 THEN 'north'
+              ELSE CAST(CAST(user_id * 91 % 1000 AS DOUBLE) / 100 AS VARCHAR) END AS latitude
+  FROM events WHERE event_type IN ('purchase', 'signup')),
+lost AS (
+  SELECT event_id, 'transit_timestamp' AS column_name, transit_timestamp AS value, 'timestamp_ntz' AS target,
+         'not a timestamp' AS reason FROM feed WHERE transit_timestamp LIKE '13/%'
+  UNION ALL
+  SELECT event_id, 'ridership', ridership, 'int', CASE ridership WHEN 'n/a' THEN 'not a number'
+         WHEN '3000000000' THEN 'out of range' ELSE 'fraction lost' END
+  FROM feed WHERE ridership IN ('n/a', '3000000000', '12.7')
+  UNION ALL
+  SELECT event_id, 'latitude', latitude, 'double', 'not a number' FROM feed WHERE latitude = 'north')
+"""
+
+ORACLE["rescued_values"] = _DAMAGED + "SELECT * FROM lost"
+
+ORACLE["cast_problem_counts"] = _DAMAGED + """
+SELECT l.column_name, reason, CAST(count(*) AS BIGINT) AS n,
+       CASE l.column_name
+         WHEN 'transit_timestamp' THEN (SELECT count(*) FROM feed WHERE transit_timestamp LIKE '13/%')
+         WHEN 'ridership' THEN (SELECT count(*) FROM feed WHERE ridership IN ('n/a', '3000000000', ' '))
+         ELSE (SELECT count(*) FROM feed WHERE latitude = 'north') END AS n_null
+FROM lost l GROUP BY l.column_name, reason"""
+
+ORACLE["csv_corrupt_records"] = _DAMAGED + """
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(NULL AS INTEGER) AS ridership, latitude,
+       event_id || ',' || ridership || ',' || latitude AS line
+FROM feed WHERE ridership IN ('n/a', '3000000000', '12.7')"""
+
+ORACLE["combined_from_clustered"] = ORACLE["combined_demand"]
+
+ORACLE["month_commits"] = with_views("""
+, t AS (SELECT strftime(pu_time, '%Y-%m') AS month, coalesce(passenger_count, 0) <= 6 AS stays FROM trips_v)
+SELECT month, CAST(count(*) FILTER (WHERE month <> '1998-02' OR stays) AS BIGINT) AS n_rows,
+       CAST(CASE WHEN month = '1998-02' AND bool_or(NOT stays) THEN 2 ELSE 1 END AS BIGINT) AS number,
+       CAST(CASE WHEN month = '1998-02' AND bool_or(NOT stays) THEN 2 ELSE 1 END AS BIGINT) AS n_commits
+FROM t GROUP BY month""", "trips_v")
+
+ORACLE["read_committed_months"] = with_views("""
+SELECT *, strftime(pu_time, '%Y-%m') AS source_month FROM trips_v
+WHERE strftime(pu_time, '%Y-%m') <> '1998-02' OR coalesce(passenger_count, 0) <= 6""", "trips_v")
+
+_PROFILED = [("pu_time", "epoch_us(pu_time) / 1e6"), ("passenger_count", "passenger_count"),
+             ("trip_distance", "trip_distance"), ("total_amount", "total_amount"), ("ratecodeid", "ratecodeid"),
+             ("pulocationid", "pulocationid"), ("store_and_fwd_flag", "CAST(store_and_fwd_flag AS INTEGER)")]
+
+ORACLE["merged_profile"] = with_views("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS n, CAST(count(*) - count({c}) AS BIGINT) AS n_null, "
+    f"round(CAST(min({x}) AS DOUBLE), 6) AS low, round(CAST(max({x}) AS DOUBLE), 6) AS high, "
+    "true AS distinct_within_error, true AS median_within_error FROM trips_v" for c, x in _PROFILED), "trips_v")
+
+
 def all_oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions.timecols import calendar_columns
-from zonecast.operators import combine, hourly, rules, spatial
+from zonecast.operators import combine, hourly, polygons, rules, spatial
 from zonecast.plans import demand
 from zonecast.plans.demand import curated_zones
 from zonecast.plans.fixture_args import FIXTURE_RULES, TILE_SIZE
 from zonecast.plans.registry import query
+from zonecast.plans.strategy import materialize
 from zonecast.sources import fixtures as fx
 
 
@@ -73,7 +74,43 @@ def q_point_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer point with the zone (of all 25) containing it, or NULL."""
     shapes = spatial.zone_shapes(fx.zone_vertices_view(spark, sf_dir))
     return spatial.assign_zone(fx.customer_points_view(spark, sf_dir), shapes,
-                               x="lon", y="lat", tile_size=TILE_SIZE)
+                               x="lon", y="lat")
+
+
+# --- zones of several parts (A8, J4) ----------------------------------------
+
+@query("polygon_parts")
+def q_polygon_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rings of the multipart zones are shells and which holes, and of
+    which part."""
+    parts = polygons.ring_parts(fx.multipart_vertices_view(spark, sf_dir))
+    return parts.select("locationid", "ring", "part", "hole", "depth", F.round("area", 9).alias("area"))
+
+
+@query("point_in_multipart_zone")
+def q_point_in_multipart_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer point with the multipart zone that holds it, or NULL;
+    the points and the leaves are shuffled."""
+    shapes = spatial.zone_shapes(fx.multipart_vertices_view(spark, sf_dir))
+    return spatial.assign_zone(fx.customer_points_view(spark, sf_dir), shapes, broadcast=False,
+                               max_edges=16)
+
+
+@query("polygon_wkt_edges")
+def q_polygon_wkt_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The multipart zones as WKT texts, written, read back and cut into
+    edges."""
+    layer = materialize(polygons.to_wkt(fx.multipart_vertices_view(spark, sf_dir)), "zones-wkt")
+    vertices = polygons.wkt_vertices(polygons.read_wkt(layer))
+    return spatial.polygon_edges(vertices).select(
+        "locationid", *[F.round(c, 9).alias(c) for c in ("x1", "y1", "x2", "y2")])
+
+
+@query("wkt_problems")
+def q_wkt_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with the texts of a layer of which some are damaged."""
+    return polygons.read_wkt(fx.wkt_text_view(spark, sf_dir)).select(
+        "locationid", "problem", F.size("polygons").alias("n_parts"))
 
 
 @query("station_zone")

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonecast.functions.columns import lowercase_columns, tolerant_cast
-from zonecast.operators import explore, hourly
+from zonecast.operators import explore, hourly, sketches
 from zonecast.plans import demand
 from zonecast.plans.registry import query
+from zonecast.session import scratch_path
+from zonecast.sinks import writers
 from zonecast.sources import fixtures as fx
 
 
@@ -79,3 +81,34 @@ def q_hourly_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("top_zones")
 def q_top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.top_zones(demand.zone_totals(spark, sf_dir), k=10)
+
+
+PROFILED = ("pu_time", "passenger_count", "trip_distance", "total_amount", "ratecodeid", "pulocationid",
+            "store_and_fwd_flag")
+
+
+@query("merged_profile")
+def q_merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G11 from sketches: all trips profiled month by month, the months' rows
+    stored, read back and merged; the estimates are held against the exact
+    figures of the whole table."""
+    trips = fx.trips_view(spark, sf_dir).withColumn("source_month", F.date_format("pu_time", "yyyy-MM"))
+    rows = sketches.month_sketches(trips, "source_month", PROFILED)
+    out = scratch_path(spark, "month_sketches")
+    writers.write_months(rows, out)
+    got = sketches.merged_profile(spark.read.schema(rows.schema).parquet(out), [0.5])
+    # exact: distinct values, and the rows at or below the estimated median
+    medians = {r["column_name"]: r["q50"] for r in got.collect()}      # one row a column
+    exact = []
+    for c in PROFILED:
+        x = sketches.as_number(trips, c)
+        exact.append(F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("distinct"),
+                              F.count_if(x < medians[c]).alias("below"), F.count_if(x <= medians[c]).alias("upto")))
+    held = trips.agg(F.array(*exact).alias("e")).select(F.inline("e"))
+    some = F.col("n") - F.col("n_null")
+    return got.join(held, "column_name").select(
+        "column_name", "n", "n_null", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"),
+        (F.abs(F.col("n_distinct") - F.col("distinct")) <= F.greatest(
+            F.col("distinct") * sketches.DISTINCT_ERROR, F.lit(1.0))).alias("distinct_within_error"),
+        ((F.col("below") <= some * (0.5 + sketches.RANK_ERROR))
+         & (F.col("upto") >= some * (0.5 - sketches.RANK_ERROR))).alias("median_within_error"))

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
-from zonecast.operators import combine, hourly, rules, spatial, standardize
+from zonecast.functions.timecols import RIDERSHIP_TS_FORMAT
+from zonecast.operators import combine, hourly, polygons, rescue, rules, standardize
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import FIXTURE_RULES
 from zonecast.plans.registry import query
+from zonecast.plans.strategy import materialize
 from zonecast.session import scratch_path
-from zonecast.sinks import writers
+from zonecast.sinks import clustered, commits, writers
 from zonecast.sources import files
 from zonecast.sources import fixtures as fx
 from zonecast.sources.tables import read_table, table_path, template_schema
@@ -202,14 +204,129 @@ def q_csv_typed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_zone_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: kept zones as GeoJSON lines (one feature per line, encoded once),
     read back and checked field by field."""
-    feats = spatial.zone_features(demand.curated_zone_vertices(spark, sf_dir),
-                                  demand.curated_zones(spark, sf_dir))
+    feats = polygons.zone_features(demand.curated_zone_vertices(spark, sf_dir),
+                                   demand.curated_zones(spark, sf_dir))
     out = scratch_path(spark, "zones_geojson")
     writers.write_lines(feats, "feature", out)
-    parsed = spatial.parse_features(spark.read.text(out))
+    parsed = polygons.parse_features(spark.read.text(out))
     ring = F.col("coordinates")[0]
     return parsed.select(
         "locationid", "borough", "zone", "feature_type", "geometry_type",
         F.size("coordinates").alias("n_rings"), F.size(ring).alias("n_points"),
         F.round(F.aggregate(ring, F.lit(0.0), lambda a, p: a + p[0]), 9).alias("x_sum"),
         F.round(F.aggregate(ring, F.lit(0.0), lambda a, p: a + p[1]), 9).alias("y_sum"))
+
+
+@query("multipart_geojson")
+def q_multipart_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 on zones of several parts with holes: one row per ring of the
+    features read back; ring 0 of a part is its shell. Areas tell the
+    direction: shells run counter-clockwise, holes clockwise."""
+    feats = polygons.zone_features(fx.multipart_vertices_view(spark, sf_dir),
+                                   fx.zone_attrs_view(spark, sf_dir))
+    out = scratch_path(spark, "multipart_geojson")
+    writers.write_lines(feats, "feature", out)
+    parsed = polygons.parse_features(spark.read.text(out))
+    rows = (parsed.select("locationid", "borough", "zone", "geometry_type", F.posexplode("polygons").alias("part", "p"))
+            .select("*", F.posexplode("p").alias("place", "r")))
+    twice = F.aggregate(F.sequence(F.lit(0), F.size("r") - 2), F.lit(0.0), lambda a, i: a + (
+        F.get("r", i)[0] * F.get("r", i + 1)[1] - F.get("r", i + 1)[0] * F.get("r", i)[1]))
+    closed = (F.col("r")[0][0] == F.element_at("r", -1)[0]) & (F.col("r")[0][1] == F.element_at("r", -1)[1])
+    return rows.select("locationid", "borough", "zone", "geometry_type", "part", "place",
+                       F.size("r").alias("n_points"), closed.alias("closed"), F.round(twice / 2, 9).alias("area"))
+
+
+# --- bad records (A5, A6, P5) -------------------------------------------------
+
+RIDERSHIP_CASTS = (rescue.Cast("transit_timestamp", "timestamp_ntz", RIDERSHIP_TS_FORMAT),
+                   rescue.Cast("ridership", "int"), rescue.Cast("latitude", "double"))
+
+
+def _rescued_ridership(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and lost values of the damaged ridership feed, written side
+    by side and read back."""
+    typed = rescue.cast_with_rescue(fx.damaged_ridership_view(spark, sf_dir), RIDERSHIP_CASTS)
+    out, side = rescue.write_with_rescue(typed, scratch_path(spark, "typed_ridership"), ["event_id"])
+    lost = rescue.rescued_values(typed, ["event_id"])
+    return spark.read.schema(typed.schema).parquet(out), spark.read.schema(lost.schema).parquet(side)
+
+
+@query("rescued_values")
+def q_rescued_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: each value of the feed that a cast lost or changed, and why."""
+    return _rescued_ridership(spark, sf_dir)[1]
+
+
+@query("cast_problem_counts")
+def q_cast_problem_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counted by column and reason, beside the column's NULLs in the
+    typed rows."""
+    typed, lost = _rescued_ridership(spark, sf_dir)
+    nulls = typed.agg(*[F.count_if(F.col(c.column).isNull()).alias(c.column) for c in RIDERSHIP_CASTS])
+    nulls = nulls.select(F.inline(F.array(*[F.struct(F.lit(c.column).alias("column_name"), F.col(c.column).alias("n_null"))
+                                            for c in RIDERSHIP_CASTS])))
+    return rescue.problem_counts(lost).join(nulls, "column_name")
+
+
+@query("csv_corrupt_records")
+def q_csv_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged feed as CSV, read with a declared schema: the lines
+    that do not fit it, whole, with what could be read of them."""
+    out = scratch_path(spark, "damaged_csv")
+    feed = fx.damaged_ridership_view(spark, sf_dir).select("event_id", "ridership", "latitude")
+    writers.write_csv(feed, out)
+    schema = StructType([StructField("event_id", LongType()), StructField("ridership", IntegerType()),
+                         StructField("latitude", StringType())])
+    read = materialize(rescue.read_csv_checked(spark, out, schema), "checked_csv")
+    return read.where(F.col(rescue.CORRUPT).isNotNull()).select(
+        "event_id", "ridership", "latitude", F.col(rescue.CORRUPT).alias("line"))
+
+
+# --- clustered layout, month commits (O2, K4, K1) -------------------------------
+
+def clustered_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the demand join, written in buckets by its keys."""
+    keys = ["locationid", "hour_ts"]
+    picked = clustered.write_clustered(demand.pickup_zone_hours(spark, sf_dir),
+                                       scratch_path(spark, "clustered_pickups"), keys)
+    ridden = clustered.write_clustered(demand.ridership_zone_hours(spark, sf_dir),
+                                       scratch_path(spark, "clustered_ridership"), keys)
+    return clustered.read_clustered(spark, picked), clustered.read_clustered(spark, ridden)
+
+
+@query("combined_from_clustered")
+def q_combined_from_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 / K4 + J3: the demand table from clustered sides, without an
+    exchange."""
+    return combine.combined_demand(*clustered_sides(spark, sf_dir))
+
+
+# Fixed value: the month whose trips change between two commits.
+CHANGED_MONTH = "1998-02"
+
+
+def committed_trips(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, list[commits.Commit]]:
+    """All trips committed by month; committed again as they are; and once
+    more after the changed month lost its trips of more than six items."""
+    trips = materialize(fx.trips_view(spark, sf_dir).withColumn(
+        "source_month", F.date_format("pu_time", "yyyy-MM")), "landed_trips")
+    root = scratch_path(spark, "committed_trips")
+    changed = trips.where((F.col("source_month") != CHANGED_MONTH)
+                          | (F.coalesce("passenger_count", F.lit(0)) <= 6))
+    done = [commits.commit_months(trips, root), commits.commit_months(trips.orderBy("pu_time"), root),
+            commits.commit_months(changed, root)]
+    return root, trips, done
+
+
+@query("month_commits")
+def q_month_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: what is seen of each month, and how often it was written."""
+    root, _, _ = committed_trips(spark, sf_dir)
+    return commits.manifest(spark, root).select("month", "n_rows", "number", "n_commits")
+
+
+@query("read_committed_months")
+def q_read_committed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the trips of all committed months, each in its last version."""
+    root, trips, _ = committed_trips(spark, sf_dir)
+    return commits.read_months(spark, root, trips.schema)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.operators import models
+from zonecast.operators import models, qr, trees
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import SPLIT_DAY
 from zonecast.plans.registry import query
@@ -86,26 +86,51 @@ def q_ridge_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.coefficients_frame(spark, fit).withColumn("value", F.round("value", 6))
 
 
+# The two features, one of them again, and one that never changes.
+REPEATED_FEATURES = ("hour", "hourly_ridership", "hour_again", "always")
+
+
+@query("ridge_qr")
+def q_ridge_qr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 by QR on features of which one repeats another and one is constant,
+    without a penalty (coefficients of least size) and with two."""
+    train = model_input(spark, sf_dir).where(F.col("split") == "train").withColumns(
+        {"hour_again": F.col("hour"), "always": F.lit(7.0)})
+    f = qr.factors(train, REPEATED_FEATURES)
+    rows = []
+    for alpha in (0.0, 1.0, 15.0):
+        w, b = qr.solve(f.without(), alpha)
+        rows += [(alpha, term, round(float(v), 6) + 0.0) for term, v in zip(("intercept", *REPEATED_FEATURES), (b, *w))]
+    return spark.createDataFrame(rows, "alpha double, term string, value double")
+
+
+@query("ridge_search_qr")
+def q_ridge_search_qr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 by QR: the grid of `ridge_grid_search`, from one pass."""
+    train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    grid, _ = qr.ridge_search_qr(train, RIDGE_FEATURES)
+    return models.grid_frame(spark, grid).withColumn("mean_mse", F.round("mean_mse", 6))
+
+
 @query("tree_predictions")
 def q_tree_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M8: a tree of depth 1 over features of few values, where every split
-    can be checked; all rows scored."""
+    """M8: a tree of depth 1 over features of few values; all rows scored."""
     data = model_input(spark, sf_dir)
-    model = models.fit_tree(data.where(F.col("split") == "train"), STEP_FEATURES, max_depth=1)
-    scored = models.tree_predict(model, data, STEP_FEATURES)
+    tree = trees.fit(data.where(F.col("split") == "train"), STEP_FEATURES, max_depth=1)
+    scored = trees.predict(data, tree)
     return scored.select(*models.ROW_KEY, "split", F.round("prediction", 6).alias("prediction"))
 
 
 @query("tree_training_error")
 def q_tree_training_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8 at depths 1 and 2 on the same features: the error on the training
-    rows. Splits of equal gain leave the same error, whichever is taken."""
+    rows. A tree of depth 2 holds the one of depth 1 as its upper nodes."""
     train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    ways = trees.descend(train, trees.fit(train, STEP_FEATURES, max_depth=2))
     out = None
     for depth in (1, 2):
-        scored = models.tree_predict(models.fit_tree(train, STEP_FEATURES, max_depth=depth),
-                                     train, STEP_FEATURES)
-        row = models.regression_metrics(scored, models.LABEL, "prediction").select(
+        at = F.least(F.lit(depth), F.size("path") - 1)
+        row = models.regression_metrics(ways, models.LABEL, F.get("path", at)["prediction"]).select(
             F.lit(depth).alias("max_depth"), "n", F.round("mse", 6).alias("mse"))
         out = row if out is None else out.unionByName(row)
     return out
@@ -114,23 +139,23 @@ def q_tree_training_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tree_depth_search")
 def q_tree_depth_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: the grid search over depths 1 and 2 on the same features."""
-    data = model_input(spark, sf_dir)
-    _, rows = models.tree_grid_search(data.where(F.col("split") == "train"), STEP_FEATURES,
-                                      depths=(1, 2), min_splits=(2,))
-    return (spark.createDataFrame(rows, "max_depth int, min_instances int, mean_mse double")
-            .withColumn("mean_mse", F.round("mean_mse", 6)))
+    train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    grid = trees.grid_search(train, STEP_FEATURES, criteria=("squared_error",), depths=(1, 2), min_splits=(2,))
+    return grid.select("max_depth", F.lit(1).alias("min_instances"), F.round("mean_mse", 6).alias("mean_mse"))
 
 
 @query("tree_metrics")
 def q_tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 with the library's defaults: a tree over all features, grown until
+    no node can be cut, scored on every split."""
     data = model_input(spark, sf_dir)
-    model = models.fit_tree(data.where(F.col("split") == "train"), TREE_FEATURES)
-    scored = models.tree_predict(model, data, TREE_FEATURES)
-    return models.regression_metrics(scored, models.LABEL, "prediction")
+    scored = trees.predict(data, trees.fit(data.where(F.col("split") == "train"), TREE_FEATURES))
+    m = models.regression_metrics(scored, models.LABEL, "prediction")
+    return m.select("split", "n", F.round("mse", 6).alias("mse"), F.round("r2", 6).alias("r2"))
 
 
 @query("tree_grid_search")
 def q_tree_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = model_input(spark, sf_dir)
-    _, rows = models.tree_grid_search(data.where(F.col("split") == "train"), TREE_FEATURES)
-    return spark.createDataFrame(rows, "max_depth int, min_instances int, mean_mse double")
+    """M9: 3 criteria x depths 1-4 x minimum split sizes 2-9, 5 folds."""
+    train = model_input(spark, sf_dir).where(F.col("split") == "train")
+    return trees.grid_search(train, TREE_FEATURES).withColumn("mean_mse", F.round("mean_mse", 6))

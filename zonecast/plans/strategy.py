@@ -50,11 +50,13 @@ def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str] | objec
     return big.join(maybe_broadcast(small, max_rows), on, how)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's shared folder
-    (`spark.checkpoint.dir`), which survives executor loss. Never a
-    machine-local checkpoint."""
-    from zonecast.session import shared_dir
-
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Cut lineage: `df` written as Parquet into the session's shared folder
+    (`spark.checkpoint.dir`) and read back. It survives executor loss, and
+    readers take only the columns they need. Never a machine-local
+    checkpoint."""
+    from zonecast.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -26,6 +26,23 @@ ZONE_RING_OFFSETS = [(0.1, 0.3), (1.7, 0.1), (1.1, 0.9), (1.9, 1.8), (0.4, 1.6)]
 # user_id % 5. The first four are the codes the recode (P10) maps to names.
 RAW_BOROUGH_CODES = ["Q", "BX", "M", "BK", "SI"]
 
+# Rings of the zones of several parts, relative to the zone
+# origin: a hole in the zone, an island in the hole, a second part with a hole
+# that touches it in a corner. Some run clockwise.
+HOLE_RING = [(0.6, 0.8), (1.0, 0.8), (1.0, 1.2), (0.6, 1.2)]
+ISLAND_RING = [(0.7, 0.9), (0.7, 1.1), (0.9, 1.1), (0.9, 0.9)]
+SECOND_RING = [(12.2, 0.2), (13.8, 0.2), (13.8, 1.8), (12.2, 1.8)]
+SECOND_HOLE_RING = [(12.2, 0.2), (13.0, 0.7), (13.0, 1.1), (12.6, 1.1)]
+
+# Damage to zone texts, by the zone's id modulo 11; others are
+# whole.
+WKT_DAMAGE = {
+    1: "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0)", 2: "POLYGON ((0 0, 4 0, x 4, 0 4, 0 0))",
+    3: "POINT (1 2)", 4: "POLYGON ((0 0, 4 0, 4 4, 0 4))", 5: "POLYGON ((0 0, 4 0, 0 0))",
+    6: "MULTIPOLYGON EMPTY", 7: "  multipolygon(((0 0 1,4 0 1, 4 4 1,0 0 1)) ,\n((5 5 1,6 5 1,6 6 1,5 5 1)))",
+    8: "POLYGON EMPTY", 9: "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 1))", 10: None,
+}
+
 RIDER_EVENT_TYPES = ["purchase", "signup"]
 PICKUP_EVENT_TYPES = ["view", "click", "error"]
 
@@ -220,3 +237,48 @@ def zone_vertices_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("v.seq").alias("seq"),
                     (F.col("x0") + F.col("v.dx")).alias("x"),
                     (F.col("y0") + F.col("v.dy")).alias("y")))
+
+
+def multipart_vertices_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """zones_m as a vertex table: the ring of zones_v in all zones; a hole in
+    those with id % 3 > 0; an island in the hole and a second part with a hole
+    in those with id % 3 = 2. Rings are in no order."""
+    def ring(number: int, offsets: list, least: int):
+        return F.struct(F.lit(number).alias("ring"), F.lit(least).alias("least"), F.array(*[
+            F.struct(F.lit(i).alias("seq"), F.lit(float(dx)).alias("dx"), F.lit(float(dy)).alias("dy"))
+            for i, (dx, dy) in enumerate(offsets)]).alias("v"))
+
+    rings = F.array(ring(0, HOLE_RING, 1), ring(1, SECOND_HOLE_RING, 2), ring(2, ZONE_RING_OFFSETS, 0),
+                    ring(3, ISLAND_RING, 2), ring(4, SECOND_RING, 2))
+    key = F.col("locationid")
+    return (zone_attrs_view(spark, sf_dir)
+            .select("locationid", ((key % 5).cast("double") * 2).alias("x0"),
+                    (F.floor(key / 5).cast("double") * 2).alias("y0"), F.inline(rings))
+            .where(key % 3 >= F.col("least"))
+            .select("locationid", "ring", "x0", "y0", F.explode("v").alias("v"))
+            .select("locationid", "ring", F.col("v.seq").alias("seq"),
+                    (F.col("x0") + F.col("v.dx")).alias("x"), (F.col("y0") + F.col("v.dy")).alias("y")))
+
+
+def wkt_text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer of zone texts, one per zone, some damaged."""
+    key = F.col("locationid")
+    wkt = F.lit("POLYGON ((0 0, 1 0, 1 1, 0 0))")
+    for rest, text in WKT_DAMAGE.items():
+        wkt = F.when(key % 11 == rest, F.lit(text)).otherwise(wkt)
+    return zone_attrs_view(spark, sf_dir).select("locationid", wkt.alias("wkt"))
+
+
+def damaged_ridership_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw ridership text with planted bad values: riders that are no
+    number (n/a), too large or broken, times and latitudes that are none."""
+    raw = read_table(spark, sf_dir, "events").where(F.col("event_type").isin(RIDER_EVENT_TYPES))
+    eid, uid = F.col("event_id"), F.col("user_id")
+    return raw.select(
+        eid.cast("string").alias("event_id"),
+        F.when(eid % 109 == 0, F.lit("13/45/2024 01:00:00 AM"))
+         .otherwise(F.date_format("ts", "MM/dd/yyyy hh:mm:ss a")).alias("transit_timestamp"),
+        F.when(eid % 101 == 0, F.lit("n/a")).when(eid % 103 == 0, F.lit("3000000000"))
+         .when(eid % 107 == 0, F.lit("12.7")).when(eid % 127 == 0, F.lit(" "))
+         .otherwise(F.floor("value").cast("bigint").cast("string")).alias("ridership"),
+        F.when(eid % 113 == 0, F.lit("north")).otherwise(_station_lat(uid).cast("string")).alias("latitude"))
