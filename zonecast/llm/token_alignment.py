@@ -211,9 +211,14 @@ def terminals(succ: np.ndarray) -> np.ndarray:
 def group_sizes(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of A and of B each group has, groups in text order."""
     label = terminals(successors(a_end, b_end))
-    n = len(a_end)
-    names, a_sizes = np.unique(label[:n], return_counts=True)
-    same, b_sizes = np.unique(label[n:], return_counts=True)
+
+    def runs(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # a group's tokens follow each other
+        at = np.concatenate([[0], np.flatnonzero(labels[1:] != labels[:-1]) + 1, [len(labels)]])
+        return labels[at[:-1]], np.diff(at)
+
+    names, a_sizes = runs(label[:len(a_end)])
+    same, b_sizes = runs(label[len(a_end):])
     if not np.array_equal(names, same):
         raise ArithmeticError("a group without tokens of one tokenizer")
     return a_sizes, b_sizes
@@ -250,19 +255,16 @@ class Aligned:
 
 
 def align_texts(tok: Tokenizers, texts: Sequence[str | None]) -> Aligned:
-    a_ids: list[int] = []
-    b_ids: list[int] = []
-    n_a, n_b, ends = [], [], [0]
+    none = np.zeros(0, np.int64)
+    a_ids, b_ids, ends = [none], [none], [0]
     for text in texts:
-        a, b, size = tok.encode(text) or ([], [], 0)
-        a_ids += a
-        b_ids += b
-        n_a.append(len(a))
-        n_b.append(len(b))
+        a, b, size = tok.encode(text) or (none, none, 0)
+        a_ids.append(np.array(a, np.int64))
+        b_ids.append(np.array(b, np.int64))
         ends.append(ends[-1] + size)
-    a_all, b_all = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+    n_a, n_b = [len(x) for x in a_ids[1:]], [len(x) for x in b_ids[1:]]
+    a_all, b_all = np.concatenate(a_ids), np.concatenate(b_ids)
     a_end, b_end = np.cumsum(tok.a_len[a_all]), np.cumsum(tok.b_len[b_all])
-    none = np.zeros(0, np.int64)
     a_sizes, b_sizes = group_sizes(a_end, b_end) if len(a_all) else (none, none)
     # groups of each text: those whose last token ends within it
     group_end = a_end[np.cumsum(a_sizes) - 1] if len(a_sizes) else none
