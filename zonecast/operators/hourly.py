@@ -52,35 +52,19 @@ def hourly_zone_ridership(station_hours: DataFrame, station_zone: DataFrame) ->
     `station_hours` is G2's (station_id, timestamp, hourly_ridership);
     `station_zone` maps each station to at most one zone (NULL when in none).
     Stations without a zone are dropped here (they have no zone grain).
-    Since sum is associative, station-hour partial sums roll up exactly.
-    """
-    from zonecast.plans.strategy import join_small
-
-    j = join_small(station_hours, station_zone.select("station_id", "locationid"),
-                   "station_id", "inner", max_rows=5_000_000)
-    return (j.where(F.col("locationid").isNotNull())
+    Since sum is associative, station-hour partial sums roll up exactly. The
+    join takes no hint: Spark knows the size of the written map and broadcasts
+    it, or shuffles station hours (never raw rows)."""
+    zoned = station_zone.select("station_id", "locationid").where(F.col("locationid").isNotNull())
+    return (station_hours.join(zoned, "station_id")
             .groupBy("locationid", "timestamp")
             .agg(F.sum("hourly_ridership").cast("bigint").alias("hourly_ridership")))
 
 
-def zone_hour_ridership(ridership: DataFrame, station_zone: DataFrame,
-                        max_stations: int = 5_000_000) -> DataFrame:
-    """(locationid, hour) -> hourly_ridership straight from ridership rows.
-
-    When the station -> zone map passes the size check, raw rows are joined
-    to it map-side (broadcast) and aggregated ONCE by (zone, hour): a single
-    shuffle, with partial aggregation before it. Otherwise rows are first
-    pre-aggregated to (station, hour) so the shuffle join to the map moves
-    far fewer rows, then rolled up to zones (sum is associative)."""
-    from zonecast.plans.strategy import has_at_most
-
-    sz = (station_zone.select("station_id", "locationid")
-          .where(F.col("locationid").isNotNull()))
-    if has_at_most(sz, max_stations):
-        j = ridership.join(F.broadcast(sz), "station_id")
-        return (j.groupBy("locationid", hour_start("timestamp").alias("timestamp"))
-                .agg(F.sum("ridership").cast("bigint").alias("hourly_ridership")))
-    return hourly_zone_ridership(ridership_by_station_hour(ridership), sz)
+def zone_hour_ridership(ridership: DataFrame, station_zone: DataFrame) -> DataFrame:
+    """(locationid, hour) -> hourly_ridership from ridership rows: summed by
+    station and hour first, so that no join moves raw rows."""
+    return hourly_zone_ridership(ridership_by_station_hour(ridership), station_zone)
 
 
 def distinct_stations(ridership: DataFrame) -> DataFrame:

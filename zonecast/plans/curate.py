@@ -30,7 +30,7 @@ from zonecast.operators import combine, hourly, polygons, rules
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import EVENT_RULES
 from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
-from zonecast.session import scratch_path
+from zonecast.session import scratch_path, scratch_scope
 from zonecast.sinks import writers
 from zonecast.sources import files
 from zonecast.sources import fixtures as fx
@@ -40,6 +40,11 @@ def curate(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
            trip_rules: rules.TripRules = EVENT_RULES) -> dict[str, str]:
     """Write every curated output; returns {name: path}."""
     out = out_dir or scratch_path(spark, "curated")
+    with scratch_scope(spark):      # what is staged on the way goes at the end
+        return _curate(spark, sf_dir, out, trip_rules)
+
+
+def _curate(spark: SparkSession, sf_dir: str, out: str, trip_rules: rules.TripRules) -> dict[str, str]:
     paths = {k: os.path.join(out, k) for k in
              ("zones", "stations", "zones_geojson", "raw_trips", "taxi_trips",
               "subway_ridership", "combined_csv", "combined")}

@@ -480,8 +480,11 @@ ORACLE["combined_demand"] = with_views("SELECT * FROM combined_o", "combined_o")
 ORACLE["zones_without_ridership"] = with_views("""
 SELECT locationid, CAST(sum(pu_hourly) AS BIGINT) AS pickups
 FROM pickups_zh_o
-WHERE locationid NOT IN (SELECT locationid FROM ridership_zh_o)
-GROUP BY locationid""", "pickups_zh_o", "ridership_zh_o")
+WHERE locationid NOT IN (
+  SELECT z.locationid FROM ridership_typed_o r JOIN station_zone_o z ON r.station_id = z.station_id
+  WHERE r."timestamp" < TIMESTAMP '2024-01-01 06:00:00' AND r."timestamp" >= TIMESTAMP '2024-01-01 00:00:00'
+    AND z.locationid IS NOT NULL)
+GROUP BY locationid""", "pickups_zh_o", "ridership_typed_o", "station_zone_o")
 
 
 # --- exploration -------------------------------------------------------------

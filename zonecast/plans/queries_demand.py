@@ -9,7 +9,7 @@ from zonecast.functions.timecols import calendar_columns
 from zonecast.operators import combine, hourly, polygons, rules, spatial
 from zonecast.plans import demand
 from zonecast.plans.demand import curated_zones
-from zonecast.plans.fixture_args import FIXTURE_RULES, TILE_SIZE
+from zonecast.plans.fixture_args import EARLY_HOURS, FIXTURE_RULES, TILE_SIZE
 from zonecast.plans.registry import query
 from zonecast.plans.strategy import materialize
 from zonecast.sources import fixtures as fx
@@ -158,5 +158,8 @@ def q_combined_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("zones_without_ridership")
 def q_zones_without_ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones with pickups in the month and no riders in its first hours."""
+    early = rules.filter_time_range(demand.ridership_typed(spark, sf_dir), *EARLY_HOURS)
+    ridden = hourly.zone_hour_ridership(early, demand.station_zone(spark, sf_dir))
     return combine.zones_without_ridership(demand.pickup_zone_hours(spark, sf_dir),
-                                           demand.ridership_zone_hours(spark, sf_dir))
+                                           ridden.withColumnRenamed("timestamp", "hour_ts"))

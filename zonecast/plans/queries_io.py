@@ -95,30 +95,21 @@ def _period_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    FIXTURE_RULES.period_end, ts_col="pu_time")
 
 
-def _month_bounds(month: str) -> tuple[str, str]:
-    y, m = (int(v) for v in month.split("-"))
-    ny, nm = (y + 1, 1) if m == 12 else (y, m + 1)
-    return f"{y:04d}-{m:02d}-01 00:00:00", f"{ny:04d}-{nm:02d}-01 00:00:00"
-
-
 def stage_landing_months(spark: SparkSession, sf_dir: str) -> str:
     """Land all trips as one folder per pickup month (landing names), two
     months with drifted layouts. Returns the landing root.
 
-    One pass writes every normal month; each drifted month is written on its
-    own from a pickup-time range (pushed into the scan), so nothing is
-    computed twice and no copy of the data is kept."""
+    One pass over the trips lands all months; the two drifted ones are then
+    rewritten from their landed files."""
     root = scratch_path(spark, "landing")
-    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
-    normal = (fx.landing_trips_view(spark, sf_dir).withColumn("month", month)
-              .where(~F.col("month").isin(REORDERED_MONTH, RETYPED_MONTH)))
-    writers.write_months(normal, root, "month")
+    landing = fx.landing_trips_view(spark, sf_dir).withColumn(
+        "month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    writers.write_months(landing, root, "month")
+    landed = spark.read.schema(landing.schema).parquet(root)
 
     def one_month(m: str) -> DataFrame:
-        lo, hi = _month_bounds(m)
-        t = rules.filter_time_range(fx.landing_trips_view(spark, sf_dir), lo, hi,
-                                    ts_col="tpep_pickup_datetime")
-        return t.withColumn("month", month)
+        # a folder is not overwritten while it is read
+        return materialize(landed.where(F.col("month") == m), "month")
 
     reordered = one_month(REORDERED_MONTH)
     cols = [c for c in reordered.columns if c != "month"]

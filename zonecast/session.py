@@ -6,6 +6,7 @@ Library code never configures the cluster: it takes the caller's session.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -74,7 +75,30 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCOPES: dict[int, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-path of the shared folder for one write."""
-    base = shared_dir(spark)
-    return os.path.join(base, "zonecast", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique sub-path of the shared folder for one write; inside a
+    `scratch_scope` one that ends with it."""
+    base = os.path.join(shared_dir(spark), "zonecast")
+    scopes = _SCOPES.get(id(spark))
+    if scopes:
+        base = scopes[-1]
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """All that is staged inside the scope is deleted at its end, so results
+    must be written elsewhere, or collected, before. Yields the scope's
+    folder."""
+    path = scratch_path(spark, "scope")
+    _SCOPES.setdefault(id(spark), []).append(path)
+    try:
+        yield path
+    finally:
+        _SCOPES[id(spark)].remove(path)
+        sc = spark.sparkContext
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
