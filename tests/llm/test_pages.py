@@ -39,7 +39,7 @@ def test_shared_lines_are_a_longest_common_subsequence(monkeypatch, bits):
 
 def extracted(spark, rows):
     df = spark.createDataFrame(rows, PAGES)
-    return [tuple(r) for r in page_diff.extract(df, ["page_id"]).collect()]
+    return [tuple(r)[:2] for r in page_diff.extract(df, ["page_id"]).collect()]
 
 
 def test_article_is_found_in_the_test_pages(spark, sf_small):
@@ -104,7 +104,68 @@ def test_kept_columns_may_have_the_names_used_inside(spark):
     df = spark.createDataFrame([(1, "http://a.b/c", "<article>One &amp; two</article>", *names),
                                 (2, None, None, *[None] * len(names))], f"{PAGES}, {kinds}")
     got = page_diff.extract(df, ["page_id", *names]).orderBy("page_id").collect()
-    assert [tuple(r) for r in got] == [(1, *names, "One & two"), (2, *[None] * len(names), "")]
+    assert [tuple(r)[:-2] for r in got] == [(1, *names, "One & two"), (2, *[None] * len(names), "")]
+
+
+@pytest.mark.parametrize("inner, text", [
+    ("<p>Hi <span class='ad'>Buy</span> there</p>", "Hi there"),
+    ("<p>Read <a class='share'>Share</a>on</p>", "Read on"), ("<p>a <span hidden>b</span>c</p>", "a c"),
+    ("<p>x <em class='notice'>y</em> <b>z</b></p>", "x z"), ("<p>a <label class='popup'>b <i>c</i></label> d</p>", "a d"),
+    ("<p><span class='ad'>all of it</span></p><p>kept</p>", "kept"), ("<p>one<b>two</b>three</p>", "onetwothree"),
+])
+def test_marked_pieces_inside_a_line_go(spark, inner, text):
+    assert extracted(spark, [(1, "http://h.org/1", f"<article>{inner}</article>")]) == [(1, text)]
+
+
+def test_a_site_header_inside_main_goes_and_an_articles_own_stays(spark):
+    rows = [(1, "http://h.org/1", "<main><header>Site</header><p>One</p></main>"),
+            (2, "http://h.org/2", "<main><article><header><h1>Head</h1></header><p>Two</p></article></main>")]
+    assert dict(extracted(spark, rows)) == {1: "One", 2: "Head Two"}
+
+
+def test_copies_are_differenced_against_the_nearest_other_page(spark):
+    site = "<div>Menu of the site</div>{}<div>Foot of the site</div>"
+    rows = [(i, f"http://h.org/a/{i}", site.format("<p>copied</p>")) for i in range(40)]
+    rows += [(90, "http://h.org/a/95", site.format("<p>sibling</p>")), (91, "http://z.org/1", site.format("alone"))]
+    for parts in (1, 6):
+        df = spark.createDataFrame(rows, PAGES).repartition(parts)
+        got = {r["page_id"]: (r["text"], r["n_shared"]) for r in page_diff.extract(df, ["page_id"]).collect()}
+        assert got == {**{i: ("copied", 2) for i in range(40)}, 90: ("sibling", 2),
+                       91: ("Menu of the site alone Foot of the site", 0)}
+
+
+def test_nearest_other_pages_over_ranges(spark, monkeypatch):
+    """Runs that end inside ranges, fill them, and span them."""
+    rng = random.Random(6)
+    rows, n = [], 0
+    for host in ("a", "b", "c"):
+        for _ in range(12):
+            lines = [rng.randrange(3)]
+            for _ in range(rng.choice([1, 1, 2, 9, 30])):
+                rows.append((host, f"/{n:04d}", n, 0, lines[0] - 5, lines))
+                n += 1
+    df = spark.createDataFrame(rows, "host string, path string, k1 long, k2 long, digest long, lines array<long>")
+    for ranges in (1, 3, 17, 60):
+        spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = {r["k1"]: (r["before"] and r["before"]["path"], r["after"] and r["after"]["path"])
+                   for r in page_diff.neighbours(df).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for i, r in enumerate(rows):
+            other = lambda q: (q[0], q[4]) != (r[0], r[4])
+            before = next((q[1] for q in reversed(rows[:i]) if other(q)), None)
+            after = next((q[1] for q in rows[i + 1:] if other(q)), None)
+            assert got[r[2]] == (before, after), (ranges, r)
+
+
+def test_differencing_deletes_lines_of_the_test_pages(spark, sf_small):
+    from zonecast.llm.queries import QUERIES
+
+    got = QUERIES["op4_page_differencing"](spark, sf_small).collect()
+    assert sum(r["n_shared"] for r in got) > 0
 
 
 def test_cascade_is_exact_over_its_universe():

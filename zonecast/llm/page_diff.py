@@ -2,19 +2,22 @@
 
 Pages are ordered by host and path over the whole corpus (a range sort, so a
 host with a third of all pages spreads over many tasks). A page's partner is
-the neighbour in that order, on the same host, whose path shares the longer
-start with its own; the rows at the ends of a range are joined with their
-neighbours in the next range. The lines of both pages (as 64-bit hashes) are
-aligned by their longest common subsequence, and shared lines are deleted:
-they belong to the site, not to the page.
-
-What differencing cannot see is settled by the page's own markup afterwards.
-Adverts differ from page to page without being content, so lines inside menus,
-headers, footers, sidebars, notices, adverts, forms, comments and the like go
-in any case. And articles of one site may share passages, so lines inside an
-`article` or `main` element stay though shared; where a page marks such an
-element, nothing else is its main text. Two pages that share all their text
-are mirrors, and show nothing about each other.
+the nearest page before or after it in that order, on the same host and with
+other lines, whose path shares the longer start with its own; copies of a page
+show nothing about it and are passed over, also across the ends of ranges. All
+lines of both pages (as 64-bit hashes) are aligned by their longest common
+subsequence, and shared lines are deleted: menus, headers, footers and whatever
+else belongs to the site, marked as such or not.
+
+What differencing leaves open is settled by the page's own markup afterwards.
+Lines that are not shared go when they lie inside menus, headers, footers,
+sidebars, notices, adverts, forms, comments and the like, as adverts differ
+from page to page without being content. Shared lines come back when they lie
+inside an `article` or `main` element, as articles of one site may share
+passages; where a page marks such an element, nothing else is its main text.
+Inside a line, marked pieces (an advert in a span) go by themselves. A page all
+of whose text its partner has keeps it. `n_shared` and `n_marked` say how many
+of a page's lines each step deleted.
 
 Defined cases: null html or url is empty; pages without a host have no
 partner, and their text is settled by markup alone; repeated rows are judged
@@ -31,7 +34,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,22 +62,26 @@ HEADS = frozenset(["header", "masthead", "banner"])   # inside an article: its o
 
 
 class _Lines(HTMLParser):
-    """Lines of a page with their roles."""
+    """Lines of a page: all their text, the text of their kept pieces, and
+    their role."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int]] = []
-        self.parts: list[str] = []
-        self.stack: list[tuple[str, int]] = [("", OTHER)]
+        self.lines: list[tuple[str, str, int]] = []
+        self.parts: list[tuple[str, int]] = []
+        # element, role, whether inside an article
+        self.stack: list[tuple[str, int, bool]] = [("", OTHER, False)]
 
     def role(self) -> int:
         return self.stack[-1][1]
 
     def flush(self):
-        text = " ".join("".join(self.parts).split())
+        whole = " ".join("".join(t for t, _ in self.parts).split())
+        if whole:
+            kept = " ".join("".join(t for t, r in self.parts if r != DROP).split())
+            role = max((r for t, r in self.parts if t.strip()), default=DROP)
+            self.lines.append((whole, kept, role))
         self.parts.clear()
-        if text:
-            self.lines.append((text, self.role()))
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -83,7 +90,8 @@ class _Lines(HTMLParser):
             return
         if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and self.stack[-1][0] == tag:
             self.stack.pop()
-        self.stack.append((tag, self.role_of(tag, dict(attrs))))
+        role = self.role_of(tag, dict(attrs))
+        self.stack.append((tag, role, self.stack[-1][2] or (tag == "article" and role == MAIN)))
 
     def role_of(self, tag: str, attrs: dict) -> int:
         above = self.role()
@@ -91,8 +99,8 @@ class _Lines(HTMLParser):
             return DROP
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
         named = NAMES.intersection(names.replace("-", " ").replace("_", " ").split())
-        if above == MAIN:
-            named -= HEADS
+        if self.stack[-1][2]:
+            named -= HEADS              # an article's own head
         elif tag == "header":
             return DROP
         if tag in ("article", "main") or attrs.get("role") in ("main", "article"):
@@ -113,22 +121,20 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        if self.role() != DROP:
-            self.parts.append(data)
-        elif self.stack[-1][0] not in ("script", "style"):
-            self.parts.append(data)
+        if self.stack[-1][0] not in ("script", "style"):
+            self.parts.append((data, self.role()))
 
 
-def page_lines(html: str | None) -> list[tuple[str, int]]:
-    """(text, role) of each line, in page order. Where a page has main lines,
-    all others are DROP."""
+def page_lines(html: str | None) -> list[tuple[str, str, int]]:
+    """(whole text, kept text, role) of each line, in page order. Where a page
+    has main lines, all others are DROP."""
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
     lines = parser.lines
-    if any(role == MAIN for _, role in lines):
-        lines = [(text, role if role == MAIN else DROP) for text, role in lines]
+    if any(role == MAIN for *_, role in lines):
+        lines = [(whole, kept, role if role == MAIN else DROP) for whole, kept, role in lines]
     return lines
 
 
@@ -200,81 +206,125 @@ def _common_start(a: str, b: str) -> int:
     return n
 
 
-def deleted_lines(path: str, lines: list[int], roles: list[int], sides: list[tuple | None]):
-    """Indexes of the lines that differencing deletes and markup does not
-    keep. `sides`: (path, lines) of the neighbours in order, or None."""
+def shared_with_partner(path: str, lines: list[int], sides: list[tuple | None]) -> list[int]:
+    """Indexes of the lines that the partner has, too. `sides`: (path, lines)
+    of the nearest other pages before and after, or None."""
     near = [s for s in sides if s is not None]
     if not near:
         return []
     partner = max(near, key=lambda s: _common_start(path, s[0]))
-    shared = set(shared_lines(lines, partner[1]))
+    return shared_lines(lines, partner[1])
+
+
+def settled(roles: list[int], shared: set[int]) -> tuple[list[int], int, int]:
+    """Which lines stay, and how many differencing and then markup deleted."""
     text = [i for i, r in enumerate(roles) if r != DROP]
     if shared.issuperset(text):
-        return []                       # a mirror
-    return [i for i in text if i in shared and roles[i] == OTHER]
+        shared = shared.difference(text)        # nothing would be left of the page
+    gone = [i for i in shared if roles[i] != MAIN]
+    marked = [i for i, r in enumerate(roles) if r == DROP and i not in shared]
+    out = set(gone).union(marked)
+    return [i for i in range(len(roles)) if i not in out], len(gone), len(marked)
 
 
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash, role and text of each line; no text for those that markup drops."""
+    """Hash, role and kept text of each line, no text for those that markup
+    drops; and a digest of all hashes."""
     same = ["row", "k1", "k2", "host", "path"]
     for b in batches:
-        lines, roles, texts = [], [], []
+        lines, roles, texts, digests = [], [], [], []
         for html in b.column("html"):
             found = page_lines(html.as_py())
-            lines.append(np.array([xxhash.xxh64_intdigest(t) for t, _ in found], np.uint64).view(np.int64))
-            roles.append([r for _, r in found])
-            texts.append([None if r == DROP else t for t, r in found])
+            lines.append(np.array([xxhash.xxh64_intdigest(t) for t, *_ in found], np.uint64).view(np.int64))
+            digests.append(xxhash.xxh64_intdigest(lines[-1].tobytes()) - 2 ** 63)
+            roles.append([r for *_, r in found])
+            texts.append([None if r == DROP else t for _, t, r in found])
         yield pa.RecordBatch.from_arrays(
-            [*[b.column(c) for c in same], pa.array(lines, pa.list_(pa.int64())),
+            [*[b.column(c) for c in same], pa.array(digests, pa.int64()), pa.array(lines, pa.list_(pa.int64())),
              pa.array(roles, pa.list_(pa.int8())), pa.array(texts, pa.list_(pa.string()))],
-            [*same, "lines", "roles", "texts"])
+            [*same, "digest", "lines", "roles", "texts"])
 
 
 def neighbours(pages: DataFrame) -> DataFrame:
-    """`pages` (host, path, k1, k2 and more) with `before` and `after`: the
-    rows next to each in the order of (host, path, k1, k2) over the whole
-    table, as structs of all columns; null at its ends."""
+    """`pages` (host, path, k1, k2, digest and lines) with `before` and
+    `after`: the nearest rows in the order of (host, path, k1, k2) over the
+    whole table with another host or digest, as structs (host, path, lines);
+    null at its ends.
+
+    Rows of one host and digest that follow each other are a run. Inside a
+    range the row before a run is carried along it; what lies before a range's
+    first run follows from the ranges' ends, one row per range."""
     order = ["host", "path", "k1", "k2"]
-    cols = pages.columns
+    side = F.struct("host", "path", "lines")
     rows = staged(pages.repartitionByRange(*order).sortWithinPartitions(*order)
                   .withColumn("part", F.spark_partition_id()), "page-order")
-    whole = F.struct(*order, *[c for c in cols if c not in order])
-    ends = rows.groupBy("part").agg(F.min(whole).alias("first"), F.max(whole).alias("last"))
-    by_part = W.orderBy("part")         # one row per range
-    ends = ends.select("part", F.lag("last").over(by_part).alias("last_before"),
-                       F.lead("first").over(by_part).alias("first_after"))
+    run = F.struct("host", "digest")
     inside = W.partitionBy("part").orderBy(*order)
-    rows = rows.withColumn("lag", F.lag(whole).over(inside)).withColumn(
-        "lead", F.lead(whole).over(inside))
+
+    def along(name: str, w, step) -> Column:
+        """The row next to each row's run, on one side, within the range."""
+        first = ~run.eqNullSafe(step(run).over(w))
+        return F.last(F.when(first, step(side).over(w)), ignorenulls=True).over(
+            w.rowsBetween(W.unboundedPreceding, 0)).alias(name)
+
+    back = W.partitionBy("part").orderBy(*[F.desc(c) for c in order])
+    rows = rows.select("*", run.alias("run"), along("lag", inside, F.lag), along("lead", back, F.lag))
+    place = F.struct(*order)
+    ends = rows.groupBy("part").agg(
+        F.min_by("run", place).alias("first_run"), F.max_by("run", place).alias("last_run"),
+        F.min_by(side, place).alias("first"), F.max_by(side, place).alias("last"),
+        F.max_by("lag", place).alias("before_last"), F.min_by("lead", place).alias("after_first"))
+    by_part = W.orderBy("part")         # one row per range
+    to_here, from_here = (by_part.rowsBetween(W.unboundedPreceding, 0),
+                          by_part.rowsBetween(0, W.unboundedFollowing))
+    # what lies before the run that ends a range; where that run is all of the
+    # range and goes on from the range before, what lies before it there
+    previous, following = F.lag("last_run").over(by_part), F.lead("first_run").over(by_part)
+    ends = ends.withColumns({
+        "previous": previous, "following": following,
+        "own_before": F.coalesce("before_last", F.when(previous != F.col("first_run"), F.lag("last").over(by_part))),
+        "own_after": F.coalesce("after_first", F.when(following != F.col("last_run"), F.lead("first").over(by_part)))})
+    ends = ends.withColumns({"to_end": F.last("own_before", ignorenulls=True).over(to_here),
+                             "to_start": F.first("own_after", ignorenulls=True).over(from_here)})
+    ends = ends.select(
+        "part",
+        F.when(F.col("previous") == F.col("first_run"), F.lag("to_end").over(by_part))
+         .otherwise(F.lag("last").over(by_part)).alias("range_before"),
+        F.when(F.col("following") == F.col("last_run"), F.lead("to_start").over(by_part))
+         .otherwise(F.lead("first").over(by_part)).alias("range_after"))
     return rows.join(ends, "part").select(
-        *cols, F.coalesce("lag", "last_before").alias("before"),
-        F.coalesce("lead", "first_after").alias("after"))
+        *pages.columns, F.coalesce("lag", "range_before").alias("before"),
+        F.coalesce("lead", "range_after").alias("after"))
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = b.to_pylist()
-        gone = [deleted_lines(r["path"], r["lines"], r["roles"], [
+        shared = [shared_with_partner(r["path"], r["lines"], [
             (s["path"], s["lines"]) if s and r["host"] and s["host"] == r["host"] else None
             for s in (r["before"], r["after"])]) for r in rows]
-        some = [i for i, g in enumerate(gone) if g]
+        some = [i for i, g in enumerate(shared) if g]
         yield pa.RecordBatch.from_arrays(
             [*[b.column(c).take(pa.array(some, pa.int32())) for c in ("k1", "k2")],
-             pa.array([gone[i] for i in some], pa.list_(pa.int32()))], ["k1", "k2", "gone"])
+             pa.array([shared[i] for i in some], pa.list_(pa.int32()))], ["k1", "k2", "shared"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for texts, gone in zip(b.column("texts").to_pylist(), b.column("gone").to_pylist()):
-            gone = set(gone or ())
-            out.append(" ".join(t for i, t in enumerate(texts) if t is not None and i not in gone))
-        yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string())],
-                                         ["row", "text"])
+        out, n_shared, n_marked = [], [], []
+        for texts, roles, shared in zip(*(b.column(c).to_pylist() for c in ("texts", "roles", "shared"))):
+            stay, by_partner, by_markup = settled(roles, set(shared or ()))
+            out.append(" ".join(texts[i] for i in stay if texts[i]))
+            n_shared.append(by_partner)
+            n_marked.append(by_markup)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("row"), pa.array(out, pa.string()), pa.array(n_shared, pa.int64()),
+             pa.array(n_marked, pa.int64())], ["row", "text", "n_shared", "n_marked"])
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep` and text of every row of `pages` (page_id, url, html).
+    """`keep`, text, n_shared and n_marked (lines that differencing and then
+    markup deleted) of every row of `pages` (page_id, url, html).
 
     Each page is parsed once; its lines are written, and the html is not read
     again. Only hashes of lines are shuffled to find what to delete. The
@@ -288,12 +338,13 @@ def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
                         F.xxhash64(F.lit(2), *whole).alias("k2"), host.alias("host"),
                         path.alias("path"), "html")
     read = T.StructType([rows.schema[c] for c in ("row", "k1", "k2", "host", "path")])
-    read = (read.add("lines", T.ArrayType(T.LongType())).add("roles", T.ArrayType(T.ByteType()))
+    read = (read.add("digest", T.LongType()).add("lines", T.ArrayType(T.LongType())).add("roles", T.ArrayType(T.ByteType()))
             .add("texts", T.ArrayType(T.StringType())))
     lines = staged(rows.mapInArrow(_read_lines, read), "page-lines", "zstd")
-    gone = staged(neighbours(lines.drop("row", "texts"))
-                  .mapInArrow(_differences, "k1 long, k2 long, gone array<int>")
-                  .groupBy("k1", "k2").agg(F.min("gone").alias("gone")), "page-deletions")
-    out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
-    return (lines.join(gone, ["k1", "k2"], "left").select("row", "texts", "gone")
-            .mapInArrow(_texts, out).select("row.*", "text"))
+    shared = staged(neighbours(lines.drop("row", "roles", "texts"))
+                    .mapInArrow(_differences, "k1 long, k2 long, shared array<int>")
+                    .groupBy("k1", "k2").agg(F.min("shared").alias("shared")), "page-shared")
+    out = T.StructType([rows.schema["row"], T.StructField("text", T.StringType()),
+                        T.StructField("n_shared", T.LongType()), T.StructField("n_marked", T.LongType())])
+    return (lines.join(shared, ["k1", "k2"], "left").select("row", "texts", "roles", "shared")
+            .mapInArrow(_texts, out).select("row.*", *out.names[1:]))

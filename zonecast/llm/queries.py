@@ -55,10 +55,12 @@ def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 
 @query
 def op4_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The main text of all pages."""
+    """The main text of all pages, and how many lines differencing and markup
+    deleted."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     texts = page_diff.extract(pages, ["page_id", "url"])
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
+                        "n_shared", "n_marked")
 
 
 @query
