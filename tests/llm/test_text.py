@@ -215,6 +215,24 @@ def test_risk_never_gains_from_a_negative_part():
     assert abs(pu_quality.prior_from_positives(pos, unlabelled) - 0.7) < 0.15
 
 
+def test_no_negative_label_is_read_and_the_prior_is_near_the_share(spark, sf_mid):
+    docs = spark.read.parquet(f"{sf_mid}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_mid}/labels.parquet").select("doc_id", "quality")
+    both = pu_quality.train(docs, labels)
+    only = pu_quality.train(docs, labels.where("quality = 1"))
+    assert both.prior == only.prior and np.allclose(both.weights, only.weights)
+    share = labels.agg({"quality": "avg"}).first()[0]
+    assert abs(both.prior - share) < 0.12        # 0.03 on ten times the labels
+
+
+def test_repeated_rows_long_texts_and_clashing_columns_of_quality(spark):
+    rows = [(1, "Good words stand here. " * 3, 0.5), (1, "Good words stand here. " * 3, 0.7), (2, "x " * 600_000, 0.1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None)], "doc_id long, quality int")
+    got = pu_quality.scores(df, pu_quality.train(df, labels), ["doc_id"]).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 1, 2] and len({r["score"] for r in got if r["doc_id"] == 1}) == 1
+
+
 # ---- toxicity ------------------------------------------------------------
 
 def distance(a, b):

@@ -14,14 +14,15 @@ computed per document inside Spark tasks; the model is fitted on a bounded
 sample (`TRUSTED` and `UNLABELLED` documents at most, those with the smallest
 id hash), and every document is scored over its whole text.
 
-The class prior is the share of positives among the labels in use where these
-hold both classes; from positives alone it is estimated as the smallest ratio
-of unlabelled to positive documents above a score.
+No negative label is read. The class prior is estimated from the positives and
+the unlabelled texts as the smallest ratio of unlabelled to positive documents
+above a score: where only positives score that high, that ratio is the prior.
 
 Defined cases: null text is empty; empty texts are scored like any other;
-null ids have no label and are not held out; a document with several labels
-counts as its lowest; without positives, or without documents, every score is
-the prior of one half; other columns of the inputs are not read.
+null ids have no label and are not held out; a document with several labels is
+trusted when one of them is positive; without positives, or without documents,
+every score is the prior of one half; other columns of the inputs are not
+read.
 """
 
 from __future__ import annotations
@@ -106,6 +107,7 @@ class Logistic:
 
     def __init__(self, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray):
         self.mean, self.scale, self.weights = mean, scale, weights
+        self.prior: float | None = None     # what a positive-unlabelled fit took
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return _sigmoid(np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights[1:]
@@ -144,8 +146,8 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Logist
 
 
 def prior_from_positives(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Without negatives: the smallest ratio of the unlabelled to the positive
-    share above a score of a positive-against-unlabelled model."""
+    """The smallest ratio of the unlabelled to the positive share above a score
+    of a positive-against-unlabelled model."""
     n_p, n_u = len(positive), len(unlabelled)
     y = np.concatenate([np.ones(n_p), np.zeros(n_u)])
     weight = np.concatenate([np.full(n_p, 0.5 / n_p), np.full(n_u, 0.5 / n_u)])
@@ -160,18 +162,18 @@ def prior_from_positives(positive: np.ndarray, unlabelled: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", trusted: int = TRUSTED,
           unlabelled: int = UNLABELLED, prior: float | None = None) -> Logistic | None:
-    """Fit on `docs` and `labels` (doc_id, `label`), both already without the
-    rows that must not be learnt from."""
-    per = (labels.where(F.col(label).isNotNull()).groupBy("doc_id")
-           .agg(F.min(F.col(label).cast("int")).alias("y")))
-    n, n_pos = per.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    positive = sampled_features(docs, sample(per.where("y = 1"), trusted))
+    """Fit on `docs` and the positives of `labels` (doc_id, `label`), both
+    already without the rows that must not be learnt from."""
+    positive = sampled_features(docs, sample(labels.where(F.col(label) == 1), trusted))
     rest = sampled_features(docs, sample(docs, unlabelled))
     if not len(positive) or not len(rest):
         return None
     if prior is None:
-        prior = n_pos / n if n_pos < n else prior_from_positives(positive, rest)
-    return fit_pu(positive, rest, min(max(prior, 0.01), 0.99))
+        prior = prior_from_positives(positive, rest)
+    prior = min(max(prior, 0.01), 0.99)
+    model = fit_pu(positive, rest, prior)
+    model.prior = prior
+    return model
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Logistic | None, keep: list[str]):
