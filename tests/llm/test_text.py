@@ -300,8 +300,8 @@ def test_toxicity_defined_cases(spark):
 
 
 def test_quotation_is_told_from_abuse():
-    lexicon = toxicity.Lexicon({"vermin": 5.0}, {})
+    lexicon = toxicity.Lexicon({"vermin": 5.0}, {}, (), {"said": -3.0, "you": 3.0})
     quoted = toxicity.context_features('they said "vermin are small" once', lexicon)
     abuse = toxicity.context_features("you vermin you vermin", lexicon)
-    assert quoted[8] == 1 and quoted[10] == 1 and abuse[8] == 0 and abuse[9] == 1
+    assert quoted[8] == 1 and quoted[10] == 0.5 and abuse[8] == 0 and abuse[9] == 1 and quoted[9] == abuse[10] == 0
     assert (toxicity.context_features(None, lexicon) == 0).all()

@@ -109,3 +109,117 @@ def test_all_clean_words_near_a_term_are_exceptions(spark):
     lexicon = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))[0]
     assert len(set(near)) == 5200 and lexicon.find("dizgustinz")[1] == 2
     assert not [w for w in near if lexicon.find(w)]
+
+
+def test_quoted_and_abusive_uses_are_scored_apart_by_the_fitted_model(spark):
+    """Two terms; a few clean texts report them, in quotation marks and by a
+    verb that the lexicon learns to count against abuse."""
+    rng = random.Random(8)
+    fill = lambda k: rng.choices(PLAIN, k=k)
+    rows = [(i, " ".join([*fill(20), *(["shut", "up"] if i % 8 == 0 else [])]), 0) for i in range(600)]
+    rows += [(700 + i, " ".join([*fill(6), "witnesses", "reported", '"', ["vermin", "knave"][i % 2], '"', *fill(6)]), 0)
+             for i in range(16)]
+    rows += [(1000 + i, " ".join([*fill(6), "shut", "up", rng.choice(["vermin", "knave"]), *fill(6)]), 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon, model = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert set(lexicon.trie.terms) >= {"vermin", "knave"}
+    assert lexicon.context["shut"] > 1 and lexicon.context["reported"] < -1 and lexicon.context["witnesses"] < -1
+
+    def score(text):
+        return model.score(toxicity.context_features(text, lexicon).reshape(1, -1))[0]
+
+    for term in ("vermin", "knave"):
+        assert score(f'the river stone, as witnesses reported " {term} " under seven') < 0.5
+        assert score(f"the river stone now shut up {term} under seven light") > 0.5
+
+
+def test_words_that_may_be_chance_are_no_terms(spark):
+    """Of 4,000 rare words some stand in toxic texts alone by chance; the two
+    that are no chance are kept."""
+    rng = random.Random(9)
+    rare = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(4000)]
+    rows = []
+    for i in range(1000):
+        y = int(i % 10 == 0)
+        rows.append((i, " ".join([*rng.choices(PLAIN, k=10), *rng.choices(rare, k=12), *(["vermin", "xylo"] if y else [])]), y))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))[0]
+    assert {"vermin", "xylo"} <= set(lexicon.trie.terms) and len(lexicon.trie.terms) <= 4
+
+
+def test_clean_words_are_not_derived_from_stems(spark):
+    rng = random.Random(10)
+    rows = [(i, " ".join([*rng.choices(PLAIN, k=15), *(["vermouth"] if i < 5 else []), f"n{i}"]), 0) for i in range(400)]
+    rows += [(1000 + i, " ".join([*rng.choices(PLAIN, k=10), rng.choice(["vermin", "verminous", "vermins"]), f"m{i}"]), 1)
+             for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))[0]
+    assert "verm" in lexicon.trie.stem_at
+    assert lexicon.find("vermouth") is None and lexicon.find("verminish")[2]
+
+
+def brute_features(text, lexicon):
+    """Every word against every entry, every match against every token."""
+    import re
+
+    import numpy as np
+    tokens = re.findall(r"[^\W_]+|[\"“”„«»]", (text or "").lower())
+
+    def find(w):
+        trie = lexicon.trie
+        if w in trie.terms:
+            return lexicon.term_weight[trie.terms.index(w)], 0, False, trie.terms.index(w)
+        if w in lexicon.exceptions:
+            return None
+        heads = [s for s in sorted(trie.stems, key=len) if w.startswith(s)]
+        if heads:
+            i = trie.stems.index(heads[0])
+            return lexicon.stem_weight[i], 0, True, i
+        best = None
+        for i, t in enumerate(trie.terms):
+            d = brute(toxicity.Trie([t], []), w)
+            if d is not None and (best is None or (d, i) < best):
+                best = (d, i)
+        return best and (lexicon.term_weight[best[1]], best[0], False, best[1])
+
+    found = {w: got for w in set(tokens) - toxicity.QUOTES if (got := find(w)) is not None}
+    at = [i for i, w in enumerate(tokens) if w in found]
+    if not at:
+        return np.zeros(toxicity.N_FEATURES)
+    hits = [found[tokens[i]] for i in at]
+    near = lambda i: range(max(0, i - toxicity.REACH), min(len(tokens), i + toxicity.REACH + 1))
+    is_quote = [t in toxicity.QUOTES for t in tokens]
+    quoted = sum(sum(is_quote[:i]) % 2 == 1 and any(is_quote[i:]) for i in at)
+    odds = [min(6, max(-6, sum(lexicon.context.get(tokens[j], 0) for j in near(i)))) / 6 for i in at]
+    n = len(at)
+    return np.array([
+        1, np.log1p(sum(h[1] == 0 and not h[2] for h in hits)), np.log1p(sum(h[1] > 0 for h in hits)),
+        np.log1p(sum(h[2] for h in hits)), np.log1p(len({h[2:] for h in hits})),
+        np.log1p(1000 * n / (len(tokens) - sum(is_quote))), max(h[0] for h in hits) / 5,
+        np.log1p(np.mean([sum(j in set(at) for j in near(i)) - 1 for i in at])), quoted / n,
+        np.mean([max(o, 0) for o in odds]), np.mean([max(-o, 0) for o in odds])])
+
+
+def test_whole_scoring_matches_brute_force(spark):
+    import numpy as np
+    rng = random.Random(11)
+    lexicon = toxicity.Lexicon({"vermin": 4.0, "disgusting": 5.5, "oaf": 3.1}, {"verm": 3.3, "gross": 4.4},
+                               ["vermilion", "vermint"], {"you": 2.0, "said": -2.5, "stone": 0.7})
+    model = toxicity.Logistic(np.zeros(toxicity.N_FEATURES), np.ones(toxicity.N_FEATURES),
+                              np.linspace(-1, 1, toxicity.N_FEATURES + 1))
+    pool = [*PLAIN, "you", "said", '"', "vermin", "vermn", "vermilion", "vermint", "verming", "disgutsing", "disgusting",
+            "dsgustin", "oaf", "oafs", "grossly", "“", "Vermin"]
+    texts = [None, "", '"'] + [" ".join(rng.choices(pool, k=rng.randrange(1, 40))) for _ in range(120)]
+    texts += [texts[9], texts[9]]
+    df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score double")
+    got = {r["doc_id"]: r["score"] for r in toxicity.scores(df, (lexicon, model), ["doc_id"]).collect()}
+    want = {i: float(model.score(brute_features(t, lexicon).reshape(1, -1))[0]) for i, t in enumerate(texts)}
+    assert got == pytest.approx(want, abs=1e-9) and len(got) == len(texts)
+
+
+def test_a_very_long_text_and_the_rate_of_chance():
+    lexicon = toxicity.Lexicon({"vermin": 4.0}, {})
+    assert toxicity.context_features("river vermin " * 200_000, lexicon)[1] == pytest.approx(12.2, abs=0.1)
+    # 100 words of no meaning and 5 that stand in toxic texts only
+    assert toxicity.chance_cut([(3, 27, 100), (30, 0, 5)], 0.1) < -60
+    assert toxicity.chance_cut([(3, 27, 100)], 0.1) == float("-inf")

@@ -3,23 +3,28 @@ of the context around each match.
 
 The lexicon is learnt from labelled documents: words, and stems of words,
 that occur in toxic texts much more often than in others (copies of a text
-count once). What a term needs does not grow with the input: `LEAST_DOCS` toxic
-texts, and log odds of `LEAST_ODDS`. As their standard error is at most
-sqrt(1/3.5 + 1/0.5) = 1.51, that puts the lower 95 % bound of the log odds of
-every term above 0.5. A term of 5 letters or more may have one error, of 9
-or more two. A word of a document is matched by walking the trie of terms
-together with the word's Levenshtein automaton (bit-parallel: one mask of
-positions per number of errors); branches in which no state is left are cut.
-Of the trie only the branches of terms that share a piece with the word are
-walked: a term cut into one piece more than it may have errors keeps one piece
-whole (pigeonhole), so none is lost, and a word costs a few lookups, not the
-lexicon. A word may have the errors of a term one letter longer than itself, so
-a word of 7 letters is one error from a term, not two. Words that clean
-labelled documents use themselves are no misspellings.
-
-Each match is judged by the words around it: how many other matches there
-are, whether the match stands between quotation marks or near a verb of
-reporting, whether someone is addressed. A logistic model over these scores
+count once): in `LEAST_DOCS` toxic texts, with log odds of `LEAST_ODDS`, and
+not by chance. Thousands of words are tried, so each has a bound on the
+probability of its counts, were it as usual in toxic texts as in others, and
+the bounds are held against a false discovery rate of `CHANCE` (Benjamini and
+Hochberg). A term of 5 letters or more may have one error, of 9 or more two.
+
+A word of a document is looked up by pieces: a term cut into one piece more
+than it may have errors keeps one piece whole (pigeonhole), so the terms that
+share a piece with the word are all that can match. Of the trie the branches of
+these terms are walked together with the word's Levenshtein automaton
+(bit-parallel: one mask of positions per number of errors), and branches in
+which no state is left are cut. So the index finds the candidates, the automaton
+decides, and a word costs a few lookups, not the lexicon. A word may have the
+errors of a term one letter longer than itself, so a word of 7 letters is one
+error from a term, not two. Words that clean labelled documents use themselves
+are neither misspellings nor derived from a stem.
+
+Each match is judged by the words around it: how many other matches there are,
+whether it stands between quotation marks, and how the words near it speak for
+or against abuse. These context words are learnt like the lexicon, from the
+words near matches in toxic and in other labelled texts: those who quote a word
+report it, those who abuse address someone. A logistic model over these scores
 gives the document's score. It is fitted on a bounded sample (`SAMPLE`
 documents of each class at most, those with the smallest id hash); every
 document is scored over its whole text.
@@ -37,29 +42,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonecast.llm.common import staged
 from zonecast.llm.pu_quality import Logistic, _sigmoid, fit_logistic, sample
 
 SAMPLE = 20_000
-MOST_ENTRIES = 200_000   # terms, and stems, that workers hold in memory; more is an error
+MOST_ENTRIES = 200_000   # terms, stems, exceptions and context words that workers hold, each; more is an error
 STEMS = (4, 5, 6)
 LEAST_DOCS = 3           # toxic texts that must hold a term
 LEAST_CLEAN = 2          # clean texts that make a word one of their own
 LEAST_ODDS = 3.0         # smoothed log odds of a term
+CHANCE = 0.05            # false discoveries among terms, and among context words
+LEAST_CONTEXT_ODDS = 1.0 # of a context word, for or against
 REACH = 8                # words of context on either side
 CACHE = 1 << 20          # words whose match a worker remembers
 
 WORDS = re.compile(r"[^\W_]+")
 TOKENS = re.compile(r"[^\W_]+|[\"“”„«»]")
 QUOTES = frozenset("\"“”„«»")
-# Words of address and of reporting in the corpus's languages
-ADDRESS = frozenset("you your yours du dich dir ihr euch sie tu te toi vous vos tú usted "
-                    "ustedes vosotros".split())
-REPORT = frozenset("said says wrote called quote quoted quotes sagte schrieb nannte dit écrit "
-                   "appelé dijo escribió llamó".split())
 
 
 def allowed_errors(term: str) -> int:
@@ -188,12 +190,14 @@ class Trie:
 
 
 class Lexicon:
-    """The trie, a weight per entry, and words that are never misspellings."""
+    """The trie, a weight per entry, words that match only as terms, and the
+    log odds of context words."""
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float], exceptions=()):
+    def __init__(self, terms: dict[str, float], stems: dict[str, float], exceptions=(), context=None):
         self.trie = Trie(list(terms), list(stems))
         self.term_weight, self.stem_weight = list(terms.values()), list(stems.values())
         self.exceptions = frozenset(exceptions)
+        self.context: dict[str, float] = dict(context or {})
         self.cache: dict[str, tuple | None] = {}
 
     def __getstate__(self):
@@ -202,9 +206,11 @@ class Lexicon:
     def find(self, word: str):
         """(weight, errors, is a stem, entry) or None."""
         got = self.trie.match(word)
-        if got is None or got[2] and word in self.exceptions:
+        if got is None:
             return None
         i, stem, errors = got
+        if (stem or errors) and word in self.exceptions:
+            return None
         return (self.stem_weight if stem else self.term_weight)[i], errors, stem, i
 
     def matches(self, words: set[str]) -> dict[str, tuple]:
@@ -220,32 +226,38 @@ class Lexicon:
 N_FEATURES = 11
 
 
+def _places(text: str | None, lexicon: Lexicon) -> tuple[list[str], list[int], list[tuple]]:
+    """A text's tokens, the places of its matches, and the matches."""
+    tokens = TOKENS.findall((text or "").lower())
+    found = lexicon.matches(set(tokens) - QUOTES)
+    places = [i for i, w in enumerate(tokens) if w in found] if found else []
+    return tokens, places, [found[tokens[i]] for i in places]
+
+
 def context_features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     """Scores of a document's matches and of the words around them."""
     out = np.zeros(N_FEATURES)
-    tokens = TOKENS.findall((text or "").lower())
-    used = set(tokens)
-    found = lexicon.matches(used - QUOTES)
-    if not found:
+    tokens, places, hits = _places(text, lexicon)
+    if not hits:
         return out
-    places = [i for i, w in enumerate(tokens) if w in found]
-    hits = [found[tokens[i]] for i in places]
     where = np.array(places)
 
-    def at(these: frozenset) -> np.ndarray:
-        these = these & used
-        return np.array([i for i, t in enumerate(tokens) if t in these] if these else [], int)
-
     def within_reach(at: np.ndarray) -> np.ndarray:
         return (np.searchsorted(at, where + REACH, "right")
                 - np.searchsorted(at, where - REACH, "left"))
 
     around = within_reach(where) - 1
-    quotes = at(QUOTES)
+    quotes = np.array([i for i, t in enumerate(tokens) if t in QUOTES], int)
     opened = np.searchsorted(quotes, where)
     quoted = int(((opened % 2 == 1) & (len(quotes) > opened)).sum())
-    addressed = int((within_reach(at(ADDRESS)) > 0).sum())
-    reported = int((within_reach(at(REPORT)) > 0).sum())
+    odds = np.zeros(len(where))
+    if lexicon.context:
+        known = [(i, lexicon.context[t]) for i, t in enumerate(tokens) if t in lexicon.context]
+        at, said = np.array([i for i, _ in known], int), np.array([o for _, o in known])
+        sums = np.concatenate([[0.0], np.cumsum(said)])
+        odds = (sums[np.searchsorted(at, where + REACH, "right")]
+                - sums[np.searchsorted(at, where - REACH, "left")])
+    odds = np.clip(odds, -6, 6) / 6
     n_words = len(tokens) - len(quotes)
     n = len(hits)
     exact = sum(h[1] == 0 and not h[2] for h in hits)
@@ -253,7 +265,7 @@ def context_features(text: str | None, lexicon: Lexicon) -> np.ndarray:
     out[:] = [1, np.log1p(exact), np.log1p(sum(h[1] > 0 for h in hits)),
               np.log1p(sum(h[2] for h in hits)), np.log1p(len({h[2:] for h in hits})),
               np.log1p(1000 * n / n_words), max(weights) / 5, np.log1p(float(around.mean())),
-              quoted / n, addressed / n, reported / n]
+              quoted / n, float(np.maximum(odds, 0).mean()), float(np.maximum(-odds, 0).mean())]
     return out
 
 
@@ -262,7 +274,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         term, stem, toxic = [], [], []
         for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-            words = {w for w in WORDS.findall((text or "").lower()) if 3 <= len(w) <= 40}
+            words = set(WORDS.findall((text or "").lower()))
             heads = {w[:n] for w in words for n in STEMS if len(w) > n}
             term += [*words, *heads]
             stem += [False] * len(words) + [True] * len(heads)
@@ -271,36 +283,124 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(toxic, pa.int64())], ["term", "stem", "toxic"])
 
 
+def _log_chance(most: float, n: float, share: float) -> float:
+    """Logarithm of a bound (Chernoff's) on the probability of `most` or more
+    of n, each with probability `share`."""
+    a = most / n
+    if a <= share:
+        return 0.0
+    rest = (1 - a) * np.log((1 - a) / (1 - share)) if a < 1 else 0.0
+    return float(-n * (a * np.log(a / share) + rest))
+
+
+def chance_cut(tried: list[tuple[int, int, int]], share: float) -> float:
+    """The largest log bound that passes a false discovery rate of `CHANCE`.
+    `tried`: (toxic, clean, how many words have these counts)."""
+    bounds = sorted((_log_chance(t, t + c, share), n) for t, c, n in tried)
+    total = sum(n for _, n in bounds)
+    cut, rank = -np.inf, 0
+    for bound, n in bounds:
+        rank += n
+        if bound <= np.log(CHANCE * rank / total):
+            cut = bound
+    return cut
+
+
+def _log_chance_column(most: Column, n: Column, share: float) -> Column:
+    a = most / n
+    rest = F.when(a < 1, (1 - a) * F.log((1 - a) / F.lit(1 - share))).otherwise(0.0)
+    return F.when(a <= share, 0.0).otherwise(-n * (a * F.log(a / F.lit(share)) + rest))
+
+
+def _not_by_chance(counts: DataFrame, share: float) -> DataFrame:
+    """The rows of `counts` (toxic, clean) whose toxic count is no chance."""
+    tried = counts.where(F.col("toxic") + F.col("clean") >= LEAST_DOCS)
+    # one row per pair of counts: bounded by the labelled sample, not by its words
+    pairs = [(r["toxic"], r["clean"], r["count"]) for r in tried.groupBy("toxic", "clean").count().collect()]
+    cut = chance_cut(pairs, share) if pairs else -np.inf
+    bound = _log_chance_column(F.col("toxic"), F.col("toxic") + F.col("clean"), share)
+    return tried.where(bound <= F.lit(float(max(cut, -1e300)) + 1e-9))
+
+
+def _bounded(rows: DataFrame, what: str) -> list:
+    got = rows.limit(MOST_ENTRIES + 1).collect()
+    if len(got) > MOST_ENTRIES:
+        raise ValueError(f"{rows.count()} {what} tell toxic texts from others, more than "
+                         f"MOST_ENTRIES = {MOST_ENTRIES}: raise it, or LEAST_ODDS")
+    return got
+
+
+def _odds(n_toxic: float, n_clean: float) -> Column:
+    return (F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0))
+            - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
+
+
 def learn_lexicon(labelled: DataFrame, n_toxic: int, n_clean: int) -> Lexicon:
     """From `labelled`: doc_id, text, y."""
     counts = (labelled.select("text", "y").mapInArrow(_terms, "term string, stem boolean, toxic long")
               .groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"),
                                            F.sum(1 - F.col("toxic")).alias("clean")))
-    odds = (F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0))
-            - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0)))
-    counts = staged(counts.withColumn("odds", odds), "term-counts")
-    strong = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
-    rows = strong.orderBy(F.desc("toxic"), "term", "stem").collect()
-    terms = {r["term"]: r["odds"] for r in rows if not r["stem"]}
-    stems = {r["term"]: r["odds"] for r in rows if r["stem"] and r["term"] not in terms}
+    counts = staged(counts.withColumn("odds", _odds(n_toxic, n_clean)), "term-counts")
+    strong = _not_by_chance(counts, n_toxic / (n_toxic + n_clean)).where(
+        (F.col("toxic") >= LEAST_DOCS) & (F.col("odds") >= LEAST_ODDS))
+    ordered = strong.orderBy(F.desc("toxic"), "term")
+    terms = {r["term"]: r["odds"] for r in _bounded(ordered.where(~F.col("stem")), "terms")}
+    stems = {r["term"]: r["odds"] for r in _bounded(ordered.where("stem"), "stems") if r["term"] not in terms}
     # a stem below another stem adds nothing; a term does, as stems match without errors
     stems = {t: o for t, o in stems.items() if not any(t[:n] in stems for n in STEMS if n < len(t))}
-    for what, entries in (("terms", terms), ("stems", stems)):
-        if len(entries) > MOST_ENTRIES:
-            raise ValueError(f"{len(entries)} {what} tell toxic texts from others, more than "
-                             f"MOST_ENTRIES = {MOST_ENTRIES}: raise it, or LEAST_ODDS")
     rough = Lexicon(terms, stems)
 
     def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words = b.column("term").to_pylist()
-            near = [(got := rough.find(w)) is not None and got[1] > 0 for w in words]
+            near = [(got := rough.find(w)) is not None and bool(got[1] or got[2]) for w in words]
             yield b.filter(pa.array(near, pa.bool_()))
 
     used = (counts.where(~F.col("stem") & (F.col("clean") > F.col("toxic"))
                          & (F.col("clean") >= LEAST_CLEAN))
-            .select("term").mapInArrow(unlike, "term string").collect())
-    return Lexicon(terms, stems, [r["term"] for r in used])
+            .select("term").mapInArrow(unlike, "term string"))
+    return Lexicon(terms, stems, [r["term"] for r in _bounded(used, "words of clean texts")])
+
+
+def _near_words(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.RecordBatch]:
+    """(word, toxic): each word near a match once a document, and one row with
+    a null word for each document with a match."""
+    for b in batches:
+        word, toxic = [], []
+        for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
+            tokens, places, _ = _places(text, lexicon)
+            if not places:
+                continue
+            own = {tokens[i] for i in places}
+            near = {t for i in places for t in tokens[max(0, i - REACH):i + REACH + 1]} - own - QUOTES
+            word += [None, *near]
+            toxic += [y] * (len(near) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(toxic, pa.int64())],
+                                         ["word", "toxic"])
+
+
+def learn_context(labelled: DataFrame, lexicon: Lexicon) -> Lexicon:
+    """`lexicon` with the log odds of words near its matches in `labelled`
+    (text, y): for abuse where they stand in toxic texts more often than
+    chance, against it in others."""
+    shared = labelled.sparkSession.sparkContext.broadcast(lexicon)
+    counts = staged(labelled.select("text", "y").mapInArrow(
+        lambda b: _near_words(b, shared.value), "word string, toxic long")
+        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")),
+        "context-counts")
+    with_match = counts.where("word is null").first()
+    if with_match is None or not with_match["toxic"] or not with_match["clean"]:
+        return lexicon                      # all matches are of one kind
+    n_toxic, n_clean = with_match["toxic"], with_match["clean"]
+    share = n_toxic / (n_toxic + n_clean)
+    words = counts.where("word is not null").withColumn("odds", _odds(n_toxic, n_clean))
+    abuse = _not_by_chance(words, share).where(F.col("odds") >= LEAST_CONTEXT_ODDS).select("word", "odds")
+    swapped = words.select("word", F.col("clean").alias("toxic"), F.col("toxic").alias("clean"), "odds")
+    other = _not_by_chance(swapped, 1 - share).where(F.col("odds") <= -LEAST_CONTEXT_ODDS).select("word", "odds")
+    learnt = _bounded(abuse.unionByName(other).orderBy("word"), "words around matches")
+    return Lexicon(dict(zip(lexicon.trie.terms, lexicon.term_weight)),
+                   dict(zip(lexicon.trie.stems, lexicon.stem_weight)), lexicon.exceptions,
+                   {r["word"]: r["odds"] for r in learnt})
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch], lexicon: Lexicon) -> Iterator[pa.RecordBatch]:
@@ -324,7 +424,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     found = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     if len(found) < 2:
         return None
-    lexicon = learn_lexicon(texts, found[1], found[0])
+    lexicon = learn_context(texts, learn_lexicon(texts, found[1], found[0]))
     shared = spark.sparkContext.broadcast(lexicon)
     fitted = (rows.select("y", "text").mapInArrow(lambda b: _context_rows(b, shared.value),
                                                   "y int, x array<double>")
