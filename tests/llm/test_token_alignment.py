@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -138,3 +139,14 @@ def test_empty_table_and_null_keys(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, "a b")], "doc_id long, text string")
     rows = ta.alignment(df, ["doc_id"], "text", *tokenizer_files()).collect()
     assert len(rows) == 3 and {r["count_sum"] for r in rows} == {6} and {r["n_best"] for r in rows} == {2}
+
+
+def test_long_runs_go_to_the_files_own_tokenizer(tok, monkeypatch):
+    rng = random.Random(7)
+    for _ in range(300):
+        text = "".join(rng.choice(["x" * rng.randrange(1, 1100), " " * rng.randrange(1, 1100), "\n", "a b "]) for _ in range(5))
+        runs = [len(r) for r in re.findall(r"\S+|\s+", text)]
+        assert ta.has_long_run(text) == (max(runs) >= ta.LONG_RUN)
+    long = ["q" * 3000, "ab" * 900 + " c", " " * 2500 + "x", "z\n" + "\t" * 1500]
+    by_file = [tok.a.encode(" " + t, add_special_tokens=False).ids for t in long]
+    assert [tok.encode(t)[0] for t in long] == by_file == [tok._ranks.encode_ordinary(" " + t) for t in long]
