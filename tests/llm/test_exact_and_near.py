@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from zonecast.llm import simhash, tree_dedup
@@ -127,7 +128,8 @@ def near_set(rng, centres=6, each=40, far=4):
 @pytest.mark.parametrize("seed", range(4))
 def test_dense_blocks_connect_what_links_connect(seed):
     fps = near_set(random.Random(seed))
-    got = simhash.link_dense(np.array(fps, np.uint64), simhash.pivots(), 4)
+    table = np.bitwise_count(np.array(fps, np.uint64)[:, None] ^ simhash.pivots()[None, :]).astype(np.int8)
+    got = simhash.link_dense(np.array(fps, np.uint64), table, 4)
     assert len(got) < len(fps)
     sets = simhash._Sets(len(fps))
     for i, j in got:
@@ -196,3 +198,37 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted((r["doc_id"], r["fp"]) for r in got.collect() if r["doc_id"] != 6) == [
         (2, "q"), (9, "r")]
     assert sum(r["doc_id"] == 6 for r in got.collect()) == 1
+
+
+def test_the_pivot_table_holds_the_distances(spark):
+    rng = random.Random(2)
+    fps = [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(50)] + [0, -1]
+    rows = spark.createDataFrame([(f,) for f in fps], "fp long").select(
+        "fp", *simhash.distances(F.col("fp"))).collect()
+    for r in rows:
+        got = [r[c] >> (8 * i) & 255 for c in simhash.TABLE for i in range(8)]
+        assert got == [((r["fp"] & 2 ** 64 - 1) ^ int(p)).bit_count() for p in simhash.pivots()]
+
+
+def test_hot_keys_are_joined_apart_without_a_change(spark, monkeypatch):
+    """A group of exact copies and one of near copies, each a third of all."""
+    from zonecast.llm import common
+
+    rng = random.Random(4)
+    words = ["w%d" % i for i in range(400)]
+    base = rng.choices(words, k=300)
+    rows = [(i, " ".join(base)) for i in range(60)]
+    for i in range(60):
+        near = list(base)
+        near[rng.randrange(300)] = "other%d" % i
+        rows.append((100 + i, " ".join(near)))
+    rows += [(200 + i, " ".join(rng.choices(words, k=60))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+    def result():
+        return sorted(map(tuple, simhash.near_duplicates(df).collect()))
+
+    plain = result()
+    monkeypatch.setattr(common, "HOT_LEAST", 2)
+    monkeypatch.setattr(common, "HOT_KEYS", 50)
+    assert result() == plain and len({r[3] for r in plain}) >= 60

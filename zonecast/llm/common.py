@@ -79,3 +79,22 @@ def shares(total_rows: int, least: int, most_groups: int) -> int:
     """The size from which a group counts as hot: at most `most_groups`
     groups of a table of `total_rows` can reach it."""
     return max(least, -(-total_rows // most_groups))
+
+
+HOT_LEAST = 1_000        # rows from which a key can be hot
+HOT_KEYS = 1_000         # keys that can be hot at once
+
+
+def join_apart(big: DataFrame, small: DataFrame, on: str, rows: str) -> DataFrame:
+    """`big` joined with `small`, which has each key of `on` once, and how many
+    rows of `big` have it in `rows` (dropped). Hot keys, `HOT_KEYS` at most,
+    meet their rows by broadcast and never share a task; all others by
+    shuffle. Both sides should be staged."""
+    total, most = small.agg(F.sum(rows), F.max(rows)).first()
+    hot_from = shares(total or 0, HOT_LEAST, HOT_KEYS)
+    if (most or 0) < hot_from:
+        return big.join(small.drop(rows), on)
+    hot = F.broadcast(small.where(F.col(rows) >= hot_from).drop(rows))
+    rest = big.join(hot.select(on), on, "left_anti").join(
+        small.where(F.col(rows) < hot_from).drop(rows), on)
+    return big.join(hot, on).unionByName(rest)

@@ -7,8 +7,9 @@ component is everything reachable over links.
 Pivot tables. Distances obey the triangle inequality, so two fingerprints
 within `max_bits` have distances to any reference fingerprint that differ by
 at most `max_bits`. Distances to `PIVOTS` fixed reference fingerprints are
-computed once per fingerprint and task, a candidate pair is discarded by its
-largest coordinate difference, and only survivors are compared bit by bit.
+computed once per distinct fingerprint, stored beside it (a byte each) and go
+with it into its blocks; a candidate pair is discarded by its largest
+coordinate difference, and only survivors are compared bit by bit.
 
 A pivot table alone would still have to look at all pairs (one random pivot
 keeps about 57 % of them), so fingerprints first meet in blocks that lose no
@@ -24,7 +25,8 @@ vectorised step, only fingerprints outside all earlier balls become pivots,
 and balls that already hang together are never compared again. The output is
 at most one edge per fingerprint and block, and components are found by
 alternating large-star and small-star steps, each written to the shared
-folder.
+folder. Nodes, roots and fingerprints that very many rows share (a component or
+a group of exact copies may hold a third of all) are joined by broadcast.
 
 Defined cases: null text is empty; a text without words has fingerprint zero
 and links like any other; repeated rows share a fingerprint and a component;
@@ -43,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonecast.llm.common import keep_rows, staged
+from zonecast.llm.common import join_apart, keep_rows, staged
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -59,6 +61,22 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b"pivot %d" % i, SEED) for i in range(n)], np.uint64)
 
 
+def distances(fp) -> list:
+    """The pivot table's row of a fingerprint, as long columns: eight
+    distances (0 to 64) a long, a byte each."""
+    words = []
+    for at in range(0, PIVOTS, 8):
+        word = F.lit(0).cast("long")
+        for i, p in enumerate(pivots()[at:at + 8].view(np.int64).tolist()):
+            d = F.bit_count(fp.bitwiseXOR(F.lit(p).cast("long"))).cast("long")
+            word = word.bitwiseOR(F.shiftleft(d, 8 * i))
+        words.append(word.alias(f"pivots_{at // 8}"))
+    return words
+
+
+TABLE = [f"pivots_{i}" for i in range(PIVOTS // 8)]
+
+
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
     """The unsigned fingerprint of one text."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -134,13 +152,10 @@ def _near(x: np.ndarray, y: np.ndarray, tx: np.ndarray, ty: np.ndarray, max_bits
     return ok
 
 
-def _table(fps: np.ndarray, refs: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
-
-
-def link_small(key: np.ndarray, fps: np.ndarray, refs: np.ndarray, max_bits: int):
-    """Links inside runs of equal `key` (short runs): row pairs."""
-    table, left, right = _table(fps, refs), [], []
+def link_small(key: np.ndarray, fps: np.ndarray, table: np.ndarray, max_bits: int):
+    """Links inside runs of equal `key` (short runs): row pairs. `table`: the
+    distances to the pivots."""
+    left, right = [], []
     shift = 1
     at = np.flatnonzero(key[1:] == key[:-1])
     while at.size:
@@ -154,7 +169,7 @@ def link_small(key: np.ndarray, fps: np.ndarray, refs: np.ndarray, max_bits: int
     return cat(left), cat(right)
 
 
-def link_dense(fps: np.ndarray, refs: np.ndarray, max_bits: int):
+def link_dense(fps: np.ndarray, table: np.ndarray, max_bits: int):
     """Edges that connect exactly what links connect among distinct `fps`."""
     n = len(fps)
     sets, ball = _Sets(n), np.full(n, -1, np.int64)
@@ -177,7 +192,6 @@ def link_dense(fps: np.ndarray, refs: np.ndarray, max_bits: int):
     order = np.argsort(ball, kind="stable")
     members = np.split(order, np.flatnonzero(np.diff(ball[order])) + 1)
     mid = fps[centres]
-    table = _table(fps, refs)
     for a, c in enumerate(centres):
         close = np.flatnonzero(np.bitwise_count(mid[a + 1:] ^ fps[c]) <= 3 * max_bits) + a + 1
         for b in close.tolist():
@@ -187,7 +201,7 @@ def link_dense(fps: np.ndarray, refs: np.ndarray, max_bits: int):
             ys = members[b][np.bitwise_count(fps[members[b]] ^ fps[c]) <= 2 * max_bits]
             for x in xs.tolist():
                 ok = _near(np.broadcast_to(fps[x], ys.shape), fps[ys],
-                           np.broadcast_to(table[x], (len(ys), len(refs))), table[ys], max_bits)
+                           np.broadcast_to(table[x], (len(ys), table.shape[1])), table[ys], max_bits)
                 if ok.any():
                     y = int(ys[np.argmax(ok)])
                     sets.join(x, y)
@@ -199,20 +213,20 @@ def link_dense(fps: np.ndarray, refs: np.ndarray, max_bits: int):
 def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
     """Edges from rows sorted by (key, fp). A block that a batch cuts off is
     held until its end."""
-    refs = pivots()
     key_parts: list[np.ndarray] = []
     fp_parts: list[np.ndarray] = []
+    table_parts: list[np.ndarray] = []
 
-    def edges(key: np.ndarray, fps: np.ndarray):
+    def edges(key: np.ndarray, fps: np.ndarray, table: np.ndarray):
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
         small = np.repeat(sizes < MANY, sizes)
         k, f = key[small], fps[small]
-        i, j = link_small(k, f, refs, max_bits)
+        i, j = link_small(k, f, table[small], max_bits)
         a, b = [f[i]], [f[j]]
         for s, m in zip(starts[sizes >= MANY].tolist(), sizes[sizes >= MANY].tolist()):
             block = fps[s:s + m]
-            got = np.array(link_dense(block, refs, max_bits), np.int64).reshape(-1, 2)
+            got = np.array(link_dense(block, table[s:s + m], max_bits), np.int64).reshape(-1, 2)
             a.append(block[got[:, 0]])
             b.append(block[got[:, 1]])
         a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
@@ -224,20 +238,25 @@ def _links(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.Reco
             continue
         key = batch.column("key").to_numpy()
         fps = batch.column("fp").to_numpy().view(np.uint64)
+        table = np.stack([batch.column(c).to_numpy() for c in TABLE], axis=1).astype("<i8").view(np.int8)
         if key[0] == key[-1] and (not key_parts or key_parts[-1][-1] == key[0]):
             key_parts.append(key)
             fp_parts.append(fps)
+            table_parts.append(table)
             continue
         cut = int(np.searchsorted(key, key[-1], "left"))
-        yield edges(np.concatenate([*key_parts, key[:cut]]), np.concatenate([*fp_parts, fps[:cut]]))
-        key_parts, fp_parts = [key[cut:]], [fps[cut:]]
+        yield edges(np.concatenate([*key_parts, key[:cut]]), np.concatenate([*fp_parts, fps[:cut]]),
+                    np.concatenate([*table_parts, table[:cut]]))
+        key_parts, fp_parts, table_parts = [key[cut:]], [fps[cut:]], [table[cut:]]
     if key_parts:
-        yield edges(np.concatenate(key_parts), np.concatenate(fp_parts))
+        yield edges(np.concatenate(key_parts), np.concatenate(fp_parts), np.concatenate(table_parts))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b), a > b: edges that connect what links connect. `distinct`: fp,
-    each once."""
+    each once, and its row of the pivot table (made here where it is missing)."""
+    if not set(TABLE) <= set(distinct.columns):
+        distinct = distinct.select("fp", *distances(F.col("fp")))
     keys = block_keys(distinct.count(), max_bits)
     values = []
     for i, blocks in enumerate(keys):
@@ -249,7 +268,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         # beyond 55 bits the block values no longer fit beside the number of the key
         values.append(F.shiftleft(F.lit(i).cast("long"), at).bitwiseOR(value) if at <= 54
                       else F.xxhash64(F.lit(i), value))
-    rows = distinct.select("fp", F.explode(F.array(*values)).alias("key"))
+    rows = distinct.select("fp", *TABLE, F.explode(F.array(*values)).alias("key"))
     return (rows.repartition("key").sortWithinPartitions("key", "fp")
             .mapInArrow(lambda batches: _links(batches, max_bits), "a long, b long").distinct())
 
@@ -262,12 +281,12 @@ def components(edges: DataFrame) -> DataFrame:
     state = edges.agg(*digest).first()
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
-            "a", F.least("a", "m").alias("m"))
-        large = (both.where("b > a").join(low, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
+        low = staged(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).select(
+            "a", F.least("a", "m").alias("m"), "n"), "low")
+        large = staged(join_apart(both.where("b > a"), low, "a", "n")
+                       .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        low = staged(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "low")
+        small = join_apart(large, low, "a", "n")
         edges = staged(small.select("a", F.col("m").alias("b")).unionByName(
             small.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")))
             .distinct(), "edges")
@@ -288,13 +307,17 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, max_bits: int = MAX_B
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     fps = staged(fingerprints(rows, width, keys=("doc_id", "text_hash")), "fps")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    distinct = staged(fps.groupBy("fp").agg(F.min(place).alias("place")), "distinct-fps")
-    linked = components(links(distinct.select("fp"), max_bits))
+    distinct = fps.groupBy("fp").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("n"))
+    distinct = staged(distinct.select("*", *distances(F.col("fp"))), "distinct-fps")
+    linked = components(links(distinct.select("fp", *TABLE), max_bits))
     member = staged(distinct.join(linked, distinct["fp"] == linked["node"], "left").select(
-        "fp", "place", F.coalesce("root", "fp").alias("root")), "members")
-    firsts = member.groupBy("root").agg(F.min("place").alias("first_place"))
-    named = member.join(firsts, "root").select("fp", "first_place")
-    return fps.join(named, "fp", "left").select(
+        "fp", "place", "n", F.coalesce("root", "fp").alias("root")), "members")
+    firsts = staged(member.groupBy("root").agg(F.min("place").alias("first_place"),
+                                               F.count(F.lit(1)).alias("members")), "firsts")
+    named = staged(join_apart(member.select("fp", "n", "root"), firsts, "root", "members").select(
+        "fp", "first_place", "n"), "named")
+    marked = join_apart(fps, named, "fp", "n")
+    return marked.select(
         "doc_id", "text_hash", "fp", F.col("first_place.doc_id").alias("component_id"),
         place.eqNullSafe(F.col("first_place")).alias("first"))
 
