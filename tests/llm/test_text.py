@@ -78,6 +78,26 @@ def test_mixed_json_records(spark):
     assert got[9] == got[10] == (None, None, None) and got[11][2]
 
 
+def test_records_of_other_layouts_hold_the_same_turns(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", 'say "b"\n'), (2, 0, "system", "s"), (2, 1, "user", None),
+            (2, 2, "assistant", "\u0000x"), (3, 0, "Human", "kept as it is"), (4, 1, "user", "y"), (4, 0, "user", "x"),
+            (None, 0, None, "n"), (5, 0, "user", "one"), (5, 0, "user", "one"), (5, 1, "bot", ""),
+            (6, 0, "assistant", "é🙂"), (7, 0, "user", ""), (7, 1, "assistant", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.canonical_turns(df).collect()}
+    got = chat.canonical_json(chat.as_records(df), "record", ["conv_id"]).collect()
+    assert {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in got} == want
+    assert {r["layout"] for r in got} == {"prompt and completion", "messages", "from and value", "turns"}
+
+
+def test_maps_of_different_values_have_different_paths():
+    from pyspark.sql import types as T
+    kind = lambda v: T.StructType([T.StructField("m", T.MapType(T.StringType(), v))])
+    paths = [chat.schema_paths(kind(v)) for v in (T.StringType(), T.ArrayType(T.StringType()), T.StructType(
+        [T.StructField("a", T.StringType())]))]
+    assert paths == [["m{}"], ["m{}[]"], ["m{}.a"]]
+
+
 # ---- decontamination -----------------------------------------------------
 
 def brute_hits(words, items, window=10):

@@ -1,7 +1,7 @@
 """Chat formatting: layouts recognised by schema fingerprint.
 
 A layout's fingerprint is the hash of its sorted nested field paths (field
-names only, joined by dots; array elements add `[]`). `MAPPINGS` says for each
+names only, joined by dots; array elements add `[]`, map values `{}`). `MAPPINGS` says for each
 known layout, declaratively, which paths hold the turns. `canonical_turns`
 takes a typed table (its schema is fingerprinted once) and `canonical_json` a
 column of JSON records (each record is fingerprinted), and both give one row
@@ -64,6 +64,8 @@ def schema_paths(kind: T.DataType, at: str = "") -> list[str]:
                 for p in schema_paths(f.dataType, f"{at}.{f.name}" if at else f.name)]
     if isinstance(kind, T.ArrayType):
         return schema_paths(kind.elementType, at + "[]")
+    if isinstance(kind, T.MapType):
+        return schema_paths(kind.valueType, at + "{}")
     return [at]
 
 
@@ -88,6 +90,9 @@ LAYOUTS = {
                   "rows": {"id": "conv_id", "order": "turn", "role": "role", "text": "text"}},
     "messages": {"paths": ["messages[].role", "messages[].content"],
                  "list": {"at": "messages", "role": "role", "text": "content"}},
+    # this library's own turns: roles stay as they are
+    "turns": {"paths": ["turns[].role", "turns[].text"],
+              "list": {"at": "turns", "role": "role", "text": "text", "as_is": True}},
     "from and value": {"paths": ["conversations[].from", "conversations[].value"],
                        "list": {"at": "conversations", "role": "from", "text": "value"}},
     "instruction": {"paths": ["instruction", "input", "output"],
@@ -138,7 +143,7 @@ def canonical_turns(df: DataFrame, conv_id: str | None = None) -> DataFrame:
     if "list" in layout:
         at = layout["list"]
         turns = F.transform(at["at"], lambda x: F.struct(
-            _role(x[at["role"]]).alias("role"),
+            (F.coalesce(x[at["role"]], F.lit("")) if at.get("as_is") else _role(x[at["role"]])).alias("role"),
             F.coalesce(x[at["text"]], F.lit("")).alias("text")))
     else:
         turns = F.filter(F.array(*[F.struct(
@@ -158,7 +163,8 @@ def record_turns(record) -> tuple[str, str | None, list[dict] | None]:
     say = lambda x: "" if x is None else x if isinstance(x, str) else json.dumps(x)
     if "list" in layout:
         at = layout["list"]
-        turns = [(ROLE_NAMES.get(say(x.get(at["role"])).lower(), say(x.get(at["role"]))),
+        names = {} if at.get("as_is") else ROLE_NAMES
+        turns = [(names.get(say(x.get(at["role"])).lower(), say(x.get(at["role"]))),
                   say(x.get(at["text"]))) for x in record[at["at"]]]
     else:
         turns = [(role, "\n\n".join(filter(None, (say(record[f]) for f in fields))))
@@ -189,6 +195,29 @@ def canonical_json(df: DataFrame, record: str, keep: list[str]) -> DataFrame:
         mapped, f"{fields}, fingerprint string, layout string, turns {TURNS}")
 
 
+def as_records(rows: DataFrame) -> DataFrame:
+    """Turn rows (conv_id, turn, role, text) as JSON records of other layouts,
+    one per conversation: (conv_id, record). A user's turn and the assistant's
+    answer make a prompt and completion; conversations with roles that other
+    layouts would rename are this library's turns; others are from and value
+    (an odd number of turns) or messages."""
+    turn = F.struct(F.col("turn").alias("order"), F.coalesce("role", F.lit("")).alias("role"),
+                    F.coalesce("text", F.lit("")).alias("text"))
+    t = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
+    first, second = F.get("t", F.lit(0)), F.get("t", F.lit(1))
+    pair = (F.size("t") == 2) & (first["role"] == "user") & (second["role"] == TRAINED_ROLE)
+    foreign = F.exists("t", lambda x: F.lower(x["role"]).isin(*ROLE_NAMES))
+    other = {"user": "human", TRAINED_ROLE: "gpt"}
+    name = lambda r: F.coalesce(*[F.when(r == k, v) for k, v in other.items()], r)
+    said = F.when(pair, F.to_json(F.struct(first["text"].alias("prompt"), second["text"].alias("completion"))))
+    said = said.when(foreign, F.to_json(F.struct(F.transform("t", lambda x: F.struct(
+        x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))))
+    said = said.when(F.size("t") % 2 == 1, F.to_json(F.struct(F.transform("t", lambda x: F.struct(
+        name(x["role"]).alias("from"), x["text"].alias("value"))).alias("conversations"))))
+    return t.select("conv_id", said.otherwise(F.to_json(F.struct(F.transform("t", lambda x: F.struct(
+        x["role"].alias("role"), x["text"].alias("content"))).alias("messages")))).alias("record"))
+
+
 # ---- template ------------------------------------------------------------
 
 def write_turns(turns) -> tuple[str, list[tuple[int, int]]]:

@@ -23,11 +23,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_schema_fingerprint_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations formatted and read back, and conversation -7, whose
-    texts look like control strings."""
+    texts look like control strings. Two thirds of them come as JSON records of
+    four other layouts; each record's mapping is picked by its fingerprint."""
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
-    turns = chat_format.canonical_turns(rows.unionByName(more))
+    rows = rows.unionByName(more)
+    as_rows = F.pmod(F.xxhash64("conv_id"), F.lit(3)) == 0
+    records = chat_format.as_records(rows.where(~as_rows))
+    turns = chat_format.canonical_turns(rows.where(as_rows)).select("conv_id", "turns").unionByName(
+        chat_format.canonical_json(records, "record", ["conv_id"]).select("conv_id", "turns"))
     return chat_format.digests(chat_format.format_turns(turns, ["conv_id"]), ["conv_id"])
 
 
