@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zonecast.llm import bloom_cascade, fixity, page_diff
 
@@ -228,7 +229,9 @@ def brute_audit(left, right):
                    for k in a.keys() | b.keys() if a.get(k) != b.get(k)), key=repr)
 
 
-def test_audit_matches_brute_force(spark):
+@pytest.mark.parametrize("pushed", [0, 64, 10 ** 6])
+def test_audit_matches_brute_force(spark, monkeypatch, pushed):
+    monkeypatch.setattr(fixity, "PUSHED", pushed)
     rng = random.Random(4)
     left = [(f"f{rng.randrange(40)}", rng.randrange(10 ** rng.randrange(1, 9)), rng.randbytes(30))
             for _ in range(800)]
@@ -237,12 +240,57 @@ def test_audit_matches_brute_force(spark):
     right = [r for i, r in enumerate(left) if i % 50 != 7]
     right = [(f, o, c + b"!") if i % 60 == 9 and c else (f, o, c) for i, (f, o, c) in enumerate(right)]
     right += [("new", 0, b"n"), ("f1", 10 ** 8, b"n"), ("f2", 7, b"twice"), ("f1", 6, None)]
-    a, b = (spark.createDataFrame(x, RECORDS + ", hash string" if False else RECORDS).repartition(4)
-            for x in (left, right))
+    a, b = (spark.createDataFrame(x, RECORDS).withColumn("hash", F.lit("h")).withColumn("group", F.lit(0))
+            .repartition(4) for x in (left, right))
     got = fixity.audit(a, b).collect()
     assert sorted(((r["file"], r["offset"], r["status"]) for r in got), key=repr) == brute_audit(left, right)
 
 
+def scanned(df):
+    """Rows that the scans of a finished query gave."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves, n = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        n += leaves.apply(i).metrics().apply("numOutputRows").value()
+    return n
+
+
+def test_a_descent_reads_what_lies_under_the_difference(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(20_000).select(
+            F.concat(F.lit("f"), F.lpad((F.col("id") % 200).cast("string"), 4, "0")).alias("file"),
+            (F.floor(F.col("id") / 200) * 50_000).cast("long").alias("offset"),
+            F.col("id").cast("string").cast("binary").alias("content"))
+        other = rows.withColumn("content", F.when((F.col("file") == "f0042") & (F.col("offset") == 150_000),
+                                                  F.lit("x").cast("binary")).otherwise(F.col("content")))
+        levels, name_levels = fixity.depth([rows, other])
+        a, b = fixity.tree(rows, levels, name_levels), fixity.tree(other, levels, name_levels)
+        for i in range(len(a) - 1):
+            wrong = a[i + 1].join(b[i + 1], [*fixity.PLACE, "hash"], "left_anti") if i + 1 < levels else a[
+                i + 1].alias("x").join(b[i + 1].alias("y"), "hash", "left_anti")
+            below = fixity.children(a[i], wrong, i, levels)
+            total, read = a[i].count(), scanned(below)
+            assert 0 < below.count() <= read
+            if total > 5_000:       # a few of forty files
+                assert read < total / 4, (i, total, read)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    (r,) = fixity.audit(rows, other).collect()
+    assert (r["file"], r["offset"], r["status"]) == ("f0042", 150_000, "corrupt")
+
+
+def test_pages_without_an_id_have_a_file_of_their_own(spark):
+    pages = spark.createDataFrame([(None, "http://a/1", "x"), (None, None, None), (1, "http://a/2", "y" * 100_000)], PAGES)
+    got = sorted((r["file"], r["offset"]) for r in fixity.warc_records(pages).collect())
+    assert len(got) == 3 and len({f for f, _ in got}) == 2
+
+
 def test_equal_and_empty_replicas(spark):
     a = spark.createDataFrame([("f", 0, b"x")], RECORDS)
     empty = spark.createDataFrame([], RECORDS)

@@ -9,9 +9,13 @@ children's places and hashes in order. Ranges of bytes, not of record
 numbers: a lost record changes its own branch only.
 
 The audit compares the roots and goes down: at each level only the children of
-nodes that differ are compared, so what is read of the lower levels is what
-lies under a difference. Every level is a table; nothing is gathered in one
-task, and only the number of levels reaches the driver.
+nodes that differ are compared. Every level is a table in the order of its
+nodes, in files of ranges. As long as few nodes differ (`PUSHED` at most) their
+children's ranges are pushed into the scan, and Parquet's statistics leave out
+the files and row groups beside them, so a descent reads little more than what
+lies under a difference; where more differ, the level is read and semi-joined.
+Nothing is gathered in one task; the number of levels and at most `PUSHED` + 1
+nodes a level reach the driver.
 
 Defined cases: a null content is distinct from an empty one; records that share
 file and offset are one leaf, over their contents in order (repeated rows
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,6 +35,7 @@ from zonecast.llm.common import staged
 
 FIRST_RANGE = 1 << 16
 FAN_OUT = 16
+PUSHED = 64              # differing nodes whose children are filtered in the scan
 PLACE = ["group", "file", "node"]
 
 
@@ -54,12 +59,17 @@ def _parents(children: DataFrame, keys: dict[str, object]) -> DataFrame:
         F.sha2(text.cast("binary"), 256).alias("hash"))
 
 
+def _level(nodes: DataFrame, name: str) -> DataFrame:
+    """A level of a tree, written in the order of its nodes."""
+    return staged(nodes.repartitionByRange(*PLACE).sortWithinPartitions(*PLACE), name)
+
+
 def tree(records: DataFrame, levels: int, name_levels: int) -> list[DataFrame]:
     """The levels from the leaves to the root, each written to the shared
     folder. A node has group (the name's hash range), file, node (the range
     of offsets) and hash; levels above the files have a null file and node."""
     group = F.pmod(F.xxhash64("file"), F.lit(FAN_OUT ** name_levels))
-    level = staged(leaves(records).select(group.alias("group"), "file",
+    level = _level(leaves(records).select(group.alias("group"), "file",
                                           F.col("offset").alias("node"), "hash"), "leaves")
     out = [level]
     for i in range(levels):
@@ -67,14 +77,14 @@ def tree(records: DataFrame, levels: int, name_levels: int) -> list[DataFrame]:
         up = _parents(level.withColumn("place", F.coalesce(F.col("node").cast("string"), F.lit("null"))),
                       {"group": F.col("group"), "file": F.col("file"),
                        "node": F.floor(F.col("node") / size)})
-        level = staged(up, "nodes")
+        level = _level(up, "nodes")
         out.append(level)
     whole = {"file": F.lit(None).cast("string"), "node": F.lit(None).cast("long")}
     level = level.withColumn("place", F.concat_ws(
         "/", F.coalesce("file", F.lit("")), F.coalesce(F.col("node").cast("string"), F.lit("null"))))
     for i in range(name_levels + 1):
         g = F.col("group") if i == 0 else F.floor(F.col("group") / FAN_OUT)
-        level = staged(_parents(level, {"group": g, **whole}), "nodes")
+        level = _level(_parents(level, {"group": g, **whole}), "nodes")
         out.append(level)
         level = level.withColumn("place", F.col("group").cast("string"))
     return out
@@ -89,6 +99,29 @@ def _parent_keys(level: int, levels: int) -> list:
     return [g, F.lit(None).cast("string"), F.lit(None).cast("long")]
 
 
+def children(nodes: DataFrame, wrong: DataFrame, level: int, levels: int) -> DataFrame:
+    """The `nodes` of `level` whose parent is in `wrong`."""
+    few = wrong.select(*PLACE).limit(PUSHED + 1).collect()
+    if len(few) > PUSHED:
+        bad = wrong.select(*[F.col(c).alias(f"_{c}") for c in PLACE])
+        on = [k.eqNullSafe(F.col(f"_{c}")) for k, c in zip(_parent_keys(level, levels), PLACE)]
+        return nodes.join(bad, on, "left_semi")
+
+    def inside(name: str, at: int | None, size: int) -> Column:
+        c = F.col(name)
+        return c.isNull() if at is None else (c >= at * size) & (c < (at + 1) * size)
+
+    keep = F.lit(False)
+    for r in few:
+        if level < levels:
+            size = FIRST_RANGE if level == 0 else FAN_OUT
+            file = F.col("file").isNull() if r["file"] is None else F.col("file") == r["file"]
+            keep = keep | ((F.col("group") == r["group"]) & file & inside("node", r["node"], size))
+        else:
+            keep = keep | inside("group", r["group"], 1 if level == levels else FAN_OUT)
+    return nodes.where(keep)
+
+
 def depth(replicas: Sequence[DataFrame]) -> tuple[int, int]:
     """Levels over the offsets (until a range holds the longest file) and
     over the file names (until about `FAN_OUT` files share a range)."""
@@ -116,13 +149,7 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
         x = a[i].withColumnRenamed("hash", "left_hash")
         y = b[i].withColumnRenamed("hash", "right_hash")
         if wrong is not None:       # only below nodes that differ
-            up = _parent_keys(i, levels)
-            bad = wrong.select(*[F.col(c).alias(f"_{c}") for c in PLACE])
-
-            def below(nodes: DataFrame) -> DataFrame:
-                on = [k.eqNullSafe(F.col(f"_{c}")) for k, c in zip(up, PLACE)]
-                return nodes.join(bad, on, "left_semi")
-            x, y = below(x), below(y)
+            x, y = (children(nodes, wrong, i, levels) for nodes in (x, y))
         y = y.select(*[F.col(c).alias(f"_{c}") for c in PLACE], "right_hash")
         on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE]
         both = x.withColumn("has_left", F.lit(True)).join(
