@@ -79,7 +79,8 @@ class Bloom:
         a = np.ascontiguousarray(keys[:, 0]).view(np.uint64) + self.salt
         b = np.ascontiguousarray(keys[:, 1]).view(np.uint64)
         for i in range(self.hashes):
-            mixed = (a ^ (b + np.uint64(i) * self.salt)) * np.uint64(0xBF58476D1CE4E5B9)
+            step = np.uint64(i * int(self.salt) & (1 << 64) - 1)
+            mixed = (a ^ (b + step)) * np.uint64(0xBF58476D1CE4E5B9)
             mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
             yield ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(self.bits)).astype(np.int64)
 

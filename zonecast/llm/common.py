@@ -55,6 +55,7 @@ def keep_rows(docs: DataFrame, keys: dict[str, object], keep: DataFrame,
     null-safely. Rows that repeat a key (n > 1) take the only second shuffle;
     which of them stays is settled by their column values.
     """
+    keep = staged(keep, "keep")         # read twice
     work, names = with_free_columns(docs, **keys)
     n = free_name(work.columns, "_zc_n")
     added = {c: free_name(work.columns, c) for c in carry}

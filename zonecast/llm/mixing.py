@@ -9,8 +9,8 @@ is served in proportion to its target.
 DataFrame and SQL functions only. Nothing is sorted in one task: running sums
 are built from buckets of bounded size, their blocks and the blocks' sums, and
 the place where the budget ends is found by range: sums of coarse ranges of
-finish time, then of the ranges inside the one that holds the end, and only
-that last range (about a millionth of the rows) is sorted.
+finish time, then of the parts of the one that holds the end, and only that
+last part (about a millionth of the time) is sorted.
 
 Defined cases: null or empty text has size 0 and takes 0; null sources form
 one source, last in order; a source without words has target 0; repeated rows
@@ -32,7 +32,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BUCKET_ROWS = 512        # rows of a source expected in one bucket
 BLOCK_BUCKETS = 1024     # buckets of one block
-RANGES = 1024            # ranges of one unit of finish time, and parts of a range
+RANGES = 1024            # ranges of all finish times, and parts of a range
 BROADCAST_SOURCES = 10_000
 
 
@@ -120,12 +120,16 @@ def _last_served(entries: DataFrame, budget: int) -> tuple[float, int] | None:
                .where(F.col("upto") > budget).orderBy("r").limit(1).collect())
         return (got[0]["r"], got[0]["upto"] - got[0]["words"]) if got else None
 
-    coarse = F.floor(F.col("finish") * RANGES)
+    # as many ranges however large finish times get
+    latest = entries.agg(F.max("finish")).first()[0]
+    if not latest:
+        return None
+    coarse = F.floor(F.col("finish") * F.lit(RANGES / latest))
     found = cut(entries.select(coarse.alias("r"), "size"), 0)
     if found is None:
         return None
     inside = entries.where(coarse == found[0])
-    fine = F.floor(F.col("finish") * (RANGES * RANGES))
+    fine = F.floor(F.col("finish") * F.lit(RANGES * RANGES / latest))
     finer = cut(inside.select(fine.alias("r"), "size"), found[1])
     if finer is None:
         return None
@@ -136,7 +140,10 @@ def _last_served(entries: DataFrame, budget: int) -> tuple[float, int] | None:
            .limit(1).collect())
     if end:
         return end[0]["finish"], end[0]["rank"]
-    return finer[0] / (RANGES * RANGES), 0      # nothing of this range is served
+    # nothing of this range is served: the last entry of those before it
+    before = entries.where((coarse < found[0]) | ((coarse == found[0]) & (fine < finer[0])))
+    best = before.agg(F.max(F.struct("finish", "rank"))).first()[0]
+    return (best["finish"], best["rank"]) if best else (-1.0, 0)
 
 
 def _mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS,
