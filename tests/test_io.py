@@ -101,6 +101,9 @@ def test_curate_writes_every_output(spark, sf_small):
     assert spark.read.parquet(paths["zones"]).count() == 100      # 20 zones of 5 vertices
     csv = spark.read.option("header", True).schema(STATION_HOUR_SCHEMA).csv(paths["subway_ridership"])
     assert csv.count() > 0
+    lost = spark.read.parquet(paths["ridership_problems"]).collect()
+    assert {(r.column_name, r.value, r.reason) for r in lost} == {("ridership", "n/a", "not a number")}
+    assert len(lost) == fx.ridership_text_view(spark, sf_small).where("ridership = 'n/a'").count()
     comb = spark.read.parquet(paths["combined"])
     direct = demand.combined(spark, sf_small)
     assert comb.select(*direct.columns).exceptAll(direct).count() == 0

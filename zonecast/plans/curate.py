@@ -9,6 +9,7 @@ Outputs (out_dir defaults to a fresh folder under `spark.checkpoint.dir`):
   raw_trips/         the trips as landed, by source month            (K1)
   taxi_trips/        hourly pickups of the clean trips, by year      (F10, G1, K4)
   subway_ridership/  station-hour ridership with zone, CSV           (G2, J2, K3)
+  ridership_problems/  values of the raw ridership that a cast lost    (P5)
   combined_csv/      the zone-hour demand table, CSV                 (J3, K3)
   combined/          the same table, Parquet partitioned by year     (K4, M2)
 
@@ -26,10 +27,10 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from zonecast.operators import combine, hourly, polygons, rules
+from zonecast.operators import combine, hourly, polygons, rescue, rules
 from zonecast.plans import demand
 from zonecast.plans.fixture_args import EVENT_RULES
-from zonecast.plans.queries_io import STATION_HOUR_SCHEMA
+from zonecast.plans.queries_io import RIDERSHIP_CASTS, STATION_HOUR_SCHEMA
 from zonecast.session import scratch_path, scratch_scope
 from zonecast.sinks import writers
 from zonecast.sources import files
@@ -47,7 +48,7 @@ def curate(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
 def _curate(spark: SparkSession, sf_dir: str, out: str, trip_rules: rules.TripRules) -> dict[str, str]:
     paths = {k: os.path.join(out, k) for k in
              ("zones", "stations", "zones_geojson", "raw_trips", "taxi_trips",
-              "subway_ridership", "combined_csv", "combined")}
+              "subway_ridership", "ridership_problems", "combined_csv", "combined")}
     zones = demand.curated_zones(spark, sf_dir)
 
     writers.write_parquet(demand.zone_layer(spark, sf_dir), paths["zones"], mode="overwrite")
@@ -67,6 +68,10 @@ def _curate(spark: SparkSession, sf_dir: str, out: str, trip_rules: rules.TripRu
     writers.write_csv(rz.select(*[f.name for f in STATION_HOUR_SCHEMA.fields]),
                       paths["subway_ridership"])
 
+    cast = rescue.cast_with_rescue(fx.ridership_text_view(spark, sf_dir), RIDERSHIP_CASTS)
+    writers.write_parquet(rescue.rescued_values(cast, ["station_complex_id"]), paths["ridership_problems"],
+                          mode="overwrite")
+
     hour = F.make_timestamp_ntz("year", "month", "dayofmonth", "hour", F.lit(0), F.lit(0))
     picked = (spark.read.schema(pickups.schema).parquet(paths["taxi_trips"])
               .select(F.col("pulocationid").alias("locationid"), hour.alias("hour_ts"),
