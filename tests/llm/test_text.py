@@ -2,6 +2,7 @@
 
 import json
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -235,6 +236,23 @@ def test_risk_never_gains_from_a_negative_part():
     assert abs(pu_quality.prior_from_positives(pos, unlabelled) - 0.7) < 0.15
 
 
+def test_fitting_holds_one_copy_of_the_sample():
+    rng = np.random.default_rng(3)
+    pos = rng.normal(1, 1, (3000, pu_quality.WIDTH)).astype(np.float32)
+    rest = rng.normal(0, 2, (3000, pu_quality.WIDTH)).astype(np.float32)
+    size = 6000 * pu_quality.WIDTH * 8
+    tracemalloc.start()
+    model = pu_quality.fit_pu(pos, rest, 0.5)
+    pu_quality.prior_from_positives(pos, rest)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * size
+    x = np.concatenate([pos, rest]).astype(np.float64)
+    assert np.array_equal(model.mean, x.mean(axis=0))
+    assert np.allclose(model.scale, x.std(axis=0) + 1e-3, rtol=1e-12, atol=0)
+
+
+
 def test_no_negative_label_is_read_and_the_prior_is_near_the_share(spark, sf_mid):
     docs = spark.read.parquet(f"{sf_mid}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_mid}/labels.parquet").select("doc_id", "quality")

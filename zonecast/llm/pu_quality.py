@@ -27,7 +27,7 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from operator import eq
 
 import numpy as np
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 TRUSTED = 20_000
 UNLABELLED = 20_000
 CHUNK = 1 << 20          # bytes of a text looked at at once
+ROWS, COLUMNS = 2048, 16 # of a sample taken at once where copies are made
 
 # Classes of bytes
 _CLASSES = [b" ", b"\n", bytes(range(0x61, 0x7B)), bytes(range(0x41, 0x5B)), b"0123456789", b".",
@@ -86,16 +87,16 @@ def sample(rows: DataFrame, most: int) -> DataFrame:
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
 
-def sampled_features(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
-    """Features of the documents in `ids`, a bounded sample; its size bounds
-    the broadcast and what reaches the driver."""
+def sampled_features(docs: DataFrame, ids: DataFrame) -> np.ndarray:
+    """Features (4 bytes each) of the documents in `ids`, a bounded sample; its
+    size bounds the broadcast and what reaches the driver."""
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
             .mapInArrow(lambda b: _feature_rows(b, "doc_id"), "doc_id long, features array<float>")
             .groupBy("doc_id").agg(F.min("features").alias("features"))
             .select("features").toArrow())
     flat = rows.column("features").combine_chunks()
     values = flat.values if isinstance(flat, pa.ListArray) else flat.flatten()
-    return values.to_numpy().reshape(-1, WIDTH).astype(np.float64)
+    return values.to_numpy().reshape(-1, WIDTH)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -110,17 +111,36 @@ class Logistic:
         self.prior: float | None = None     # what a positive-unlabelled fit took
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights[1:]
-                        + self.weights[0])
-
-
-def fit_logistic(x: np.ndarray, gradient, steps: int = 400, rate: float = 0.03,
+        out = np.empty(len(x))
+        for at in range(0, len(x), ROWS):
+            part = x[at:at + ROWS]
+            out[at:at + ROWS] = _sigmoid(np.clip((part - self.mean) / self.scale, -8, 8)
+                                         @ self.weights[1:] + self.weights[0])
+        return out
+
+
+def _standardised(parts: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of `parts` standardised, their means and their scales. The
+    result is the only array of that size: the driver has little memory."""
+    z = np.empty((sum(map(len, parts)), parts[0].shape[1]))
+    at = 0
+    for p in parts:
+        z[at:at + len(p)] = p
+        at += len(p)
+    mean = z.mean(axis=0)
+    scale = np.concatenate([z[:, c:c + COLUMNS].std(axis=0)
+                            for c in range(0, z.shape[1], COLUMNS)]) + 1e-3
+    z -= mean
+    z /= scale
+    return np.clip(z, -8, 8, out=z), mean, scale
+
+
+def fit_logistic(parts: Sequence[np.ndarray], gradient, steps: int = 400, rate: float = 0.03,
                  l2: float = 1e-4) -> Logistic:
-    """Adam over whole-sample gradients. `gradient(z)`: the derivative of the
-    risk by each row's raw score."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-    z = np.clip((x - mean) / scale, -8, 8)
-    w, m, v = (np.zeros(x.shape[1] + 1) for _ in range(3))
+    """Adam over whole-sample gradients; the sample is the rows of `parts`.
+    `gradient(z)`: the derivative of the risk by each row's raw score."""
+    z, mean, scale = _standardised(parts)
+    w, m, v = (np.zeros(z.shape[1] + 1) for _ in range(3))
     for t in range(1, steps + 1):
         g_row = gradient(z @ w[1:] + w[0])
         g = np.concatenate([[g_row.sum()], z.T @ g_row + l2 * w[1:]])
@@ -142,7 +162,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Logist
             return np.concatenate([-neg_p, -neg_u])
         return np.concatenate([g_p + neg_p, g_u + neg_u])
 
-    return fit_logistic(np.concatenate([positive, unlabelled]), gradient)
+    return fit_logistic([positive, unlabelled], gradient)
 
 
 def prior_from_positives(positive: np.ndarray, unlabelled: np.ndarray) -> float:
@@ -151,7 +171,7 @@ def prior_from_positives(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     n_p, n_u = len(positive), len(unlabelled)
     y = np.concatenate([np.ones(n_p), np.zeros(n_u)])
     weight = np.concatenate([np.full(n_p, 0.5 / n_p), np.full(n_u, 0.5 / n_u)])
-    model = fit_logistic(np.concatenate([positive, unlabelled]),
+    model = fit_logistic([positive, unlabelled],
                          lambda z: weight * (_sigmoid(z) - y))
     s_p, s_u = model.score(positive), model.score(unlabelled)
     cuts = np.quantile(s_p, np.linspace(0, 0.95, 39))

@@ -433,7 +433,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     y = np.array([r["y"] for r in fitted], float)
     n = np.array([r["n"] for r in fitted], float)
     # rows with equal features are one weighted row
-    model = fit_logistic(x, lambda z: n / n.sum() * (_sigmoid(z) - y))
+    model = fit_logistic([x], lambda z: n / n.sum() * (_sigmoid(z) - y))
     return lexicon, model
 
 
