@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+import __spark_entry__ as E
 from zonecast.session import scratch_path
 from zonecast.sinks import writers
 from zonecast.sources import files
+from zonecast.sources import fixtures as fx
 
 
 def test_rerun_is_idempotent(spark):
@@ -205,3 +207,37 @@ def test_shared_dir_when_unset_uses_one_own_folder():
     cluster.sparkContext.master = "spark://host:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(cluster)
+
+
+def test_roundtrip_joins_and_groups_the_trips_once(spark, sf_small, monkeypatch):
+    from zonecast.plans import queries_io
+
+    written = []
+    real = writers.write_months
+
+    def spy(df, path, *args, **kwargs):
+        real(df, path, *args, **kwargs)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        written.append((path, df.count(), "Join" in plan or "Exchange" in plan, kwargs.get("grouped", False)))
+
+    monkeypatch.setattr(queries_io.writers, "write_months", spy)
+    got = E.queries()["parquet_partition_roundtrip"](spark, sf_small)
+    rows = fx.trips_view(spark, sf_small).count()
+    month = got.where("source_month = '1998-02'").count()
+    assert got.count() == rows
+    assert [(n, joined, grouped) for _, n, joined, grouped in written] == [
+        (rows, True, False), (rows, False, True), (rows, False, True), (month, False, True)]
+    assert len({path for path, *_ in written[1:]}) == 1
+
+
+def test_trips_are_not_shuffled_by_customer(spark, sf_small):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fx.trips_view(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    below = plan[plan.index("hashpartitioning(o_custkey"):].split("\n")[1:]
+    kinds = [line.lstrip(" :+-") for line in below]
+    first = next(k for k in kinds if k.startswith(("SortMergeJoin", "FileScan", "Scan")))
+    assert "o_custkey" in first and "SortMergeJoin" not in first

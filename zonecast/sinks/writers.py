@@ -10,12 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_months(df: DataFrame, path: str, month_col: str = "source_month") -> None:
+def write_months(df: DataFrame, path: str, month_col: str = "source_month",
+                 grouped: bool = False) -> None:
     """K1: partition by source month with *dynamic* overwrite: a rerun of a
     month replaces exactly that month's partition and leaves the others. The
     rebalance hint brings a month's rows together, so each month gets few
-    files, and lets AQE split a large month over several tasks."""
-    (df.hint("rebalance", month_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    files, and lets AQE split a large month over several tasks. `grouped`: the
+    rows were read from files of one month each, so they are not shuffled
+    again (a task writes as many files as it reads, at most)."""
+    rows = df if grouped else df.hint("rebalance", month_col)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
 
 

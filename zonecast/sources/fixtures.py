@@ -71,8 +71,10 @@ def trips_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == c.c_custkey)
+    # orders meet their customers first: where customers are too many for a
+    # broadcast, narrow orders are shuffled by customer, never whole trips
+    oc = o.join(c, F.col("o_custkey") == c.c_custkey).drop("o_custkey", "c_custkey")
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey)
          .join(s, li.l_suppkey == s.s_suppkey))
     price = F.col("l_extendedprice")
     return j.select(
